@@ -54,5 +54,5 @@ def player_impact(players: DataFrame, params: Params = Params(), snapshot_date=N
         trunc_int("Ast").alias("assists"),
         "impact_score",
         F.col("rank").cast("int").alias("rank"),
-        (F.lit(date) if date is not None else F.current_date().cast("string")).alias("snapshot_date"),
+        (F.lit(date).cast("date") if date is not None else F.current_date()).alias("snapshot_date"),
     )

@@ -50,7 +50,8 @@ def xg_league_means(sums: DataFrame) -> DataFrame:
 def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
     """A7 + J4: per trained team, the four xG ratios and the row count, present
     only when the team has at least ``params.xg_min_rows`` rows; a role
-    without rows gives 1.0.  ``trained_teams`` has one column ``team``."""
+    without rows gives 1.0.  ``trained_teams`` has a ``team`` column; all of
+    its columns are carried through (so strengths can be passed directly)."""
     sums = xg_team_sums(xg_rows)
     per_team = sums.filter(F.col("team").isNotNull())
     t = with_scalars(trained_teams.join(per_team, "team", "left"), xg_league_means(sums))
@@ -71,4 +72,4 @@ def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params =
         "xg_defense_away": rnd(ratio("xg_away_against", an, "xg_avg_home"), 4),
         "xg_matches": n.cast("bigint"),
     }
-    return t.select("team", *[F.when(gate, v).alias(k) for k, v in out.items()])
+    return t.select(*trained_teams.columns, *[F.when(gate, v).alias(k) for k, v in out.items()])

@@ -219,7 +219,7 @@ impact AS (
   SELECT team_name, coalesce(player, '') AS player_name, coalesce(pos, '') AS position,
          {R('nineties', 2)} AS minutes_90s, CAST(trunc(gls) AS INTEGER) AS goals,
          CAST(trunc(ast) AS INTEGER) AS assists, impact_score, CAST(rk AS INTEGER) AS rank,
-         '{FIXED_DATE}' AS snapshot_date
+         DATE '{FIXED_DATE}' AS snapshot_date
   FROM ipr WHERE rk <= 10)"""
 
 
@@ -229,10 +229,24 @@ def _py_lit(key: str, name_expr: str, tail: str) -> str:
     return (f"'{{''{key}'': ' || {quote} || {name_expr} || {quote} || '{tail}}}'")
 
 
+SCORE_TEXT = """CASE WHEN e.l_partkey % 41 = 0 THEN 'x'
+              WHEN e.l_partkey % 43 = 0 THEN ' ' || CAST(e.home_score AS VARCHAR) || ' '
+              WHEN e.l_partkey % 47 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'd'
+              WHEN e.l_partkey % 61 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'e0'
+              ELSE CAST(e.home_score AS VARCHAR) END"""
+
+
+def parse_num(t: str) -> str:
+    """Text -> double or NULL; Java-style float suffixes rejected."""
+    return (f"(CASE WHEN regexp_matches({t}, '(?i)[df]\\s*$') AND NOT regexp_matches({t}, '(?i)inf\\s*$')"
+            f" THEN NULL ELSE TRY_CAST({t} AS DOUBLE) END)")
+
+
 # Expected raw names per the literal rules, computed from how the cells are made.
 STYLE = f"""sty AS (
   SELECT e.l_partkey, e.l_linenumber, ht.name AS hname, awt.name AS aname,
-         CASE WHEN e.l_partkey % 41 = 0 THEN NULL ELSE e.home_score END AS hs,
+         {SCORE_TEXT} AS hs_txt,
+         {parse_num(SCORE_TEXT)} AS hs,
          e.away_score AS as_,
          CASE WHEN e.l_linenumber = 1 THEN ht.name
               WHEN e.l_partkey % 53 = 0 THEN ''
@@ -242,7 +256,7 @@ STYLE = f"""sty AS (
   FROM lines_fx e JOIN teams_fx ht ON ht.id = e.home_team_id
   JOIN teams_fx awt ON awt.id = e.away_team_id),
 styn AS (SELECT {canon('hraw')} AS home_name, {canon('araw')} AS away_name, hs, as_ FROM sty
-         WHERE hs IS NOT NULL AND as_ IS NOT NULL),
+         WHERE hs IS NOT NULL AND NOT isnan(hs) AND as_ IS NOT NULL),
 styv AS (SELECT * FROM styn WHERE home_name <> '' AND away_name <> ''),
 style AS (
   SELECT team AS team_name, CAST(count(*) AS BIGINT) AS matches_count,
@@ -322,6 +336,73 @@ SELECT * FROM style"""
 {STYLE}
 SELECT {canon('hraw')} AS home_name, {canon('araw')} AS away_name, CAST(count(*) AS BIGINT) AS rows
 FROM sty GROUP BY ALL"""
+    sql["numeric_coercion"] = f"""{BASE},
+{ALIASES},
+{STYLE}
+SELECT hs_txt AS score_text, hs AS parsed,
+       coalesce(CASE WHEN isnan(hs) THEN 0.0::DOUBLE ELSE hs END, 0.0::DOUBLE) AS filled,
+       CAST(count(*) AS BIGINT) AS rows
+FROM sty GROUP BY hs_txt, hs"""
+    full = f"""{BASE},
+{ROLE_FRAMES},
+{STRENGTHS_CTE},
+{XG_ROWS},
+{XG_STRENGTHS_CTE},
+{ALIASES},
+{PLAYERS},
+{SQUAD_IDX},
+{ENRICHED},
+fullt AS (SELECT enr.*, x.xg_attack_home, x.xg_defense_home, x.xg_attack_away,
+                x.xg_defense_away, x.xg_matches
+         FROM enr JOIN xgout x ON x.team = enr.team),
+nenr AS (SELECT CAST(count(*) FILTER (WHERE attack_index IS NOT NULL) AS BIGINT) AS k FROM fullt)"""
+    sql["full_training"] = f"{full}\nSELECT * FROM fullt"
+    sql["league_params"] = f"""{full}
+SELECT {R('avg_home', 6)} AS league_avg_home_goals, {R('avg_away', 6)} AS league_avg_away_goals,
+       CAST(n AS BIGINT) AS n_matches, true AS fitted, TIMESTAMP '{TS}' AS trained_at,
+       k > 0 AS kaggle_enriched, k AS kaggle_enriched_teams
+FROM lg, nenr"""
+    sql["model_card"] = f"""{full}
+SELECT {q(CARD_MODEL_NAME)} AS model_name, {q(CARD_VERSION)} AS version,
+       {q(CARD_ALGORITHM)} AS algorithm, {q(CARD_TRAINING_SOURCE)} AS training_source,
+       CAST(n AS BIGINT) AS training_matches,
+       (SELECT strftime(min(time_utc), '%Y-%m-%d') FROM fin) AS date_from,
+       (SELECT strftime(max(time_utc), '%Y-%m-%d') FROM fin) AS date_to,
+       {q(CARD_LEAGUE)} AS league,
+       {R('avg_home', 4)} AS home_goals_per_match, {R('avg_away', 4)} AS away_goals_per_match,
+       {R('avg_home + avg_away', 4)} AS total_goals_per_match,
+       (SELECT CAST(count(*) AS BIGINT) FROM tot) AS teams_trained,
+       k AS kaggle_enriched_teams, {q(",".join(CARD_FEATURES))} AS kaggle_features,
+       TIMESTAMP '{TS}' AS trained_at
+FROM lg, nenr"""
+    sql["upsert_latest"] = f"""WITH u AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, 0 AS b FROM orders
+  WHERE o_orderdate < TIMESTAMP '{UPSERT_SPLIT}'
+  UNION ALL
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, 1 AS b FROM orders
+  WHERE o_orderdate >= TIMESTAMP '{UPSERT_SPLIT}')
+SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY b DESC, o_orderkey DESC) AS rn FROM u)
+WHERE rn = 1"""
+    stamp = f"DATE '{FIXED_DATE}' AS snapshot_date, TIMESTAMP '{TS}' AS created_at"
+    sql["snapshot_player_strength"] = f"""WITH {ALIASES},
+{PLAYERS},
+{SQUAD_IDX}
+SELECT team AS team_name, '2025/2026' AS season, attack_index, creation_index, defensive_index,
+       squad_depth, {stamp} FROM feats"""
+    sql["snapshot_style"] = f"""{BASE},
+{ALIASES},
+{STYLE}
+SELECT team_name, '2025/2026' AS season, matches_count, avg_goals_scored, avg_goals_conceded,
+       clean_sheet_rate, btts_rate, avg_goal_diff, {stamp} FROM style"""
+    sql["snapshot_impact"] = f"""WITH {ALIASES},
+{PLAYERS},
+{IMPACT},
+ded AS (SELECT *, row_number() OVER (PARTITION BY team_name, player_name, snapshot_date
+                                     ORDER BY rank DESC) AS rn FROM impact)
+SELECT team_name, player_name, position, minutes_90s, goals, assists, impact_score, snapshot_date,
+       TIMESTAMP '{TS}' AS created_at
+FROM ded WHERE rn = 1"""
     return sql
 
 

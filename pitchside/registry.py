@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from pitchside.functions.literals import literal_field
 from pitchside.functions.text import canonical_team
+from pitchside.functions.numeric import number_or_zero, to_number
 from pitchside.operators import (
-    enrich, impact, matches, players, quality, reshape, strength, style, xg,
+    card, enrich, impact, matches, players, quality, reshape, strength, style, upsert, xg,
 )
+from pitchside.plans import snapshots
+from pitchside.plans.training import team_totals, train
 from pitchside.params import TESTED, Params
 from pitchside.sources import fixtures as fx
 
@@ -111,6 +114,54 @@ def q_literal_names(spark, d):
     return named.groupBy("home_name", "away_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _trained(spark, d):
+    f = _finished(spark, d)
+    feats = players.player_strength_index(fx.players(spark, d), P)
+    return train(f, _xg_rows(spark, d), feats, P)
+
+
+def q_full_training(spark, d):
+    return _trained(spark, d).team_strengths
+
+
+def q_league_params(spark, d):
+    return _trained(spark, d).league_params
+
+
+def q_model_card(spark, d):
+    r = _trained(spark, d)
+    return card.model_card_flat(r.totals, r.team_strengths, P)
+
+
+def q_numeric_coercion(spark, d):
+    raw = fx.style_matches(spark, d, P)
+    return raw.groupBy(F.col("home_score").alias("score_text")).agg(
+        F.count(F.lit(1)).alias("rows")).select(
+        "score_text",
+        to_number("score_text").alias("parsed"),
+        number_or_zero("score_text").alias("filled"),
+        "rows",
+    )
+
+
+def q_upsert_latest(spark, d):
+    stored, batch = fx.upsert_tables(spark, d)
+    return upsert.upsert(stored, batch, ["o_custkey"], ["ordinal"]).drop("ordinal")
+
+
+def q_snapshot_player_strength(spark, d):
+    feats = players.player_strength_index(fx.players(spark, d), P)
+    return snapshots.player_strength_snapshot(feats, P)
+
+
+def q_snapshot_style(spark, d):
+    return snapshots.style_snapshot(style.team_style(fx.style_matches(spark, d, P), P), P)
+
+
+def q_snapshot_impact(spark, d):
+    return snapshots.impact_snapshot(impact.player_impact(fx.players(spark, d), P), P)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "finished_matches": q_finished_matches,
     "league_averages": q_league_averages,
@@ -128,4 +179,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_impact_top10": q_player_impact_top10,
     "team_style": q_team_style,
     "literal_names": q_literal_names,
+    "numeric_coercion": q_numeric_coercion,
+    "full_training": q_full_training,
+    "league_params": q_league_params,
+    "model_card": q_model_card,
+    "upsert_latest": q_upsert_latest,
+    "snapshot_player_strength": q_snapshot_player_strength,
+    "snapshot_style": q_snapshot_style,
+    "snapshot_impact": q_snapshot_impact,
 }

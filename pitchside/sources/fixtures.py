@@ -204,12 +204,24 @@ def style_matches(spark: SparkSession, sf_dir: str, params: Params = Params()) -
         F.col("event_id").alias("ordinal"),
         home_cell.alias("home_team"),
         away_cell.alias("away_team"),
-        F.when(pk % 41 == 0, F.lit("x")).otherwise(F.col("home_score").cast("string"))
-        .alias("home_score"),
+        score_text(pk, F.col("home_score")).alias("home_score"),
         F.col("away_score").cast("string").alias("away_score"),
     )
 
 
+def score_text(pk: F.Column, score: F.Column) -> F.Column:
+    """Score cell text: mostly ``str(float)``, some padded, exponent or
+    suffixed forms and some junk, chosen by a rule on the part key."""
+    whole = score.cast("int").cast("string")
+    return (
+        F.when(pk % 41 == 0, F.lit("x"))
+        .when(pk % 43 == 0, F.concat(F.lit(" "), score.cast("string"), F.lit(" ")))
+        .when(pk % 47 == 0, F.concat(whole, F.lit("d")))
+        .when(pk % 61 == 0, F.concat(whole, F.lit("e0")))
+        .otherwise(score.cast("string"))
+    )
+
+
 def upsert_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """V5: (stored rows, new batch) of per-customer order facts keyed by
     ``o_custkey``; ``ordinal`` orders rows within a batch."""
