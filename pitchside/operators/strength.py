@@ -1,19 +1,18 @@
 """Team attack/defence ratios: A1, A3-A6, P6, P11 via U2 and J6.
 
 Plan shape: scan -> coerce -> U2 (Generate) -> partial aggregate per team ->
-shuffle(team) -> final aggregate.  League totals are a global aggregate over
-that per-team result (the exchange is reused, no second scan) attached as a
-one-row broadcast.  A team holding a third of all matches only adds rows to
+shuffle(team) -> final aggregate.  League means are window sums over that
+per-team result (one row per team), so the fact is read once.  A team holding a third of all matches only adds rows to
 map-side partial aggregates: the shuffle carries one row per team per task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchside.functions.numeric import floor_at, ieee_div, is_present, rnd, to_number
-from pitchside.operators.reshape import two_role_rows, with_scalars
+from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
 
 TOTAL_COLS = [
@@ -57,6 +56,11 @@ def role_totals(matches: DataFrame, home_team="home_team_name", away_team="away_
         ok = F.col("_valid")
     h = F.col("is_home")
     aggs = [
+        # Non-null rows of the group key: 0 only for the null-team group.  The
+        # named-team filter is written on this aggregate output, so Catalyst
+        # cannot push it below the aggregate; league totals and strengths then
+        # share one aggregate (exchange reuse) instead of scanning twice.
+        F.count("team").alias("named_rows"),
         F.sum(F.when(h & ok, F.col("value_for"))).alias("home_goals_scored"),
         F.sum(F.when(h & ok, F.col("value_against"))).alias("home_goals_conceded"),
         F.count_if(h & ok).alias("home_matches"),
@@ -73,6 +77,11 @@ def role_totals(matches: DataFrame, home_team="home_team_name", away_team="away_
     return roles.groupBy("team").agg(*aggs)
 
 
+def named(totals: DataFrame) -> DataFrame:
+    """Per-team rows of real (non-null) teams; see ``named_rows``."""
+    return totals.filter(F.col("named_rows") > 0)
+
+
 def league_totals(totals: DataFrame) -> DataFrame:
     """A1 on the per-team result: one row ``n_matches, avg_home, avg_away``.
 
@@ -104,9 +113,27 @@ def _role_ratio(goals, games, league_avg, floor):
         .otherwise(F.lit(1.0))
 
 
+def with_league_means(totals: DataFrame) -> DataFrame:
+    """J6 on the per-team result: league means on every per-team row.
+
+    A window over the whole per-team result (one row per team, null group
+    included) instead of a join with a separate global aggregate: Catalyst
+    prunes the unused aggregate columns of such a second branch, which then no
+    longer matches the first one and re-scans the match fact.  The window's
+    input is bounded by the number of teams, not by the number of matches.
+    """
+    everyone = Window.partitionBy()
+    n = F.sum("home_matches").over(everyone)
+    return totals.select(
+        "*",
+        ieee_div(F.sum("home_goals_scored").over(everyone), n).alias("avg_home"),
+        ieee_div(F.sum("home_goals_conceded").over(everyone), n).alias("avg_away"),
+    )
+
+
 def strengths_from_totals(totals: DataFrame, params: Params = Params()) -> DataFrame:
     """A5 + A6: role and pooled strengths from per-team totals (rounded to 4)."""
-    t = with_scalars(totals.filter(F.col("team").isNotNull()), league_totals(totals))
+    t = named(with_league_means(totals))
     fl = params.floor
     avg_home, avg_away = F.col("avg_home"), F.col("avg_away")
     avg_total = (avg_home + avg_away) / F.lit(2.0)
@@ -135,4 +162,4 @@ def team_strengths(matches: DataFrame, params: Params = Params()) -> DataFrame:
 
 def home_away_totals(matches: DataFrame) -> DataFrame:
     """J3 view: per team, both role aggregates side by side (non-null teams)."""
-    return role_totals(matches).filter(F.col("team").isNotNull())
+    return named(role_totals(matches))

@@ -1,19 +1,19 @@
 """Expected-goals adjustment: A2, A7, J4.
 
 One pass over the xG rows: U2 unpivot, partial aggregation per team, then the
-league means are derived from the per-team sums (exchange reused, no second
-scan of the xG join).  Rows of teams outside the trained set still count in
+league means are derived from the per-team sums by a window over that small
+result (no second scan of the xG join).  Rows of teams outside the trained set still count in
 the league means but never become a group of the output (J4 is a left join
 from the trained teams).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchside.functions.numeric import floor_at, ieee_div, is_present, rnd, to_number
-from pitchside.operators.reshape import two_role_rows, with_scalars
+from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
 
 XG_COLS = ["xg_attack_home", "xg_defense_home", "xg_attack_away", "xg_defense_away", "xg_matches"]
@@ -29,6 +29,7 @@ def xg_team_sums(xg_rows: DataFrame) -> DataFrame:
     roles = two_role_rows(x, "home_team_name", "away_team_name", "xg_home", "xg_away")
     h = F.col("is_home")
     return roles.groupBy("team").agg(
+        F.count("team").alias("named_rows"),
         F.count_if(h).alias("xg_home_rows"),
         F.count_if(~h).alias("xg_away_rows"),
         F.sum(F.when(h, F.col("value_for"))).alias("xg_home_for"),
@@ -51,10 +52,22 @@ def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params =
     """A7 + J4: per trained team, the four xG ratios and the row count, present
     only when the team has at least ``params.xg_min_rows`` rows; a role
     without rows gives 1.0.  ``trained_teams`` has a ``team`` column; all of
-    its columns are carried through (so strengths can be passed directly)."""
-    sums = xg_team_sums(xg_rows)
-    per_team = sums.filter(F.col("team").isNotNull())
-    t = with_scalars(trained_teams.join(per_team, "team", "left"), xg_league_means(sums))
+    its columns are carried through (so strengths can be passed directly).
+
+    League means are window sums over the per-team sums (every xG row counts,
+    unknown and null teams included) before the left join from the trained
+    teams; a trained team without xG rows never passes the gate, so it never
+    needs them.
+    """
+    everyone = Window.partitionBy()
+    n_all = F.sum("xg_home_rows").over(everyone)
+    sums = xg_team_sums(xg_rows).select(
+        "*",
+        ieee_div(F.sum("xg_home_for").over(everyone), n_all).alias("xg_avg_home"),
+        ieee_div(F.sum("xg_home_against").over(everyone), n_all).alias("xg_avg_away"),
+    )
+    per_team = sums.filter(F.col("named_rows") > 0).drop("named_rows")
+    t = trained_teams.join(per_team, "team", "left")
     hn = F.coalesce(F.col("xg_home_rows"), F.lit(0))
     an = F.coalesce(F.col("xg_away_rows"), F.lit(0))
     n = hn + an

@@ -66,9 +66,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     for stored dimensions, not for aggregates derived from a fact (counting
     those would run the aggregation twice; AQE sizes them from shuffle output).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Bounded row-count check: reads at most ``max_rows + 1`` rows' worth."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def scratch_dir(prefix: str = "pitchside-") -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pitchside.functions.literals import python_literal
 from pitchside.params import Params, STATUS_ENDED, XG_METRIC
-from pitchside.session import broadcast_if_small
+from pitchside.session import broadcast_if_small, fits
 
 # Fixture labels: club name per nation key 0..24 (teams as stored in the match
 # database, mostly canonical; "Spurs" is deliberately not).
@@ -93,8 +93,12 @@ def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
     supp = broadcast_if_small(
         _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
         params.broadcast_max_rows)
-    # orders x customer first: it is a quarter of the line count.
+    # orders x customer first: it is a quarter of the line count.  It is the
+    # build side against lineitem only while orders fits the checked bound;
+    # beyond it both sides shuffle on the order key (sort-merge join).
     order_side = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    if fits(orders, params.broadcast_max_rows):
+        order_side = F.broadcast(order_side)
     lines = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(
         supp, li.l_suppkey == supp.s_suppkey)
     return lines.select(
