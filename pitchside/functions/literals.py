@@ -21,7 +21,7 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -60,40 +60,47 @@ def _to_json_text(s: Column) -> Column:
     return out
 
 
-def literal_field(cell, key: str, exact_residual: bool = True) -> Column:
-    """Raw (not yet canonicalised) value of ``key`` per the rules above."""
-    s = _c(cell).cast("string")
-    quoted_key = r"['\"]\Q" + key + r"\E['\"]"
-    norm = _to_json_text(s)
+def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
+                       exact_residual: bool = True) -> DataFrame:
+    """Add column ``out``: the raw (not yet canonicalised) value of ``key`` in
+    the cell column ``cell``, per the rules above.
+
+    Two projection levels: the JSON text and its parse are computed once per
+    row in the first; the decision in the second reads them as columns (Spark
+    does not collapse a projection whose costly outputs are used twice).
+    """
+    s = F.col(cell).cast("string")
+    norm_c, parsed_c = f"__{out}_json", f"__{out}_parsed"
     schema = StructType([StructField(key, StringType()), StructField(_CORRUPT, StringType())])
-    parsed = F.from_json(
-        norm, schema,
-        {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"},
-    )
-    value = parsed.getField(key)
+    opts = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
+    staged = df.withColumn(norm_c, _to_json_text(s)).withColumn(
+        parsed_c, F.from_json(F.col(norm_c), schema, opts))
+    quoted_key = r"['\"]\Q" + key + r"\E['\"]"
+    value = F.col(parsed_c).getField(key)
     is_dict_like = s.rlike(r"^[ \t]*\{")
     decidable = (
-        s.rlike(r"^[ \t]*\{[^{}\\]*\}\s*$")                  # one flat literal, no escapes
+        s.rlike(r"^[ \t]*\{[^{}\\]*\}\s*$")                 # one flat literal, no escapes
         & ~s.rlike(quoted_key + ".*" + quoted_key)           # key at most once
-        & parsed.getField(_CORRUPT).isNull()
+        & F.col(parsed_c).getField(_CORRUPT).isNull()
         & ~F.coalesce(value.contains("null"), F.lit(False))  # untouched by normalisation
     )
     fast_value = (
         F.when(value.isNotNull(),
                F.when(s.rlike(quoted_key + r"\s*:\s*['\"]"), value).otherwise(s))
-        .when(norm.rlike(quoted_key + r"\s*:\s*null"), s)
+        .when(F.col(norm_c).rlike(quoted_key + r"\s*:\s*null"), s)
         .otherwise(F.lit(""))
     )
     if exact_residual:
         residual = _literal_field_udf(F.when(is_dict_like & ~decidable, s), F.lit(key))
     else:
         residual = s
-    return (
+    result = (
         F.when(s.isNull(), F.lit(None).cast("string"))
         .when(~is_dict_like, s)
         .when(decidable, fast_value)
         .otherwise(residual)
     )
+    return staged.withColumn(out, result).drop(norm_c, parsed_c)
 
 
 def python_literal(fields: dict[str, Column | str | None]) -> Column:

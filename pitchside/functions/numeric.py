@@ -31,24 +31,19 @@ def ieee_div(num, den) -> Column:
     """``num / den`` with IEEE-754 results for a zero divisor.
 
     ANSI mode raises on ``x / 0.0``; the modelled job gets NaN for 0/0 and
-    +/-inf otherwise.  Nulls propagate.
+    +/-inf otherwise.  Nulls propagate.  (The division branch is only
+    evaluated for a non-zero divisor.)
     """
-    n, d = _c(num).cast("double"), _c(den).cast("double")
-    return (
-        F.when(n.isNull() | d.isNull(), F.lit(None).cast("double"))
-        .when(d != 0, n / d)
-        .when(F.isnan(n) | (n == 0), F.lit(NAN))
-        .when(n > 0, F.lit(float("inf")))
-        .otherwise(F.lit(float("-inf")))
-    )
+    n, d = _c(num), _c(den)
+    at_zero = F.when(n == 0, F.lit(NAN)).otherwise(F.signum(n) * F.lit(float("inf")))
+    return F.when(d == 0, at_zero).otherwise(n / d)
 
 
 def floor_at(x, floor: float) -> Column:
-    """``max(x, floor)`` with Python semantics: NaN stays NaN, null stays null."""
+    """``max(x, floor)`` with Python semantics: NaN stays NaN (Spark orders NaN
+    above every number), null stays null."""
     v = _c(x)
-    return F.when(v.isNull(), F.lit(None).cast("double")).otherwise(
-        F.greatest(v, F.lit(float(floor)))
-    )
+    return F.when(v.isNotNull(), F.greatest(v, F.lit(float(floor))))
 
 
 def to_number(x, dtype=None) -> Column:

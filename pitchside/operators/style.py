@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import literal_field
+from pitchside.functions.literals import with_literal_field
 from pitchside.functions.numeric import is_present, rnd, to_number
 from pitchside.functions.text import canonical_team
 from pitchside.operators.reshape import two_role_rows
@@ -15,38 +15,64 @@ STYLE_COLS = ["matches_count", "avg_goals_scored", "avg_goals_conceded",
               "clean_sheet_rate", "btts_rate", "avg_goal_diff"]
 
 
-def style_rows(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
-    """P10 + P9 + P6 + P8: named, numeric, non-empty rows
-    ``home_name, away_name, home_score, away_score``."""
+def named_style_rows(raw: DataFrame, params: Params = Params(),
+                     exact_residual: bool = True) -> DataFrame:
+    """P10 + P9 + P6 per row: ``home_name, away_name, home_score,
+    away_score`` (names canonicalised, scores numeric or null)."""
     schema = raw.schema
-    named = raw.select(
-        canonical_team(literal_field("home_team", "home_team_name", exact_residual),
-                       params.aliases).alias("home_name"),
-        canonical_team(literal_field("away_team", "away_team_name", exact_residual),
-                       params.aliases).alias("away_name"),
+    df = raw.select(
+        "home_team", "away_team",
         to_number("home_score", schema["home_score"].dataType).alias("home_score"),
         to_number("away_score", schema["away_score"].dataType).alias("away_score"),
     )
-    return named.filter(
-        is_present("home_score") & is_present("away_score")
-        & F.col("home_name").isNotNull() & F.col("away_name").isNotNull()
-        & (F.col("home_name") != "") & (F.col("away_name") != "")
+    df = with_literal_field(df, "home_team", "home_team_name", "home_raw", exact_residual)
+    df = with_literal_field(df, "away_team", "away_team_name", "away_raw", exact_residual)
+    return df.select(
+        canonical_team("home_raw", params.aliases).alias("home_name"),
+        canonical_team("away_raw", params.aliases).alias("away_name"),
+        "home_score", "away_score",
     )
 
 
+def _usable(home_name, away_name, home_score, away_score):
+    """P6 + P8: both scores numeric, both names present and non-empty."""
+    return (is_present(home_score) & is_present(away_score)
+            & (F.coalesce(F.length(home_name), F.lit(0)) > 0)
+            & (F.coalesce(F.length(away_name), F.lit(0)) > 0))
+
+
+def style_rows(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
+    """The usable rows only (for inspection; :func:`team_style` does not filter
+    rows, see there)."""
+    n = named_style_rows(raw, params, exact_residual)
+    return n.filter(_usable(n.home_name, n.away_name, n.home_score, n.away_score))
+
+
 def team_style(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
     """A12 per team over both roles: count, mean for/against, clean-sheet rate,
-    both-teams-scored rate, and the difference of the unrounded means."""
-    roles = two_role_rows(style_rows(raw, params, exact_residual),
-                          "home_name", "away_name", "home_score", "away_score")
-    gf, ga = F.col("value_for"), F.col("value_against")
+    both-teams-scored rate, and the difference of the unrounded means.
+
+    Unusable rows are excluded by conditional aggregation rather than a row
+    filter: a filter on the extracted names would be pushed below their
+    projection and re-evaluate the literal parsing once per predicate.  The
+    usable flag travels with both U2 rows; a group whose rows are all
+    unusable has count 0 and is dropped after the aggregate.
+    """
+    n = named_style_rows(raw, params, exact_residual)
+    usable = _usable(F.col("home_name"), F.col("away_name"), F.col("home_score"), F.col("away_score"))
+    roles = two_role_rows(n.withColumn("usable", usable), "home_name", "away_name",
+                          "home_score", "away_score", keep=["usable"])
+    ok = F.col("usable")
+    gf = F.when(ok, F.col("value_for"))
+    ga = F.when(ok, F.col("value_against"))
     agg = roles.groupBy("team").agg(
-        F.count(F.lit(1)).alias("matches_count"),
+        F.count_if(ok).alias("matches_count"),
         F.avg(gf).alias("avg_for"),
         F.avg(ga).alias("avg_against"),
-        F.avg((ga == 0).cast("double")).alias("cs"),
-        F.avg(((gf > 0) & (ga > 0)).cast("double")).alias("btts"),
-    )
+        F.avg(F.when(ok, (F.col("value_against") == 0).cast("double"))).alias("cs"),
+        F.avg(F.when(ok, ((F.col("value_for") > 0) & (F.col("value_against") > 0))
+                     .cast("double"))).alias("btts"),
+    ).filter(F.col("matches_count") > 0)
     return agg.select(
         F.col("team").alias("team_name"),
         F.col("matches_count").cast("bigint").alias("matches_count"),

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import literal_field
 from pitchside.functions.text import canonical_team
 from pitchside.functions.numeric import number_or_zero, to_number
 from pitchside.operators import (
@@ -106,11 +105,7 @@ def q_team_style(spark, d):
 
 
 def q_literal_names(spark, d):
-    raw = fx.style_matches(spark, d, P)
-    named = raw.select(
-        canonical_team(literal_field("home_team", "home_team_name"), P.aliases).alias("home_name"),
-        canonical_team(literal_field("away_team", "away_team_name"), P.aliases).alias("away_name"),
-    )
+    named = style.named_style_rows(fx.style_matches(spark, d, P), P)
     return named.groupBy("home_name", "away_name").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -69,9 +69,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+_FITS: dict[tuple, bool] = {}
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Bounded row-count check: reads at most ``max_rows + 1`` rows' worth."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``offset(max_rows).isEmpty()`` is answered by an incremental take: Spark
+    scans partitions in growing batches and stops once ``max_rows + 1``
+    zero-width rows were seen, so checking a dimension that has grown to
+    billions of rows still reads only about ``max_rows`` of them.  Answers are
+    memoised per plan and input-file list (a new file invalidates the entry);
+    the answer only steers the join strategy, never the result.
+    """
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _FITS:
+        _FITS[key] = df.select().offset(max_rows).isEmpty()
+    return _FITS[key]
 
 
 def scratch_dir(prefix: str = "pitchside-") -> str:

@@ -65,8 +65,16 @@ XG_PRICE = 103500.0
 UPSERT_SPLIT = "1999-01-01"
 
 
+_READERS: dict[tuple, DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One reader per session and table: the driver-side file listing and
+    footer read happen once, not once per query (the tables are immutable)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READERS[key]
 
 
 def _labels(values: list[str]):
