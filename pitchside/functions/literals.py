@@ -7,13 +7,11 @@ Rules (the modelled job evaluates the literal and calls ``.get(key, '')``):
 * anything else (not a literal, not a dict, key holding None or a non-string)
   -> the whole cell.
 
-Fast path, all in the JVM: flat one-level literals are normalised to JSON
-(``None/True/False`` -> ``null/true/false``) and parsed with ``from_json``
-(single quotes allowed).  Cells the fast path cannot decide exactly — nested
-braces, backslash escapes, repeated keys, parse failures, or a value that might
-have been altered by the normalisation — go to a vectorised pandas UDF that
-runs Python's literal parser.  The UDF receives null for every other row, so
-Python only does work for the residual rows.
+Fast path, all in the JVM: cells that match a strict grammar of flat
+literals (see ``_FLAT``) are decided with regular expressions.  Every other
+cell that looks like a dict goes to a vectorised pandas UDF running Python's
+literal parser; the UDF receives null for all other rows, so Python only does
+work for the residual rows.
 """
 
 from __future__ import annotations
@@ -23,11 +21,27 @@ import ast
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
-_CORRUPT = "_corrupt_record"
-# Python keywords as JSON, only where a value can start (after ':', ',' or '[').
-_KEYWORDS = {"None": "null", "True": "true", "False": "false"}
+# Strict grammar of the flat dict literals the JVM decides itself.  Every
+# token has exactly Python's meaning: strings without escapes or control
+# characters, None / True / False, and plain decimal numbers.  Anything else
+# that looks like a dict (nested values, escapes, other number forms, other
+# white space) is decided by Python's own parser in the residual UDF.
+_STR = r"'[^'\\\x00-\x1f]*'" + "|" + r'"[^"\\\x00-\x1f]*"'
+_VAL = "(?:" + _STR + r"|None|True|False|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?)"
+_ITEM = rf"(?:{_STR})[ \t]*:[ \t]*{_VAL}"
+_SEP = r"[ \t]*,[ \t]*"
+_FLAT = rf"^[ \t]*\{{[ \t]*(?:{_ITEM}(?:{_SEP}{_ITEM})*[ \t]*,?)?[ \t]*\}}[ \t]*$"
+
+
+def _last_value_pattern(key: str) -> str:
+    """Anchored pattern capturing the value token of the *last* ``key`` item
+    of a flat literal: items are walked from the start (so a key-like text
+    inside a string value never matches) and no later item may hold the key."""
+    k = rf"""(?:'\Q{key}\E'|"\Q{key}\E")"""
+    return (rf"^[ \t]*\{{[ \t]*(?:{_ITEM}{_SEP})*?{k}[ \t]*:[ \t]*({_VAL})"
+            rf"(?:{_SEP}(?!{k}[ \t]*:){_ITEM})*[ \t]*,?[ \t]*\}}[ \t]*$")
 
 
 def _c(x) -> Column:
@@ -45,19 +59,18 @@ def literal_field_py(cell: str | None, key: str) -> str | None:
     return value if isinstance(value, str) else cell
 
 
-@F.pandas_udf(StringType())
-def _literal_field_udf(cells: pd.Series, keys: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if c is None else literal_field_py(c, k) for c, k in zip(cells, keys)],
-        dtype=object,
-    )
+_UDFS: dict[str, object] = {}
 
 
-def _to_json_text(s: Column) -> Column:
-    out = s
-    for py, js in _KEYWORDS.items():
-        out = F.regexp_replace(out, rf"(?<=[:,\[]\s?){py}(?=\s*[,}}\]])", js)
-    return out
+def _residual_udf(key: str):
+    """Vectorised UDF (one per key) applying :func:`literal_field_py`."""
+    if key not in _UDFS:
+        @F.pandas_udf(StringType())
+        def residual(cells: pd.Series) -> pd.Series:
+            return pd.Series([None if c is None else literal_field_py(c, key) for c in cells],
+                             dtype=object)
+        _UDFS[key] = residual
+    return _UDFS[key]
 
 
 def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
@@ -65,42 +78,35 @@ def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
     """Add column ``out``: the raw (not yet canonicalised) value of ``key`` in
     the cell column ``cell``, per the rules above.
 
-    Two projection levels: the JSON text and its parse are computed once per
-    row in the first; the decision in the second reads them as columns (Spark
-    does not collapse a projection whose costly outputs are used twice).
+    Fast path: a cell that fully matches the strict flat-literal grammar is
+    decided by one anchored regex that captures the value of the last item
+    with the key (a later duplicate wins, as in a Python dict display).  Both
+    regex results are computed in their own projection, once per row.
     """
     s = F.col(cell).cast("string")
-    norm_c, parsed_c = f"__{out}_json", f"__{out}_parsed"
-    schema = StructType([StructField(key, StringType()), StructField(_CORRUPT, StringType())])
-    opts = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
-    staged = df.withColumn(norm_c, _to_json_text(s)).withColumn(
-        parsed_c, F.from_json(F.col(norm_c), schema, opts))
-    quoted_key = r"['\"]\Q" + key + r"\E['\"]"
-    value = F.col(parsed_c).getField(key)
-    is_dict_like = s.rlike(r"^[ \t]*\{")
-    decidable = (
-        s.rlike(r"^[ \t]*\{[^{}\\]*\}\s*$")                 # one flat literal, no escapes
-        & ~s.rlike(quoted_key + ".*" + quoted_key)           # key at most once
-        & F.col(parsed_c).getField(_CORRUPT).isNull()
-        & ~F.coalesce(value.contains("null"), F.lit(False))  # untouched by normalisation
-    )
+    flat_c, val_c = f"__{out}_flat", f"__{out}_value"
+    staged = df.withColumn(flat_c, s.rlike(_FLAT)).withColumn(
+        val_c, F.when(F.col(flat_c), F.regexp_extract(s, _last_value_pattern(key), 1)))
+    value = F.col(val_c)
+    is_text = value.startswith("'") | value.startswith('"')
     fast_value = (
-        F.when(value.isNotNull(),
-               F.when(s.rlike(quoted_key + r"\s*:\s*['\"]"), value).otherwise(s))
-        .when(F.col(norm_c).rlike(quoted_key + r"\s*:\s*null"), s)
-        .otherwise(F.lit(""))
+        F.when(value == "", F.lit(""))                                     # key absent
+        .when(is_text, F.substr(value, F.lit(2), F.length(value) - F.lit(2)))  # unquote
+        .otherwise(s)                                                      # None / non-string
     )
+    is_dict_like = s.rlike(r"^[ \t]*\{")
+    decided = F.col(flat_c)
     if exact_residual:
-        residual = _literal_field_udf(F.when(is_dict_like & ~decidable, s), F.lit(key))
+        residual = _residual_udf(key)(F.when(is_dict_like & ~decided, s))
     else:
         residual = s
     result = (
         F.when(s.isNull(), F.lit(None).cast("string"))
         .when(~is_dict_like, s)
-        .when(decidable, fast_value)
+        .when(decided, fast_value)
         .otherwise(residual)
     )
-    return staged.withColumn(out, result).drop(norm_c, parsed_c)
+    return staged.withColumn(out, result).drop(flat_c, val_c)
 
 
 def python_literal(fields: dict[str, Column | str | None]) -> Column:
