@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitchside.functions import sqltext as S
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -17,7 +19,14 @@ def two_role_rows(df: DataFrame, home_team, away_team, home_value, away_value,
 
     One ``Generate`` over a two-element array: a single pass over the matches,
     no union, no second scan.  ``keep`` columns are carried on both rows.
+    Column names are given as strings (or Columns).
     """
+    if all(isinstance(c, str) for c in (home_team, away_team, home_value, away_value)):
+        h, a, hv, av = (S.col(c) for c in (home_team, away_team, home_value, away_value))
+        gen = (f"inline(array("
+               f"struct({h} AS team, true AS is_home, {hv} AS value_for, {av} AS value_against), "
+               f"struct({a} AS team, false AS is_home, {av} AS value_for, {hv} AS value_against)))")
+        return df.selectExpr(*[S.col(k) for k in (keep or [])], gen)
     home = F.struct(_c(home_team).alias("team"), F.lit(True).alias("is_home"),
                     _c(home_value).alias("value_for"), _c(away_value).alias("value_against"))
     away = F.struct(_c(away_team).alias("team"), F.lit(False).alias("is_home"),

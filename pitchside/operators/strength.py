@@ -8,10 +8,12 @@ map-side partial aggregates: the shuffle carries one row per team per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
+from pyspark.sql.types import NumericType
 from pyspark.sql import functions as F
 
-from pitchside.functions.numeric import floor_at, ieee_div, is_present, rnd, to_number
+from pitchside.functions import sqltext as S
+from pitchside.functions.numeric import ieee_div, is_present, rnd, to_number
 from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
 
@@ -42,37 +44,41 @@ def role_totals(matches: DataFrame, home_team="home_team_name", away_team="away_
     matches (A14), so a training run reads the match fact exactly once.
     """
     schema = matches.schema
-    scored = matches.withColumns({
-        home: to_number(home, schema[home].dataType),
-        away: to_number(away, schema[away].dataType),
-    })
-    valid = is_present(home) & is_present(away)
+    num = lambda c: S.to_number(S.col(c), isinstance(schema[c].dataType, NumericType))
+    scored = matches.selectExpr(
+        *[S.col(c) for c in (home_team, away_team) + ((time_col,) if time_col else ())],
+        f"{num(home)} AS {S.col(home)}", f"{num(away)} AS {S.col(away)}")
+    valid = f"{S.is_present(S.col(home))} AND {S.is_present(S.col(away))}"
     if time_col is None:
         roles = two_role_rows(scored.filter(valid), home_team, away_team, home, away)
-        ok = F.lit(True)
+        ok = "true"
     else:
-        roles = two_role_rows(scored.withColumn("_valid", valid), home_team, away_team, home, away,
-                              keep=["_valid", time_col])
-        ok = F.col("_valid")
-    h = F.col("is_home")
+        roles = two_role_rows(scored.selectExpr("*", f"{valid} AS _valid"), home_team, away_team,
+                              home, away, keep=["_valid", time_col])
+        ok = "_valid"
+
+    def agg(fn, cond, what, name):
+        return F.expr(f"{fn}(CASE WHEN {cond} THEN {what} END) AS {name}")
+
+    h, a = f"is_home AND {ok}", f"NOT is_home AND {ok}"
     aggs = [
         # Non-null rows of the group key: 0 only for the null-team group.  The
         # named-team filter is written on this aggregate output, so Catalyst
         # cannot push it below the aggregate; league totals and strengths then
-        # share one aggregate (exchange reuse) instead of scanning twice.
-        F.count("team").alias("named_rows"),
-        F.sum(F.when(h & ok, F.col("value_for"))).alias("home_goals_scored"),
-        F.sum(F.when(h & ok, F.col("value_against"))).alias("home_goals_conceded"),
-        F.count_if(h & ok).alias("home_matches"),
-        F.sum(F.when(~h & ok, F.col("value_for"))).alias("away_goals_scored"),
-        F.sum(F.when(~h & ok, F.col("value_against"))).alias("away_goals_conceded"),
-        F.count_if(~h & ok).alias("away_matches"),
+        # share one aggregate instead of scanning twice.
+        F.expr("count(team) AS named_rows"),
+        agg("sum", h, "value_for", "home_goals_scored"),
+        agg("sum", h, "value_against", "home_goals_conceded"),
+        F.expr(f"count_if({h}) AS home_matches"),
+        agg("sum", a, "value_for", "away_goals_scored"),
+        agg("sum", a, "value_against", "away_goals_conceded"),
+        F.expr(f"count_if({a}) AS away_matches"),
     ]
     if time_col is not None:
         aggs += [
-            F.count_if(h).alias("raw_home_rows"),
-            F.min(F.when(ok, F.col(time_col))).alias("first_time"),
-            F.max(F.when(ok, F.col(time_col))).alias("last_time"),
+            F.expr("count_if(is_home) AS raw_home_rows"),
+            agg("min", ok, S.col(time_col), "first_time"),
+            agg("max", ok, S.col(time_col), "last_time"),
         ]
     return roles.groupBy("team").agg(*aggs)
 
@@ -107,12 +113,6 @@ def league_averages(matches: DataFrame) -> DataFrame:
     )
 
 
-def _role_ratio(goals, games, league_avg, floor):
-    per_game = ieee_div(F.col(goals), F.col(games))
-    return F.when(F.col(games) > 0, floor_at(ieee_div(per_game, league_avg), floor)) \
-        .otherwise(F.lit(1.0))
-
-
 def with_league_means(totals: DataFrame) -> DataFrame:
     """J6 on the per-team result: league means on every per-team row.
 
@@ -122,12 +122,11 @@ def with_league_means(totals: DataFrame) -> DataFrame:
     longer matches the first one and re-scans the match fact.  The window's
     input is bounded by the number of teams, not by the number of matches.
     """
-    everyone = Window.partitionBy()
-    n = F.sum("home_matches").over(everyone)
-    return totals.select(
+    n = "sum(home_matches) OVER ()"
+    return totals.selectExpr(
         "*",
-        ieee_div(F.sum("home_goals_scored").over(everyone), n).alias("avg_home"),
-        ieee_div(F.sum("home_goals_conceded").over(everyone), n).alias("avg_away"),
+        f"{S.ieee_div('sum(home_goals_scored) OVER ()', n)} AS avg_home",
+        f"{S.ieee_div('sum(home_goals_conceded) OVER ()', n)} AS avg_away",
     )
 
 
@@ -135,22 +134,22 @@ def strengths_from_totals(totals: DataFrame, params: Params = Params()) -> DataF
     """A5 + A6: role and pooled strengths from per-team totals (rounded to 4)."""
     t = named(with_league_means(totals))
     fl = params.floor
-    avg_home, avg_away = F.col("avg_home"), F.col("avg_away")
-    avg_total = (avg_home + avg_away) / F.lit(2.0)
-    z = F.lit(0.0)
-    scored = F.coalesce(F.col("home_goals_scored"), z) + F.coalesce(F.col("away_goals_scored"), z)
-    conceded = F.coalesce(F.col("home_goals_conceded"), z) + F.coalesce(F.col("away_goals_conceded"), z)
-    games = F.col("home_matches") + F.col("away_matches")
-    pooled = lambda g: F.when(games == 0, F.lit(1.0)).otherwise(
-        floor_at(ieee_div(ieee_div(g, games), avg_total), fl))
-    return t.select(
+    games = "(home_matches + away_matches)"
+    avg_total = "((avg_home + avg_away) / 2.0D)"
+
+    def pooled(home, away):
+        total = f"(coalesce({home}, 0.0D) + coalesce({away}, 0.0D))"
+        return (f"CASE WHEN {games} = 0 THEN 1.0D ELSE "
+                f"{S.floor_at(S.ieee_div(S.ieee_div(total, games), avg_total), fl)} END")
+
+    return t.selectExpr(
         "team",
-        rnd(pooled(scored), 4).alias("attack"),
-        rnd(pooled(conceded), 4).alias("defense"),
-        rnd(_role_ratio("home_goals_scored", "home_matches", avg_home, fl), 4).alias("attack_home"),
-        rnd(_role_ratio("away_goals_scored", "away_matches", avg_away, fl), 4).alias("attack_away"),
-        rnd(_role_ratio("home_goals_conceded", "home_matches", avg_away, fl), 4).alias("defense_home"),
-        rnd(_role_ratio("away_goals_conceded", "away_matches", avg_home, fl), 4).alias("defense_away"),
+        f"{S.rnd(pooled('home_goals_scored', 'away_goals_scored'), 4)} AS attack",
+        f"{S.rnd(pooled('home_goals_conceded', 'away_goals_conceded'), 4)} AS defense",
+        f"{S.rnd(S.ratio_or_one('home_goals_scored', 'home_matches', 'avg_home', fl), 4)} AS attack_home",
+        f"{S.rnd(S.ratio_or_one('away_goals_scored', 'away_matches', 'avg_away', fl), 4)} AS attack_away",
+        f"{S.rnd(S.ratio_or_one('home_goals_conceded', 'home_matches', 'avg_away', fl), 4)} AS defense_home",
+        f"{S.rnd(S.ratio_or_one('away_goals_conceded', 'away_matches', 'avg_home', fl), 4)} AS defense_away",
     )
 
 
