@@ -9,6 +9,27 @@ keeps plan construction cheap.  Semantics are identical to the Column forms.
 from __future__ import annotations
 
 
+def lit(value: str) -> str:
+    """A Spark SQL string literal (backslash escapes; control chars as \\uXXXX)."""
+    out = []
+    for ch in value:
+        if ch in "\\'":
+            out.append("\\" + ch)
+        elif ord(ch) < 32:
+            out.append("\\u%04x" % ord(ch))
+        else:
+            out.append(ch)
+    return "'" + "".join(out) + "'"
+
+
+def array_of(values) -> str:
+    return "array(" + ", ".join(lit(v) for v in values) + ")"
+
+
+def map_of(items: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"{lit(k)}, {lit(v)}" for k, v in items.items()) + ")"
+
+
 def col(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -9,10 +9,11 @@ from the trained teams).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
+from pyspark.sql.types import NumericType
 from pyspark.sql import functions as F
 
-from pitchside.functions.numeric import floor_at, ieee_div, is_present, rnd, to_number
+from pitchside.functions import sqltext as S
 from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
 
@@ -22,30 +23,27 @@ XG_COLS = ["xg_attack_home", "xg_defense_home", "xg_attack_away", "xg_defense_aw
 def xg_team_sums(xg_rows: DataFrame) -> DataFrame:
     """Per team (null group kept): role counts and xG sums for and against."""
     schema = xg_rows.schema
-    x = xg_rows.withColumns({
-        "xg_home": to_number("xg_home", schema["xg_home"].dataType),
-        "xg_away": to_number("xg_away", schema["xg_away"].dataType),
-    }).filter(is_present("xg_home") & is_present("xg_away"))
+    num = lambda c: S.to_number(c, isinstance(schema[c].dataType, NumericType))
+    x = xg_rows.selectExpr("home_team_name", "away_team_name",
+                           f"{num('xg_home')} AS xg_home", f"{num('xg_away')} AS xg_away"
+                           ).filter(f"{S.is_present('xg_home')} AND {S.is_present('xg_away')}")
     roles = two_role_rows(x, "home_team_name", "away_team_name", "xg_home", "xg_away")
-    h = F.col("is_home")
     return roles.groupBy("team").agg(
-        F.count("team").alias("named_rows"),
-        F.count_if(h).alias("xg_home_rows"),
-        F.count_if(~h).alias("xg_away_rows"),
-        F.sum(F.when(h, F.col("value_for"))).alias("xg_home_for"),
-        F.sum(F.when(h, F.col("value_against"))).alias("xg_home_against"),
-        F.sum(F.when(~h, F.col("value_for"))).alias("xg_away_for"),
-        F.sum(F.when(~h, F.col("value_against"))).alias("xg_away_against"),
+        F.expr("count(team) AS named_rows"),
+        F.expr("count_if(is_home) AS xg_home_rows"),
+        F.expr("count_if(NOT is_home) AS xg_away_rows"),
+        F.expr("sum(CASE WHEN is_home THEN value_for END) AS xg_home_for"),
+        F.expr("sum(CASE WHEN is_home THEN value_against END) AS xg_home_against"),
+        F.expr("sum(CASE WHEN NOT is_home THEN value_for END) AS xg_away_for"),
+        F.expr("sum(CASE WHEN NOT is_home THEN value_against END) AS xg_away_against"),
     )
 
 
 def xg_league_means(sums: DataFrame) -> DataFrame:
     """A2: one row, mean home xG and mean away xG over every xG row."""
-    n = F.sum("xg_home_rows")
-    return sums.agg(
-        ieee_div(F.sum("xg_home_for"), n).alias("xg_avg_home"),
-        ieee_div(F.sum("xg_home_against"), n).alias("xg_avg_away"),
-    )
+    n = "sum(xg_home_rows)"
+    return sums.selectExpr(f"{S.ieee_div('sum(xg_home_for)', n)} AS xg_avg_home",
+                           f"{S.ieee_div('sum(xg_home_against)', n)} AS xg_avg_away")
 
 
 def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
@@ -59,30 +57,23 @@ def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params =
     teams; a trained team without xG rows never passes the gate, so it never
     needs them.
     """
-    everyone = Window.partitionBy()
-    n_all = F.sum("xg_home_rows").over(everyone)
-    sums = xg_team_sums(xg_rows).select(
+    n_all = "sum(xg_home_rows) OVER ()"
+    sums = xg_team_sums(xg_rows).selectExpr(
         "*",
-        ieee_div(F.sum("xg_home_for").over(everyone), n_all).alias("xg_avg_home"),
-        ieee_div(F.sum("xg_home_against").over(everyone), n_all).alias("xg_avg_away"),
+        f"{S.ieee_div('sum(xg_home_for) OVER ()', n_all)} AS xg_avg_home",
+        f"{S.ieee_div('sum(xg_home_against) OVER ()', n_all)} AS xg_avg_away",
     )
-    per_team = sums.filter(F.col("named_rows") > 0).drop("named_rows")
+    per_team = sums.filter("named_rows > 0").drop("named_rows")
     t = trained_teams.join(per_team, "team", "left")
-    hn = F.coalesce(F.col("xg_home_rows"), F.lit(0))
-    an = F.coalesce(F.col("xg_away_rows"), F.lit(0))
-    n = hn + an
+    hn, an = "coalesce(xg_home_rows, 0)", "coalesce(xg_away_rows, 0)"
+    gate = f"({hn} + {an}) >= {int(params.xg_min_rows)}"
     fl = params.floor
-
-    def ratio(total, rows, league):
-        mean = ieee_div(F.col(total), rows)
-        return F.when(rows > 0, floor_at(ieee_div(mean, F.col(league)), fl)).otherwise(F.lit(1.0))
-
-    gate = n >= params.xg_min_rows
     out = {
-        "xg_attack_home": rnd(ratio("xg_home_for", hn, "xg_avg_home"), 4),
-        "xg_defense_home": rnd(ratio("xg_home_against", hn, "xg_avg_away"), 4),
-        "xg_attack_away": rnd(ratio("xg_away_for", an, "xg_avg_away"), 4),
-        "xg_defense_away": rnd(ratio("xg_away_against", an, "xg_avg_home"), 4),
-        "xg_matches": n.cast("bigint"),
+        "xg_attack_home": S.rnd(S.ratio_or_one("xg_home_for", hn, "xg_avg_home", fl), 4),
+        "xg_defense_home": S.rnd(S.ratio_or_one("xg_home_against", hn, "xg_avg_away", fl), 4),
+        "xg_attack_away": S.rnd(S.ratio_or_one("xg_away_for", an, "xg_avg_away", fl), 4),
+        "xg_defense_away": S.rnd(S.ratio_or_one("xg_away_against", an, "xg_avg_home", fl), 4),
+        "xg_matches": f"CAST({hn} + {an} AS BIGINT)",
     }
-    return t.select(*trained_teams.columns, *[F.when(gate, v).alias(k) for k, v in out.items()])
+    return t.selectExpr(*[S.col(c) for c in trained_teams.columns],
+                        *[f"CASE WHEN {gate} THEN {v} END AS {k}" for k, v in out.items()])

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import python_literal
+from pitchside.functions import sqltext as S
 from pitchside.params import Params, STATUS_ENDED, XG_METRIC
 from pitchside.session import broadcast_if_small, fits
 
@@ -77,15 +77,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READERS[key]
 
 
-def _labels(values: list[str]):
-    return F.array(*[F.lit(v) for v in values])
-
-
-def _event_id() -> F.Column:
-    return F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.date_format("l_shipdate", "yyyyMMdd"), F.col("l_quantity").cast("bigint"),
-    )
+_EVENT_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+             "date_format(l_shipdate, 'yyyyMMdd'), CAST(l_quantity AS BIGINT))")
 
 
 def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
@@ -109,16 +102,14 @@ def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
         order_side = F.broadcast(order_side)
     lines = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(
         supp, li.l_suppkey == supp.s_suppkey)
-    return lines.select(
-        _event_id().alias("event_id"),
-        F.col("s_nationkey").cast("bigint").alias("home_team_id"),
-        F.col("c_nationkey").cast("bigint").alias("away_team_id"),
-        (F.col("l_quantity").cast("int") % 5).cast("double").alias("home_score"),
-        (F.col("l_linenumber") % 4).cast("double").alias("away_score"),
-        F.col("o_orderdate").alias("time_utc"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(STATUS_ENDED))
-        .when(F.col("o_orderstatus") == "P", F.lit(1))
-        .otherwise(F.lit(0)).alias("time_status"),
+    return lines.selectExpr(
+        f"{_EVENT_ID} AS event_id",
+        "CAST(s_nationkey AS BIGINT) AS home_team_id",
+        "CAST(c_nationkey AS BIGINT) AS away_team_id",
+        "CAST(CAST(l_quantity AS INT) % 5 AS DOUBLE) AS home_score",
+        "CAST(l_linenumber % 4 AS DOUBLE) AS away_score",
+        "o_orderdate AS time_utc",
+        f"CASE o_orderstatus WHEN 'F' THEN {STATUS_ENDED} WHEN 'P' THEN 1 ELSE 0 END AS time_status",
         "l_partkey", "l_linenumber",
     )
 
@@ -126,39 +117,31 @@ def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
 def events(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
     """V1 match fact: ``id, home_team_id, away_team_id, home_score, away_score,
     time_utc, time_status``."""
-    return match_lines(spark, sf_dir, params).select(
-        F.col("event_id").alias("id"), "home_team_id", "away_team_id",
+    return match_lines(spark, sf_dir, params).selectExpr(
+        "event_id AS id", "home_team_id", "away_team_id",
         "home_score", "away_score", "time_utc", "time_status",
     )
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team dimension ``id, name`` from nation."""
-    nation = _read(spark, sf_dir, "nation")
-    return nation.select(
-        F.col("n_nationkey").cast("bigint").alias("id"),
-        F.coalesce(F.try_element_at(_labels(TEAM_LABELS), F.col("n_nationkey") + 1),
-                   F.col("n_name")).alias("name"),
+    return _read(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS id",
+        f"coalesce(try_element_at({S.array_of(TEAM_LABELS)}, n_nationkey + 1), n_name) AS name",
     )
 
 
 def match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2 long metric table ``event_id, metric, home_value, away_value``."""
-    li = _read(spark, sf_dir, "lineitem")
-    is_xg = F.col("l_extendedprice") > F.lit(XG_PRICE)
-    return li.select(
-        _event_id().alias("event_id"),
-        F.when(is_xg, F.lit(XG_METRIC)).otherwise(F.lit("shots")).alias("metric"),
-        F.when(is_xg, F.col("l_discount") * 10).otherwise(F.col("l_quantity")).alias("home_value"),
-        F.when(is_xg, F.col("l_tax") * 10).otherwise(F.col("l_linenumber").cast("double"))
-        .alias("away_value"),
+    is_xg = f"l_extendedprice > {XG_PRICE!r}D"
+    return _read(spark, sf_dir, "lineitem").selectExpr(
+        f"{_EVENT_ID} AS event_id",
+        f"CASE WHEN {is_xg} THEN {S.lit(XG_METRIC)} ELSE 'shots' END AS metric",
+        f"CASE WHEN {is_xg} THEN l_discount * 10 ELSE l_quantity END AS home_value",
+        f"CASE WHEN {is_xg} THEN l_tax * 10 ELSE CAST(l_linenumber AS DOUBLE) END AS away_value",
     )
 
 
-def _brand_no() -> F.Column:
-    return F.substring_index("p_brand", "#", -1).try_cast("int")
-
-
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3 player-season rows with the player file's column names.
 
@@ -166,33 +149,46 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     file reader does; ``KP`` arrives as text with some unparsable cells.
     ``ordinal`` is the file order.
     """
-    part = _read(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    brand = _brand_no()
-    return part.select(
-        F.concat(F.col("p_name"), F.lit(" #"), k.cast("string")).alias("Player"),
-        F.element_at(_labels(POSITIONS), (F.col("p_size") % 4 + 1).cast("int")).alias("Pos"),
-        F.coalesce(F.try_element_at(_labels(SQUAD_LABELS), brand), F.col("p_brand")).alias("Squad"),
-        F.coalesce(
-            F.try_element_at(F.create_map(*[F.lit(x) for kv in COMPETITIONS.items() for x in kv]),
-                             F.col("p_type")),
-            F.col("p_type")).alias("Comp"),
-        (F.col("p_size") / F.lit(10.0)).alias("nineties"),
-        (k % 7).cast("double").alias("Gls"),
-        (k % 5).cast("double").alias("Ast"),
-        ((k % 11) / F.lit(2.0)).alias("xG"),
-        ((k % 13) / F.lit(4.0)).alias("xAG"),
-        F.when(k % 97 == 0, F.lit("n/a")).otherwise((k % 17).cast("string")).alias("KP"),
-        (k % 19).cast("double").alias("PrgP"),
-        (k % 6).cast("double").alias("TklW"),
-        (k % 4).cast("double").alias("Int"),
-        F.when(brand % 5 == 0, F.lit(0.0)).otherwise((k % 9).cast("double")).alias("tkl_int"),
-        (k % 3).cast("double").alias("Blocks"),
-        (k % 8).cast("double").alias("Clr"),
-        k.alias("ordinal"),
+    brand = "try_cast(substring_index(p_brand, '#', -1) AS INT)"
+    return _read(spark, sf_dir, "part").selectExpr(
+        "concat(p_name, ' #', CAST(p_partkey AS STRING)) AS Player",
+        f"element_at({S.array_of(POSITIONS)}, p_size % 4 + 1) AS Pos",
+        f"coalesce(try_element_at({S.array_of(SQUAD_LABELS)}, {brand}), p_brand) AS Squad",
+        f"coalesce(try_element_at({S.map_of(COMPETITIONS)}, p_type), p_type) AS Comp",
+        "p_size / 10.0D AS nineties",
+        "CAST(p_partkey % 7 AS DOUBLE) AS Gls",
+        "CAST(p_partkey % 5 AS DOUBLE) AS Ast",
+        "(p_partkey % 11) / 2.0D AS xG",
+        "(p_partkey % 13) / 4.0D AS xAG",
+        "CASE WHEN p_partkey % 97 = 0 THEN 'n/a' ELSE CAST(p_partkey % 17 AS STRING) END AS KP",
+        "CAST(p_partkey % 19 AS DOUBLE) AS PrgP",
+        "CAST(p_partkey % 6 AS DOUBLE) AS TklW",
+        "CAST(p_partkey % 4 AS DOUBLE) AS `Int`",
+        f"CASE WHEN {brand} % 5 = 0 THEN 0.0D ELSE CAST(p_partkey % 9 AS DOUBLE) END AS tkl_int",
+        "CAST(p_partkey % 3 AS DOUBLE) AS Blocks",
+        "CAST(p_partkey % 8 AS DOUBLE) AS Clr",
+        "p_partkey AS ordinal",
     )
 
 
+def _py_dict(key: str, name: str) -> str:
+    """SQL building ``repr({key: name, 'g': None})`` (double quotes when the
+    name holds a single quote, as ``repr`` does)."""
+    quote = f"""CASE WHEN instr({name}, "'") > 0 THEN '"' ELSE "'" END"""
+    return f"""concat("{{'{key}': ", {quote}, {name}, {quote}, ", 'g': None}}")"""
+
+
+def score_text(pk: str, score: str) -> str:
+    """Score cell text: mostly ``str(float)``, some padded, exponent or
+    suffixed forms and some junk, chosen by a rule on the part key."""
+    whole = f"CAST(CAST({score} AS INT) AS STRING)"
+    return (f"CASE WHEN {pk} % 41 = 0 THEN 'x' "
+            f"WHEN {pk} % 43 = 0 THEN concat(' ', CAST({score} AS STRING), ' ') "
+            f"WHEN {pk} % 47 = 0 THEN concat({whole}, 'd') "
+            f"WHEN {pk} % 61 = 0 THEN concat({whole}, 'e0') "
+            f"ELSE CAST({score} AS STRING) END")
+
+
 def style_matches(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
     """V4 style-match rows: ``home_team, away_team`` cells holding a dict
     literal or a bare name, scores as text (some unparsable), plus ``ordinal``."""
@@ -201,36 +197,16 @@ def style_matches(spark: SparkSession, sf_dir: str, params: Params = Params()) -
     ht, at = t.alias("ht"), t.alias("at")
     j = (lines.join(ht, F.col("home_team_id") == F.col("ht.id"))
          .join(at, F.col("away_team_id") == F.col("at.id")))
-    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
-    home_cell = (
-        F.when(ln == 1, F.col("ht.name"))
-        .when(pk % 53 == 0, F.lit("{'x': 1}"))
-        .when(pk % 59 == 0, F.lit("{'home_team_name': None, 'g': 1}"))
-        .otherwise(python_literal({"home_team_name": F.col("ht.name"), "g": None}))
-    )
-    away_cell = (
-        F.when(ln == 2, F.col("at.name"))
-        .otherwise(python_literal({"away_team_name": F.col("at.name"), "g": None}))
-    )
-    return j.select(
-        F.col("event_id").alias("ordinal"),
-        home_cell.alias("home_team"),
-        away_cell.alias("away_team"),
-        score_text(pk, F.col("home_score")).alias("home_score"),
-        F.col("away_score").cast("string").alias("away_score"),
-    )
-
-
-def score_text(pk: F.Column, score: F.Column) -> F.Column:
-    """Score cell text: mostly ``str(float)``, some padded, exponent or
-    suffixed forms and some junk, chosen by a rule on the part key."""
-    whole = score.cast("int").cast("string")
-    return (
-        F.when(pk % 41 == 0, F.lit("x"))
-        .when(pk % 43 == 0, F.concat(F.lit(" "), score.cast("string"), F.lit(" ")))
-        .when(pk % 47 == 0, F.concat(whole, F.lit("d")))
-        .when(pk % 61 == 0, F.concat(whole, F.lit("e0")))
-        .otherwise(score.cast("string"))
+    return j.selectExpr(
+        "event_id AS ordinal",
+        f"""CASE WHEN l_linenumber = 1 THEN ht.name
+                 WHEN l_partkey % 53 = 0 THEN "{{'x': 1}}"
+                 WHEN l_partkey % 59 = 0 THEN "{{'home_team_name': None, 'g': 1}}"
+                 ELSE {_py_dict('home_team_name', 'ht.name')} END AS home_team""",
+        f"""CASE WHEN l_linenumber = 2 THEN at.name
+                 ELSE {_py_dict('away_team_name', 'at.name')} END AS away_team""",
+        f"{score_text('l_partkey', 'home_score')} AS home_score",
+        "CAST(away_score AS STRING) AS away_score",
     )
 
 
