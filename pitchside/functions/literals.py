@@ -32,16 +32,26 @@ _STR = r"'[^'\\\x00-\x1f]*'" + "|" + r'"[^"\\\x00-\x1f]*"'
 _VAL = "(?:" + _STR + r"|None|True|False|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?)"
 _ITEM = rf"(?:{_STR})[ \t]*:[ \t]*{_VAL}"
 _SEP = r"[ \t]*,[ \t]*"
-_FLAT = rf"^[ \t]*\{{[ \t]*(?:{_ITEM}(?:{_SEP}{_ITEM})*[ \t]*,?)?[ \t]*\}}[ \t]*$"
+_FLAT = rf"^[ \t]*\{{[ \t]*(?:{_ITEM}(?:{_SEP}{_ITEM})*[ \t]*,?)?[ \t]*\}}[ \t]*\z"
 
 
-def _last_value_pattern(key: str) -> str:
-    """Anchored pattern capturing the value token of the *last* ``key`` item
-    of a flat literal: items are walked from the start (so a key-like text
-    inside a string value never matches) and no later item may hold the key."""
+def _decide_pattern(key: str) -> str:
+    """Anchored pattern matching exactly the flat literals; group 1 holds the
+    value token of the *last* ``key`` item and is empty when the key is
+    absent.  Items are walked from the start, so key-like text inside a string
+    value never matches, and no later item may hold the key."""
     k = rf"""(?:'\Q{key}\E'|"\Q{key}\E")"""
-    return (rf"^[ \t]*\{{[ \t]*(?:{_ITEM}{_SEP})*?{k}[ \t]*:[ \t]*({_VAL})"
-            rf"(?:{_SEP}(?!{k}[ \t]*:){_ITEM})*[ \t]*,?[ \t]*\}}[ \t]*$")
+    other = rf"(?!{k}[ \t]*:){_ITEM}"
+    comma = r"(?:[ \t]*,)?"
+    with_key = rf"(?:{_ITEM}{_SEP})*?{k}[ \t]*:[ \t]*({_VAL})(?:{_SEP}{other})*{comma}"
+    without_key = rf"(?:{other}(?:{_SEP}{other})*{comma})?"
+    return rf"^[ \t]*\{{[ \t]*(?:{with_key}|{without_key})[ \t]*\}}[ \t]*\z"
+
+
+# A decided cell is rewritten to this marker + its value token; a cell the
+# pattern does not match is returned unchanged (and cannot equal the rewrite,
+# since a matching cell starts with white space or a brace).
+_MARK = "\u0001"
 
 
 def _c(x) -> Column:
@@ -59,54 +69,72 @@ def literal_field_py(cell: str | None, key: str) -> str | None:
     return value if isinstance(value, str) else cell
 
 
-_UDFS: dict[str, object] = {}
+_UDFS: dict[tuple, object] = {}
 
 
-def _residual_udf(key: str):
-    """Vectorised UDF (one per key) applying :func:`literal_field_py`."""
-    if key not in _UDFS:
-        @F.pandas_udf(StringType())
-        def residual(cells: pd.Series) -> pd.Series:
-            return pd.Series([None if c is None else literal_field_py(c, key) for c in cells],
-                             dtype=object)
-        _UDFS[key] = residual
-    return _UDFS[key]
+def _residual_udf(keys: tuple[str, ...]):
+    """One vectorised UDF for all cell columns of a row: struct of decided
+    values, :func:`literal_field_py` applied to each non-null cell."""
+    if keys not in _UDFS:
+        schema = ", ".join(f"v{i} string" for i in range(len(keys)))
 
+        @F.pandas_udf(schema)
+        def residual(*cols: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame({
+                f"v{i}": [None if c is None else literal_field_py(c, k) for c in col]
+                for i, (col, k) in enumerate(zip(cols, keys))
+            })
+        _UDFS[keys] = residual
+    return _UDFS[keys]
 
-def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
-                       exact_residual: bool = True) -> DataFrame:
-    """Add column ``out``: the raw (not yet canonicalised) value of ``key`` in
-    the cell column ``cell``, per the rules above.
 
-    Fast path: a cell that fully matches the strict flat-literal grammar is
-    decided by one anchored regex that captures the value of the last item
-    with the key (a later duplicate wins, as in a Python dict display).  Both
-    regex results are computed in their own projection, once per row.
+def with_literal_fields(df: DataFrame, specs: list[tuple[str, str, str]],
+                        exact_residual: bool = True) -> DataFrame:
+    """Add one column per ``(cell, key, out)``: the raw (not yet canonicalised)
+    value of ``key`` in the cell column ``cell``, per the rules above.
+
+    Fast path: one anchored regex per cell both recognises the strict
+    flat-literal grammar and captures the value of the last item with the key
+    (a later duplicate wins, as in a Python dict display).  It runs in its own
+    projection, once per row.  All
+    residual cells of a row go to one UDF call (one Python pass per batch).
     """
-    s = F.col(cell).cast("string")
-    flat_c, val_c = f"__{out}_flat", f"__{out}_value"
-    staged = df.withColumn(flat_c, s.rlike(_FLAT)).withColumn(
-        val_c, F.when(F.col(flat_c), F.regexp_extract(s, _last_value_pattern(key), 1)))
-    value = F.col(val_c)
-    is_text = value.startswith("'") | value.startswith('"')
-    fast_value = (
-        F.when(value == "", F.lit(""))                                     # key absent
-        .when(is_text, F.substr(value, F.lit(2), F.length(value) - F.lit(2)))  # unquote
-        .otherwise(s)                                                      # None / non-string
-    )
-    is_dict_like = s.rlike(r"^[ \t]*\{")
-    decided = F.col(flat_c)
+    staged = df
+    for cell, key, out in specs:
+        staged = staged.withColumn(
+            f"__{out}_dec",
+            F.regexp_replace(F.col(cell).cast("string"), _decide_pattern(key), _MARK + "$1"))
+    decided, pending = {}, []
+    for cell, key, out in specs:
+        s = F.col(cell).cast("string")
+        dec = F.col(f"__{out}_dec")
+        flat = dec != s
+        value = F.substr(dec, F.lit(2), F.length(dec) - F.lit(1))
+        is_text = value.startswith("'") | value.startswith('"')
+        fast_value = (
+            F.when(value == "", F.lit(""))                                     # key absent
+            .when(is_text, F.substr(value, F.lit(2), F.length(value) - F.lit(2)))  # unquote
+            .otherwise(s)                                                      # None / non-string
+        )
+        is_dict_like = s.rlike(r"^[ \t]*\{")
+        decided[out] = (F.when(s.isNull(), F.lit(None).cast("string"))
+                        .when(~is_dict_like, s)
+                        .when(flat, fast_value))
+        pending.append(F.when(is_dict_like & ~flat, s))
     if exact_residual:
-        residual = _residual_udf(key)(F.when(is_dict_like & ~decided, s))
+        res = _residual_udf(tuple(k for _, k, _ in specs))(*pending)
+        outs = {out: F.coalesce(decided[out], res[f"v{i}"]) for i, (_, _, out) in enumerate(specs)}
     else:
-        residual = s
-    result = (
-        F.when(s.isNull(), F.lit(None).cast("string"))
-        .when(~is_dict_like, s)
-        .when(decided, fast_value)
-        .otherwise(residual)
-    )
-    return staged.withColumn(out, result).drop(flat_c, val_c)
+        outs = {out: F.coalesce(decided[out], F.col(cell).cast("string"))
+                for cell, _, out in specs}
+    drop = [f"__{o}_dec" for _, _, o in specs]
+    return staged.withColumns(outs).drop(*drop)
+
+
+def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
+                       exact_residual: bool = True) -> DataFrame:
+    """Single-column form of :func:`with_literal_fields`."""
+    return with_literal_fields(df, [(cell, key, out)], exact_residual)
 
 
 def python_literal(fields: dict[str, Column | str | None]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import with_literal_field
+from pitchside.functions.literals import with_literal_fields
 from pitchside.functions.numeric import is_present, rnd, to_number
 from pitchside.functions.text import canonical_team
 from pitchside.operators.reshape import two_role_rows
@@ -25,8 +25,8 @@ def named_style_rows(raw: DataFrame, params: Params = Params(),
         to_number("home_score", schema["home_score"].dataType).alias("home_score"),
         to_number("away_score", schema["away_score"].dataType).alias("away_score"),
     )
-    df = with_literal_field(df, "home_team", "home_team_name", "home_raw", exact_residual)
-    df = with_literal_field(df, "away_team", "away_team_name", "away_raw", exact_residual)
+    df = with_literal_fields(df, [("home_team", "home_team_name", "home_raw"),
+                                  ("away_team", "away_team_name", "away_raw")], exact_residual)
     return df.select(
         canonical_team("home_raw", params.aliases).alias("home_name"),
         canonical_team("away_raw", params.aliases).alias("away_name"),

@@ -31,11 +31,15 @@ cells = st.one_of(
     st.sampled_from(["{bad", "{'home_team_name': None}", "{}", "[1, 2]", "None",
                      "{'home_team_name': 'A', 'home_team_name': 'B'}",
                      "{'home_team_name': 'a: None, b'}", "{'home_team_name': 'x\\'y'}",
-                     " {'home_team_name': 'pad'}", "{'home_team_name': 'A'} tail"]),
+                     " {'home_team_name': 'pad'}", "{'home_team_name': 'A'} tail",
+                     "{,}", "{'home_team_name': 'A',}", "{'g': 01, 'home_team_name': 'A'}",
+                     "{'g': -0.5, 'home_team_name': 'B'}", "\x01{'home_team_name': 'C'}",
+                     "{'home_team_name': 'A', 'g': \"x, 'home_team_name': 'Z'\"}",
+                     "{'home_team_name': 'A'}\n", "{'home_team_name': 'A' 'B'}"]),
 )
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(cells, min_size=1, max_size=25))
 def test_literal_field_matches_python(spark, batch):
     df = spark.createDataFrame([(c,) for c in batch], "cell string")
