@@ -18,18 +18,17 @@ def enrich_strengths(strengths: DataFrame, features: DataFrame, params: Params =
     broadcasts it when small, and both joins reuse one exchange).  A team
     matched by its exact name never looks at the fallback row.
     """
-    f = features.select("team", F.struct(*INDEX_COLS).alias("feats"))
-    exact = f.select(F.col("team").alias("_exact_team"), F.col("feats").alias("_exact"))
-    canon = f.select(F.col("team").alias("_canon_team"), F.col("feats").alias("_canon"))
+    f = features.select(F.col("team").alias("feat_team"), F.struct(*INDEX_COLS).alias("feats"))
+    e, c = f.alias("e"), f.alias("c")          # same plan twice: one broadcast, reused
     s = strengths.withColumn("_canon_key", canonical_team("team", params.aliases))
     j = (
-        s.join(exact, s.team == exact._exact_team, "left")
-        .join(canon, F.col("_canon_key") == canon._canon_team, "left")
+        s.join(e, s.team == F.col("e.feat_team"), "left")
+        .join(c, F.col("_canon_key") == F.col("c.feat_team"), "left")
     )
-    chosen = F.when(F.col("_exact_team").isNotNull(), F.col("_exact")).otherwise(F.col("_canon"))
+    chosen = F.when(F.col("e.feat_team").isNotNull(), F.col("e.feats")).otherwise(F.col("c.feats"))
     return j.select(
-        *[c for c in strengths.columns],
-        *[chosen.getField(c).alias(c) for c in INDEX_COLS],
+        *[s[c_] for c_ in strengths.columns],
+        *[chosen.getField(k).alias(k) for k in INDEX_COLS],
     )
 
 

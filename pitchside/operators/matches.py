@@ -17,19 +17,21 @@ def _team_roles(teams: DataFrame, params: Params):
     return t.alias("ht"), t.alias("at")
 
 
-def finished_matches(events: DataFrame, teams: DataFrame, params: Params = Params()) -> DataFrame:
+def finished_matches(events: DataFrame, teams: DataFrame, params: Params = Params(),
+                     ordered: bool = False) -> DataFrame:
     """Ended matches with both scores, named by role.
 
     Output ``event_id, home_team_name, away_team_name, home_score, away_score,
-    time_utc``.  The source's ``ORDER BY time_utc`` is presentation only and is
-    not applied (O1); callers sort if they present.
+    time_utc``.  The source's ``ORDER BY time_utc`` (O1) is presentation only:
+    nothing downstream depends on row order, so pipelines leave it off and
+    ``ordered=True`` adds it (a range-partitioned sort) for presentation.
     """
     ended = events.filter(
         (F.col("time_status") == STATUS_ENDED)
         & F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
     )
     ht, at = _team_roles(teams, params)
-    return (
+    out = (
         ended.join(ht, ended.home_team_id == F.col("ht.id"))
         .join(at, ended.away_team_id == F.col("at.id"))
         .select(
@@ -39,6 +41,7 @@ def finished_matches(events: DataFrame, teams: DataFrame, params: Params = Param
             ended.home_score, ended.away_score, ended.time_utc,
         )
     )
+    return out.orderBy("time_utc") if ordered else out
 
 
 def xg_matches(match_stats: DataFrame, events: DataFrame, teams: DataFrame,

@@ -38,7 +38,9 @@ def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params =
     ensure_checkpoint_dir(spark)
     version = version or sinks.new_version()
 
-    totals = team_totals(inputs.matches).checkpoint(eager=True)
+    counted, match_obs = quality.observed(inputs.matches, "matches")        # G3
+    totals = team_totals(counted).checkpoint(eager=True)
+    log.info("stage counts: %s", {"matches": match_obs.get.get("rows")})
     n_raw = totals.agg(F.sum("raw_home_rows").alias("n")).first()["n"] or 0
     if n_raw < params.min_matches:                      # G1, before coercion
         raise quality.GateError(f"Too few matches ({n_raw}) to train reliably")
