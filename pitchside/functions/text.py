@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from pitchside.params import TEAM_ALIASES
 
-# Python's str.strip() removes every character for which str.isspace() holds:
-# Java's Unicode White_Space class plus the four separators U+001C..U+001F.
-_WS = r"[\s\x{1c}-\x{1f}]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+$"
+# Python's str.strip() removes every character for which str.isspace() holds;
+# the set is derived from that rule (it has no members above U+3000).
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def _c(x) -> Column:
@@ -20,8 +19,11 @@ def _c(x) -> Column:
 
 
 def py_strip(x) -> Column:
-    """strip leading/trailing Unicode white space (``trim`` keeps tabs)."""
-    return F.regexp_replace(_c(x), _STRIP_RE, "")
+    """strip leading/trailing Unicode white space (``trim`` keeps tabs).
+
+    ``btrim`` removes any of the given characters from both ends: a plain
+    character scan, no regular expression."""
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def alias_map(aliases: dict[str, str] | None = None) -> Column:

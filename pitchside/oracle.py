@@ -15,6 +15,7 @@ from pitchside.params import (
     CARD_ALGORITHM, CARD_FEATURES, CARD_LEAGUE, CARD_MODEL_NAME, CARD_TRAINING_SOURCE,
     CARD_VERSION, FIXED_DATE, FIXED_TS, TEAM_ALIASES,
 )
+from pitchside.functions.text import PY_WHITESPACE
 from pitchside.sources.fixtures import (
     COMPETITIONS, POSITIONS, SQUAD_LABELS, TEAM_LABELS, UPSERT_SPLIT, XG_PRICE,
 )
@@ -46,7 +47,7 @@ COMPS = ("comps(p_type, comp) AS (VALUES "
          + ", ".join(f"({q(k)}, {q(v)})" for k, v in COMPETITIONS.items()) + ")")
 
 # Python str.strip() white space, as a trim character set.
-_WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"
+_WS = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
 
 
 def canon(expr: str) -> str:
