@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchside.functions.numeric import ieee_div, rnd
+from pitchside.functions import sqltext as S
 from pitchside.operators.enrich import enriched_count
 from pitchside.operators.reshape import with_scalars
 from pitchside.params import (
@@ -25,58 +25,58 @@ def stamp(ts) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def _day(c: Column) -> Column:
-    """First ten characters of the value's text form (``YYYY-MM-DD``)."""
-    return F.substring(c.cast("string"), 1, 10)
-
-
 def card_fields(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """A14 + A15: one flat row with every header and card field."""
-    n = F.sum("home_matches")
+    n = "sum(home_matches)"
     has_time = "first_time" in totals.columns
-    g = totals.agg(
-        n.alias("n_matches"),
-        ieee_div(F.sum("home_goals_scored"), n).alias("avg_home"),
-        ieee_div(F.sum("home_goals_conceded"), n).alias("avg_away"),
-        F.count_if(F.col("team").isNotNull()).alias("teams_trained"),
-        (_day(F.min("first_time")) if has_time else F.lit("unknown")).alias("date_from"),
-        (_day(F.max("last_time")) if has_time else F.lit("unknown")).alias("date_to"),
+    day = lambda e: f"substring(CAST({e} AS STRING), 1, 10)"
+    g = totals.selectExpr(
+        f"{n} AS n_matches",
+        f"{S.ieee_div('sum(home_goals_scored)', n)} AS avg_home",
+        f"{S.ieee_div('sum(home_goals_conceded)', n)} AS avg_away",
+        "count_if(team IS NOT NULL) AS teams_trained",
+        (day("min(first_time)") if has_time else "'unknown'") + " AS date_from",
+        (day("max(last_time)") if has_time else "'unknown'") + " AS date_to",
     )
     return with_scalars(g, enriched_count(enriched))
 
 
+def _stamp_sql(ts) -> str:
+    if ts is None:
+        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    return f"CAST({S.lit(ts.strftime('%Y-%m-%d %H:%M:%S.%f'))} AS TIMESTAMP_NTZ)"
+
+
 def model_header(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """K1 header row (``league_params``)."""
-    f = card_fields(totals, enriched, params)
-    return f.select(
-        rnd("avg_home", 6).alias("league_avg_home_goals"),
-        rnd("avg_away", 6).alias("league_avg_away_goals"),
-        F.col("n_matches").cast("bigint").alias("n_matches"),
-        F.lit(True).alias("fitted"),
-        stamp(params.trained_at).alias("trained_at"),
-        (F.col("kaggle_enriched_teams") > 0).alias("kaggle_enriched"),
-        F.col("kaggle_enriched_teams").cast("bigint").alias("kaggle_enriched_teams"),
+    return card_fields(totals, enriched, params).selectExpr(
+        f"{S.rnd('avg_home', 6)} AS league_avg_home_goals",
+        f"{S.rnd('avg_away', 6)} AS league_avg_away_goals",
+        "CAST(n_matches AS BIGINT) AS n_matches",
+        "true AS fitted",
+        f"{_stamp_sql(params.trained_at)} AS trained_at",
+        "kaggle_enriched_teams > 0 AS kaggle_enriched",
+        "CAST(kaggle_enriched_teams AS BIGINT) AS kaggle_enriched_teams",
     )
 
 
 def model_card_flat(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """A16 flattened: the card's fields as plain columns."""
-    f = card_fields(totals, enriched, params)
-    return f.select(
-        F.lit(CARD_MODEL_NAME).alias("model_name"),
-        F.lit(CARD_VERSION).alias("version"),
-        F.lit(CARD_ALGORITHM).alias("algorithm"),
-        F.lit(CARD_TRAINING_SOURCE).alias("training_source"),
-        F.col("n_matches").cast("bigint").alias("training_matches"),
+    return card_fields(totals, enriched, params).selectExpr(
+        f"{S.lit(CARD_MODEL_NAME)} AS model_name",
+        f"{S.lit(CARD_VERSION)} AS version",
+        f"{S.lit(CARD_ALGORITHM)} AS algorithm",
+        f"{S.lit(CARD_TRAINING_SOURCE)} AS training_source",
+        "CAST(n_matches AS BIGINT) AS training_matches",
         "date_from", "date_to",
-        F.lit(CARD_LEAGUE).alias("league"),
-        rnd("avg_home", 4).alias("home_goals_per_match"),
-        rnd("avg_away", 4).alias("away_goals_per_match"),
-        rnd(F.col("avg_home") + F.col("avg_away"), 4).alias("total_goals_per_match"),
-        F.col("teams_trained").cast("bigint").alias("teams_trained"),
-        F.col("kaggle_enriched_teams").cast("bigint").alias("kaggle_enriched_teams"),
-        F.lit(",".join(CARD_FEATURES)).alias("kaggle_features"),
-        stamp(params.trained_at).alias("trained_at"),
+        f"{S.lit(CARD_LEAGUE)} AS league",
+        f"{S.rnd('avg_home', 4)} AS home_goals_per_match",
+        f"{S.rnd('avg_away', 4)} AS away_goals_per_match",
+        f"{S.rnd('avg_home + avg_away', 4)} AS total_goals_per_match",
+        "CAST(teams_trained AS BIGINT) AS teams_trained",
+        "CAST(kaggle_enriched_teams AS BIGINT) AS kaggle_enriched_teams",
+        f"{S.lit(','.join(CARD_FEATURES))} AS kaggle_features",
+        f"{_stamp_sql(params.trained_at)} AS trained_at",
     )
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from pitchside.functions.numeric import ieee_div, number_or_zero, rnd
-from pitchside.functions.text import canonical_team, contains_text
+from pitchside.functions import sqltext as S
+from pitchside.functions.text import canonical_team
 from pitchside.params import PLAYER_MEASURES, Params
 
 INDEX_COLS = ["attack_index", "creation_index", "defensive_index", "squad_depth"]
@@ -16,41 +17,44 @@ def conform_measures(df: DataFrame, measures=PLAYER_MEASURES) -> DataFrame:
     """S6 + P7: absent measure columns become 0.0; present ones are coerced,
     invalid/NaN/null -> 0.0."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({
-        m: number_or_zero(m, schema[m]) if m in schema else F.lit(0.0) for m in measures
-    })
+
+    def filled(m):
+        if m not in schema:
+            return "0.0D"
+        v = S.to_number(S.col(m), isinstance(schema[m], NumericType))
+        return f"coalesce(nanvl({v}, 0.0D), 0.0D)"
+
+    keep = [S.col(c) for c in df.columns if c not in measures]
+    return df.selectExpr(*keep, *[f"{filled(m)} AS {S.col(m)}" for m in measures])
 
 
 def eligible_players(players: DataFrame, min_90s: float, params: Params = Params(),
                      measures=PLAYER_MEASURES) -> DataFrame:
     """P4 (competition substring, case-sensitive) + S6/P7 + P5 (playing time)."""
-    p = players.filter(contains_text(F.col("Comp").cast("string"), params.competition))
-    p = conform_measures(p, measures)
-    return p.filter(F.col("nineties") >= F.lit(float(min_90s)))
+    p = players.filter(f"coalesce(contains(CAST(Comp AS STRING), {S.lit(params.competition)}), false)")
+    return conform_measures(p, measures).filter(f"nineties >= {float(min_90s)!r}D")
 
 
 def squad_indices(players: DataFrame, params: Params = Params()) -> DataFrame:
     """A8-A10 per raw squad: 90s-weighted means of season totals, richer
     defensive signal when the squad has any ``Tkl+Int``, and squad depth."""
-    p = eligible_players(players, params.index_min_90s, params).filter(F.col("Squad").isNotNull())
-    w = F.col("nineties")
-    g = p.groupBy("Squad").agg(
-        F.sum(w).alias("total_90s"),
-        F.sum(w * (F.col("Gls") + F.col("xG"))).alias("attack_w"),
-        F.sum(w * (F.col("Ast") + F.col("xAG") + F.col("KP") + F.col("PrgP"))).alias("creation_w"),
-        F.sum("tkl_int").alias("tkl_int_sum"),
-        F.sum(w * (F.col("tkl_int") + F.col("Blocks") + F.col("Clr"))).alias("def_rich_w"),
-        F.sum(w * (F.col("TklW") + F.col("Int"))).alias("def_basic_w"),
-        F.count_if(w >= F.lit(float(params.depth_min_90s))).alias("squad_depth"),
-    ).filter(F.col("total_90s") >= F.lit(1.0))
-    tot = F.col("total_90s")
-    return g.select(
+    p = eligible_players(players, params.index_min_90s, params).filter("Squad IS NOT NULL")
+    g = p.groupBy("Squad").agg(*[F.expr(e) for e in (
+        "sum(nineties) AS total_90s",
+        "sum(nineties * (Gls + xG)) AS attack_w",
+        "sum(nineties * (Ast + xAG + KP + PrgP)) AS creation_w",
+        "sum(tkl_int) AS tkl_int_sum",
+        "sum(nineties * (tkl_int + Blocks + Clr)) AS def_rich_w",
+        "sum(nineties * (TklW + `Int`)) AS def_basic_w",
+        f"count_if(nineties >= {float(params.depth_min_90s)!r}D) AS squad_depth",
+    )]).filter("total_90s >= 1.0D")
+    return g.selectExpr(
         "Squad",
-        rnd(ieee_div(F.col("attack_w"), tot), 4).alias("attack_index"),
-        rnd(ieee_div(F.col("creation_w"), tot), 4).alias("creation_index"),
-        rnd(ieee_div(F.when(F.col("tkl_int_sum") > 0, F.col("def_rich_w"))
-                     .otherwise(F.col("def_basic_w")), tot), 4).alias("defensive_index"),
-        F.col("squad_depth").cast("int").alias("squad_depth"),
+        f"{S.rnd(S.ieee_div('attack_w', 'total_90s'), 4)} AS attack_index",
+        f"{S.rnd(S.ieee_div('creation_w', 'total_90s'), 4)} AS creation_index",
+        f"{S.rnd(S.ieee_div('CASE WHEN tkl_int_sum > 0 THEN def_rich_w ELSE def_basic_w END', 'total_90s'), 4)}"
+        " AS defensive_index",
+        "CAST(squad_depth AS INT) AS squad_depth",
     )
 
 

@@ -20,8 +20,17 @@ from pitchside.params import Params
 class TrainingResult:
     totals: DataFrame          # per team (null group kept), one pass over matches
     team_strengths: DataFrame  # §1.1 team_strengths
-    league_params: DataFrame   # one row (K1 header)
-    model_card: DataFrame      # one row, nested (K2)
+    params: Params
+
+    @property
+    def league_params(self) -> DataFrame:
+        """One row (K1 header); planned only when asked for."""
+        return card.model_header(self.totals, self.team_strengths, self.params)
+
+    @property
+    def model_card(self) -> DataFrame:
+        """One row, nested (K2); planned only when asked for."""
+        return card.model_card(self.totals, self.team_strengths, self.params)
 
 
 def team_totals(matches: DataFrame, time_col: str | None = "time_utc") -> DataFrame:
@@ -55,9 +64,4 @@ def train(matches: DataFrame, xg_rows: DataFrame | None = None,
         s = s.select("*", *[F.lit(None).cast("int" if c == "squad_depth" else "double").alias(c)
                             for c in ("attack_index", "creation_index", "defensive_index",
                                       "squad_depth")])
-    return TrainingResult(
-        totals=totals,
-        team_strengths=s,
-        league_params=card.model_header(totals, s, params),
-        model_card=card.model_card(totals, s, params),
-    )
+    return TrainingResult(totals=totals, team_strengths=s, params=params)
