@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from pitchside.functions.literals import with_literal_fields
-from pitchside.functions.numeric import is_present, rnd, to_number
+from pitchside.functions import sqltext as S
+from pitchside.functions.numeric import is_present, to_number
 from pitchside.functions.text import canonical_team
 from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
@@ -48,37 +50,80 @@ def style_rows(raw: DataFrame, params: Params = Params(), exact_residual: bool =
     return n.filter(_usable(n.home_name, n.away_name, n.home_score, n.away_score))
 
 
+def cell_pair_totals(raw: DataFrame) -> DataFrame:
+    """Pre-aggregate the rows with numeric scores per raw ``(home_team,
+    away_team)`` cell pair: match count, goal sums and the counts behind the
+    clean-sheet and both-scored rates.  Map-side partial aggregation makes a
+    hot pair cheap, and the costly cell parsing then runs once per distinct
+    pair instead of once per row."""
+    schema = raw.schema
+    num = lambda c: S.to_number(c, isinstance(schema[c].dataType, NumericType))
+    # Scores are parsed once in a projection; rows with an unusable score are
+    # left out by conditional aggregation (a row filter would be pushed into
+    # the source scan and re-parse the text once per predicate).
+    scored = raw.selectExpr("home_team", "away_team", f"{num('home_score')} AS hs",
+                            f"{num('away_score')} AS as_")
+    scored = scored.selectExpr("*", f"{S.is_present('hs')} AND {S.is_present('as_')} AS ok")
+    return scored.groupBy("home_team", "away_team").agg(*[F.expr(e) for e in (
+        "count_if(ok) AS n",
+        "sum(CASE WHEN ok THEN hs END) AS home_goals",
+        "sum(CASE WHEN ok THEN as_ END) AS away_goals",
+        "count_if(ok AND as_ = 0) AS home_clean",
+        "count_if(ok AND hs = 0) AS away_clean",
+        "count_if(ok AND hs > 0 AND as_ > 0) AS both_scored",
+    )])
+
+
 def team_style(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
     """A12 per team over both roles: count, mean for/against, clean-sheet rate,
     both-teams-scored rate, and the difference of the unrounded means.
 
-    Unusable rows are excluded by conditional aggregation rather than a row
-    filter: a filter on the extracted names would be pushed below their
-    projection and re-evaluate the literal parsing once per predicate.  The
-    usable flag travels with both U2 rows; a group whose rows are all
-    unusable has count 0 and is dropped after the aggregate.
+    Rows are pre-aggregated per raw cell pair (:func:`cell_pair_totals`),
+    cells are parsed once per pair, and the pair sums are folded into teams
+    through U2.  Pairs with an empty name are excluded by conditional
+    aggregation rather than a row filter (a filter on parsed names could be
+    pushed below the parse); a team left with no usable match is dropped
+    after the aggregate.
     """
-    n = named_style_rows(raw, params, exact_residual)
-    usable = _usable(F.col("home_name"), F.col("away_name"), F.col("home_score"), F.col("away_score"))
-    roles = two_role_rows(n.withColumn("usable", usable), "home_name", "away_name",
-                          "home_score", "away_score", keep=["usable"])
-    ok = F.col("usable")
-    gf = F.when(ok, F.col("value_for"))
-    ga = F.when(ok, F.col("value_against"))
-    agg = roles.groupBy("team").agg(
-        F.count_if(ok).alias("matches_count"),
-        F.avg(gf).alias("avg_for"),
-        F.avg(ga).alias("avg_against"),
-        F.avg(F.when(ok, (F.col("value_against") == 0).cast("double"))).alias("cs"),
-        F.avg(F.when(ok, ((F.col("value_for") > 0) & (F.col("value_against") > 0))
-                     .cast("double"))).alias("btts"),
-    ).filter(F.col("matches_count") > 0)
-    return agg.select(
-        F.col("team").alias("team_name"),
-        F.col("matches_count").cast("bigint").alias("matches_count"),
-        rnd("avg_for", 4).alias("avg_goals_scored"),
-        rnd("avg_against", 4).alias("avg_goals_conceded"),
-        rnd("cs", 4).alias("clean_sheet_rate"),
-        rnd("btts", 4).alias("btts_rate"),
-        rnd(F.col("avg_for") - F.col("avg_against"), 4).alias("avg_goal_diff"),
+    pairs = cell_pair_totals(raw)
+    pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
+                                        ("away_team", "away_team_name", "away_raw")], exact_residual)
+    named = pairs.select(
+        canonical_team("home_raw", params.aliases).alias("home_name"),
+        canonical_team("away_raw", params.aliases).alias("away_name"),
+        "n", "home_goals", "away_goals", "home_clean", "away_clean", "both_scored")
+    usable = ("coalesce(length(home_name), 0) > 0 AND coalesce(length(away_name), 0) > 0")
+    roles = named.selectExpr(
+        f"{usable} AS usable",
+        "inline(array("
+        "struct(home_name AS team, n, home_goals AS gf, away_goals AS ga, home_clean AS clean, both_scored),"
+        "struct(away_name AS team, n, away_goals AS gf, home_goals AS ga, away_clean AS clean, both_scored)))")
+    agg = roles.groupBy("team").agg(*[F.expr(e) for e in (
+        "sum(CASE WHEN usable THEN n ELSE 0 END) AS matches_count",
+        "sum(CASE WHEN usable THEN gf END) AS gf",
+        "sum(CASE WHEN usable THEN ga END) AS ga",
+        "sum(CASE WHEN usable THEN clean END) AS clean",
+        "sum(CASE WHEN usable THEN both_scored END) AS btts",
+    )]).filter("matches_count > 0")
+    avg_for, avg_against = "(gf / matches_count)", "(ga / matches_count)"
+    return agg.selectExpr(
+        "team AS team_name",
+        "CAST(matches_count AS BIGINT) AS matches_count",
+        f"{S.rnd(avg_for, 4)} AS avg_goals_scored",
+        f"{S.rnd(avg_against, 4)} AS avg_goals_conceded",
+        f"{S.rnd('clean / matches_count', 4)} AS clean_sheet_rate",
+        f"{S.rnd('btts / matches_count', 4)} AS btts_rate",
+        f"{S.rnd(f'{avg_for} - {avg_against}', 4)} AS avg_goal_diff",
     )
+
+
+def cell_pair_names(raw: DataFrame, params: Params = Params(),
+                    exact_residual: bool = True) -> DataFrame:
+    """P10 + P9 per distinct cell pair: ``home_name, away_name, rows`` (all
+    rows, whatever their scores), parsed once per pair."""
+    pairs = raw.groupBy("home_team", "away_team").agg(F.count(F.lit(1)).alias("rows"))
+    pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
+                                        ("away_team", "away_team_name", "away_raw")], exact_residual)
+    return pairs.select(
+        canonical_team("home_raw", params.aliases).alias("home_name"),
+        canonical_team("away_raw", params.aliases).alias("away_name"), "rows")

@@ -105,8 +105,8 @@ def q_team_style(spark, d):
 
 
 def q_literal_names(spark, d):
-    named = style.named_style_rows(fx.style_matches(spark, d, P), P)
-    return named.groupBy("home_name", "away_name").agg(F.count(F.lit(1)).alias("rows"))
+    named = style.cell_pair_names(fx.style_matches(spark, d, P), P)
+    return named.groupBy("home_name", "away_name").agg(F.sum("rows").alias("rows"))
 
 
 def _trained(spark, d):
