@@ -58,15 +58,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def literal_field_py(cell: str | None, key: str) -> str | None:
-    """Reference semantics on one cell (used by the residual UDF and tests)."""
-    if cell is None:
-        return None
-    try:
-        value = ast.literal_eval(cell).get(key, "")
-    except Exception:
-        return cell
-    return value if isinstance(value, str) else cell
+def _make_decider():
+    """Build the reference-semantics decision as a closure.
+
+    The residual UDF ships this function to Python workers; a nested function
+    is pickled by value, so workers need no import of this package (on a
+    cluster the library need not be installed on executors)."""
+    import ast
+
+    def literal_field_py(cell, key):
+        """Reference semantics on one cell (residual UDF and tests)."""
+        if cell is None:
+            return None
+        try:
+            value = ast.literal_eval(cell).get(key, "")
+        except Exception:
+            return cell
+        return value if isinstance(value, str) else cell
+
+    return literal_field_py
+
+
+literal_field_py = _make_decider()
 
 
 _UDFS: dict[tuple, object] = {}
@@ -74,14 +87,16 @@ _UDFS: dict[tuple, object] = {}
 
 def _residual_udf(keys: tuple[str, ...]):
     """One vectorised UDF for all cell columns of a row: struct of decided
-    values, :func:`literal_field_py` applied to each non-null cell."""
+    values, the reference decision applied to each non-null cell.  Nested
+    functions only, so the UDF is shipped by value."""
     if keys not in _UDFS:
         schema = ", ".join(f"v{i} string" for i in range(len(keys)))
+        decide = _make_decider()
 
         @F.pandas_udf(schema)
         def residual(*cols: pd.Series) -> pd.DataFrame:
             return pd.DataFrame({
-                f"v{i}": [None if c is None else literal_field_py(c, k) for c in col]
+                f"v{i}": [None if c is None else decide(c, k) for c in col]
                 for i, (col, k) in enumerate(zip(cols, keys))
             })
         _UDFS[keys] = residual
