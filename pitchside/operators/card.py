@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.functions import sqltext as S
-from pitchside.operators.enrich import enriched_count
-from pitchside.operators.reshape import with_scalars
 from pitchside.params import (
     CARD_ALGORITHM, CARD_FEATURES, CARD_LEAGUE, CARD_MODEL_NAME, CARD_TRAINING_SOURCE,
     CARD_VERSION, Params,
@@ -26,19 +24,31 @@ def stamp(ts) -> Column:
 
 
 def card_fields(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
-    """A14 + A15: one flat row with every header and card field."""
+    """A14 + A15: one flat row with every header and card field.
+
+    Two one-row aggregates (league figures from the per-team totals, the
+    enriched-team count from the strengths) are combined by a union and one
+    more aggregate, so no join is needed."""
     n = "sum(home_matches)"
     has_time = "first_time" in totals.columns
     day = lambda e: f"substring(CAST({e} AS STRING), 1, 10)"
-    g = totals.selectExpr(
+    league = totals.selectExpr(
         f"{n} AS n_matches",
         f"{S.ieee_div('sum(home_goals_scored)', n)} AS avg_home",
         f"{S.ieee_div('sum(home_goals_conceded)', n)} AS avg_away",
         "count_if(team IS NOT NULL) AS teams_trained",
         (day("min(first_time)") if has_time else "'unknown'") + " AS date_from",
         (day("max(last_time)") if has_time else "'unknown'") + " AS date_to",
+        "CAST(NULL AS BIGINT) AS kaggle_enriched_teams",
+    )
+    counted = enriched.selectExpr(
+        "CAST(NULL AS BIGINT) AS n_matches", "CAST(NULL AS DOUBLE) AS avg_home",
+        "CAST(NULL AS DOUBLE) AS avg_away", "CAST(NULL AS BIGINT) AS teams_trained",
+        "CAST(NULL AS STRING) AS date_from", "CAST(NULL AS STRING) AS date_to",
+        "count_if(attack_index IS NOT NULL) AS kaggle_enriched_teams",
     )
-    return with_scalars(g, enriched_count(enriched))
+    return league.unionByName(counted).selectExpr(
+        *[f"max({c}) AS {c}" for c in league.columns])
 
 
 def _stamp_sql(ts) -> str:

@@ -1,5 +1,4 @@
-"""Set and reshape operators: the two-role unpivot (U2), team sets (U1, O2) and
-the one-row scalar attach (J6)."""
+"""Set and reshape operators: the two-role unpivot (U2) and team sets."""
 
 from __future__ import annotations
 
@@ -46,12 +45,3 @@ def team_set(df: DataFrame, home_team="home_team_name", away_team="away_team_nam
 def sorted_teams(df: DataFrame, home_team="home_team_name", away_team="away_team_name") -> DataFrame:
     """O2: the team set in name order (range-partitioned sort, no single task)."""
     return team_set(df, home_team, away_team).orderBy("team")
-
-
-def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row global aggregate to every row.
-
-    ``one_row`` must be a global aggregate (exactly one row by construction),
-    so broadcasting it is bounded: a 1-row build side, never a pairwise product.
-    """
-    return df.join(F.broadcast(one_row), how="cross")
