@@ -14,22 +14,25 @@ def enrich_strengths(strengths: DataFrame, features: DataFrame, params: Params =
     """Attach player indices to team strengths: exact team name first, else the
     canonicalised name; unmatched teams keep nulls.
 
-    Two left joins against the per-team feature result (one row per team; AQE
-    broadcasts it when small, and both joins reuse one exchange).  A team
-    matched by its exact name never looks at the fallback row.
+    One join: every team row becomes two candidate rows (its exact name, then
+    its canonical name), left-joined to the per-team features (one row per
+    team; AQE broadcasts them when small), and the best hit per team is kept
+    by an aggregate over the team's own columns.  Features and strengths are
+    each planned once.
     """
-    f = features.select(F.col("team").alias("feat_team"), F.struct(*INDEX_COLS).alias("feats"))
-    e, c = f.alias("e"), f.alias("c")          # same plan twice: one broadcast, reused
-    s = strengths.withColumn("_canon_key", canonical_team("team", params.aliases))
-    j = (
-        s.join(e, s.team == F.col("e.feat_team"), "left")
-        .join(c, F.col("_canon_key") == F.col("c.feat_team"), "left")
-    )
-    chosen = F.when(F.col("e.feat_team").isNotNull(), F.col("e.feats")).otherwise(F.col("c.feats"))
-    return j.select(
-        *[s[c_] for c_ in strengths.columns],
-        *[chosen.getField(k).alias(k) for k in INDEX_COLS],
+    f = features.select(F.col("team").alias("_feat_key"), F.struct(*INDEX_COLS).alias("_feats"))
+    cols = strengths.columns
+    cands = strengths.select(
+        *cols,
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("_rank"), F.col("team").alias("_key")),
+            F.struct(F.lit(1).alias("_rank"),
+                     canonical_team("team", params.aliases).alias("_key")))),
     )
+    hits = cands.join(f, cands["_key"] == f["_feat_key"], "left")
+    rank = F.when(F.col("_feats").isNull(), F.lit(2)).otherwise(F.col("_rank"))
+    best = hits.groupBy(*cols).agg(F.min_by("_feats", rank).alias("_feats"))
+    return best.select(*cols, *[F.col("_feats").getField(k).alias(k) for k in INDEX_COLS])
 
 
 def enriched_count(enriched: DataFrame) -> DataFrame:
