@@ -1,7 +1,7 @@
 """Model header and model card: A14-A16, K1/K2 payloads.
 
-Both are one-row global aggregates over the per-team totals (one row per
-team), so they never touch the match fact again.
+Both are one-row global aggregates over the enriched per-team strengths,
+which carry the league figures, so they add no pass over the match fact.
 """
 
 from __future__ import annotations
@@ -23,32 +23,21 @@ def stamp(ts) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def card_fields(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
-    """A14 + A15: one flat row with every header and card field.
-
-    Two one-row aggregates (league figures from the per-team totals, the
-    enriched-team count from the strengths) are combined by a union and one
-    more aggregate, so no join is needed."""
-    n = "sum(home_matches)"
-    has_time = "first_time" in totals.columns
-    day = lambda e: f"substring(CAST({e} AS STRING), 1, 10)"
-    league = totals.selectExpr(
-        f"{n} AS n_matches",
-        f"{S.ieee_div('sum(home_goals_scored)', n)} AS avg_home",
-        f"{S.ieee_div('sum(home_goals_conceded)', n)} AS avg_away",
-        "count_if(team IS NOT NULL) AS teams_trained",
-        (day("min(first_time)") if has_time else "'unknown'") + " AS date_from",
-        (day("max(last_time)") if has_time else "'unknown'") + " AS date_to",
-        "CAST(NULL AS BIGINT) AS kaggle_enriched_teams",
-    )
-    counted = enriched.selectExpr(
-        "CAST(NULL AS BIGINT) AS n_matches", "CAST(NULL AS DOUBLE) AS avg_home",
-        "CAST(NULL AS DOUBLE) AS avg_away", "CAST(NULL AS BIGINT) AS teams_trained",
-        "CAST(NULL AS STRING) AS date_from", "CAST(NULL AS STRING) AS date_to",
+def card_fields(enriched: DataFrame, params: Params = Params()) -> DataFrame:
+    """A14 + A15: one flat row with every header and card field, as one
+    aggregate over the enriched strengths carrying the league figures
+    (:func:`pitchside.operators.strength.strengths_from_totals` with
+    ``keep_league``): a single plan, one pass over its per-team rows."""
+    day = lambda e: f"coalesce(substring(CAST({e} AS STRING), 1, 10), 'unknown')"
+    return enriched.selectExpr(
+        "max(league_n) AS n_matches",
+        "max(league_avg_home) AS avg_home",
+        "max(league_avg_away) AS avg_away",
+        "count(1) AS teams_trained",
+        f"{day('min(league_first)')} AS date_from",
+        f"{day('max(league_last)')} AS date_to",
         "count_if(attack_index IS NOT NULL) AS kaggle_enriched_teams",
     )
-    return league.unionByName(counted).selectExpr(
-        *[f"max({c}) AS {c}" for c in league.columns])
 
 
 def _stamp_sql(ts) -> str:
@@ -57,9 +46,9 @@ def _stamp_sql(ts) -> str:
     return f"CAST({S.lit(ts.strftime('%Y-%m-%d %H:%M:%S.%f'))} AS TIMESTAMP_NTZ)"
 
 
-def model_header(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
+def model_header(enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """K1 header row (``league_params``)."""
-    return card_fields(totals, enriched, params).selectExpr(
+    return card_fields(enriched, params).selectExpr(
         f"{S.rnd('avg_home', 6)} AS league_avg_home_goals",
         f"{S.rnd('avg_away', 6)} AS league_avg_away_goals",
         "CAST(n_matches AS BIGINT) AS n_matches",
@@ -70,9 +59,9 @@ def model_header(totals: DataFrame, enriched: DataFrame, params: Params = Params
     )
 
 
-def model_card_flat(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
+def model_card_flat(enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """A16 flattened: the card's fields as plain columns."""
-    return card_fields(totals, enriched, params).selectExpr(
+    return card_fields(enriched, params).selectExpr(
         f"{S.lit(CARD_MODEL_NAME)} AS model_name",
         f"{S.lit(CARD_VERSION)} AS version",
         f"{S.lit(CARD_ALGORITHM)} AS algorithm",
@@ -90,9 +79,9 @@ def model_card_flat(totals: DataFrame, enriched: DataFrame, params: Params = Par
     )
 
 
-def model_card(totals: DataFrame, enriched: DataFrame, params: Params = Params()) -> DataFrame:
+def model_card(enriched: DataFrame, params: Params = Params()) -> DataFrame:
     """The nested card record (structs + string array), one row."""
-    f = model_card_flat(totals, enriched, params)
+    f = model_card_flat(enriched, params)
     return f.select(
         "model_name", "version", "algorithm", "training_source", "training_matches",
         F.struct(F.col("date_from").alias("from"), F.col("date_to").alias("to")).alias("date_range"),

@@ -123,16 +123,36 @@ def with_league_means(totals: DataFrame) -> DataFrame:
     input is bounded by the number of teams, not by the number of matches.
     """
     n = "sum(home_matches) OVER ()"
+    timed = ["min(first_time) OVER () AS league_first", "max(last_time) OVER () AS league_last"] \
+        if "first_time" in totals.columns else []
     return totals.selectExpr(
         "*",
+        f"{n} AS league_n",
         f"{S.ieee_div('sum(home_goals_scored) OVER ()', n)} AS avg_home",
         f"{S.ieee_div('sum(home_goals_conceded) OVER ()', n)} AS avg_away",
+        *timed,
     )
 
 
-def strengths_from_totals(totals: DataFrame, params: Params = Params()) -> DataFrame:
-    """A5 + A6: role and pooled strengths from per-team totals (rounded to 4)."""
+LEAGUE_COLS = ["league_n", "league_avg_home", "league_avg_away", "league_first", "league_last"]
+
+
+def strengths_from_totals(totals: DataFrame, params: Params = Params(),
+                          keep_league: bool = False) -> DataFrame:
+    """A5 + A6: role and pooled strengths from per-team totals (rounded to 4).
+
+    ``keep_league`` also carries the league figures (match count, means,
+    first/last kick-off; the same on every row) so the model card can be
+    derived from this one plan."""
     t = named(with_league_means(totals))
+    extra = []
+    if keep_league:
+        has_time = "first_time" in totals.columns
+        extra = [
+            "league_n", "avg_home AS league_avg_home", "avg_away AS league_avg_away",
+            ("league_first" if has_time else "CAST(NULL AS TIMESTAMP_NTZ) AS league_first"),
+            ("league_last" if has_time else "CAST(NULL AS TIMESTAMP_NTZ) AS league_last"),
+        ]
     fl = params.floor
     games = "(home_matches + away_matches)"
     avg_total = "((avg_home + avg_away) / 2.0D)"
@@ -144,6 +164,7 @@ def strengths_from_totals(totals: DataFrame, params: Params = Params()) -> DataF
 
     return t.selectExpr(
         "team",
+        *extra,
         f"{S.rnd(pooled('home_goals_scored', 'away_goals_scored'), 4)} AS attack",
         f"{S.rnd(pooled('home_goals_conceded', 'away_goals_conceded'), 4)} AS defense",
         f"{S.rnd(S.ratio_or_one('home_goals_scored', 'home_matches', 'avg_home', fl), 4)} AS attack_home",

@@ -22,15 +22,17 @@ class TrainingResult:
     team_strengths: DataFrame  # §1.1 team_strengths
     params: Params
 
+    with_league: DataFrame     # team_strengths + league figures (card input)
+
     @property
     def league_params(self) -> DataFrame:
         """One row (K1 header); planned only when asked for."""
-        return card.model_header(self.totals, self.team_strengths, self.params)
+        return card.model_header(self.with_league, self.params)
 
     @property
     def model_card(self) -> DataFrame:
         """One row, nested (K2); planned only when asked for."""
-        return card.model_card(self.totals, self.team_strengths, self.params)
+        return card.model_card(self.with_league, self.params)
 
 
 def team_totals(matches: DataFrame, time_col: str | None = "time_utc") -> DataFrame:
@@ -50,7 +52,7 @@ def train(matches: DataFrame, xg_rows: DataFrame | None = None,
     several outputs share one pass over ``matches``.
     """
     totals = team_totals(matches) if totals is None else totals
-    s = strength.strengths_from_totals(totals, params)
+    s = strength.strengths_from_totals(totals, params, keep_league=True)
     if xg_rows is not None:
         s = xg.xg_strengths(xg_rows, s, params)
     else:
@@ -64,4 +66,5 @@ def train(matches: DataFrame, xg_rows: DataFrame | None = None,
         s = s.select("*", *[F.lit(None).cast("int" if c == "squad_depth" else "double").alias(c)
                             for c in ("attack_index", "creation_index", "defensive_index",
                                       "squad_depth")])
-    return TrainingResult(totals=totals, team_strengths=s, params=params)
+    return TrainingResult(totals=totals, team_strengths=s.drop(*strength.LEAGUE_COLS),
+                          params=params, with_league=s)

@@ -124,8 +124,7 @@ def q_league_params(spark, d):
 
 
 def q_model_card(spark, d):
-    r = _trained(spark, d)
-    return card.model_card_flat(r.totals, r.team_strengths, P)
+    return card.model_card_flat(_trained(spark, d).with_league, P)
 
 
 def q_numeric_coercion(spark, d):
