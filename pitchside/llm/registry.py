@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, pii
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op8_pii": pii.op8_pii,
 }
 
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
+    "op8_pii": pii.SQL,
 }
