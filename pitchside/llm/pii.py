@@ -154,6 +154,14 @@ def find_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     return found.withColumns({f"n_{k}": F.size(f"_{k}").cast("long") for k in KINDS}).drop(*[f"_{k}" for k in KINDS])
 
 
+def _marked(kind: str):
+    def piece(z: Column) -> Column:
+        mark = F.when(valid(kind, z["match"]), f"<{kind.upper()}>").otherwise(z["match"])
+        return F.concat(z["before"], F.when(z["match"].isNull(), "").otherwise(mark))
+
+    return lambda zipped: F.array_join(F.transform(zipped, piece), "")
+
+
 def redact_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The documents with every confirmed span replaced by its kind, as ``<EMAIL>``; ``n_chars`` follows the text.
 
@@ -161,11 +169,7 @@ def redact_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """
     text = F.col("text")
     for kind in ("email", "iban", "phone", "card", "ip"):
-        def rebuilt(zipped: Column, kind: str = kind) -> Column:
-            mark = lambda z: F.concat(z["before"], F.when(z["match"].isNull(), "")
-                                      .when(valid(kind, z["match"]), f"<{kind.upper()}>").otherwise(z["match"]))
-            return F.array_join(F.transform(zipped, mark), "")
-
+        rebuilt = _marked(kind)
         docs = docs.withColumn("text", F.when(text.rlike(HINT[kind]), let(parts(text, kind), rebuilt)).otherwise(text))
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
