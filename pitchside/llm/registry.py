@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, pii
+from . import mixing, pii, urls
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
     "op8_pii": pii.op8_pii,
+    "op10_url_filter": urls.op10_url_filter,
 }
 
 ORACLE_SQL = {

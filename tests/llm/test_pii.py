@@ -66,10 +66,10 @@ def test_added_kind_and_scores(spark):
 
 
 def test_redaction(spark):
-    df = spark.createDataFrame([(1, "to a@b.co from 10.0.0.1 4111 1111 1111 1111, 4111 1111 1111 1112", 9), (2, None, 9),
+    df = spark.createDataFrame([(1, "to a@b.co from 10.0.0.1, 4111 1111 1111 1111, 4111 1111 1111 1112", 9), (2, None, 9),
                                 (3, "clean 12 text", 9)], "doc_id long, text string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.redact_pii(df).collect()}
-    assert got[1][0] == "to <EMAIL> from <IP> <CARD>, 4111 1111 1111 1112" and got[1][1] == len(got[1][0])
+    assert got[1][0] == "to <EMAIL> from <IP>, <CARD>, 4111 1111 1111 1112" and got[1][1] == len(got[1][0])
     assert got[2][0] is None and got[3][0] == "clean 12 text"
 
 
