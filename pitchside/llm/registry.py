@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, pii, urls
+from . import mixing, packing, pii, urls
 
 QUERIES = {
+    "op1_pack": packing.op1_pack,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op8_pii": pii.op8_pii,
     "op10_url_filter": urls.op10_url_filter,
