@@ -26,6 +26,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,36 +39,41 @@ from .common import cut, table
 
 CAPACITY = 4096
 CLOSING = 1
-#: Words that a task remembers; the others are encoded again each time.
-REMEMBERED = 500_000
-#: What the tokenizer splits printable ASCII text into, once lower-cased.
-_ASCII_PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_PLAIN = re.compile(rb"(?!.*<\|)[!-~]+")
+#: Words and pieces that a task remembers, about 200 bytes each; the others are encoded again each time.
+REMEMBERED = 1_000_000
+#: Words of these characters are lower-cased and split as below; their normal form is themselves.
+_PLAIN = re.compile("(?!.*<\\|)[!-~À-ÖØ-öø-ÿ]+")
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def word_encoder(tokenizer):
     """Word (bytes without ASCII white space) to its ids as little-endian bytes.
 
-    The tokenizer never joins text across white space, so a text's ids are those of its words in order.
+    The tokenizer never joins text across white space, so a text's ids are those of its words in
+    order.  Words of plain Latin letters go to its model piece by piece; the others through the
+    whole tokenizer.
     """
     tokenize, encode = tokenizer.model.tokenize, tokenizer.encode
-    pieces: dict[bytes, bytes] = {}
-
-    def piece_ids(piece: bytes) -> bytes:
-        got = np.array([t.id for t in tokenize(piece.decode())], dtype="<u4").tobytes()
-        if len(pieces) < REMEMBERED:
-            pieces[piece] = got
-        return got
 
     class Words(dict):
         def __missing__(self, word: bytes) -> bytes:
-            if _PLAIN.fullmatch(word):
-                got = b"".join([pieces.get(p) or piece_ids(p) for p in _ASCII_PIECE.findall(word.lower())])
+            text = word.decode()
+            if _LETTERS.fullmatch(text):
+                ids = [t.id for t in tokenize(text if text.isascii() else word.decode("latin-1").translate(_BYTE))]
+            elif not _PLAIN.fullmatch(text):
+                ids = encode(text, add_special_tokens=False).ids
             else:
-                got = np.array(encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-            if len(self) < REMEMBERED:
-                self[word] = got
-            return got
+                pieces = _PIECE.findall(text.lower())
+                if len(pieces) > 1 or _LETTERS.fullmatch(pieces[0]):
+                    got = b"".join([self[p.encode()] for p in pieces])
+                    return self.setdefault(word, got) if len(self) < REMEMBERED else got
+                ids = [t.id for t in tokenize(pieces[0].encode().decode("latin-1").translate(_BYTE))]
+            got = array("I", ids).tobytes()
+            return self.setdefault(word, got) if len(self) < REMEMBERED else got
 
     return Words()
 
