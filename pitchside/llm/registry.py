@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, pii, toxicity, urls
+from . import langid, mixing, packing, pii, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op6_language": langid.op6_language,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_pii": pii.op8_pii,
     "op10_url_filter": urls.op10_url_filter,
