@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, neardup, packing, pii, toxicity, urls
+from . import embdedup, langid, mixing, neardup, packing, pii, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_embedding_dedup": embdedup.op3_embedding_dedup,
     "op4_minhash": neardup.op4_minhash,
     "op6_language": langid.op6_language,
     "op7_toxicity": toxicity.op7_toxicity,
