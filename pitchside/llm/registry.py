@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embdedup, langid, mixing, neardup, packing, pii, toxicity, urls
+from . import ann, embdedup, langid, mixing, neardup, packing, pii, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language": langid.op6_language,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_pii": pii.op8_pii,
+    "op9_nearest": ann.op9_nearest,
     "op10_url_filter": urls.op10_url_filter,
 }
 
