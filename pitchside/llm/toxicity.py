@@ -11,8 +11,8 @@ Learning takes a bounded sample, ``per_class`` labelled documents of each class
 ``max_chars`` characters, the first by a hash of their ids; near copies in it count once.  The toxic
 dictionary is trained on the stretches whose grams of five or seven bytes occur in far more toxic
 than ordinary documents.  For the calibration, halves of the sample are scored with a dictionary
-made of the other half; the threshold is the one of the best F1 at the share of toxic documents
-among all labels, and 0.5 is put there.  Applying covers every whole text.
+made of the other half and weighted to the share of toxic documents among all labels; a miss costs
+``miss_cost`` times what a false alarm costs.  Applying covers every whole text.
 
 Cases: null and empty text have no window and get the score of no evidence; documents without
 label, and labels that are null, are not learned from; if two labels disagree a document counts as
@@ -169,7 +169,7 @@ def trained(samples: list[bytes], size: int, **how) -> bytes:
         return b" ".join(samples)[-size:]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.2) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -179,7 +179,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, max_chars: int = 50_000,
-        ordinary_size: int = 16384, toxic_size: int = 2048) -> tuple[bytes, bytes, np.ndarray] | None:
+        ordinary_size: int = 16384, toxic_size: int = 2048, miss_cost: float = 1.5) -> tuple[bytes, bytes, np.ndarray] | None:
     """``(ordinary dictionary, toxic dictionary, weights)``, or None without both classes."""
     toxic, ordinary, share = sample(docs, labels, label, per_class, max_chars)
     if len(toxic) < 2 or len(ordinary) < 2:
@@ -196,12 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     special = trained(typical_passages(toxic, ordinary), toxic_size, k=24, d=8)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     w = logistic(x, y, weight * len(y) / weight.sum())
-    score = x @ w
-    order = np.argsort(-score)
-    hits, misses = np.cumsum((y * weight)[order]), np.cumsum(((1 - y) * weight)[order])
-    best = int(np.argmax(2 * hits / (hits + misses + (y * weight).sum())))
-    below = score[order[min(best + 1, len(order) - 1)]]
-    w[-1] -= (score[order[best]] + below) / 2
+    w[-1] += np.log(miss_cost)
     return base, special + base, w
 
 
