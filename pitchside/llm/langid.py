@@ -278,8 +278,15 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 def sample(docs: DataFrame, per_language: int, max_chars: int) -> list[tuple[str, str]]:
     """``(lang, text)`` of at most ``per_language`` documents of each language."""
+    known = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang").distinct()
+    # one row per language, the labels of the model; a language in n documents need only sort the share of least hashes
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not sizes:
+        return []
+    reach = F.create_map(*chain.from_iterable(
+        (F.lit(x), F.lit(min((1 << 63) - 1, int((min(1.0, 3 * per_language / n) - 0.5) * 2 ** 64)))) for x, n in sizes.items()))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang").distinct()
+    ids = (known.where(F.xxhash64("doc_id") <= F.element_at(reach, F.col("lang")))
            .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("doc_id", "lang"))
     # at most per_language rows for each language, so the broadcast is bounded
     rows = (docs.where(F.length("text") <= max_chars).join(F.broadcast(ids), ["doc_id", "lang"])
