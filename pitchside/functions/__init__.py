@@ -1,14 +1 @@
 """Scalar column functions (F1-F15) used by the operators."""
-
-from pitchside.functions.literals import literal_field_py, python_literal, with_literal_field
-from pitchside.functions.numeric import (
-    floor_at, ieee_div, is_present, number_or_zero, rnd, to_number, trunc_int,
-    zero_if_missing,
-)
-from pitchside.functions.text import canonical_team, contains_text, py_strip, text_or_empty
-
-__all__ = [
-    "canonical_team", "contains_text", "floor_at", "ieee_div", "is_present",
-    "literal_field_py", "with_literal_field", "number_or_zero", "py_strip", "python_literal",
-    "rnd", "text_or_empty", "to_number", "trunc_int", "zero_if_missing",
-]

@@ -7,55 +7,33 @@ Rules (the modelled job evaluates the literal and calls ``.get(key, '')``):
 * anything else (not a literal, not a dict, key holding None or a non-string)
   -> the whole cell.
 
-Fast path, all in the JVM: cells that match a strict grammar of flat
-literals (see ``_FLAT``) are decided with regular expressions.  Every other
-cell that looks like a dict goes to a vectorised pandas UDF running Python's
-literal parser; the UDF receives null for all other rows, so Python only does
-work for the residual rows.
+The JVM decides every dict, nested or not, that is made of plain tokens: strings without
+escapes, None, True, False, plain numbers and brackets.  Such a cell is rewritten to JSON (a marker
+inside each string's opening quote keeps strings apart from other values) and parsed with
+``from_json``; a closing element after it shows that nothing followed the dict.  All patterns loop
+possessively, which Java runs without recursion, so a cell may be of any length.
+
+What the JSON parser does not take (escapes, tuples, trailing commas, other number forms, junk)
+goes to one vectorised pandas UDF with Python's literal parser, which gets null for all other
+rows.  ``pending`` columns say which rows those are, so a job can count them.
 """
 
 from __future__ import annotations
 
-import ast
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-# Strict grammar of the flat dict literals the JVM decides itself.  Every
-# token has exactly Python's meaning: strings without escapes or control
-# characters, None / True / False, and plain decimal numbers.  Anything else
-# that looks like a dict (nested values, escapes, other number forms, other
-# white space) is decided by Python's own parser in the residual UDF.
-_STR = r"'[^'\\\x00-\x1f]*'" + "|" + r'"[^"\\\x00-\x1f]*"'
-_VAL = "(?:" + _STR + r"|None|True|False|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?)"
-_ITEM = rf"(?:{_STR})[ \t]*:[ \t]*{_VAL}"
-_SEP = r"[ \t]*,[ \t]*"
-_FLAT = rf"^[ \t]*\{{[ \t]*(?:{_ITEM}(?:{_SEP}{_ITEM})*[ \t]*,?)?[ \t]*\}}[ \t]*\z"
-
-
-def _decide_pattern(key: str) -> str:
-    """Anchored pattern matching exactly the flat literals; group 1 holds the
-    value token of the *last* ``key`` item and is empty when the key is
-    absent.  Items are walked from the start, so key-like text inside a string
-    value never matches, and no later item may hold the key."""
-    k = rf"""(?:'\Q{key}\E'|"\Q{key}\E")"""
-    other = rf"(?!{k}[ \t]*:){_ITEM}"
-    comma = r"(?:[ \t]*,)?"
-    with_key = rf"(?:{_ITEM}{_SEP})*?{k}[ \t]*:[ \t]*({_VAL})(?:{_SEP}{other})*{comma}"
-    without_key = rf"(?:{other}(?:{_SEP}{other})*{comma})?"
-    return rf"^[ \t]*\{{[ \t]*(?:{with_key}|{without_key})[ \t]*\}}[ \t]*\z"
-
-
-# A decided cell is rewritten to this marker + its value token; a cell the
-# pattern does not match is returned unchanged (and cannot equal the rewrite,
-# since a matching cell starts with white space or a brace).
-_MARK = "\u0001"
 
+from pitchside.functions import sqltext as S
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+_PLAIN = (r"""^[ \t]*+\{(?:[{}\[\]:, \t]++|'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+"|None|True|False"""
+          r"""|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?)*+\z""")
+_STRING = r"""(?s)(['"])((?:(?!\1).)*+)\1"""
+#: Everything from the last hit up to the next keyword that stands outside strings.
+_UP_TO = r"""\G((?:[^'"NTF]++|'[^']*+'|"[^"]*+")*+)"""
+_MARK = "\u0001"
+_END = "\u0002"
+_OPTIONS = {"allowSingleQuotes": "true", "allowUnquotedControlChars": "true", "allowNonNumericNumbers": "false"}
 
 
 def _make_decider():
@@ -82,89 +60,60 @@ def _make_decider():
 literal_field_py = _make_decider()
 
 
-_UDFS: dict[tuple, object] = {}
+def _residual_udf(keys: tuple[str, ...]):
+    """One vectorised UDF for all cell columns of a row: the reference decision for each non-null cell."""
+    schema = ", ".join(f"v{i} string" for i in range(len(keys)))
+    decide = _make_decider()
 
+    @F.pandas_udf(schema)
+    def residual(*cols: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            f"v{i}": [None if c is None else decide(c, k) for c in col]
+            for i, (col, k) in enumerate(zip(cols, keys))
+        })
 
-def _residual_udf(keys: tuple[str, ...]):
-    """One vectorised UDF for all cell columns of a row: struct of decided
-    values, the reference decision applied to each non-null cell.  Nested
-    functions only, so the UDF is shipped by value."""
-    if keys not in _UDFS:
-        schema = ", ".join(f"v{i} string" for i in range(len(keys)))
-        decide = _make_decider()
-
-        @F.pandas_udf(schema)
-        def residual(*cols: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame({
-                f"v{i}": [None if c is None else decide(c, k) for c in col]
-                for i, (col, k) in enumerate(zip(cols, keys))
-            })
-        _UDFS[keys] = residual
-    return _UDFS[keys]
-
-
-def with_literal_fields(df: DataFrame, specs: list[tuple[str, str, str]],
-                        exact_residual: bool = True) -> DataFrame:
+    return residual
+
+
+def _as_json(cell: Column) -> Column:
+    """The dict as JSON text, strings marked; null where it is not made of plain tokens."""
+    text = F.regexp_replace(cell, _STRING, "$1" + _MARK + "$2$1")
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        text = F.regexp_replace(text, _UP_TO.replace("NTF", word[0]) + word, "$1" + json)
+    return F.when(cell.rlike(_PLAIN), F.concat(F.lit("["), text, F.lit(f", '{_END}']")))
+
+
+def with_literal_fields(df: DataFrame, specs: list[tuple[str, str, str]], pending: bool = False) -> DataFrame:
     """Add one column per ``(cell, key, out)``: the raw (not yet canonicalised)
     value of ``key`` in the cell column ``cell``, per the rules above.
 
-    Fast path: one anchored regex per cell both recognises the strict
-    flat-literal grammar and captures the value of the last item with the key
-    (a later duplicate wins, as in a Python dict display).  It runs in its own
-    projection, once per row.  All
-    residual cells of a row go to one UDF call (one Python pass per batch).
+    With ``pending`` also a boolean ``<out>_pending`` each: Python decided the cell.
     """
-    staged = df
+    staged = df.withColumns({f"__{out}_list": F.from_json(_as_json(F.col(cell).cast("string")), "array<string>", _OPTIONS)
+                             for cell, _, out in specs})
+    # nothing but the closing element may follow the dict; its text now has double quotes and escapes
+    staged = staged.withColumns({f"__{out}_dict": F.expr(
+        f"CASE WHEN size(`__{out}_list`) = 2 AND `__{out}_list`[1] = {S.lit(_END)} THEN `__{out}_list`[0] END")
+        for _, _, out in specs})
+    decided, residual, waits = {}, [], {}
     for cell, key, out in specs:
-        staged = staged.withColumn(
-            f"__{out}_dec",
-            F.regexp_replace(F.col(cell).cast("string"), _decide_pattern(key), _MARK + "$1"))
-    decided, pending = {}, []
-    for cell, key, out in specs:
-        s = F.col(cell).cast("string")
-        dec = F.col(f"__{out}_dec")
-        flat = dec != s
-        value = F.substr(dec, F.lit(2), F.length(dec) - F.lit(1))
-        is_text = value.startswith("'") | value.startswith('"')
-        fast_value = (
-            F.when(value == "", F.lit(""))                                     # key absent
-            .when(is_text, F.substr(value, F.lit(2), F.length(value) - F.lit(2)))  # unquote
-            .otherwise(s)                                                      # None / non-string
-        )
-        is_dict_like = s.rlike(r"^[ \t]*\{")
+        s, parsed = F.col(cell).cast("string"), F.col(f"__{out}_dict")
+        value = F.from_json(parsed, f"`{_MARK}{key}` string").getField(f"{_MARK}{key}")
+        is_dict_like = s.rlike(r"^[ \t]*+\{")
         decided[out] = (F.when(s.isNull(), F.lit(None).cast("string"))
                         .when(~is_dict_like, s)
-                        .when(flat, fast_value))
-        pending.append(F.when(is_dict_like & ~flat, s))
-    if exact_residual:
-        res = _residual_udf(tuple(k for _, k, _ in specs))(*pending)
-        outs = {out: F.coalesce(decided[out], res[f"v{i}"]) for i, (_, _, out) in enumerate(specs)}
-    else:
-        outs = {out: F.coalesce(decided[out], F.col(cell).cast("string"))
-                for cell, _, out in specs}
-    drop = [f"__{o}_dec" for _, _, o in specs]
-    return staged.withColumns(outs).drop(*drop)
-
-
-def with_literal_field(df: DataFrame, cell: str, key: str, out: str,
-                       exact_residual: bool = True) -> DataFrame:
+                        .when(value.startswith(_MARK), F.substr(value, F.lit(2)))
+                        .when(parsed.isNotNull() & ~F.array_contains(F.json_object_keys(parsed), F.lit(_MARK + key)), F.lit(""))
+                        .when(parsed.isNotNull(), s))
+        waits[out] = is_dict_like & parsed.isNull()
+        residual.append(F.when(waits[out], s))
+    res = _residual_udf(tuple(k for _, k, _ in specs))(*residual)
+    outs = {out: F.coalesce(decided[out], res[f"v{i}"]) for i, (_, _, out) in enumerate(specs)}
+    if pending:
+        outs |= {f"{out}_pending": F.coalesce(waits[out], F.lit(False)) for _, _, out in specs}
+    return staged.withColumns(outs).drop(*[f"__{o}_{x}" for _, _, o in specs for x in ("list", "dict")])
+
+
+def with_literal_field(df: DataFrame, cell: str, key: str, out: str) -> DataFrame:
     """Single-column form of :func:`with_literal_fields`."""
-    return with_literal_fields(df, [(cell, key, out)], exact_residual)
-
-
-def python_literal(fields: dict[str, Column | str | None]) -> Column:
-    """Build a Python-repr dict literal from columns (fixture helper, V4).
-
-    Strings are single-quoted unless they contain a single quote, as ``repr``
-    does; ``None`` values render as the keyword.
-    """
-    parts = []
-    for i, (k, v) in enumerate(fields.items()):
-        sep = "" if i == 0 else ", "
-        if v is None:
-            parts += [F.lit(f"{sep}'{k}': None")]
-            continue
-        col = F.lit(v) if isinstance(v, str) else v
-        quote = F.when(col.contains("'"), F.lit('"')).otherwise(F.lit("'"))
-        parts += [F.lit(f"{sep}'{k}': "), quote, col, quote]
-    return F.concat(F.lit("{"), *parts, F.lit("}"))
+    return with_literal_fields(df, [(cell, key, out)])

@@ -1,88 +1,29 @@
-"""Numeric scalar functions (F5-F9, F12, P6, P7, P11) as JVM column expressions.
-
-Two semantic traps drive the shapes here:
-
-* rounding is numpy-style ``rint(x * 10^d) / 10^d`` (Spark ``round`` is
-  half-up and ``bround`` rounds the decimal value, both differ near ties);
-* division by zero must give IEEE results (0/0 -> NaN) while ANSI mode raises,
-  and ``greatest(NaN, floor)`` must stay NaN.
-"""
+"""The rules of :mod:`pitchside.functions.sqltext` as columns, for callers that hold column names."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, NumericType, StringType
-
-NAN = float("nan")
-
+from pyspark.sql.types import DataType, NumericType
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+from pitchside.functions import sqltext as S
 
 
-def rnd(x, digits: int) -> Column:
+def rnd(name: str, digits: int) -> Column:
     """Round like numpy: ``rint(x * 10**d) / 10**d`` (ties to even)."""
-    scale = float(10 ** digits)
-    return F.rint(_c(x) * F.lit(scale)) / F.lit(scale)
-
-
-def ieee_div(num, den) -> Column:
-    """``num / den`` with IEEE-754 results for a zero divisor.
-
-    ANSI mode raises on ``x / 0.0``; the modelled job gets NaN for 0/0 and
-    +/-inf otherwise.  Nulls propagate.  (The division branch is only
-    evaluated for a non-zero divisor.)
-    """
-    n, d = _c(num), _c(den)
-    at_zero = F.when(n == 0, F.lit(NAN)).otherwise(F.signum(n) * F.lit(float("inf")))
-    return F.when(d == 0, at_zero).otherwise(n / d)
-
+    return F.expr(S.rnd(S.col(name), digits))
 
-def floor_at(x, floor: float) -> Column:
-    """``max(x, floor)`` with Python semantics: NaN stays NaN (Spark orders NaN
-    above every number), null stays null."""
-    v = _c(x)
-    return F.when(v.isNotNull(), F.greatest(v, F.lit(float(floor))))
 
+def to_number(name: str, dtype: DataType | None = None) -> Column:
+    """Text or number -> double, or null when it does not parse."""
+    return F.expr(S.to_number(S.col(name), isinstance(dtype, NumericType)))
 
-def to_number(x, dtype=None) -> Column:
-    """Text or number -> double, or null when it does not parse.
 
-    ``try_cast`` accepts Java float suffixes (``1d``, ``2f``) that a pandas-style
-    parser rejects, so those are nulled out unless the text ends in ``inf``.
-    Numeric input is just widened.
-    """
-    v = _c(x)
-    if dtype is not None and isinstance(dtype, NumericType):
-        return v.cast("double")
-    s = v.cast("string")
-    suffixed = s.rlike(r"(?i)[df]\s*$") & ~s.rlike(r"(?i)inf\s*$")
-    return F.when(suffixed, F.lit(None).cast("double")).otherwise(s.try_cast(DoubleType()))
-
-
-def zero_if_missing(x) -> Column:
-    """NaN or null -> 0.0 (F6 / P7 fill)."""
-    return F.coalesce(F.nanvl(_c(x), F.lit(0.0)), F.lit(0.0))
-
-
-def number_or_zero(x, dtype=None) -> Column:
+def number_or_zero(name: str, dtype: DataType | None = None) -> Column:
     """Coerce to double, invalid -> 0.0."""
-    return zero_if_missing(to_number(x, dtype))
+    return F.expr(S.zero_if_missing(S.to_number(S.col(name), isinstance(dtype, NumericType))))
 
 
-def is_present(x) -> Column:
+def is_present(name: str) -> Column:
     """True when a coerced value survives ``dropna`` (not null and not NaN)."""
-    v = _c(x)
-    return v.isNotNull() & ~F.isnan(v)
-
-
-def trunc_int(x) -> Column:
-    """truncate toward zero like ``int(float)``."""
-    return _c(x).cast("int")
-
-
-def coerce_columns(df, names):
-    """Apply :func:`to_number` to ``names`` using their declared types."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({n: to_number(n, types.get(n, StringType())) for n in names})
+    return F.expr(S.is_present(S.col(name)))

@@ -1,9 +1,12 @@
-"""The numeric rules of :mod:`pitchside.functions.numeric` as Spark SQL text.
+"""Numeric scalar rules (F5-F9, F12, P6, P7, P11) as Spark SQL text, the one place they are written.
 
-Operators that build many derived columns compose these strings and hand
-each finished expression to ``F.expr`` / ``selectExpr``: the JVM parses one
-string instead of receiving dozens of small column-building calls, which
-keeps plan construction cheap.  Semantics are identical to the Column forms.
+Operators compose these strings and hand each finished expression to ``selectExpr``; the column
+functions of :mod:`pitchside.functions.numeric` wrap the same text.  Two traps shape them:
+
+* rounding is numpy-style ``rint(x * 10^d) / 10^d`` (Spark ``round`` is half-up and ``bround`` rounds
+  the decimal value; both differ near ties);
+* division by zero must give IEEE results (0/0 -> NaN) while ANSI mode raises, and
+  ``greatest(NaN, floor)`` must stay NaN.
 """
 
 from __future__ import annotations
@@ -59,14 +62,21 @@ def ratio_or_one(total: str, rows: str, league: str, floor: float) -> str:
 
 
 def to_number(x: str, is_numeric: bool) -> str:
-    """Text or number -> double or null; Java float suffixes rejected."""
+    """Text or number -> double or null (F5): ``try_cast`` takes Java's float suffixes (``1d``, ``2f``),
+    which a pandas-style parser rejects, also before trailing white space."""
     if is_numeric:
         return f"CAST({x} AS DOUBLE)"
     t = f"CAST({x} AS STRING)"
-    return (f"(CASE WHEN {t} RLIKE '(?i)[df]\\s*$' AND NOT {t} RLIKE '(?i)inf\\s*$' "
+    suffix, infinite = lit(r"(?i)[df]\s*$"), lit(r"(?i)inf\s*$")
+    return (f"(CASE WHEN {t} RLIKE {suffix} AND NOT {t} RLIKE {infinite} "
             f"THEN CAST(NULL AS DOUBLE) ELSE try_cast({t} AS DOUBLE) END)")
 
 
+def zero_if_missing(x: str) -> str:
+    """NaN or null -> 0.0 (F6, the fill of P7)."""
+    return f"coalesce(nanvl({x}, 0.0D), 0.0D)"
+
+
 def is_present(x: str) -> str:
     """Not null and not NaN (what ``dropna`` keeps)."""
     return f"(({x}) IS NOT NULL AND NOT isnan({x}))"

@@ -42,11 +42,6 @@ def canonical_team(x, aliases: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.try_element_at(alias_map(aliases), F.lower(stripped)), stripped)
 
 
-def contains_text(x, needle: str) -> Column:
-    """Case-sensitive substring test; null -> false."""
-    return F.coalesce(_c(x).contains(F.lit(needle)), F.lit(False))
-
-
 def text_or_empty(x) -> Column:
     """missing text -> ''."""
     return F.coalesce(_c(x).cast("string"), F.lit(""))

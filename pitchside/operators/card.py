@@ -12,15 +12,13 @@ from pyspark.sql import functions as F
 from pitchside.functions import sqltext as S
 from pitchside.params import (
     CARD_ALGORITHM, CARD_FEATURES, CARD_LEAGUE, CARD_MODEL_NAME, CARD_TRAINING_SOURCE,
-    CARD_VERSION, Params,
+    CARD_VERSION, Params, utc_now,
 )
 
 
 def stamp(ts) -> Column:
-    """A fixed timestamp parameter (tests) or the current time (job runs)."""
-    if ts is None:
-        return F.current_timestamp().cast("timestamp_ntz")
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    """A fixed timestamp parameter, or the current time in UTC."""
+    return F.expr(_stamp_sql(ts))
 
 
 def card_fields(enriched: DataFrame, params: Params = Params()) -> DataFrame:
@@ -41,8 +39,7 @@ def card_fields(enriched: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def _stamp_sql(ts) -> str:
-    if ts is None:
-        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    ts = ts or utc_now()
     return f"CAST({S.lit(ts.strftime('%Y-%m-%d %H:%M:%S.%f'))} AS TIMESTAMP_NTZ)"
 
 

@@ -1,10 +1,9 @@
 """Player absence impact: A13, W1-W3 (pipeline C7).
 
-Plan: per-team maximum (partial + final aggregate, one row per team) joined
-back to the players (AQE broadcasts it when small), then top-k per team with
-``row_number() <= k``.  Spark plans that filter as a partial
-``WindowGroupLimit`` before the shuffle, so even a team holding a third of all
-players only ships k rows per task; no group is ever gathered whole.
+A team may hold a third of all players, so its rows are dealt over ``SALTS`` keys: the per-team
+maximum (partial and final aggregate, one row per team, repeated per salt) joins on team and
+salt, the top k are taken per team and salt, and only those, at most ``k * SALTS`` rows of a team,
+meet for the top k of the team.
 """
 
 from __future__ import annotations
@@ -12,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchside.functions.numeric import ieee_div, rnd, trunc_int
+from pitchside.functions import sqltext as S
+from pitchside.functions.numeric import rnd
 from pitchside.functions.text import canonical_team, text_or_empty
 from pitchside.operators.players import eligible_players
-from pitchside.params import Params
+from pitchside.params import Params, utc_now
 
+SALTS = 32
 IMPACT_MEASURES = ["nineties", "Gls", "Ast"]
 
 
@@ -28,31 +29,33 @@ def player_impact(players: DataFrame, params: Params = Params(), snapshot_date=N
     Output ``team_name, player_name, position, minutes_90s, goals, assists,
     impact_score, rank, snapshot_date``.
     """
+    for c in ("Player", "Pos"):                       # F14: an absent column is missing text
+        if c not in players.columns:
+            players = players.withColumn(c, F.lit(None).cast("string"))
     p = (
         eligible_players(players, params.impact_min_90s, params, IMPACT_MEASURES)
         .withColumn("team_name", canonical_team("Squad", params.aliases))
         .filter(F.col("team_name").isNotNull())
-        .withColumn("raw_impact", F.col("Gls") + F.col("Ast")
-                    + F.col("nineties") * F.lit(params.impact_minutes_weight))
+        .withColumn("raw_impact", F.expr(f"Gls + Ast + nineties * {float(params.impact_minutes_weight)!r}D"))
+        .withColumn("_salt", F.pmod(F.xxhash64("ordinal"), F.lit(SALTS)).cast("int"))
     )
-    best = p.groupBy("team_name").agg(F.max("raw_impact").alias("max_impact"))
-    scored = (
-        p.join(best, "team_name")
-        .filter(F.col("max_impact") > 0)
-        .withColumn("impact_score", rnd(ieee_div(F.col("raw_impact"), F.col("max_impact"))
-                                        * F.lit(params.impact_scale), 2))
-    )
-    w = Window.partitionBy("team_name").orderBy(F.desc("impact_score"), F.asc("ordinal"))
-    top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= params.top_k)
+    best = (p.groupBy("team_name").agg(F.max("raw_impact").alias("max_impact")).filter("max_impact > 0")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    score = S.rnd(f"{S.ieee_div('raw_impact', 'max_impact')} * {float(params.impact_scale)!r}D", 2)
+    scored = p.join(best, ["team_name", "_salt"]).withColumn("impact_score", F.expr(score))
+    top = scored
+    for keys in (["team_name", "_salt"], ["team_name"]):
+        w = Window.partitionBy(*keys).orderBy(F.desc("impact_score"), F.asc("ordinal"))
+        top = top.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= params.top_k)
     date = params.snapshot_date if snapshot_date is None else snapshot_date
     return top.select(
         "team_name",
         text_or_empty("Player").alias("player_name"),
         text_or_empty("Pos").alias("position"),
         rnd("nineties", 2).alias("minutes_90s"),
-        trunc_int("Gls").alias("goals"),
-        trunc_int("Ast").alias("assists"),
+        F.col("Gls").cast("int").alias("goals"),
+        F.col("Ast").cast("int").alias("assists"),
         "impact_score",
         F.col("rank").cast("int").alias("rank"),
-        (F.lit(date).cast("date") if date is not None else F.current_date()).alias("snapshot_date"),
+        F.lit(date or utc_now().date().isoformat()).cast("date").alias("snapshot_date"),
     )

@@ -22,7 +22,7 @@ def conform_measures(df: DataFrame, measures=PLAYER_MEASURES) -> DataFrame:
         if m not in schema:
             return "0.0D"
         v = S.to_number(S.col(m), isinstance(schema[m], NumericType))
-        return f"coalesce(nanvl({v}, 0.0D), 0.0D)"
+        return S.zero_if_missing(v)
 
     keep = [S.col(c) for c in df.columns if c not in measures]
     return df.selectExpr(*keep, *[f"{filled(m)} AS {S.col(m)}" for m in measures])

@@ -20,12 +20,10 @@ def row_gate(df: DataFrame, min_rows: int) -> DataFrame:
     )
 
 
-def enforce_row_gate(df: DataFrame, min_rows: int) -> int:
-    """G1 as a stop: return the row count, raise :class:`GateError` below
-    ``min_rows`` (tested before any coercion, so 99 fails and 100 passes)."""
-    n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+def require_rows(n: int, min_rows: int) -> int:
+    """G1 as a stop: :class:`GateError` below ``min_rows`` (tested before any coercion)."""
     if n < min_rows:
-        raise GateError(f"Too few matches ({n}) to train reliably; need {min_rows}")
+        raise GateError(f"{n} finished matches, {min_rows} are needed")
     return n
 
 

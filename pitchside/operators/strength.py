@@ -13,7 +13,7 @@ from pyspark.sql.types import NumericType
 from pyspark.sql import functions as F
 
 from pitchside.functions import sqltext as S
-from pitchside.functions.numeric import ieee_div, is_present, rnd, to_number
+from pitchside.functions.numeric import is_present, to_number
 from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
 
@@ -88,29 +88,14 @@ def named(totals: DataFrame) -> DataFrame:
     return totals.filter(F.col("named_rows") > 0)
 
 
-def league_totals(totals: DataFrame) -> DataFrame:
-    """A1 on the per-team result: one row ``n_matches, avg_home, avg_away``.
-
-    Every match has exactly one home row, so the home-role sums cover all of
-    them (null team included).  ``avg`` of an empty league is NaN-free null.
-    """
-    n = F.sum("home_matches")
-    return totals.agg(
-        n.alias("n_matches"),
-        ieee_div(F.sum("home_goals_scored"), n).alias("avg_home"),
-        ieee_div(F.sum("home_goals_conceded"), n).alias("avg_away"),
-    )
-
-
 def league_averages(matches: DataFrame) -> DataFrame:
-    """A1 as published: rounded league means and the match count."""
-    lt = league_totals(role_totals(matches))
-    return lt.select(
-        rnd("avg_home", 6).alias("league_avg_home_goals"),
-        rnd("avg_away", 6).alias("league_avg_away_goals"),
-        rnd(F.col("avg_home") + F.col("avg_away"), 4).alias("total_goals_per_match"),
-        F.col("n_matches").cast("bigint").alias("n_matches"),
-    )
+    """A1 as published: rounded league means and the match count, one global aggregate."""
+    means = coerce_scores(matches).selectExpr("home_score AS h", "away_score AS a").agg(
+        F.count("*").alias("n_matches"), F.sum("h").alias("h"), F.sum("a").alias("a"))
+    home, away = S.ieee_div("h", "n_matches"), S.ieee_div("a", "n_matches")
+    return means.selectExpr(
+        f"{S.rnd(home, 6)} AS league_avg_home_goals", f"{S.rnd(away, 6)} AS league_avg_away_goals",
+        f"{S.rnd(f'{home} + {away}', 4)} AS total_goals_per_match", "n_matches")
 
 
 def with_league_means(totals: DataFrame) -> DataFrame:

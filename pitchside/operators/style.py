@@ -8,7 +8,6 @@ from pyspark.sql.types import NumericType
 
 from pitchside.functions.literals import with_literal_fields
 from pitchside.functions import sqltext as S
-from pitchside.functions.numeric import is_present, to_number
 from pitchside.functions.text import canonical_team
 from pitchside.operators.reshape import two_role_rows
 from pitchside.params import Params
@@ -17,39 +16,6 @@ STYLE_COLS = ["matches_count", "avg_goals_scored", "avg_goals_conceded",
               "clean_sheet_rate", "btts_rate", "avg_goal_diff"]
 
 
-def named_style_rows(raw: DataFrame, params: Params = Params(),
-                     exact_residual: bool = True) -> DataFrame:
-    """P10 + P9 + P6 per row: ``home_name, away_name, home_score,
-    away_score`` (names canonicalised, scores numeric or null)."""
-    schema = raw.schema
-    df = raw.select(
-        "home_team", "away_team",
-        to_number("home_score", schema["home_score"].dataType).alias("home_score"),
-        to_number("away_score", schema["away_score"].dataType).alias("away_score"),
-    )
-    df = with_literal_fields(df, [("home_team", "home_team_name", "home_raw"),
-                                  ("away_team", "away_team_name", "away_raw")], exact_residual)
-    return df.select(
-        canonical_team("home_raw", params.aliases).alias("home_name"),
-        canonical_team("away_raw", params.aliases).alias("away_name"),
-        "home_score", "away_score",
-    )
-
-
-def _usable(home_name, away_name, home_score, away_score):
-    """P6 + P8: both scores numeric, both names present and non-empty."""
-    return (is_present(home_score) & is_present(away_score)
-            & (F.coalesce(F.length(home_name), F.lit(0)) > 0)
-            & (F.coalesce(F.length(away_name), F.lit(0)) > 0))
-
-
-def style_rows(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
-    """The usable rows only (for inspection; :func:`team_style` does not filter
-    rows, see there)."""
-    n = named_style_rows(raw, params, exact_residual)
-    return n.filter(_usable(n.home_name, n.away_name, n.home_score, n.away_score))
-
-
 def cell_pair_totals(raw: DataFrame) -> DataFrame:
     """Pre-aggregate the rows with numeric scores per raw ``(home_team,
     away_team)`` cell pair: match count, goal sums and the counts behind the
@@ -74,7 +40,7 @@ def cell_pair_totals(raw: DataFrame) -> DataFrame:
     )])
 
 
-def team_style(raw: DataFrame, params: Params = Params(), exact_residual: bool = True) -> DataFrame:
+def team_style(raw: DataFrame, params: Params = Params()) -> DataFrame:
     """A12 per team over both roles: count, mean for/against, clean-sheet rate,
     both-teams-scored rate, and the difference of the unrounded means.
 
@@ -87,7 +53,7 @@ def team_style(raw: DataFrame, params: Params = Params(), exact_residual: bool =
     """
     pairs = cell_pair_totals(raw)
     pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
-                                        ("away_team", "away_team_name", "away_raw")], exact_residual)
+                                        ("away_team", "away_team_name", "away_raw")])
     named = pairs.select(
         canonical_team("home_raw", params.aliases).alias("home_name"),
         canonical_team("away_raw", params.aliases).alias("away_name"),
@@ -117,13 +83,12 @@ def team_style(raw: DataFrame, params: Params = Params(), exact_residual: bool =
     )
 
 
-def cell_pair_names(raw: DataFrame, params: Params = Params(),
-                    exact_residual: bool = True) -> DataFrame:
+def cell_pair_names(raw: DataFrame, params: Params = Params()) -> DataFrame:
     """P10 + P9 per distinct cell pair: ``home_name, away_name, rows`` (all
     rows, whatever their scores), parsed once per pair."""
     pairs = raw.groupBy("home_team", "away_team").agg(F.count(F.lit(1)).alias("rows"))
     pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
-                                        ("away_team", "away_team_name", "away_raw")], exact_residual)
+                                        ("away_team", "away_team_name", "away_raw")])
     return pairs.select(
         canonical_team("home_raw", params.aliases).alias("home_name"),
         canonical_team("away_raw", params.aliases).alias("away_name"), "rows")

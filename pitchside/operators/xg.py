@@ -39,31 +39,22 @@ def xg_team_sums(xg_rows: DataFrame) -> DataFrame:
     )
 
 
-def xg_league_means(sums: DataFrame) -> DataFrame:
-    """A2: one row, mean home xG and mean away xG over every xG row."""
-    n = "sum(xg_home_rows)"
-    return sums.selectExpr(f"{S.ieee_div('sum(xg_home_for)', n)} AS xg_avg_home",
-                           f"{S.ieee_div('sum(xg_home_against)', n)} AS xg_avg_away")
-
-
-def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
+def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
     """A7 + J4: per trained team, the four xG ratios and the row count, present
     only when the team has at least ``params.xg_min_rows`` rows; a role
     without rows gives 1.0.  ``trained_teams`` has a ``team`` column; all of
     its columns are carried through (so strengths can be passed directly).
 
-    League means are window sums over the per-team sums (every xG row counts,
-    unknown and null teams included) before the left join from the trained
-    teams; a trained team without xG rows never passes the gate, so it never
-    needs them.
+    League means (A2) are window sums over the per-team sums (one row per team; every xG row counts,
+    unknown and null teams included) before the left join from the trained teams; a trained team
+    without xG rows never passes the gate, so it never needs them.
     """
     n_all = "sum(xg_home_rows) OVER ()"
-    sums = xg_team_sums(xg_rows).selectExpr(
-        "*",
+    per_team = sums.selectExpr(
+        "team", "named_rows", "xg_home_rows", "xg_away_rows", "xg_home_for", "xg_home_against", "xg_away_for", "xg_away_against",
         f"{S.ieee_div('sum(xg_home_for) OVER ()', n_all)} AS xg_avg_home",
         f"{S.ieee_div('sum(xg_home_against) OVER ()', n_all)} AS xg_avg_away",
-    )
-    per_team = sums.filter("named_rows > 0").drop("named_rows")
+    ).filter("named_rows > 0").drop("named_rows")
     t = trained_teams.join(per_team, "team", "left")
     hn, an = "coalesce(xg_home_rows, 0)", "coalesce(xg_away_rows, 0)"
     gate = f"({hn} + {an}) >= {int(params.xg_min_rows)}"
@@ -77,3 +68,8 @@ def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params =
     }
     return t.selectExpr(*[S.col(c) for c in trained_teams.columns],
                         *[f"CASE WHEN {gate} THEN {v} END AS {k}" for k, v in out.items()])
+
+
+def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
+    """The same from xG rows named by role."""
+    return strengths_from_sums(xg_team_sums(xg_rows), trained_teams, params)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pitchside.params import (
     CARD_ALGORITHM, CARD_FEATURES, CARD_LEAGUE, CARD_MODEL_NAME, CARD_TRAINING_SOURCE,
-    CARD_VERSION, FIXED_DATE, FIXED_TS, TEAM_ALIASES,
+    CARD_VERSION, FIXED_DATE, FIXED_TS, PANDAS_NA_TOKENS, TEAM_ALIASES,
 )
 from pitchside.functions.text import PY_WHITESPACE
 from pitchside.sources.fixtures import (
@@ -233,6 +233,10 @@ def _py_lit(key: str, name_expr: str, tail: str) -> str:
 SCORE_TEXT = """CASE WHEN e.l_partkey % 41 = 0 THEN 'x'
               WHEN e.l_partkey % 43 = 0 THEN ' ' || CAST(e.home_score AS VARCHAR) || ' '
               WHEN e.l_partkey % 47 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'd'
+              WHEN e.l_partkey % 79 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'd '
+              WHEN e.l_partkey % 83 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'f' || chr(9)
+              WHEN e.l_partkey % 71 = 0 THEN 'nan'
+              WHEN e.l_partkey % 73 = 0 THEN NULL
               WHEN e.l_partkey % 61 = 0 THEN CAST(CAST(e.home_score AS INTEGER) AS VARCHAR) || 'e0'
               ELSE CAST(e.home_score AS VARCHAR) END"""
 
@@ -340,7 +344,7 @@ FROM sty GROUP BY ALL"""
     sql["numeric_coercion"] = f"""{BASE},
 {ALIASES},
 {STYLE}
-SELECT hs_txt AS score_text, hs AS parsed,
+SELECT hs_txt AS score_text, CASE WHEN NOT isnan(hs) THEN hs END AS parsed, coalesce(isnan(hs), false) AS is_nan,
        coalesce(CASE WHEN isnan(hs) THEN 0.0::DOUBLE ELSE hs END, 0.0::DOUBLE) AS filled,
        CAST(count(*) AS BIGINT) AS rows
 FROM sty GROUP BY hs_txt, hs"""
@@ -404,6 +408,71 @@ ded AS (SELECT *, row_number() OVER (PARTITION BY team_name, player_name, snapsh
 SELECT team_name, player_name, position, minutes_90s, goals, assists, impact_score, snapshot_date,
        TIMESTAMP '{TS}' AS created_at
 FROM ded WHERE rn = 1"""
+    early = "DATE '2026-01-01' AS snapshot_date, TIMESTAMP '" + TS + "' AS created_at"
+    even = PLAYERS.replace("FROM part LEFT", "FROM (SELECT * FROM part WHERE p_partkey % 2 = 0) part LEFT")
+    late = PLAYERS + ",\nplx AS (SELECT * FROM pl WHERE squad <> 'Arsenal')"
+    feats = lambda pl, idx: f"(WITH {ALIASES},\n{pl},\n{idx}\nSELECT * FROM feats)"
+    cols = "team AS team_name, '2025/2026' AS season, attack_index, creation_index, defensive_index, squad_depth"
+    sql["snapshot_player_strength_merge"] = f"""WITH b AS (SELECT {cols}, {stamp} FROM {feats(late, SQUAD_IDX.replace("FROM pl ", "FROM plx "))}),
+st AS (SELECT {cols}, {early} FROM {feats(even, SQUAD_IDX)})
+SELECT * FROM b UNION ALL SELECT * FROM st WHERE team_name NOT IN (SELECT team_name FROM b)"""
+    impact = lambda pl: f"(WITH {ALIASES},\n{pl},\n{IMPACT}\nSELECT * FROM impact)"
+    history = "\nUNION ALL ".join(
+        f"SELECT team_name, player_name, position, minutes_90s, goals, assists, impact_score, DATE '{day}' AS snapshot_date, rank FROM {impact(pl)}"
+        for day, pl in (("2026-01-01", even), (FIXED_DATE, PLAYERS)))
+    sql["impact_history"] = f"""SELECT * EXCLUDE (rank, rn), TIMESTAMP '{TS}' AS created_at FROM (
+SELECT *, row_number() OVER (PARTITION BY team_name, player_name, snapshot_date ORDER BY rank DESC) AS rn FROM ({history})) WHERE rn = 1"""
+    style_cols = """team_name, '2025/2026' AS season, matches_count, avg_goals_scored, avg_goals_conceded,
+       clean_sheet_rate, btts_rate, avg_goal_diff"""
+    some = STYLE.replace("FROM sty\n", "FROM (SELECT * FROM sty WHERE hraw NOT LIKE '%Arsenal%' AND araw NOT LIKE '%Arsenal%')\n")
+    sql["snapshot_style_merge"] = f"""WITH b AS (SELECT {style_cols}, {stamp} FROM ({BASE},\n{ALIASES},\n{some}\nSELECT * FROM style)),
+st AS (SELECT {style_cols}, {early} FROM ({BASE},\n{ALIASES},\n{STYLE}\nSELECT * FROM style))
+SELECT * FROM b UNION ALL SELECT * FROM st WHERE team_name NOT IN (SELECT team_name FROM b)"""
+    name = f"{_list(TEAM_LABELS)}[p_partkey % 25 + 1]"
+    sql["literal_names_nested"] = f"""SELECT name, by_python, count(*)::BIGINT AS rows FROM (
+SELECT CASE p_partkey % 7 WHEN 3 THEN 'Nott''m Forest' WHEN 5 THEN '' WHEN 6 THEN '{{''home_team_name'': [''a'', ''b'']}}' ELSE {name} END AS name,
+       p_partkey % 7 IN (3, 4) AS by_python FROM part) GROUP BY ALL"""
+    bare = PLAYERS
+    for column in ("(p_partkey % 13) / CAST(4 AS DOUBLE) AS xag", "CAST(p_partkey % 3 AS DOUBLE) AS blocks", "CAST(p_partkey % 8 AS DOUBLE) AS clr"):
+        bare = bare.replace(column, "0.0::DOUBLE AS " + column.split(" AS ")[-1])
+    bare = bare.replace("ELSE CAST(p_partkey % 9 AS DOUBLE) END AS tkl_int", "ELSE 0.0::DOUBLE END AS tkl_int")
+    sql["missing_columns"] = f"WITH {ALIASES},\n{bare},\n{SQUAD_IDX}\nSELECT * FROM feats"
+    tokens = [*PANDAS_NA_TOKENS, "na", "none", " NA", "N/A ", "nil"]
+    sql["na_tokens"] = f"""SELECT CASE WHEN NOT list_contains({_list(PANDAS_NA_TOKENS)}, c) THEN c END AS cell, count(*)::BIGINT AS rows FROM (
+SELECT CASE WHEN p_partkey % 3 = 0 THEN {_list(tokens)}[p_partkey % {len(tokens)} + 1] ELSE p_brand END AS c FROM part) GROUP BY 1"""
+    sql["ordered_matches"] = f"{BASE}\nSELECT event_id, time_utc FROM fin ORDER BY time_utc"
+    text = lambda x: f"'\"' || {x} || '\"'"
+    fields = [("model_name", text("model_name")), ("version", text("version")), ("algorithm", text("algorithm")),
+              ("training_source", text("training_source")), ("training_matches", "training_matches"),
+              ("date_range", f"'{{\"from\":' || {text('date_from')} || ',\"to\":' || {text('date_to')} || '}}'"), ("league", text("league")),
+              ("league_averages", "'{\"home_goals_per_match\":' || home_goals_per_match || ',\"away_goals_per_match\":' || away_goals_per_match"
+                                  " || ',\"total_goals_per_match\":' || total_goals_per_match || '}'"),
+              ("teams_trained", "teams_trained"), ("kaggle_enriched_teams", "kaggle_enriched_teams"),
+              ("kaggle_features", q("[" + ",".join(f'"{c}"' for c in CARD_FEATURES) + "]")),
+              ("trained_at", q(f'"{FIXED_TS.strftime("%Y-%m-%dT%H:%M:%S")}.000"'))]
+    body = " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in fields)
+    sql["model_card_json"] = f"SELECT '{{' || {body} || '}}' AS model_card FROM ({sql['model_card']})"
+    nothing = ", ".join(f"NULL::{t} AS {c}" for c, t in (
+        ("xg_attack_home", "DOUBLE"), ("xg_defense_home", "DOUBLE"), ("xg_attack_away", "DOUBLE"), ("xg_defense_away", "DOUBLE"),
+        ("xg_matches", "BIGINT"), ("attack_index", "DOUBLE"), ("creation_index", "DOUBLE"), ("defensive_index", "DOUBLE"), ("squad_depth", "INTEGER")))
+    sql["plain_training"] = f"{BASE},\n{ROLE_FRAMES},\n{STRENGTHS_CTE}\nSELECT strengths.*, {nothing} FROM strengths"
+    eligible = "SELECT count(*)::BIGINT FROM pl WHERE contains(comp, 'Premier League') AND nineties >="
+    sql["stage_counts"] = f"""{BASE},
+{ALIASES},
+{PLAYERS}
+SELECT 'matches' AS stage, count(*)::BIGINT AS rows FROM fin
+UNION ALL SELECT 'xg', count(*)::BIGINT FROM lineitem WHERE l_extendedprice > {XG_PRICE}
+UNION ALL SELECT 'players', ({eligible} 1.0)
+UNION ALL SELECT 'impact_players', ({eligible} 3.0)
+UNION ALL SELECT 'style', count(*)::BIGINT FROM lines_fx
+UNION ALL SELECT 'residual_literals', 0::BIGINT"""
+    key = "('0x' || substr(md5(event_id), 1, 6))::INTEGER"
+    sql["null_names"] = f"""{BASE},
+fin2 AS (SELECT * REPLACE (CASE WHEN {key} % 11 <> 0 THEN home_team_name END AS home_team_name)
+         FROM fin WHERE {key} % 13 <> 0),
+{ROLE_FRAMES.replace("FROM fin", "FROM fin2")},
+{STRENGTHS_CTE}
+SELECT * FROM strengths"""
     return sql
 
 

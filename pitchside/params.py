@@ -71,6 +71,11 @@ PANDAS_NA_TOKENS = [
 ]
 
 
+def utc_now() -> _dt.datetime:
+    """The current time in UTC, whatever the session's or the machine's zone."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 @dataclass(frozen=True)
 class Params:
     """Tunable parameters; defaults reproduce the modelled job."""
@@ -86,12 +91,10 @@ class Params:
     top_k: int = 10                   # W2
     competition: str = "Premier League"  # P4
     season: str = "2025/2026"         # P12
-    snapshot_date: str | None = None  # P12; ISO date, None -> today (job only)
-    created_at: _dt.datetime | None = None  # P12; None -> current_timestamp (job only)
-    trained_at: _dt.datetime | None = None  # model header; None -> current_timestamp
+    snapshot_date: str | None = None  # P12; ISO date, None -> today in UTC
+    created_at: _dt.datetime | None = None  # P12; None -> now in UTC
+    trained_at: _dt.datetime | None = None  # model header; None -> now in UTC
     aliases: dict[str, str] = field(default_factory=lambda: dict(TEAM_ALIASES))
-    # Row bound under which a dimension-like side is broadcast (checked, see session).
-    broadcast_max_rows: int = 2_000_000
 
 
 DEFAULT = Params()

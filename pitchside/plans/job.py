@@ -1,73 +1,151 @@
-"""The scheduled job C9: gate -> features -> train -> model sinks -> snapshots.
+"""The scheduled job C9: load -> gate -> features -> train -> model -> snapshots.
 
-Fault tolerance: the per-team totals (the only product of the big match scan
-that several outputs share) are checkpointed into the cluster's shared
-``spark.checkpoint.dir``, so a lost executor never forces a re-scan of the
-fact for the later outputs.  All writes go to fresh version folders and
-become visible through one manifest written last.
+``python -m pitchside.plans.job --matches DIR --out DIR [--players CSV] [--style CSV]`` runs it on
+tables ``events``, ``teams`` and ``match_stats`` (parquet folders, or a database through
+:mod:`pitchside.sources.jdbc`).
+
+The model is published before the snapshots are tried, and a snapshot that fails is logged and
+leaves the model in place; so is an xG source that fails, after which training goes on without xG.
+One UTC timestamp marks all outputs of a run.
+
+Fault tolerance: the per-team totals and the trained rows, which several outputs share, are
+checkpointed into the cluster's shared ``spark.checkpoint.dir``; all writes go to fresh version
+folders and become visible through a manifest written after them.
 """
 
 from __future__ import annotations
 
+import argparse
 import logging
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.operators import impact, players, quality, style
-from pitchside.params import Params
+from pitchside.functions.literals import with_literal_fields
+from pitchside.operators import card, impact, matches, players, quality, strength, style, xg
+from pitchside.params import Params, utc_now
 from pitchside.plans import sinks, snapshots
 from pitchside.plans.training import team_totals, train
 from pitchside.session import ensure_checkpoint_dir
+from pitchside.sources import files
 
 log = logging.getLogger(__name__)
 
+IMPACT = "player_absence_impact"
+
 
 @dataclass
 class JobInputs:
     matches: DataFrame                  # finished matches (S1 shape)
-    xg_rows: DataFrame | None = None    # S2 shape
+    xg_rows: DataFrame | Callable[[], DataFrame] | None = None  # S2 shape, or what reads it
     players: DataFrame | None = None    # S3 shape (renamed columns)
     style_matches: DataFrame | None = None  # S4 shape
 
 
-def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params = Params(),
-        version: str | None = None) -> dict[str, str]:
+def load(events: DataFrame, teams: DataFrame, match_stats: Callable[[], DataFrame], players_csv: str | None = None,
+         style_csv: str | None = None) -> JobInputs:
+    """C4 and the file sources; a missing file means no such input."""
+    spark = events.sparkSession
+    read = lambda path, reader: reader(spark, path) if path and files.exists(spark, path) else None
+    return JobInputs(
+        matches=matches.finished_matches(events, teams),
+        xg_rows=lambda: matches.xg_matches(match_stats(), events, teams),
+        players=read(players_csv, files.read_players), style_matches=read(style_csv, files.read_style_matches))
+
+
+def _xg_sums(inputs: JobInputs) -> DataFrame | None:
+    """xG per team, or None if there is no source or it fails."""
+    if inputs.xg_rows is None:
+        return None
+    try:
+        rows = inputs.xg_rows() if callable(inputs.xg_rows) else inputs.xg_rows
+        return xg.xg_team_sums(rows).checkpoint()
+    except Exception as exc:  # noqa: BLE001  whatever the source raises, there is no xG then
+        log.warning("no xG: %s", exc)
+        return None
+
+
+def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params = Params()) -> dict[str, str]:
     """Run the whole job; returns table -> written path."""
     ensure_checkpoint_dir(spark)
-    version = version or sinks.new_version()
+    now = utc_now()
+    params = replace(params, trained_at=params.trained_at or now, created_at=params.created_at or now,
+                     snapshot_date=params.snapshot_date or now.date().isoformat())
+    counts: dict[str, int] = {}
 
-    counted, match_obs = quality.observed(inputs.matches, "matches")        # G3
-    totals = team_totals(counted).checkpoint(eager=True)
-    log.info("stage counts: %s", {"matches": match_obs.get.get("rows")})
-    n_raw = totals.agg(F.sum("raw_home_rows").alias("n")).first()["n"] or 0
-    if n_raw < params.min_matches:                      # G1, before coercion
-        raise quality.GateError(f"Too few matches ({n_raw}) to train reliably")
+    totals = team_totals(inputs.matches).checkpoint()
+    seen = totals.agg(F.sum("raw_home_rows").alias("matches"), F.sum("home_matches").alias("valid_matches"),
+                      F.count_if(F.col("named_rows") > 0).alias("teams")).first()
+    counts |= {k: v or 0 for k, v in seen.asDict().items()}
+    quality.require_rows(counts["matches"], params.min_matches)              # G1, before coercion
 
-    has_players = inputs.players is not None and not inputs.players.isEmpty()
-    features = players.player_strength_index(inputs.players, params) if has_players else None
-    result = train(inputs.matches, inputs.xg_rows, features, params, totals=totals)
-    written = sinks.write_model(result, out_base, version)
+    features = None
+    if inputs.players is not None:
+        features = players.player_strength_index(inputs.players, params).checkpoint()
+        counts["featured_teams"] = features.count()
+    sums = _xg_sums(inputs)
+    if sums is not None:
+        counts["xg_rows"] = sums.agg(F.sum("xg_home_rows")).first()[0] or 0
+    result = train(inputs.matches, None, features, params, totals=totals, xg_sums=sums)
+    rows = result.everything.checkpoint()
+    counts["enriched_teams"] = rows.filter("attack_index IS NOT NULL").count()
 
+    version = sinks.new_version()
+    written = {
+        "team_strengths": sinks.write_table(rows.drop(*strength.LEAGUE_COLS), out_base, "team_strengths", version),
+        "league_params": sinks.write_table(card.model_header(rows, params), out_base, "league_params", version),
+        "model_card": sinks.write_table(card.card_json(card.model_card(rows, params)), out_base, "model_card", version, fmt="text"),
+    }
     current = sinks.current_paths(spark, out_base)
+    sinks.publish(spark, out_base, version, current | written)
+    log.info("published model %s: %s", version, counts)                      # G3
+    try:
+        written |= write_snapshots(spark, inputs, features, out_base, params)
+    except Exception as exc:  # noqa: BLE001  the model stays published whatever a snapshot raises
+        log.warning("snapshots failed, the model is published: %s", exc)
+    return written
 
-    def stored(name):
+
+def write_snapshots(spark: SparkSession, inputs: JobInputs, features: DataFrame | None, out_base: str, params: Params) -> dict[str, str]:
+    """Upsert the three snapshot tables and publish them together."""
+    current = sinks.current_paths(spark, out_base)
+    version = sinks.new_version()
+
+    def stored(name: str) -> DataFrame | None:
         return spark.read.parquet(current[name]) if name in current else None
 
     tables = {}
     if features is not None:
-        tables["team_player_strength_snapshot"] = snapshots.player_strength_snapshot(
-            features, params, stored("team_player_strength_snapshot"))
-        tables["player_absence_impact"] = snapshots.impact_snapshot(
-            impact.player_impact(inputs.players, params), params, stored("player_absence_impact"))
+        name = "team_player_strength_snapshot"
+        tables[name] = snapshots.player_strength_snapshot(features, params, stored(name))
+        day = f"{IMPACT}/{params.snapshot_date}"                              # other days stay as they are
+        tables[day] = snapshots.impact_snapshot(impact.player_impact(inputs.players, params), params, stored(day))
     if inputs.style_matches is not None:
-        tables["team_style_snapshot"] = snapshots.style_snapshot(
-            style.team_style(inputs.style_matches, params), params, stored("team_style_snapshot"))
-    for name, df in tables.items():
-        written[name] = sinks.write_table(df, out_base, name, version)
-    # Tables not refreshed this run keep their previous version.
-    merged = {**current, **written}
-    sinks.publish(spark, out_base, version, merged)
-    log.info("published version %s: %s", version, sorted(merged))
+        name = "team_style_snapshot"
+        tables[name] = snapshots.style_snapshot(style.team_style(inputs.style_matches, params), params, stored(name))
+        by_python = with_literal_fields(inputs.style_matches, [(c, f"{c}_name", c[:4]) for c in ("home_team", "away_team")], pending=True)
+        by_python, seen = quality.observed(by_python.filter("home_pending OR away_pending"), "residual_literals")
+        by_python.write.format("noop").mode("overwrite").save()
+        log.info("stage counts: %s", {"residual_literals": seen.get["rows"]})
+    written = {name: sinks.write_table(df, out_base, name, version) for name, df in tables.items()}
+    if written:
+        sinks.publish(spark, out_base, version, current | written)
     return written
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = argparse.ArgumentParser(prog="pitchside.plans.job")
+    args.add_argument("--matches", required=True, help="folder with the tables events, teams and match_stats as parquet")
+    args.add_argument("--out", required=True)
+    args.add_argument("--players", help="player-season CSV")
+    args.add_argument("--style", help="style-match CSV")
+    a = args.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    read = lambda name: spark.read.parquet(f"{a.matches}/{name}")
+    run(spark, load(read("events"), read("teams"), lambda: read("match_stats"), a.players, a.style), a.out)
+
+
+if __name__ == "__main__":
+    main()

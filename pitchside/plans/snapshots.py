@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pitchside.operators.card import stamp
 from pitchside.operators.upsert import upsert
-from pitchside.params import Params
+from pitchside.params import Params, utc_now
 
 PLAYER_STRENGTH_KEYS = ["team_name", "season"]
 STYLE_KEYS = ["team_name", "season"]
@@ -20,7 +20,7 @@ IMPACT_KEYS = ["team_name", "player_name", "snapshot_date"]
 
 
 def _date(params: Params):
-    return F.lit(params.snapshot_date).cast("date") if params.snapshot_date else F.current_date()
+    return F.lit(params.snapshot_date or utc_now().date().isoformat()).cast("date")
 
 
 def player_strength_batch(features: DataFrame, params: Params = Params()) -> DataFrame:
@@ -67,5 +67,6 @@ def style_snapshot(style, params=Params(), stored=None):
 
 
 def impact_snapshot(impact, params=Params(), stored=None):
+    """``stored`` need only hold the batch's own day: other days have other keys and stay as they are."""
     out = apply(stored, impact_batch(impact, params), IMPACT_KEYS, params, order_cols=["rank"])
     return out.drop("rank")

@@ -7,30 +7,34 @@ runs one operator or composite from the library over the whole input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchside.functions.literals import with_literal_fields
 from pitchside.functions.text import canonical_team
 from pitchside.functions.numeric import number_or_zero, to_number
 from pitchside.operators import (
     card, enrich, impact, matches, players, quality, reshape, strength, style, upsert, xg,
 )
 from pitchside.plans import snapshots
-from pitchside.plans.training import team_totals, train
+from pitchside.plans.training import train, train_from_events
 from pitchside.params import TESTED, Params
+from pitchside.sources import files
 from pitchside.sources import fixtures as fx
 
 P: Params = TESTED
+EARLIER: Params = replace(TESTED, snapshot_date="2026-01-01")
 
 
 def _finished(spark: SparkSession, d: str) -> DataFrame:
-    return matches.finished_matches(fx.events(spark, d, P), fx.teams(spark, d), P)
+    return matches.finished_matches(fx.events(spark, d), fx.teams(spark, d))
 
 
 def _xg_rows(spark: SparkSession, d: str) -> DataFrame:
-    return matches.xg_matches(fx.match_stats(spark, d), fx.events(spark, d, P),
-                              fx.teams(spark, d), P)
+    return matches.xg_matches(fx.match_stats(spark, d), fx.events(spark, d), fx.teams(spark, d))
 
 
 def q_finished_matches(spark, d):
@@ -72,7 +76,7 @@ def q_xg_matches(spark, d):
 
 
 def q_xg_strengths(spark, d):
-    trained = strength.team_strengths(_finished(spark, d), P).select("team")
+    trained = reshape.team_set(strength.coerce_scores(_finished(spark, d)))
     return xg.xg_strengths(_xg_rows(spark, d), trained, P)
 
 
@@ -101,18 +105,21 @@ def q_player_impact_top10(spark, d):
 
 
 def q_team_style(spark, d):
-    return style.team_style(fx.style_matches(spark, d, P), P)
+    return style.team_style(fx.style_matches(spark, d), P)
 
 
 def q_literal_names(spark, d):
-    named = style.cell_pair_names(fx.style_matches(spark, d, P), P)
+    named = style.cell_pair_names(fx.style_matches(spark, d), P)
     return named.groupBy("home_name", "away_name").agg(F.sum("rows").alias("rows"))
 
 
 def _trained(spark, d):
-    f = _finished(spark, d)
     feats = players.player_strength_index(fx.players(spark, d), P)
-    return train(f, _xg_rows(spark, d), feats, P)
+    return train_from_events(fx.events(spark, d), fx.teams(spark, d), fx.match_stats(spark, d), feats, P)
+
+
+def _trained_without_xg(spark, d):
+    return train(_finished(spark, d), None, players.player_strength_index(fx.players(spark, d), P), P)
 
 
 def q_full_training(spark, d):
@@ -120,19 +127,19 @@ def q_full_training(spark, d):
 
 
 def q_league_params(spark, d):
-    return _trained(spark, d).league_params
+    return _trained_without_xg(spark, d).league_params
 
 
 def q_model_card(spark, d):
-    return card.model_card_flat(_trained(spark, d).with_league, P)
+    return card.model_card_flat(_trained_without_xg(spark, d).with_league, P)
 
 
 def q_numeric_coercion(spark, d):
-    raw = fx.style_matches(spark, d, P)
+    raw = fx.style_matches(spark, d)
     return raw.groupBy(F.col("home_score").alias("score_text")).agg(
-        F.count(F.lit(1)).alias("rows")).select(
+        F.count(F.lit(1)).alias("rows")).withColumn("parsed", to_number("score_text")).select(
         "score_text",
-        to_number("score_text").alias("parsed"),
+        F.expr("nullif(parsed, double('NaN'))").alias("parsed"), F.expr("coalesce(isnan(parsed), false)").alias("is_nan"),
         number_or_zero("score_text").alias("filled"),
         "rows",
     )
@@ -140,6 +147,7 @@ def q_numeric_coercion(spark, d):
 
 def q_upsert_latest(spark, d):
     stored, batch = fx.upsert_tables(spark, d)
+    stored = upsert.latest_rows(stored, ["o_custkey"], ["ordinal"])
     return upsert.upsert(stored, batch, ["o_custkey"], ["ordinal"]).drop("ordinal")
 
 
@@ -149,13 +157,91 @@ def q_snapshot_player_strength(spark, d):
 
 
 def q_snapshot_style(spark, d):
-    return snapshots.style_snapshot(style.team_style(fx.style_matches(spark, d, P), P), P)
+    return snapshots.style_snapshot(style.team_style(fx.style_matches(spark, d), P), P)
 
 
 def q_snapshot_impact(spark, d):
     return snapshots.impact_snapshot(impact.player_impact(fx.players(spark, d), P), P)
 
 
+def _split_players(spark, d):
+    """The player file as it stood on two days: first the parts with an even key, then all."""
+    p = fx.players(spark, d)
+    return p.filter("ordinal % 2 = 0"), p
+
+
+def q_snapshot_player_strength_merge(spark, d):
+    early, late = _split_players(spark, d)
+    stored = snapshots.player_strength_snapshot(players.player_strength_index(early, EARLIER), EARLIER)
+    batch = players.player_strength_index(late.filter("Squad <> 'Arsenal'"), P)
+    return snapshots.player_strength_snapshot(batch, P, stored)
+
+
+def q_impact_history(spark, d):
+    early, late = _split_players(spark, d)
+    stored = snapshots.impact_snapshot(impact.player_impact(early, EARLIER), EARLIER)
+    return snapshots.impact_snapshot(impact.player_impact(late, P), P, stored)
+
+
+def q_snapshot_style_merge(spark, d):
+    rows = fx.style_matches(spark, d)
+    stored = snapshots.style_snapshot(style.team_style(rows, EARLIER), EARLIER)
+    batch = style.team_style(rows.filter("home_team NOT LIKE '%Arsenal%' AND away_team NOT LIKE '%Arsenal%'"), P)
+    return snapshots.style_snapshot(batch, P, stored)
+
+
+def q_literal_names_nested(spark, d):
+    named = with_literal_fields(fx.nested_cells(spark, d), [("cell", "home_team_name", "name")], pending=True)
+    return named.groupBy("name", F.col("name_pending").alias("by_python")).agg(F.count("*").alias("rows"))
+
+
+def q_missing_columns(spark, d):
+    absent = fx.players(spark, d).drop("tkl_int", "Blocks", "Clr", "xAG")
+    return players.player_strength_index(absent, P)
+
+
+def q_na_tokens(spark, d):
+    cells = files.null_na_tokens(fx.token_cells(spark, d), ["cell"])
+    return cells.groupBy("cell").agg(F.count("*").alias("rows"))
+
+
+def q_ordered_matches(spark, d):
+    out = matches.finished_matches(fx.events(spark, d), fx.teams(spark, d), ordered=True)
+    return out.select("event_id", "time_utc")
+
+
+def q_model_card_json(spark, d):
+    return card.card_json(_trained_without_xg(spark, d).model_card)
+
+
+def q_plain_training(spark, d):
+    """Neither xG nor features."""
+    return train(_finished(spark, d), None, None, P).team_strengths
+
+
+def q_stage_counts(spark, d):
+    """Rows after each stage, and the literal cells that Python decided."""
+    ev, tm = fx.events(spark, d), fx.teams(spark, d)
+    pairs = with_literal_fields(fx.style_matches(spark, d), [("home_team", "home_team_name", "h")], pending=True)
+    stages = {
+        "matches": matches.finished_matches(ev, tm), "xg": matches.xg_rows(fx.match_stats(spark, d)),
+        "players": players.eligible_players(fx.players(spark, d), P.index_min_90s, P),
+        "impact_players": players.eligible_players(fx.players(spark, d), P.impact_min_90s, P),
+        "style": fx.style_matches(spark, d), "residual_literals": pairs.filter("h_pending"),
+    }
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(k).alias("stage"), "rows") for k, df in stages.items()]
+    return reduce(DataFrame.union, counts)
+
+
+def q_null_names(spark, d):
+    """Strengths where every 11th match lacks its home team, every 13th its away score."""
+    m = _finished(spark, d)
+    key = F.conv(F.substring(F.md5("event_id"), 1, 6), 16, 10).cast("int")
+    m = m.withColumns({"home_team_name": F.when(key % 11 != 0, F.col("home_team_name")),
+                       "away_score": F.when(key % 13 != 0, F.col("away_score"))})
+    return strength.team_strengths(m, P)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "finished_matches": q_finished_matches,
     "league_averages": q_league_averages,
@@ -181,4 +267,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_player_strength": q_snapshot_player_strength,
     "snapshot_style": q_snapshot_style,
     "snapshot_impact": q_snapshot_impact,
+    "snapshot_player_strength_merge": q_snapshot_player_strength_merge,
+    "snapshot_style_merge": q_snapshot_style_merge,
+    "impact_history": q_impact_history,
+    "literal_names_nested": q_literal_names_nested,
+    "missing_columns": q_missing_columns,
+    "na_tokens": q_na_tokens,
+    "ordered_matches": q_ordered_matches,
+    "model_card_json": q_model_card_json,
+    "plain_training": q_plain_training,
+    "stage_counts": q_stage_counts,
+    "null_names": q_null_names,
 }

@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings the library relies on.  AQE re-plans joins from real shuffle sizes
 # (broadcasting small aggregates, splitting skewed partitions) and coalesces
@@ -42,50 +41,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is always respected.  Only a bare local session (tests) gets a fresh
-    scratch folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder and is always
+    respected; without it there is an error, as a machine's own disk would hold state that other
+    machines need.  Only a local master (tests, the benchmark) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="pitchside-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint a stored dimension only after checking its row count.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so a dimension that
-    has grown past the bound is never fully counted nor broadcast; the join then
-    falls back to a shuffle join that AQE may still convert at run time.  Use it
-    for stored dimensions, not for aggregates derived from a fact (counting
-    those would run the aggregation twice; AQE sizes them from shuffle output).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-_FITS: dict[tuple, bool] = {}
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``offset(max_rows).isEmpty()`` is answered by an incremental take: Spark
-    scans partitions in growing batches and stops once ``max_rows + 1``
-    zero-width rows were seen, so checking a dimension that has grown to
-    billions of rows still reads only about ``max_rows`` of them.  Answers are
-    memoised per plan and input-file list (a new file invalidates the entry);
-    the answer only steers the join strategy, never the result.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _FITS:
-        _FITS[key] = df.select().offset(max_rows).isEmpty()
-    return _FITS[key]
+    if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        current = scratch_dir("pitchside-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_dir(prefix: str = "pitchside-") -> str:

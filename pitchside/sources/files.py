@@ -23,9 +23,11 @@ from pitchside.params import PANDAS_NA_TOKENS
 PLAYER_RENAMES = {"90s": "nineties", "Tkl+Int": "tkl_int"}
 
 
-def csv_reader(spark: SparkSession):
+def csv_reader(spark: SparkSession, multi_line: bool = False):
+    """Large files are read in splits.  Cells with line breaks need ``multi_line``, which reads each
+    file in one task; convert such a file once."""
     return (spark.read.option("header", True).option("escape", '"')
-            .option("multiLine", True).option("mode", "PERMISSIVE"))
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
 
 
 def null_na_tokens(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -39,21 +41,29 @@ def null_na_tokens(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def _with_ordinal(df: DataFrame) -> DataFrame:
-    # File order: increasing within a split, splits in file order.
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    # File order whatever the order of the splits: file, block, place in the block.
+    return df.withColumn("ordinal", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")))
 
 
-def read_players(spark: SparkSession, path: str) -> DataFrame:
+def read_players(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: player-season file -> text columns, renamed, NA tokens nulled,
     plus ``ordinal`` (file order) for top-k tie breaks."""
-    df = csv_reader(spark).csv(path)
+    df = _with_ordinal(csv_reader(spark, multi_line).csv(path))
     df = df.withColumnsRenamed({k: v for k, v in PLAYER_RENAMES.items() if k in df.columns})
-    return _with_ordinal(null_na_tokens(df))
+    return null_na_tokens(df)
 
 
-def read_style_matches(spark: SparkSession, path: str) -> DataFrame:
+def read_style_matches(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Style-match file (``home_team, away_team, home_score, away_score``)."""
-    return _with_ordinal(null_na_tokens(csv_reader(spark).csv(path)))
+    return null_na_tokens(_with_ordinal(csv_reader(spark, multi_line).csv(path)))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, in whatever store Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
 
 
 def optional_source(spark: SparkSession, path: str | None, read, schema: StructType) -> DataFrame:

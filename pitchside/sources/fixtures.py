@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.functions import sqltext as S
-from pitchside.params import Params, STATUS_ENDED, XG_METRIC
-from pitchside.session import broadcast_if_small, fits
+from pitchside.params import PANDAS_NA_TOKENS, STATUS_ENDED, XG_METRIC
 
 # Fixture labels: club name per nation key 0..24 (teams as stored in the match
 # database, mostly canonical; "Spurs" is deliberately not).
@@ -65,61 +64,26 @@ XG_PRICE = 103500.0
 UPSERT_SPLIT = "1999-01-01"
 
 
-_READERS: dict[tuple, DataFrame] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One reader per session and table: the driver-side file listing and
-    footer read happen once, not once per query (the tables are immutable)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _READERS[key]
-
-
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
-def _view(build):
-    """Build an adapter view once per session, table folder and bound, as a
-    registered temp view would be: DataFrames are immutable plans, so every
-    query can start from the same one."""
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        bound = args[0].broadcast_max_rows if args else Params().broadcast_max_rows
-        key = (build.__name__, id(spark), spark.sparkContext.applicationId, sf_dir, bound)
-        if key not in _VIEWS:
-            _VIEWS[key] = build(spark, sf_dir, *args)
-        return _VIEWS[key]
-    wrapper.__name__, wrapper.__doc__ = build.__name__, build.__doc__
-    return wrapper
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _EVENT_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
              "date_format(l_shipdate, 'yyyyMMdd'), CAST(l_quantity AS BIGINT))")
 
 
-@_view
-def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
+def match_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their match id, both team ids, scores and status."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
     )
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    cust = broadcast_if_small(
-        _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-        params.broadcast_max_rows)
-    supp = broadcast_if_small(
-        _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-        params.broadcast_max_rows)
-    # orders x customer first: it is a quarter of the line count.  It is the
-    # build side against lineitem only while orders fits the checked bound;
-    # beyond it both sides shuffle on the order key (sort-merge join).
+    cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    supp = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # orders x customer first: it is a quarter of the line count
     order_side = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    if fits(orders, params.broadcast_max_rows):
-        order_side = F.broadcast(order_side)
-    lines = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(
-        supp, li.l_suppkey == supp.s_suppkey)
+    lines = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(supp, li.l_suppkey == supp.s_suppkey)
     return lines.selectExpr(
         f"{_EVENT_ID} AS event_id",
         "CAST(s_nationkey AS BIGINT) AS home_team_id",
@@ -127,22 +91,20 @@ def match_lines(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
         "CAST(CAST(l_quantity AS INT) % 5 AS DOUBLE) AS home_score",
         "CAST(l_linenumber % 4 AS DOUBLE) AS away_score",
         "o_orderdate AS time_utc",
-        f"CASE o_orderstatus WHEN 'F' THEN {STATUS_ENDED} WHEN 'P' THEN 1 ELSE 0 END AS time_status",
+        f"IF(o_orderstatus = 'F', {STATUS_ENDED}, 0) AS time_status",
         "l_partkey", "l_linenumber",
     )
 
 
-@_view
-def events(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 match fact: ``id, home_team_id, away_team_id, home_score, away_score,
     time_utc, time_status``."""
-    return match_lines(spark, sf_dir, params).selectExpr(
+    return match_lines(spark, sf_dir).selectExpr(
         "event_id AS id", "home_team_id", "away_team_id",
         "home_score", "away_score", "time_utc", "time_status",
     )
 
 
-@_view
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team dimension ``id, name`` from nation."""
     return _read(spark, sf_dir, "nation").selectExpr(
@@ -151,7 +113,6 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2 long metric table ``event_id, metric, home_value, away_value``."""
     is_xg = f"l_extendedprice > {XG_PRICE!r}D"
@@ -163,7 +124,6 @@ def match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3 player-season rows with the player file's column names.
 
@@ -207,16 +167,19 @@ def score_text(pk: str, score: str) -> str:
     return (f"CASE WHEN {pk} % 41 = 0 THEN 'x' "
             f"WHEN {pk} % 43 = 0 THEN concat(' ', CAST({score} AS STRING), ' ') "
             f"WHEN {pk} % 47 = 0 THEN concat({whole}, 'd') "
+            f"WHEN {pk} % 79 = 0 THEN concat({whole}, 'd ') "
+            f"WHEN {pk} % 83 = 0 THEN concat({whole}, 'f', chr(9)) "
+            f"WHEN {pk} % 71 = 0 THEN 'nan' "
+            f"WHEN {pk} % 73 = 0 THEN CAST(NULL AS STRING) "
             f"WHEN {pk} % 61 = 0 THEN concat({whole}, 'e0') "
             f"ELSE CAST({score} AS STRING) END")
 
 
-@_view
-def style_matches(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
+def style_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V4 style-match rows: ``home_team, away_team`` cells holding a dict
     literal or a bare name, scores as text (some unparsable), plus ``ordinal``."""
-    lines = match_lines(spark, sf_dir, params)
-    t = broadcast_if_small(teams(spark, sf_dir), params.broadcast_max_rows)
+    lines = match_lines(spark, sf_dir)
+    t = teams(spark, sf_dir)
     ht, at = t.alias("ht"), t.alias("at")
     j = (lines.join(ht, F.col("home_team_id") == F.col("ht.id"))
          .join(at, F.col("away_team_id") == F.col("at.id")))
@@ -233,6 +196,28 @@ def style_matches(spark: SparkSession, sf_dir: str, params: Params = Params()) -
     )
 
 
+def nested_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dict literal per part: flat, nested, with escapes, with a trailing comma, a list or no key."""
+    name = f"try_element_at({S.array_of(TEAM_LABELS)}, CAST(p_partkey % 25 AS INT) + 1)"
+    quoted = f"""concat(IF(instr({name}, "'") > 0, '"', "'"), {name}, IF(instr({name}, "'") > 0, '"', "'"))"""
+    return _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey", f"""CASE CAST(p_partkey % 7 AS INT)
+            WHEN 0 THEN concat("{{'home_team_name': ", {quoted}, "}}")
+            WHEN 1 THEN concat("{{'home_team_id': 27, 'home_team_name': ", {quoted}, ", 'country': {{'id': 68, 'home_team_name': 'None', 'ok': True}}}}")
+            WHEN 2 THEN concat("{{'managers': [{{'id': 1, 'nick': None}}, {{'id': 2}}], 'home_team_name': ", {quoted}, "}}")
+            WHEN 3 THEN "{{'home_team_name': 'Nott\\\\'m Forest'}}"
+            WHEN 4 THEN concat("{{'home_team_name': ", {quoted}, ",}}")
+            WHEN 5 THEN "{{'country': {{'home_team_name': 'Inner'}}}}"
+            ELSE "{{'home_team_name': ['a', 'b']}}" END AS cell""")
+
+
+def token_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text cell per part, every third of them a missing-value token or close to one."""
+    tokens = [*PANDAS_NA_TOKENS, "na", "none", " NA", "N/A ", "nil"]
+    return _read(spark, sf_dir, "part").selectExpr(
+        f"IF(p_partkey % 3 = 0, element_at({S.array_of(tokens)}, CAST(p_partkey % {len(tokens)} AS INT) + 1), p_brand) AS cell")
+
+
 def upsert_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """V5: (stored rows, new batch) of per-customer order facts keyed by
     ``o_custkey``; ``ordinal`` orders rows within a batch."""

@@ -9,11 +9,13 @@ kept up to date as finished matches arrive:
   shared checkpoint folder);
 * in ``update`` mode each micro-batch emits the full current totals of the
   teams it touched; ``foreachBatch`` upserts them (K6) into the stored totals
-  table and rewrites the strengths from the merged totals — one row per team,
+  table and rewrites the strengths from the merged totals: one row per team,
   so that step is small whatever the match volume.
 
-Outputs go to new version folders, published through the manifest of
-:mod:`pitchside.plans.sinks` after each batch.
+Outputs have their own table names and share versions and manifest with the batch job
+(:mod:`pitchside.plans.sinks`).  Every attempt at a micro-batch writes new folders, so a replayed one
+reads what is published and overwrites nothing; as totals are whole, replaying them changes nothing.
+A query with a new checkpoint reads all files again and replaces every team it sees.
 """
 
 from __future__ import annotations
@@ -28,13 +30,13 @@ from pitchside.params import Params
 from pitchside.plans import sinks
 from pitchside.session import ensure_checkpoint_dir
 
-TOTALS = "team_totals"
-STRENGTHS = "team_strengths"
+TOTALS = "streamed_team_totals"
+STRENGTHS = "streamed_team_strengths"
 
 
-def refresh_batch(spark: SparkSession, changed: DataFrame, out_base: str, version: str,
-                  params: Params = Params()) -> dict[str, str]:
+def refresh_batch(spark: SparkSession, changed: DataFrame, out_base: str, params: Params = Params()) -> dict[str, str]:
     """Merge one micro-batch of changed per-team totals and republish."""
+    version = sinks.new_version()
     current = sinks.current_paths(spark, out_base)
     stored = spark.read.parquet(current[TOTALS]) if TOTALS in current else None
     merged = upsert(stored, changed, ["team"])
@@ -42,7 +44,7 @@ def refresh_batch(spark: SparkSession, changed: DataFrame, out_base: str, versio
     totals = spark.read.parquet(paths[TOTALS])           # read back: lineage cut at the write
     paths[STRENGTHS] = sinks.write_table(strengths_from_totals(totals, params), out_base,
                                          STRENGTHS, version)
-    sinks.publish(spark, out_base, version, {**current, **paths})
+    sinks.publish(spark, out_base, version, current | paths)
     return paths
 
 
@@ -55,14 +57,9 @@ def start_strength_refresh(spark: SparkSession, source_dir: str, schema: StructT
     otherwise the query keeps running and picks up new files.
     """
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    totals = role_totals(stream)
-
-    def on_batch(changed: DataFrame, epoch_id: int) -> None:
-        # Version names sort by epoch, so a replayed epoch rewrites its own folder.
-        refresh_batch(spark, changed, out_base, f"epoch-{epoch_id:012d}", params)
-
-    writer = (totals.writeStream.outputMode("update").foreachBatch(on_batch)
+    totals = role_totals(spark.readStream.schema(schema).parquet(source_dir))
+    writer = (totals.writeStream.outputMode("update")
+              .foreachBatch(lambda changed, _: refresh_batch(spark, changed, out_base, params) and None)
               .option("checkpointLocation", ckpt).queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

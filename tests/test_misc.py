@@ -1,4 +1,4 @@
-"""Small contracts: JDBC options, bounded size check, impact normalisation,
+"""Small contracts: JDBC options, plans without jobs, impact normalisation,
 presentation order, observed counts."""
 
 from __future__ import annotations
@@ -7,25 +7,34 @@ from pyspark.sql import functions as F
 
 from pitchside.operators import impact, matches, quality
 from pitchside.params import TESTED
-from pitchside.session import broadcast_if_small, fits
 from pitchside.sources import fixtures as fx
-from pitchside.sources.jdbc import FINISHED_SQL, XG_SQL, jdbc_options
+from pitchside import registry
+from pitchside.sources.jdbc import table_options
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_jdbc_options_are_range_partitioned():
-    o = jdbc_options("jdbc:postgresql://db/x", FINISHED_SQL, 1, 1000, 16, user="u")
-    assert o["partitionColumn"] == "event_id" and o["numPartitions"] == "16"
-    assert o["dbtable"].startswith("(SELECT") and o["dbtable"].endswith(") AS src")
-    assert "time_status = 3" in o["dbtable"] and o["user"] == "u" and "password" not in o
-    assert "metric = 'xg'" in jdbc_options("u", XG_SQL, 0, 1, 1)["dbtable"]
+def test_jdbc_tables_are_range_partitioned():
+    o = table_options("jdbc:postgresql://db/x", "events", "id", 1, 1000, 16, user="u")
+    assert o["partitionColumn"] == "id" and o["numPartitions"] == "16" and o["dbtable"] == "events"
+    assert o["user"] == "u" and "password" not in o
+    assert "partitionColumn" not in table_options("u", "teams", None, 0, 1, 1)
 
 
-def test_bounded_size_check(spark):
-    assert fits(spark.range(5), 5) and not fits(spark.range(6), 5)
-    big = spark.range(10_000)
-    assert broadcast_if_small(big, 100) is big          # no hint past the bound
+def test_no_job_runs_while_a_plan_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    events = fx.events(spark, SF)                   # reads parquet footers to know the columns
+    footers = set(tracker.getJobIdsForGroup(None)) - set(before)
+    assert matches.finished_matches(events, events.selectExpr("home_team_id AS id", "'x' AS name")).columns
+    assert set(tracker.getJobIdsForGroup(None)) - set(before) == footers
+
+
+def test_training_reads_the_fact_once(spark):
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("l_quantity")
+    card = registry.QUERIES["model_card"](spark, SF)
+    assert card._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+    assert scans(card) > 0
 
 
 def test_top_impact_of_every_team_is_ten(spark):
@@ -36,7 +45,7 @@ def test_top_impact_of_every_team_is_ten(spark):
 
 
 def test_presentation_order_and_observed_count(spark):
-    fin = matches.finished_matches(fx.events(spark, SF, TESTED), fx.teams(spark, SF), TESTED,
+    fin = matches.finished_matches(fx.events(spark, SF), fx.teams(spark, SF),
                                    ordered=True)
     times = [r[0] for r in fin.select("time_utc").limit(200).collect()]
     assert times == sorted(times)

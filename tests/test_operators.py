@@ -97,11 +97,13 @@ def test_null_team_counts_in_averages_but_is_no_group(spark):
 
 
 def test_bad_scores_are_dropped_or_parsed(spark):
-    rows = [("A", "B", "x", "1"), ("A", "B", "", "1"), ("A", "B", "1d", "1"),
+    rows = [("A", "B", "x", "1"), ("A", "B", "", "1"), ("A", "B", "1d", "1"), ("A", "B", "1d ", "1"), ("A", "B", "1", "2f\t"),
             ("A", "B", " 2 ", "1"), ("B", "A", "1e3", "0"), ("B", "A", "1", "1")]
     la = strength.league_averages(matches(spark, rows)).first()
     assert la["n_matches"] == 3
     assert la["league_avg_home_goals"] == pytest.approx((2 + 1000 + 1) / 3, abs=1e-6)
+    got, exp = by_team(strength.team_strengths(matches(spark, rows))), py_strengths(rows)
+    assert all(close(got[t][k], exp[t][k]) for t in exp for k in exp[t])
 
 
 def test_zero_league_gives_nan_and_floor_applies(spark):
@@ -228,10 +230,10 @@ def test_strip_and_canonical_names(spark):
 
 
 def test_number_parsing_rules(spark):
-    texts = ["1", " 2 ", "1e3", "1d", "2F", "x", "", "inf", "-inf", "nan", "3.5", None]
+    texts = ["1", " 2 ", "1e3", "1d", "2F", "x", "", "inf", "-inf", "nan", "3.5", None, "1d ", "2f\t", "3D  ", " inf "]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(to_number("s")).collect()]
-    exp = [1.0, 2.0, 1000.0, None, None, None, None, math.inf, -math.inf, math.nan, 3.5, None]
+    exp = [1.0, 2.0, 1000.0, None, None, None, None, math.inf, -math.inf, math.nan, 3.5, None, None, None, None, math.inf]
     for g, e in zip(got, exp):
         assert (g is None and e is None) or (isinstance(e, float) and math.isnan(e) and math.isnan(g)) or g == e
 
@@ -283,11 +285,47 @@ def test_upsert_rerun_is_idempotent_and_keeps_absent_keys(spark):
     assert as_set(twice) == as_set(once)
 
 
+def test_upsert_null_keys_and_schema_drift(spark):
+    stored = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    out = upsert.upsert(stored, spark.createDataFrame([(None, 5)], "k string, v int"), ["k"])
+    assert sorted((r["k"] or "", r["v"]) for r in out.collect()) == [("", 5), ("a", 2)]
+    with pytest.raises(upsert.SchemaDrift):
+        upsert.upsert(stored, spark.createDataFrame([("a", 1)], "k string, w int"), ["k"])
+
+
+def test_stored_rows_are_not_sorted(spark):
+    stored = spark.range(100).selectExpr("id AS k", "id AS v")
+    plan = upsert.upsert(stored, stored, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Window" not in plan
+
+
+def test_top_k_is_limited_before_the_exchange_on_team(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [tuple(dict(zip(P_COLS, ["p", "MF", "Arsenal", "Premier League", 5.0, float(i % 90), 0.0, 0.0, 0.0, "0", 0.0, 0.0, 0.0, 0.0,
+                                        0.0, 0.0, i]))[c] for c in P_COLS) for i in range(500)]
+        out = impact.player_impact(player_rows(spark, rows), Params(snapshot_date="2026-01-05"))
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        final = plan.index("hashpartitioning(team_name")
+        assert "WindowGroupLimit [team_name" in plan and plan.count("WindowGroupLimit") >= 3 and final > 0
+        assert [r["goals"] for r in out.orderBy("rank").collect()] == [89] * 5 + [88] * 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_absent_player_and_position_columns_are_empty_text(spark):
+    rows = [("Arsenal", "Premier League", 5.0, 3.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, ["Squad", "Comp", "nineties", "Gls", "Ast", "ordinal"])
+    r = impact.player_impact(df, Params(snapshot_date="2026-01-05")).first()
+    assert r["player_name"] == "" and r["position"] == ""
+
+
 # -------------------------------------------------------------------- gate
 
 def test_row_gate_99_fails_100_passes(spark):
     df99 = spark.range(99)
     assert quality.row_gate(df99, 100).first()["passed"] is False
     with pytest.raises(quality.GateError):
-        quality.enforce_row_gate(df99, 100)
-    assert quality.enforce_row_gate(spark.range(100), 100) == 100
+        quality.require_rows(99, 100)
+    assert quality.require_rows(100, 100) == 100

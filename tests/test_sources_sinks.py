@@ -4,14 +4,15 @@ the end-to-end job with reruns."""
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import literal_field_py, with_literal_field
+from pitchside.functions.literals import literal_field_py, with_literal_field, with_literal_fields
 from pitchside.operators import matches
-from pitchside.params import TESTED
+from pitchside.params import TESTED, utc_now
 from pitchside.plans import job, sinks
 from pitchside.session import scratch_dir
 from pitchside.sources import files
@@ -21,7 +22,8 @@ KEY = "home_team_name"
 
 names = st.text(alphabet=st.sampled_from(list("AbcXyz '\"-.,:{}[]\\é\t")), min_size=0, max_size=12)
 values = st.one_of(names, st.none(), st.booleans(), st.integers(-5, 5),
-                   st.lists(st.integers(0, 3), max_size=2))
+                   st.lists(st.integers(0, 3), max_size=2),
+                   st.dictionaries(st.sampled_from([KEY, "id"]), st.one_of(names, st.none(), st.booleans()), max_size=2))
 dicts = st.dictionaries(st.sampled_from([KEY, "g", "x", "away_team_name"]), values, max_size=3)
 cells = st.one_of(
     dicts.map(repr),                                   # well-formed literals
@@ -35,6 +37,7 @@ cells = st.one_of(
                      "{,}", "{'home_team_name': 'A',}", "{'g': 01, 'home_team_name': 'A'}",
                      "{'g': -0.5, 'home_team_name': 'B'}", "\x01{'home_team_name': 'C'}",
                      "{'home_team_name': 'A', 'g': \"x, 'home_team_name': 'Z'\"}",
+                     "{'home_team_name': 'A'}]", "{'a': 1},{'home_team_name': 'B'}", "{}],[{}", "{'g': NaN}", "{'g': true}",
                      "{'home_team_name': 'A'}\n", "{'home_team_name': 'A' 'B'}"]),
 )
 
@@ -83,24 +86,82 @@ def test_versioned_sinks_publish_last(spark):
     assert sinks.read_current(spark, base, "t").count() == 2
 
 
-def test_job_end_to_end_and_rerun(spark):
-    d = "/root/testdata/sf0.001"
-    base = scratch_dir()
-    params = TESTED
-    ev, tm = fx.events(spark, d, params), fx.teams(spark, d)
-    inputs = job.JobInputs(
-        matches=matches.finished_matches(ev, tm, params),
-        xg_rows=matches.xg_matches(fx.match_stats(spark, d), ev, tm, params),
-        players=fx.players(spark, d),
-        style_matches=fx.style_matches(spark, d, params),
-    )
-    w1 = job.run(spark, inputs, base, params, version="20260105T000000Z")
-    assert {"team_strengths", "league_params", "model_card", "team_player_strength_snapshot",
-            "player_absence_impact", "team_style_snapshot"} <= set(w1)
+def test_long_and_nested_cells(spark):
+    for n in (10, 700, 100_000):
+        cell = "{" + ", ".join(f"'k{i}': 'v{i}'" for i in range(n)) + ", 'home_team_name': 'long', 'c': {'home_team_name': None}}"
+        df = spark.createDataFrame([(cell,)], "cell string")
+        r = with_literal_fields(df, [("cell", KEY, "v")], pending=True).first()
+        assert (r["v"], r["v_pending"]) == ("long", False)
+
+
+def test_large_files_split_and_rows_keep_file_order(spark):
+    d = scratch_dir()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("Player,Squad\nfirst,A\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("Player,Squad\n" + "".join(f"p{i:07d},{'x' * 50}\n" for i in range(200_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        df = files.read_players(spark, d)
+        assert df.rdd.getNumPartitions() >= 3
+        names = [r[0] for r in df.orderBy("ordinal").select("Player").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert names == ["first"] + [f"p{i:07d}" for i in range(200_000)]
+
+
+def job_inputs(spark, d="/root/testdata/sf0.001"):
+    return job.JobInputs(
+        matches=matches.finished_matches(fx.events(spark, d), fx.teams(spark, d)),
+        xg_rows=lambda: matches.xg_matches(fx.match_stats(spark, d), fx.events(spark, d), fx.teams(spark, d)),
+        players=fx.players(spark, d), style_matches=fx.style_matches(spark, d))
+
+
+def test_job_end_to_end_rerun_and_history(spark):
+    base, name = scratch_dir(), f"player_absence_impact/{TESTED.snapshot_date}"
+    w1 = job.run(spark, job_inputs(spark), base, TESTED)
+    assert {"team_strengths", "league_params", "model_card", "team_player_strength_snapshot", name, "team_style_snapshot"} == set(w1)
     first = {k: spark.read.parquet(v).count() for k, v in w1.items() if k != "model_card"}
-    w2 = job.run(spark, inputs, base, params, version="20260105T000001Z")
+    w2 = job.run(spark, job_inputs(spark), base, TESTED)
     second = {k: spark.read.parquet(v).count() for k, v in w2.items() if k != "model_card"}
     assert first == second                                   # same batch twice = once
     card = spark.read.text(w2["model_card"]).first()[0]
     assert '"model_name":"Poisson Match Predictor"' in card and '"date_range":{"from":' in card
     assert sinks.current_paths(spark, base)["team_strengths"] == w2["team_strengths"]
+    job.run(spark, job_inputs(spark), base, replace(TESTED, snapshot_date="2026-01-06"))
+    assert sinks.read_current(spark, base, "player_absence_impact").count() == 2 * first[name]
+    assert sinks.current_paths(spark, base)[name] == w2[name]                  # the earlier day was not written again
+
+
+def test_job_survives_failing_xg_and_snapshots_with_one_utc_time(spark, caplog):
+    base, inputs = scratch_dir(), job_inputs(spark)
+
+    def broken():
+        raise OSError("no such table")
+
+    inputs.xg_rows, inputs.style_matches = broken, spark.range(1)              # a style file without its columns
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        written = job.run(spark, inputs, base)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert "no xG" in caplog.text and "snapshots failed" in caplog.text
+    assert set(written) == {"team_strengths", "league_params", "model_card"} == set(sinks.current_paths(spark, base))
+    assert spark.read.parquet(written["team_strengths"]).filter("xg_matches IS NOT NULL").count() == 0
+    at = spark.read.parquet(written["league_params"]).first()["trained_at"]
+    assert at.isoformat()[:23] in spark.read.text(written["model_card"]).first()[0]
+    assert abs((utc_now() - at).total_seconds()) < 600
+
+
+def test_job_from_files(spark):
+    d, src, out = "/root/testdata/sf0.001", scratch_dir(), scratch_dir()
+    for t in ("events", "teams", "match_stats"):
+        getattr(fx, t)(spark, d).write.parquet(f"{src}/{t}")
+    fx.players(spark, d).drop("ordinal").withColumnsRenamed({"nineties": "90s", "tkl_int": "Tkl+Int"}).coalesce(1).write.option(
+        "header", True).option("escape", '"').csv(f"{src}/players")
+    job.main(["--matches", src, "--out", out, "--players", f"{src}/players", "--style", f"{src}/none.csv"])
+    got = sinks.read_current(spark, out, "team_strengths")
+    assert got.count() == 25 and got.filter("attack_index IS NOT NULL").count() > 20
+    assert "team_style_snapshot" not in sinks.current_paths(spark, out)
