@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from pitchside.oracle import ORACLE_SQL
+from pitchside.registry import QUERIES
 from tests.compare import compare, duck
 
 from .conftest import SF001
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
