@@ -65,8 +65,8 @@ def test_dense_group_and_small_groups(spark):
 
 def test_recall_near_the_limit(spark):
     rng = np.random.default_rng(4)
-    base = unit(rng.normal(size=(6000, 64)))
-    x = np.concatenate([base, near(rng, base[:1500], 0.905)]).astype(np.float32)
+    base = unit(rng.normal(size=(3000, 64)))
+    x = np.concatenate([base, near(rng, base[:1000], 0.905)]).astype(np.float32)
     want = brute(range(len(x)), x)
     got = result(embdedup.embedding_duplicates(frame(spark, range(len(x)), x)))
     assert sum(n for n, _ in got.values()) >= 0.95 * sum(n for n, _ in want.values())
