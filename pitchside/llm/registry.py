@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, embdedup, langid, mixing, neardup, packing, pii, toxicity, urls
+from . import ann, embdedup, langid, licenses, mixing, neardup, packing, pii, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_embedding_dedup": embdedup.op3_embedding_dedup,
     "op4_minhash": neardup.op4_minhash,
+    "op5_licenses": licenses.op5_licenses,
     "op6_language": langid.op6_language,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_pii": pii.op8_pii,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
+    "op5_licenses": licenses.SQL,
     "op8_pii": pii.SQL,
 }
