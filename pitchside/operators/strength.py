@@ -8,6 +8,8 @@ map-side partial aggregates: the shuffle carries one row per team per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType
 from pyspark.sql import functions as F
@@ -123,8 +125,8 @@ LEAGUE_COLS = ["league_n", "league_avg_home", "league_avg_away", "league_first",
 
 
 def strengths_from_totals(totals: DataFrame, params: Params = Params(),
-                          keep_league: bool = False) -> DataFrame:
-    """A5 + A6: role and pooled strengths from per-team totals (rounded to 4).
+                          keep_league: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """A5 + A6: role and pooled strengths from per-team totals (rounded to 4), with the columns to ``carry``.
 
     ``keep_league`` also carries the league figures (match count, means,
     first/last kick-off; the same on every row) so the model card can be
@@ -150,6 +152,7 @@ def strengths_from_totals(totals: DataFrame, params: Params = Params(),
     return t.selectExpr(
         "team",
         *extra,
+        *carry,
         f"{S.rnd(pooled('home_goals_scored', 'away_goals_scored'), 4)} AS attack",
         f"{S.rnd(pooled('home_goals_conceded', 'away_goals_conceded'), 4)} AS defense",
         f"{S.rnd(S.ratio_or_one('home_goals_scored', 'home_matches', 'avg_home', fl), 4)} AS attack_home",

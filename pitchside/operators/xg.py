@@ -39,23 +39,21 @@ def xg_team_sums(xg_rows: DataFrame) -> DataFrame:
     )
 
 
-def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
-    """A7 + J4: per trained team, the four xG ratios and the row count, present
-    only when the team has at least ``params.xg_min_rows`` rows; a role
-    without rows gives 1.0.  ``trained_teams`` has a ``team`` column; all of
-    its columns are carried through (so strengths can be passed directly).
-
-    League means (A2) are window sums over the per-team sums (one row per team; every xG row counts,
-    unknown and null teams included) before the left join from the trained teams; a trained team
-    without xG rows never passes the gate, so it never needs them.
-    """
+SUM_COLS = ["xg_home_rows", "xg_away_rows", "xg_home_for", "xg_home_against", "xg_away_for", "xg_away_against"]
+MEAN_COLS = ["xg_avg_home", "xg_avg_away"]
+
+
+def with_xg_means(sums: DataFrame) -> DataFrame:
+    """A2: the league means on every per-team row, as window sums over the per-team sums (one row per
+    team; every xG row counts, unknown and null teams included)."""
     n_all = "sum(xg_home_rows) OVER ()"
-    per_team = sums.selectExpr(
-        "team", "named_rows", "xg_home_rows", "xg_away_rows", "xg_home_for", "xg_home_against", "xg_away_for", "xg_away_against",
-        f"{S.ieee_div('sum(xg_home_for) OVER ()', n_all)} AS xg_avg_home",
-        f"{S.ieee_div('sum(xg_home_against) OVER ()', n_all)} AS xg_avg_away",
-    ).filter("named_rows > 0").drop("named_rows")
-    t = trained_teams.join(per_team, "team", "left")
+    return sums.selectExpr("*", f"{S.ieee_div('sum(xg_home_for) OVER ()', n_all)} AS xg_avg_home",
+                           f"{S.ieee_div('sum(xg_home_against) OVER ()', n_all)} AS xg_avg_away")
+
+
+def gated(rows: DataFrame, params: Params = Params()) -> DataFrame:
+    """The xG sums and means of per-team rows turned into the four ratios and the row count,
+    present only for teams with at least ``params.xg_min_rows`` rows; a role without rows gives 1.0."""
     hn, an = "coalesce(xg_home_rows, 0)", "coalesce(xg_away_rows, 0)"
     gate = f"({hn} + {an}) >= {int(params.xg_min_rows)}"
     fl = params.floor
@@ -66,8 +64,15 @@ def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Param
         "xg_defense_away": S.rnd(S.ratio_or_one("xg_away_against", an, "xg_avg_home", fl), 4),
         "xg_matches": f"CAST({hn} + {an} AS BIGINT)",
     }
-    return t.selectExpr(*[S.col(c) for c in trained_teams.columns],
-                        *[f"CASE WHEN {gate} THEN {v} END AS {k}" for k, v in out.items()])
+    return rows.selectExpr(*[S.col(c) for c in rows.columns if c not in (*SUM_COLS, *MEAN_COLS)],
+                           *[f"CASE WHEN {gate} THEN {v} END AS {k}" for k, v in out.items()])
+
+
+def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
+    """A left join from the trained teams, whose other columns are carried through.  A trained
+    team without xG rows never passes the gate, so it never needs the means."""
+    per_team = with_xg_means(sums).filter("named_rows > 0").select("team", *SUM_COLS, *MEAN_COLS)
+    return gated(trained_teams.join(per_team, "team", "left"), params)
 
 
 def xg_strengths(xg_rows: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:

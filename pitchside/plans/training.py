@@ -65,6 +65,12 @@ def train(matches: DataFrame, xg_rows: DataFrame | None = None,
         return _without(s, enrich.INDEX_COLS) if features is None else enrich.enrich_strengths(s, features, params)
 
     totals = team_totals(matches) if totals is None else totals
+    if "xg_home_rows" in totals.columns:          # goals and xG in one frame: no join
+        rows = strength.strengths_from_totals(xg.with_xg_means(totals), params, keep_league=True, carry=[*xg.SUM_COLS, *xg.MEAN_COLS])
+        everything = enriched(xg.gated(rows, params))
+        plain = enriched(rows.drop(*xg.SUM_COLS, *xg.MEAN_COLS))
+        return TrainingResult(totals=totals, team_strengths=everything.drop(*strength.LEAGUE_COLS), params=params,
+                              with_league=plain, everything=everything)
     base = strength.strengths_from_totals(totals, params, keep_league=True)
     if xg_sums is None and xg_rows is not None:
         xg_sums = xg.xg_team_sums(xg_rows)
@@ -109,4 +115,4 @@ def train_from_events(events: DataFrame, teams: DataFrame, match_stats: DataFram
     both = event_totals(events, teams, match_stats)
     # named_rows counts a team's rows in matches with both scores, as the match query returns them
     totals = both.withColumn("named_rows", F.expr("CASE WHEN named_rows > 0 THEN raw_rows ELSE 0 END"))
-    return train(events, None, features, params, totals=totals, xg_sums=both)
+    return train(events, None, features, params, totals=totals)
