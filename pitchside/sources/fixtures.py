@@ -91,7 +91,7 @@ def match_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(CAST(l_quantity AS INT) % 5 AS DOUBLE) AS home_score",
         "CAST(l_linenumber % 4 AS DOUBLE) AS away_score",
         "o_orderdate AS time_utc",
-        f"IF(o_orderstatus = 'F', {STATUS_ENDED}, 0) AS time_status",
+        f"IF(o_orderstatus <=> 'F', {STATUS_ENDED}, 0) AS time_status",
         "l_partkey", "l_linenumber",
     )
 
