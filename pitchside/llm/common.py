@@ -35,26 +35,26 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60, rows_each: int = 200_000) -> DataFrame:
     """Connected components: ``(id, component)``, the component being the smallest id reachable.
 
     ``vertices`` has ``id``, ``edges`` has ``a, b`` (any direction, repeats and loops allowed).
     Alternates large-star and small-star steps, so the number of rounds grows with the logarithm
-    of the longest path and a star of any size costs one row per edge.  Each round is one
-    aggregate and one join on the edge table and is checkpointed; AQE splits a skewed centre.
+    of the longest path.  Every step keeps one row per edge, and a star of any size costs one row per
+    edge; AQE splits a skewed centre in the joins.  Each round is checkpointed, in partitions of
+    about ``rows_each`` edges: rounds over few edges leave few files.
     """
-    und = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    now = cut(und)
+    now = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    parts = now.count() // rows_each + 1
     previous = None
     for _ in range(max_rounds):
         # large star: hang every neighbour greater than the vertex on the least neighbour
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        big = (both.where("b > a").join(low, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct())
+        big = both.where("b > a").join(low, "a").select(F.col("m").alias("a"), "b").where("a <> b").coalesce(parts)
         # small star: hang the vertex and its smaller neighbours on the least neighbour
         least = big.groupBy("b").agg(F.min("a").alias("m"))
-        small = (big.join(least, "b").selectExpr("m as a", "explode(array(a, b)) as b").where("a <> b").distinct())
-        now = cut(small)
+        now = cut(big.join(least, "b").selectExpr("m as a", "if(a = m, b, a) as b").where("a <> b").coalesce(parts))
         sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if sign == previous:
             break

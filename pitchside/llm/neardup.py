@@ -11,8 +11,9 @@
 3. In every list the class that shares most is a centre, and every other member is confirmed
    against it on the full sets; what links is joined to components.  Then only members of different
    components are compared (lists within one component are skipped): collisions are counted over
-   whole signatures, pairs above the match threshold whose first common posted coordinate is the
-   list's are retained and confirmed on the full sets.  Lists longer than ``block`` are
+   whole signatures, and pairs above the match threshold whose first common posted coordinate is the
+   list's, and which agree in enough bytes of a longer sketch, are retained and confirmed on the full
+   sets.  Lists longer than ``block`` are
    compared block by block, so no task holds more than two blocks of a list.
 4. The components of all confirmed links label the documents.
 
@@ -31,7 +32,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,9 @@ CHUNK = 2_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ODD = np.random.default_rng(41).integers(1, 1 << 63, size=COORDINATES + WORDS + 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: More hash functions, of which a byte each tells which candidates are worth their full sets.
+SKETCH = 416
+_MORE = np.random.default_rng(42).integers(1, 1 << 63, size=SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def matches_for(percent: int, coordinates: int = COORDINATES) -> int:
@@ -114,14 +117,21 @@ def shingle_sets(texts: list[bytes | None]) -> Iterator[np.ndarray]:
         yield from flush()
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, functions: np.ndarray = _ODD[:COORDINATES]) -> np.ndarray:
     """The least value of each hash function over the set, its upper 32 bits."""
-    least = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(len(functions), np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(shingles), 2048):
-        np.minimum(least, (shingles[i:i + 2048, None] * _ODD[:COORDINATES]).min(axis=0), out=least)
+        np.minimum(least, (shingles[i:i + 2048, None] * functions).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def equal_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bytes are equal along the last axis of 64-bit words."""
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    z = x ^ y
+    return np.bitwise_count(~(((z & low) + low) | z | low)).sum(axis=-1, dtype=np.int32)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """``(doc_id, n, one, two, signature)``: the set's size, its fingerprint and its signature."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,19 +154,21 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """``(id, shingles)`` of the documents given."""
+    """``(id, shingles, sketch)`` of the documents given."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for i in range(0, len(texts), 256):
                 sets = list(shingle_sets(texts[i:i + 256]))
                 offsets = np.cumsum([0, *map(len, sets)])
+                sketch = [signature(x, _MORE).astype(np.uint8).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 256), pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "shingles"])
+                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))),
+                     pa.array(sketch, pa.binary())], ["id", "shingles", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(apply, f"id {kind}, shingles array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(apply, f"id {kind}, shingles array<bigint>, sketch binary")
 
 
 def tokens(classes: DataFrame, first: int = COORDINATES) -> DataFrame:
@@ -179,38 +191,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("s") + F.size("t") - common)).select("a", "b")
 
 
-def compare_lists(postings: DataFrame, matches: int, block: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that agree in at least ``matches`` coordinates, each once.
+def compare_lists(postings: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that agree in enough coordinates and sketch bytes.
 
-    ``postings`` has ``token, id, component, n, signature, posted`` (the posted coordinates).
+    ``postings`` has ``token, id, component``, ``members`` by ``id`` the ``signature``, the ``posted``
+    coordinates and the ``sketch``; only postings of lists with several components meet
+    them.  Each pair comes once, from the list of its first common posted coordinate.
     """
     per = postings.groupBy("token").agg(F.count("*").alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
     per = per.where("_low <> _high").select("token", F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     dealt = (postings.join(per, "token").withColumn("_own", own)
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-             .withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")}))
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, parts, n = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["n"].to_numpy()
-        values, posted = np.stack(pdf["signature"].to_numpy()), np.stack(pdf["posted"].to_numpy())
-        here, block_of = int(pdf["token"].iat[0]) >> 32, pdf["_own"].to_numpy()
-        within = pdf["_i"].iat[0] == pdf["_j"].iat[0]
-        out: list[tuple] = []
-        for k in range(len(ids) - 1):
-            open_ = (parts[k + 1:] != parts[k]) & (within | (block_of[k + 1:] != block_of[k]))
-            at = np.flatnonzero(open_) + k + 1
-            if not len(at):
+             .select("token", "id", "component", "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
+             .join(members, "id"))
+    matches, alike = matches_for(percent), matches_for(percent, SKETCH)
+
+    def compare(group: pa.Table) -> pa.Table:
+        group, n = group.combine_chunks(), group.num_rows
+        column = lambda name: group[name].to_numpy()
+        ids, parts, block_of = column("id"), column("component"), column("_own")
+        values = group["signature"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+        coordinates = group["posted"].combine_chunks()
+        posted = np.zeros(values.shape, dtype=bool)
+        posted[np.repeat(np.arange(n), coordinates.value_lengths().to_numpy()), coordinates.flatten().to_numpy()] = True
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), dtype=np.uint64).reshape(n, -1)
+        rough = np.ascontiguousarray(values.astype(np.uint8)).view(np.uint64)  # equal values have equal low bytes
+        here, within = int(column("token")[0]) >> 32, column("_i")[0] == column("_j")[0]
+        out: list[np.ndarray] = []
+        for k in range(0, n, 32):
+            rows, after = np.arange(k, min(k + 32, n)), np.arange(k + 1, n)
+            open_ = (parts[after] != parts[rows, None]) & (after > rows[:, None])
+            if not within:
+                open_ &= block_of[after] != block_of[rows, None]
+            if not open_.any():
                 continue
-            same = values[at] == values[k]
-            enough = same.sum(axis=1) >= matches
-            at, same = at[enough], same[enough]
-            first = np.argmax(same & posted[at] & posted[k], axis=1) == here
-            out += [(min(ids[k], x), max(ids[k], x)) for x in ids[at[first]]]
-        return pd.DataFrame(out, columns=["a", "b"])
+            r, c = np.nonzero(open_ & (equal_bytes(rough[rows, None], rough[None, after]) >= matches))
+            r, c = rows[r], after[c]
+            same = values[r] == values[c]
+            kept = (same.sum(axis=1) >= matches) & ~(same[:, :here] & posted[r, :here] & posted[c, :here]).any(axis=1)
+            r, c = r[kept], c[kept]
+            kept = equal_bytes(sketch[r], sketch[c]) >= alike
+            out.append(np.stack([ids[r[kept]], ids[c[kept]]]))
+        found = np.sort(np.concatenate(out, axis=1), axis=0) if out else np.zeros((2, 0), dtype=np.int64)
+        return pa.table({"a": found[0], "b": found[1]})
 
     kind = postings.schema["id"].dataType.simpleString()
-    return dealt.groupBy("token", "_i", "_j").applyInPandas(compare, f"a {kind}, b {kind}")
+    return dealt.groupBy("token", "_i", "_j").applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
@@ -246,12 +273,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> Da
     links = cut(confirmed(stars, sets, percent))
     joined = components(listed.select("id"), links)
 
-    posted = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda k: F.array_contains(
-        F.transform("tokens", lambda t: F.shiftright(t, 32)), k.cast("long")))
-    rest = listed.withColumn("posted", posted).join(joined, "id").select(
-        "id", "n", "component", "signature", "posted", F.explode("tokens").alias("token"))
-    links = links.union(confirmed(compare_lists(rest, matches, block), sets, percent))
-    labels = components(classes.select("id"), cut(links))
+    posted = F.transform("tokens", lambda t: F.shiftright(t, 32).cast("tinyint"))
+    members = listed.join(sets.select("id", "sketch"), "id").select("id", "signature", posted.alias("posted"), "sketch")
+    postings = listed.join(joined, "id").select("id", "component", F.explode("tokens").alias("token"))
+    links = links.union(cut(confirmed(compare_lists(postings, members, percent, block), sets, percent)))
+    labels = components(classes.select("id"), links)
 
     by_class = classes.join(labels, "id").select(*key, "component")
     component = F.coalesce("component", "doc_id")
