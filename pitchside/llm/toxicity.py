@@ -38,7 +38,7 @@ WINDOW, STEP = 8, 4
 GRAMS = (5, 7)
 MOST = 12
 #: Texts are compressed in chunks of about this many bytes, so that memory does not follow the batch.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -122,43 +122,44 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_c
     return *out, share
 
 
-def grams(texts: list[bytes], length: int) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The joined texts with single spaces, the gram that begins at each byte as a number, and its text's number."""
+def grams(texts: list[bytes], length: int) -> tuple[list[bytes], Iterator[np.ndarray]]:
+    """The texts with single spaces, and for each the 48-bit hashes of the grams that begin at its bytes."""
     plain = [b" " + b" ".join(t.split()) + b" " for t in texts]
-    data = b"".join(t + bytes(length) for t in plain)
-    a = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
-    g = np.zeros(len(a) - length + 1, dtype=np.uint64)
-    for k in range(length):
-        g = g << np.uint64(8) | a[k:len(a) - length + 1 + k]
-    text = np.searchsorted(np.cumsum([0, *(len(t) + length for t in plain)]), np.arange(len(g)), side="right") - 1
-    return data, g, text
 
+    def of(t: bytes) -> np.ndarray:
+        a = np.frombuffer(t, dtype=np.uint8).astype(np.uint64)
+        n = max(len(a) - length + 1, 0)
+        g = np.zeros(n, dtype=np.uint64)
+        for k in range(length):
+            g = g << np.uint64(8) | a[k:k + n]
+        return g * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)
+
+    return plain, map(of, plain)
 
-def document_counts(g: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def document_counts(found: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The grams and in how many texts each occurs."""
-    order = np.lexsort((text, g))
-    g, text = g[order], text[order]
-    first = np.r_[True, (g[1:] != g[:-1]) | (text[1:] != text[:-1])]
-    return np.unique(g[first], return_counts=True)
+    return np.unique(np.concatenate([np.unique(g) for g in found]), return_counts=True)
 
 
 def typical_passages(toxic: list[bytes], ordinary: list[bytes], least: int = 4, odds: float = 2.5) -> list[bytes]:
     """Per toxic text the stretches of grams that far more toxic than ordinary texts hold, joined."""
-    passages: dict[int, list[bytes]] = {}
+    passages: list[list[bytes]] = [[] for _ in toxic]
     for length in GRAMS:
-        data, g, text = grams(toxic, length)
-        (own, n), (other, m) = document_counts(g, text), document_counts(*grams(ordinary, length)[1:])
-        at = np.minimum(np.searchsorted(other, own), len(other) - 1)
+        (own, n), (other, m) = document_counts(grams(toxic, length)[1]), document_counts(grams(ordinary, length)[1])
+        other, m = np.append(other, np.uint64(1 << 63)), np.append(m, 0)  # beyond every hash
+        at = np.searchsorted(other, own)
         m = np.where(other[at] == own, m[at], 0)
         ratio = np.log((n + 0.5) / (len(toxic) + 1)) - np.log((m + 0.5) / (len(ordinary) + 1))
-        hit = np.isin(g, own[(ratio > odds) & (n >= least)])
-        covered = np.zeros(len(data) + 1, dtype=bool)
-        for k in range(length):
-            covered[k:k + len(hit)] |= hit
-        edge = np.diff(np.r_[False, covered].astype(np.int8))
-        for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-            passages.setdefault(int(text[s]), []).append(data[s:e].strip(b"\0"))
-    return [b" ".join(p) for p in passages.values()]
+        typical = own[(ratio > odds) & (n >= least)]
+        for text, g, out in zip(*grams(toxic, length), passages):
+            hit = np.isin(g, typical)
+            covered = np.zeros(len(text) + 1, dtype=bool)
+            for k in range(length):
+                covered[k:k + len(hit)] |= hit
+            edge = np.diff(np.r_[False, covered].astype(np.int8))
+            out += [text[s:e] for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    return [b" ".join(p) for p in passages if p]
 
 
 def trained(samples: list[bytes], size: int, **how) -> bytes:
