@@ -1,15 +1,16 @@
 """License scans by sentence rules.
 
-A text is cut into sentences (at line ends, and at ``. ! ? ;`` before white space or the end), each is
-normalised (A-Z lower-cased, everything but letters, digits, ``.``, ``+`` and ``-`` to one space)
-and looked up among known licence sentences, which gives the text's sequence of sentence
+A text is normalised (A-Z lower-cased, everything but letters, digits, ``.``, ``+`` and ``-`` to one
+space) and cut into sentences: at ``. ! ? ;`` before white space or the end, at blank lines, after list
+marks.  A single line end may end a sentence or lie within one, so both wrapped texts and one sentence
+a line are read.  The known licence sentences among them give the text's sequence of sentence
 identifiers.  Ordered rules then match runs of identifiers, those of more sentences first; what a
 rule has matched no later rule sees, so a three-clause licence is not also found as a two-clause one.
 
-Known sentences are grants, made by rule from phrases and licence names, and sentences of common
-licence texts.  All work is in DataFrame expressions over whole texts; texts without any word that
-every known sentence has one of are not cut.  Texts whose lines are wrapped within sentences have to
-be unwrapped before.
+Known sentences are grants, made by rule from phrases and licence names, sentences of common
+licence texts, and notices, headers, titles and SPDX lines (these the SQL does not know, nor sentences
+over several lines).  Holders' and programs' names in them may be any.  All work is in DataFrame
+expressions over whole texts; texts without any word that every known sentence has one of are not cut.
 
 Cases: null and empty texts have no identifiers and category ``none``; repeated sentences are listed
 each time, licences once; repeated rows are scanned alike; empty input gives empty output; other
@@ -66,6 +67,47 @@ SENTENCES = {
                  "derived from this software without specific prior written permission",
     "reserved": "All rights reserved",
 }
+#: Further wordings by identifier; ``|`` is a place where the text may have a sentence end.
+_CC = {"CC-BY-4.0": "Attribution", "CC-BY-SA-4.0": "Attribution-ShareAlike", "CC-BY-NC-4.0": "Attribution-NonCommercial",
+       "CC-BY-ND-4.0": "Attribution-NoDerivatives"}
+NOTICES = {
+    "mit-notice": ["The above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or "
+                   "substantial portions of the Software"],
+    "isc-grant": [f"Permission to use, copy, modify, and{way} distribute this software for any purpose with or without fee is hereby granted, "
+                  "provided that the above copyright notice and this permission notice appear in all copies" for way in ("", "/or")],
+    "grant-Apache-2.0": ["Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+                         "The ASF licenses this file to You under the Apache License, Version 2.0 (the \"License\")"],
+    "grant-MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v|2.0"],
+    "grant-GPL-2.0": ["GNU General Public License Version 2, June 1991"],
+    "grant-GPL-3.0": ["GNU General Public License Version 3, 29 June 2007"],
+    "grant-LGPL-2.1": ["GNU Lesser General Public License Version 2.1, February 1999"],
+    "grant-LGPL-3.0": ["GNU Lesser General Public License Version 3, 29 June 2007"],
+    "grant-AGPL-3.0": ["GNU Affero General Public License Version 3, 19 November 2007"],
+    **{f"grant-{k}": ["By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this "
+                      f"Creative Commons {v} 4.0 International Public License (\"Public License\")"] for k, v in _CC.items()},
+}
+for _name, _family, _version in (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+                                 ("AGPL-3.0", "Affero ", "3")):
+    _free = "This program is free software|you can redistribute it and/or modify it under the terms of"
+    _gnu, _fsf = f"the GNU {_family}General Public License", "as published by the Free Software Foundation"
+    for _later in ("", "|or (at your option) any later version"):
+        NOTICES[f"grant-{_name}"] += [
+            f"{_free} {_gnu} {_fsf}|either version {_version} of the License{_later}", f"{_free} {_gnu} {_fsf}|version {_version} of the License{_later}",
+            f"{_free} {_gnu} version {_version} {_fsf}{_later}", f"{_free} version {_version} of {_gnu} {_fsf}{_later}"]
+for _name in ("Apache-2.0", "MPL-2.0"):
+    NOTICES[f"grant-{_name}"] += [f"{_grant} the {_form} (the \"License\")" for _grant in GRANTS for _form in NAMES[_name]]
+SPDX = "spdx-license-identifier"
+#: Wordings with a name in them, and the known sentence (or its beginning) that they stand for.
+_ANY = "[a-z0-9.+ ZS-]"
+SLOTS = [
+    (rf"neither the name of {_ANY}{{1,200}}?[ ZS]nor the names of (?:its|their) contributors may be used to endorse", "neither the name of the "
+     "copyright holder nor the names of its contributors may be used to endorse"),
+    (rf"neither the names? of {_ANY}{{1,200}}? may be used to endorse or promote products derived from this software without specific prior "
+     "written permission", SENTENCES["bsd-names"]),
+    (rf"the names? of {_ANY}{{1,200}}? may not be used to endorse or promote products derived from this software without specific prior written "
+     "permission", SENTENCES["bsd-names"]),
+    (r"[a-z0-9.+ -]{1,80}? is free software", "this program is free software"),
+]
 #: Ordered rules: runs of identifiers and the licence they show.
 RULES = [
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"), "BSD-3-Clause"),
@@ -103,15 +145,43 @@ def known_sentences() -> dict[str, str]:
     return out
 
 
+def more_sentences() -> dict[str, str]:
+    """Normalised wording that is not among the known sentences, ``|`` being kept, to identifier."""
+    out = {"|".join(normalised(p) for p in form.split("|")): k for k, forms in NOTICES.items() for form in forms}
+    spdx = {f"{SPDX} {normalised(name)}{end}": f"grant-{name}" for name in NAMES for end in ("", "+", "-only", "-or-later")}
+    return {k: v for k, v in (out | spdx).items() if k not in known_sentences()}
+
+
+def wrapped(sentence: str) -> str:
+    """The pattern of a normalised sentence that line ends may lie in."""
+    return re.escape(sentence).replace(r"\ ", "[ Z]").replace(r"\|", "[ ZS]")
+
+
+def plain_sentences(text: Column) -> Column:
+    """The normalised text; ``S`` is a sentence end, ``Z`` a single line end."""
+    text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for pattern, new in ((r"(?<![.!?;])[.!?;]++(?:[\x20\x09-\x0D]++|\z)", "S"), (r"\x0D?\x0A|\x0D", "L"),
+                         (r"(?<![^SL])[\x20\x09*#/]*+\(?(?:[0-9]{1,2}|[a-z])\)[\x20\x09]++", "LL"), ("[^a-z0-9.+SL-]++", " "),
+                         # white space and dots around ends go; a blank line is a sentence end
+                         ("(?<![ .+SL-])[ .+-]*+L[ .+-]*+(?![SL])", "Z"), ("(?<![ .+SL-])[ .+-]*+[SL][SL .+-]*+", "S")):
+        text = F.regexp_replace(text, pattern, new)
+    text = F.btrim(text, F.lit(" .+-"))
+    for pattern, standard in SLOTS:
+        text = F.regexp_replace(text, f"(?<![^SZ]){re.sub(r'(?<![+.]) (?!Z)', '[ Z]', pattern)}(?![a-z0-9])", normalised(standard))
+    return text
+
+
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences in the order of the text."""
-    cut = r"(?<![.!?;])[.!?;]++(?:[\x20\x09-\x0D]++|\z)|[\x0A\x0D]++"
-    known = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])  # a few hundred entries
-    plain = lambda s: F.btrim(F.regexp_replace(F.translate(
-        s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9.+-]+", " "), F.lit(" .+-"))
-    candidates = F.filter(F.split(text, cut, -1), lambda s: s.rlike(f"(?i){WORDS}"))
-    found = F.filter(F.transform(candidates, lambda s: F.try_element_at(known, plain(s))), lambda k: k.isNotNull())
-    return F.when(text.rlike(f"(?i){WORDS}"), found).otherwise(F.array().cast("array<string>"))
+    table_ = known_sentences() | more_sentences()
+    forms = sorted((s for s in table_ if not s.startswith(SPDX)), key=lambda s: (-len(s), s))
+    named = sorted((s[len(SPDX) + 1:] for s in table_ if s.startswith(SPDX)), key=lambda s: (-len(s), s))
+    pattern = (rf"((?<![^SZ])(?:{'|'.join(map(wrapped, forms))})(?![^SZ])"
+               rf"|(?:(?<![^SZ]){SPDX} |\G(?: with [a-z0-9.+-]+)? (?:or|and) )(?:{'|'.join(map(re.escape, named))})(?![^SZ ]))")
+    known = F.create_map(*[F.lit(x) for s, k in table_.items() for x in (s.replace("|", " "), k)])  # some hundred entries
+    found = F.transform(F.regexp_extract_all(plain_sentences(text), F.lit(pattern), F.lit(1)), lambda s: F.try_element_at(
+        known, F.regexp_replace(F.translate(s, "ZS", "  "), "^(?: with [a-z0-9.+-]+)? (?:or|and) ", f"{SPDX} ")))
+    return F.when(text.rlike(f"(?i){WORDS}"), F.array_compact(found)).otherwise(F.array().cast("array<string>"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
