@@ -12,7 +12,11 @@ half link angles of its pivot; they are compared with its members block by block
 no link at all.  Lists, balls and fringes longer than ``block`` are split, so a task holds two blocks.
 
 The index covers every vector; only the pivots come from a sample (at most ``2 * most_pivots``).
-Links between vectors outside balls can be missed: measured recall is in the README.
+Links between vectors outside balls can be missed, so the sample also tells how many: ``nearest`` is
+doubled until ``least_recall`` of its links (of vectors turned by the link angle towards one another,
+if it has few) share enough pivots.  Where no number does, or the index would compare more than all
+pairs, as in small tables and in narrow cones that leave few pivots, vectors outside balls are compared
+with one another block by block, exactly; that work is quadratic.  Measured recall is in the README.
 
 Cases: vectors that are null, zero or hold null or non-finite components, or whose length is not the
 most frequent one, link with nothing; repeated rows count as one vector and give a row each; a null
@@ -34,8 +38,8 @@ from .common import components, cut, table
 from .vectors import size_and_dimension, unit, unit_sample, usable
 
 
-def pivots_for(vectors: DataFrame, n: int, most_pivots: int, spread: float = 0.7) -> np.ndarray:
-    """One pivot for about 16 vectors, 64 at least, none within cosine ``spread`` of another."""
+def pivots_for(vectors: DataFrame, n: int, most_pivots: int, spread: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
+    """One pivot for about 16 vectors, 64 if there are as many, none within cosine ``spread`` of another; and the sample."""
     wanted = min(most_pivots, max(64, n // 16))
     found = unit_sample(vectors, 2 * wanted)
     near = found @ found.T > spread
@@ -43,17 +47,45 @@ def pivots_for(vectors: DataFrame, n: int, most_pivots: int, spread: float = 0.7
     for i in range(len(found)):
         if len(kept) < wanted and not near[i, kept].any():
             kept.append(i)
-    return found[kept]
+    return found[kept], found
+
+
+def nearest_for(sample: np.ndarray, pivots: np.ndarray, cosine: float, nearest: int, least_shared: int, least_recall: float) -> int:
+    """How many pivots to post a vector under, ``nearest`` or more, or 0 if all pairs are to be compared."""
+    if 2 * nearest * nearest > len(pivots):  # lists hold more pairs than there are
+        return 0
+    outside = sample[(sample @ pivots.T).max(axis=1) < math.cos(math.acos(cosine) / 2)]
+    a, b = np.nonzero(np.triu(outside @ outside.T >= cosine, 1))
+    if len(a) >= 200:
+        some = np.linspace(0, len(a) - 1, min(len(a), 4000)).astype(int)
+        x, y = outside[a[some]], outside[b[some]]
+    else:
+        x = sample
+        y = np.roll(sample, 1, axis=0)
+        y = y - (x * y).sum(axis=1, keepdims=True) * x
+        size = np.sqrt((y * y).sum(axis=1))
+        x, y = x[size > 1e-6], (y / np.maximum(size, 1e-6)[:, None])[size > 1e-6]
+        y = cosine * x + math.sqrt(1 - cosine * cosine) * y
+    if not len(x):
+        return 0
+    x, y = np.argsort(-(x @ pivots.T), axis=1, kind="stable"), np.argsort(-(y @ pivots.T), axis=1, kind="stable")
+    while 2 * nearest * nearest <= len(pivots):
+        shared = (x[:, :nearest, None] == y[:, None, :nearest]).sum(axis=(1, 2))
+        if (shared >= least_shared).mean() >= least_recall:
+            return nearest
+        nearest *= 2
+    return 0
 
 
 def describe(vectors: DataFrame, pivots: np.ndarray, nearest: int, inner: float, outer: float) -> DataFrame:
     """``(vec_id, embedding, order, ball, reach)``: nearest pivots in order, the pivot within whose
-    ball the vector lies or null, and the other pivots into whose balls it may reach."""
+    ball the vector lies or null, and the other pivots into whose balls it may reach.  With
+    ``nearest`` 0 the order is one number that all share."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)  # bounded: most_pivots rows
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
-        k = min(nearest, len(p))
+        k = max(nearest, 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
@@ -66,9 +98,10 @@ def describe(vectors: DataFrame, pivots: np.ndarray, nearest: int, inner: float,
                 row, pivot = np.nonzero(near >= outer)
                 other = ~(inside[row] & (pivot == top[row, 0]))
                 reach = np.bincount(row[other], minlength=len(x))
+                order = top if nearest else np.zeros_like(top)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(x) * k + 1, k), pa.int32()), pa.array(top.ravel().astype(np.int32))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(x) * k + 1, k), pa.int32()), pa.array(order.ravel().astype(np.int32))),
                      pa.array(top[:, 0].astype(np.int32), mask=~inside),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(reach)], pa.int32()), pa.array(pivot[other].astype(np.int32)))],
                     ["vec_id", "embedding", "order", "ball", "reach"])
@@ -160,7 +193,7 @@ def links_with_balls(described: DataFrame, heads: DataFrame, cosine: float, bloc
 
 
 def embedding_duplicates(vectors: DataFrame, cosine: float = 0.9, nearest: int = 8, least_shared: int = 2,
-                         most_pivots: int = 2048, block: int = 2000) -> DataFrame:
+                         most_pivots: int = 2048, block: int = 2000, least_recall: float = 0.97) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, a row for each row of ``vectors``."""
     vectors = vectors.select("vec_id", "embedding")
     good = usable(vectors)
@@ -169,7 +202,9 @@ def embedding_duplicates(vectors: DataFrame, cosine: float = 0.9, nearest: int =
     labels = None
     if n:
         good = good.where(F.size("embedding") == dimension)
-        pivots = pivots_for(good, n, most_pivots)
+        pivots, sample = pivots_for(good, n, most_pivots)
+        nearest = nearest_for(sample, pivots, cosine, nearest, least_shared, least_recall)
+        least_shared = least_shared if nearest else 1
         described = cut(describe(good, pivots, nearest, math.cos(angle / 2) + 1e-9, math.cos(1.5 * angle) - 1e-9))
         heads = cut(described.where("ball is not null").groupBy(F.col("ball").alias("pivot")).agg(
             F.min("vec_id").alias("head"), F.count("*").alias("members")))  # a row per ball

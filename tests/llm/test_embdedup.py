@@ -84,3 +84,45 @@ def test_edges(spark):
     assert [g for g in got if g[0] not in alone] == [(3, 2, 3, True), (3, 2, 3, True), (5, 2, 3, False), (14, 2, 3, False)]
     assert embdedup.embedding_duplicates(df.limit(0)).count() == 0
     assert {r["n_links"] for r in embdedup.embedding_duplicates(df.where("embedding is null")).collect()} == {0}
+
+
+def cone(rng, n, mean):
+    """Vectors whose pairs have about cosine ``mean``."""
+    axis = unit(rng.normal(size=(1, 64)))
+    return near(rng, np.repeat(axis, n, axis=0), np.sqrt(mean)).astype(np.float32)
+
+
+def test_three_vectors(spark):
+    """B and C are linked, neither is with A, whichever of them is the first pivot."""
+    x = np.array([[1, 0, 0], [0.85, 0.5267827, 0], [0.85, 0.43206, 0.30139]], dtype=np.float32)
+    g = unit(x.astype(float)) @ unit(x.astype(float)).T
+    assert g[0, 1] < 0.86 and g[0, 2] < 0.86 and g[1, 2] > 0.94
+    for ids in ((1, 2, 3), (2, 3, 1), (3, 1, 2), (10, 20, 30), (7, 5, 6)):
+        assert result(embdedup.embedding_duplicates(frame(spark, ids, x))) == brute(ids, x)
+
+
+def test_narrow_cones(spark):
+    rng = np.random.default_rng(6)
+    for mean, n in ((0.8, 2500), (0.86, 600)):
+        x = cone(rng, n, mean)
+        want = brute(range(n), x)
+        assert sum(k for k, _ in want.values()) > 0
+        assert result(embdedup.embedding_duplicates(frame(spark, range(n), x), block=400)) == want
+
+
+def test_wider_cones(spark):
+    rng = np.random.default_rng(7)
+    for mean in (0.4, 0.65):
+        base = cone(rng, 2400, mean)
+        x = np.concatenate([base, near(rng, unit(base[:600].astype(float)), 0.905)]).astype(np.float32)
+        want = brute(range(len(x)), x)
+        got = result(embdedup.embedding_duplicates(frame(spark, range(len(x)), x)))
+        assert sum(k for k, _ in got.values()) >= 0.95 * sum(k for k, _ in want.values())
+
+
+def test_lists_where_they_suffice():
+    rng = np.random.default_rng(8)
+    x = unit(rng.normal(size=(4096, 64)))
+    assert embdedup.nearest_for(x, x[:2048], 0.9, 8, 2, 0.97) in (8, 16)
+    x = cone(rng, 4096, 0.8).astype(float)
+    assert embdedup.nearest_for(x, x[:1], 0.9, 8, 2, 0.97) == 0
