@@ -12,7 +12,9 @@ rows however many documents there are; only that table reaches the driver.
    until one fixes nothing.
 2. The remainder is packed best-fit in decreasing length, again for all equal sequences at once.
 
-The result is a list of patterns with multiplicities.  Pieces of a length are numbered (per hash
+Pieces carry their token ids, so a sequence is its pieces' ids in order of ``offset``.
+
+The result of the packing is a list of patterns with multiplicities.  Pieces of a length are numbered (per hash
 bucket, with the buckets' offsets, so that a length that a third of all pieces share is split) and a
 piece's number says which pattern, copy and place it takes.
 
@@ -79,16 +81,21 @@ def word_encoder(tokenizer):
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32)`` of every document's ids with the closing id."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
+    """``(doc_id, piece, start, length, ids_crc32, ids)`` of every document's ids with the closing id.
+
+    ``ids`` are little-endian, of two bytes each if the vocabulary fits and else of four (``read_ids``);
+    the checksum is that of four bytes each.
+    """
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        words = word_encoder(Tokenizer.from_file(tokenizer_path))
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        words, wide = word_encoder(tokenizer), max(tokenizer.get_vocab().values(), default=0) >= 1 << 16
         step, close = 4 * capacity, CLOSING.to_bytes(4, "little")
         for batch in batches:
-            at, piece, start, length, crc = [], [], [], [], []
+            at, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).cast(pa.binary())):
                 ids = b"".join(map(words.__getitem__, (text.as_py() or b"").split())) + close
                 for k in range(0, len(ids), step):
@@ -98,13 +105,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
                     start.append(k // 4)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
+                    kept.append(part if wide else np.frombuffer(part, "<u4").astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(kept, pa.binary())],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
+def read_ids(ids: bytes, length: int) -> np.ndarray:
+    """The token ids of a piece of ``length`` tokens."""
+    return np.frombuffer(ids, f"<u{len(ids) // length}").astype(np.int64)
+
+
 def reduce_by_dominance(counts: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
     """Fix dominating sets; takes the pieces used out of ``counts`` and returns ``(runs, times)``,
     runs being ``(length, how many)``."""
@@ -202,7 +216,7 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, in
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 256) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``; ``doc_id, piece, length`` are read."""
+    """The pieces with ``sequence_id`` and ``offset``; ``doc_id, piece, length`` are read, other columns travel along."""
     pieces = cut(pieces.drop("sequence_id", "offset"))
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in pieces.groupBy("length").count().collect():  # at most `capacity` rows
@@ -230,22 +244,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 256) -> Dat
                 .join(per, ["length", "_bucket"])
                 .select(*[c for c in pieces.columns if c != "_bucket"], (F.col("_first") + F.col("_number")).alias("_number")))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def place(length: pd.Series, number: pd.Series) -> pd.Series:
         t = plan.value
-        first = t[:, 0] << 48 | t[:, 1]
-        for pdf in batches:
-            w, n = pdf["length"].to_numpy(), pdf["_number"].to_numpy()
-            at = np.searchsorted(first, w << 48 | n, side="right") - 1
-            q = n - t[at, 1]
-            pdf["sequence_id"] = t[at, 2] + q // t[at, 3]
-            pdf["offset"] = t[at, 4] + q % t[at, 3] * w
-            yield pdf.drop(columns="_number")
+        w, n = length.to_numpy(), number.to_numpy()
+        at = np.searchsorted(t[:, 0] << 48 | t[:, 1], w << 48 | n, side="right") - 1
+        q = n - t[at, 1]
+        return pd.Series((t[at, 2] + q // t[at, 3]) * capacity + t[at, 4] + q % t[at, 3] * w)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in numbered.drop("_number").schema)
-    return numbered.mapInPandas(place, f"{schema}, sequence_id long, offset long")
+    placed = numbered.withColumn("_at", place("length", "_number"))  # only two columns go to Python
+    return placed.select(*[c for c in numbered.columns if c != "_number"],
+                         F.expr(f"_at div {capacity}").alias("sequence_id"), (F.col("_at") % capacity).alias("offset"))
 
 
 def op1_pack(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(token_pieces(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")))
+    pieces = token_pieces(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces).drop("ids")

@@ -116,3 +116,30 @@ def test_best_fit_equals_item_by_item():
                 bins.remove(b)
             bins.append(b + w)
         assert sum(t for _, t in packing.best_fit(np.bincount(items, minlength=101), 100)) == len(bins)
+
+
+def sequences(rows):
+    """The ids of every sequence, pieces in order of offset."""
+    per = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        ids = packing.read_ids(r["ids"], r["length"])
+        assert len(ids) == r["length"] and zlib.crc32(ids.astype("<u4").tobytes()) == r["ids_crc32"]
+        got = per.setdefault(r["sequence_id"], [])
+        assert len(got) == r["offset"]
+        got.extend(ids.tolist())
+    return per
+
+
+def test_packed_ids_are_the_tokenizers(spark):
+    texts = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (3, "c d"), (4, "Ω'S don't <|endoftext|>x é"), (5, "word " * 9000), (None, "no id")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = packing.pack(packing.token_pieces(df, PATH)).collect()
+    tok = Tokenizer.from_file(PATH)
+    assert sorted(x for s in sequences(rows).values() for x in s) == sorted(x for _, t in texts for x in ids_of(tok, t))
+    whole = [[], [], []]
+    for r in sorted((r for r in rows if r["doc_id"] == 5), key=lambda r: r["start"]):
+        whole[r["piece"]] = packing.read_ids(r["ids"], r["length"]).tolist()
+    assert sum(whole, []) == ids_of(tok, "word " * 9000)
+    got = sorted(packing.read_ids(r["ids"], r["length"]).tolist() for r in rows if r["doc_id"] == 3)
+    assert got == sorted(ids_of(tok, t) for t in ("a b", "a b", "c d"))
+    assert "ids" not in registry.QUERIES["op1_pack"](spark, SF).columns
