@@ -14,7 +14,8 @@ wins.  For the pages that no rule fits, hosts are scored by personalised PageRan
 Both scores live in one table and one join per step.  Links are counted per pair of hosts
 before anything is shuffled by host, so a host with a third of all pages or links costs one row per
 linked host; AQE splits a skewed host in the join.  Iteration stops when no score moves by more than ``tolerance`` in
-sum, or after ``max_steps``.
+sum; as every step shrinks what moves to ``damping`` of it, that takes a number of steps known before, which is
+the bound unless ``max_steps`` sets another.
 
 Cases: a null url or one without ``://`` has an empty host and path, takes no part in the graph
 and is allowed; null html has no links; repeated pages count once each; hosts without seeds in
@@ -24,6 +25,7 @@ unless they bear the name of an added column, which is then replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,11 +66,13 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
-                max_steps: int = 50) -> DataFrame:
+                max_steps: int | None = None) -> DataFrame:
     """``(host, trust, distrust)`` from ``(host, side)`` seeds, side 0 trusted and 1 blocked.
 
     ``trust`` of all trusted seeds sums to 1 at the start, and so does ``distrust`` of the blocked.
     """
+    if max_steps is None:  # the two sides' first change is at most 4 * damping
+        max_steps = max(1, math.ceil(math.log(tolerance / 4) / math.log(damping))) + 1
     per = seeds.groupBy("side").agg(F.count("*").alias("_n"))
     start = cut(seeds.join(F.broadcast(per), "side").select("host", "side", (1 / F.col("_n")).alias("seed")))  # two rows
     ways = links.selectExpr("src as f", "dst as t", "n", "0 as side").union(links.selectExpr("dst as f", "src as t", "n", "1 as side"))

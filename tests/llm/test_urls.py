@@ -73,3 +73,13 @@ def test_empty_and_query(spark):
     rows = registry.QUERIES["op10_url_filter"](spark, SF).collect()
     pages = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
     assert {r["page_id"]: tuple(r)[1:] for r in rows} == plain(pages, urls.RULES)
+
+
+def test_scores_reach_hosts_far_from_a_seed(spark):
+    """A ring without leaks: distrust of the one seed reaches the host 55 links behind it."""
+    n = 56
+    pages = [(0, "http://h0.net/", '<a href="http://h1.com/">')]
+    pages += [(i, f"http://h{i}.com/", f'<a href="http://h{(i + 1) % n}.{"com" if (i + 1) % n else "net"}/">') for i in range(1, n)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge_urls(df).collect()}
+    assert got == plain(pages, urls.RULES) and {v[3] for v in got.values()} == {"block"}
