@@ -4,7 +4,7 @@
    its signature has, for each of ``coordinates`` hash functions, the least value over the set.
    Documents with equal sets (count and 128-bit fingerprint) form a class; only classes go on.
 2. Classes are posted under their coordinate-value pairs.  A pair above the similarity agrees in at
-   least ``matches_for(similarity)`` coordinates but for a chance of less than 1 in 10,000, so
+   least ``matches_for(similarity)`` coordinates but for a chance of at most 1.2 in 10,000, so
    pairs that nobody else has need no posting, classes with too few shared pairs drop out, and
    of a class with m shared pairs only the m - matches + 1 rarest are posted (the prefix: two
    classes that agree often enough share one of those).
@@ -15,6 +15,7 @@
    list's, and which agree in enough bytes of a longer sketch, are retained and confirmed on the full
    sets.  Lists longer than ``block`` are
    compared block by block, so no task holds more than two blocks of a list.
+   Both tests together drop a pair just at the similarity with a chance below 2 in 10,000.
 4. The components of all confirmed links label the documents.
 
 No list, partner or candidate is capped.  What remains quadratic is the comparison of signatures

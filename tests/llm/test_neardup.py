@@ -81,3 +81,13 @@ def test_edges(spark):
     assert got == brute([r for r in rows if r[0] is not None], 85)
     assert all(r["component_id"] is None and r["kept"] for r in out if r["doc_id"] is None)
     assert neardup.near_duplicates(df.limit(0), 85).count() == 0
+
+
+def test_stated_chance_of_losing_a_pair_at_the_threshold():
+    from math import comb
+
+    for percent in (80, 85):
+        p = percent / 100
+        lost = [sum(comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(neardup.matches_for(percent, n)))
+                for n in (neardup.COORDINATES, neardup.SKETCH)]
+        assert lost[0] <= 1.2e-4 and sum(lost) < 2e-4
