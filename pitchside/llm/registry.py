@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, embdedup, langid, licenses, mixing, neardup, packing, pii, toxicity, urls
+from . import ann, embdedup, infill, langid, licenses, mixing, neardup, packing, pii, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_nearest": ann.op9_nearest,
     "op10_url_filter": urls.op10_url_filter,
+    "op12_fill_in_middle": infill.op12_fill_in_middle,
 }
 
 ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
     "op5_licenses": licenses.SQL,
     "op8_pii": pii.SQL,
+    "op12_fill_in_middle": infill.SQL,
 }
