@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, embdedup, infill, langid, licenses, mixing, neardup, packing, pii, toxicity, urls
+from . import ann, embdedup, infill, langid, licenses, mixing, neardup, packing, pii, topk, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_nearest": ann.op9_nearest,
     "op10_url_filter": urls.op10_url_filter,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_top_k": topk.op13_top_k,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op5_licenses": licenses.SQL,
     "op8_pii": pii.SQL,
     "op12_fill_in_middle": infill.SQL,
+    "op13_top_k": topk.SQL,
 }
