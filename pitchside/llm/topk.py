@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 TIERS = 16
+#: A dimension with more than one in so many tiers essential is read whole, as a column: most rows are in its postings.
+FULL = 4
 #: Dimensions probed between two looks at the threshold.
 PROBED = 8
 #: Sums of integers below this are exact in double precision.
@@ -90,7 +92,7 @@ class Shard:
         # of every dimension the bounds of its tiers, the weakest tier first
         up = q[:, None] * self.high[dims]
         down = q[:, None] * self.low[dims, ::-1]
-        bounds = np.where(q[:, None] > 0, up, down[:, :])
+        bounds = np.where(q[:, None] > 0, up, down)
         tiers = bounds.shape[1]
         gain = np.diff(bounds, axis=1)
         order = np.argsort((bounds[:, 1:] - bounds[:, :1]).ravel(), kind="stable")
@@ -98,16 +100,20 @@ class Shard:
         idle = order[:int(np.searchsorted(spent, threshold, side="left"))]  # non-essential terms
         cut = np.bincount(idle // max(tiers - 1, 1), minlength=len(dims)) + 1  # the first essential tier of a dimension
         rest = bounds[np.arange(len(dims)), cut - 1]  # the most that non-essential tiers add
-        total = np.full(len(self.x), rest.sum())
-        for i, d in enumerate(dims):
-            if cut[i] < tiers:
-                members = slice(self.edge[cut[i]], None) if q[i] > 0 else slice(None, self.edge[tiers - cut[i]])
-                total[self.order[d, members]] += q[i] * self.values[d, members] - rest[i]
+        full = tiers - cut > tiers // FULL
+        query = np.zeros(self.x.shape[1])
+        query[dims[full]] = q[full]
+        total = self.x @ query + rest[~full].sum()
+        for i in np.flatnonzero(~full & (cut < tiers)):
+            d = dims[i]
+            members = slice(self.edge[cut[i]], None) if q[i] > 0 else slice(None, self.edge[tiers - cut[i]])
+            total[self.order[d, members]] += q[i] * self.values[d, members] - rest[i]
         kept = np.flatnonzero(total >= threshold)
         total = total[kept]
-        width = np.argsort(bounds[:, 0] - rest, kind="stable")
-        for k in range(0, len(dims), PROBED):
-            now = width[k:k + PROBED]
+        others = np.flatnonzero(~full)
+        others = others[np.argsort((bounds[:, 0] - rest)[others], kind="stable")]
+        for k in range(0, len(others), PROBED):
+            now = others[k:k + PROBED]
             total = total + np.minimum(self.x[np.ix_(kept, dims[now])] * q[now] - rest[now], 0).sum(axis=1)
             fine = total >= threshold
             kept, total = kept[fine], total[fine]
@@ -138,31 +144,34 @@ def with_thresholds(queries: DataFrame, sample: list, k: int, scale: float) -> D
 
     def apply(batches):
         ids = np.array([r[0] for r in shared.value], dtype=np.int64)
-        shards = [Shard(ids[at], x) for at, x in by_length(pa.array([r[1] for r in shared.value], pa.list_(pa.float64())), scale)]
+        offered = [(ids[at], x) for at, x in by_length(pa.array([r[1] for r in shared.value], pa.list_(pa.float64())), scale)]
         for batch in batches:
-            out = np.full(batch.num_rows, -np.inf)
+            out, own = np.full(batch.num_rows, -np.inf), batch.column(0).to_numpy()
             for at, x in by_length(batch.column(1), scale):
-                for row, query in zip(at, x):
-                    me = batch.column(0)[int(row)].as_py()
-                    found = [s.top(query, me, -np.inf, k) for s in shards]
-                    if found and all(scores.dtype != object for _, scores in found):
-                        _, scores = best(np.concatenate([i for i, _ in found]), np.concatenate([s for _, s in found]), k)
-                        if len(scores) == k:
-                            out[row] = scores[-1]
+                for first in range(0, len(at), 256):
+                    rows, some = at[first:first + 256], x[first:first + 256]
+                    scores = []
+                    for names, y in offered:
+                        n = min(some.shape[1], y.shape[1])
+                        if n * max(np.abs(some).max(initial=0), 1) * max(np.abs(y).max(initial=0), 1) < EXACT:
+                            scores.append(np.where(own[rows, None] == names, -np.inf, some[:, :n] @ y[:, :n].T))
+                    if sum(s.shape[1] for s in scores) >= k:
+                        out[rows] = np.partition(np.concatenate(scores, axis=1), -k, axis=1)[:, -k]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["vec_id", "embedding", "threshold"])
 
     return queries.mapInArrow(apply, "vec_id long, embedding array<double>, threshold double")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, elements: int = 1 << 20,
-          sampled: int = 1024, longest_sampled: int = 2048) -> DataFrame:
+          sampled: int = 4096, longest_sampled: int = 512) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query the ``k`` candidates of the highest scores."""
     vectors = part_takers(vectors.select("vec_id", "embedding"))
     size = F.sum(F.size("embedding").cast("long") + 1)
     counted = vectors.agg(size.alias("all"), F.sum(F.when(is_query, F.size("embedding").cast("long") + 1)).alias("asking")).first()
     n_shards, n_blocks = (1 + int(x or 0) // elements for x in counted)
     # the sample: at most sampled * longest_sampled numbers
-    sample = [tuple(r) for r in vectors.where(F.size("embedding") <= longest_sampled).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sampled).collect()]
+    sample = vectors.where(F.size("embedding") <= longest_sampled).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sampled).collect()
+    sample = list({r["vec_id"]: tuple(r) for r in sample}.values())  # an id counts once
     deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     queries = with_thresholds(vectors.where(is_query), sample, k, scale)
