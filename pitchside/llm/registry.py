@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, embdedup, infill, langid, licenses, mixing, neardup, packing, pii, topk, toxicity, urls
+from . import ann, embdedup, infill, langid, licenses, mixing, neardup, packing, phrases, pii, topk, toxicity, urls
 
 QUERIES = {
     "op1_pack": packing.op1_pack,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_nearest": ann.op9_nearest,
     "op10_url_filter": urls.op10_url_filter,
+    "op11_phrases": phrases.op11_phrases,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
     "op13_top_k": topk.op13_top_k,
 }
@@ -23,6 +24,7 @@ ORACLE_SQL = {
     "op2_mix_sources": mixing.SQL,
     "op5_licenses": licenses.SQL,
     "op8_pii": pii.SQL,
+    "op11_phrases": phrases.SQL,
     "op12_fill_in_middle": infill.SQL,
     "op13_top_k": topk.SQL,
 }
