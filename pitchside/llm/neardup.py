@@ -21,10 +21,13 @@
 No list, partner or candidate is capped.  What remains quadratic is the comparison of signatures
 of members that share a list and are not yet joined; it emits nothing below the threshold.
 
-Cases: null text or text without words has an empty set and is linked with nothing; repeated rows
-are copies of each other; rows with one doc_id but different texts count as one document in the
-graph; null doc_ids link nothing but with themselves and stay; empty input gives empty output;
-other columns do not matter, as only ``doc_id`` and ``text`` are read.
+A class's key is its fingerprint; inside, classes go by a number that is unique by construction, and doc_ids only
+label the result.
+
+Cases: every row is a document and gives one row.  Null text or text without words has an empty set and is linked
+with nothing; repeated rows are copies of each other; rows with one doc_id but different texts are documents of
+their own with the same label; rows without doc_id take part, and a component of such rows only has a null label;
+empty input gives empty output; other columns do not matter, as only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -34,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, table
+from .common import WORD, components, cut, table
 
 WORDS = 5
 COORDINATES = 96
@@ -134,11 +137,11 @@ def equal_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, one, two, signature)``: the set's size, its fingerprint and its signature."""
+    """``(doc_id, digest, n, one, two, signature)``: the text's MD5, the set's size, its fingerprint and its signature."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, one, two, values = [], [], [], []
-            for s in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist()):
+            for s in shingle_sets(batch.column(2).cast(pa.binary()).to_pylist()):
                 n.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(mixed(s * _ODD[-4]).sum(dtype=np.uint64).view(np.int64)))
@@ -146,21 +149,32 @@ def signatures(docs: DataFrame) -> DataFrame:
             flat = np.concatenate([v for v in values if v is not None]) if any(n) else np.zeros(0, dtype=np.int32)
             offsets = np.cumsum([0, *(0 if v is None else COORDINATES for v in values)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                ["doc_id", "n", "one", "two", "signature"])
+                ["doc_id", "digest", "n", "one", "two", "signature"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, n long, one long, two long, signature array<int>")
+    return docs.select("doc_id", digest(), "text").mapInArrow(
+        apply, f"doc_id {kind}, digest binary, n long, one long, two long, signature array<int>")
+
+
+def digest() -> Column:
+    """What tells texts under one doc_id apart."""
+    return F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")
+
+
+def label(doc_id: str = "doc_id") -> Column:
+    """Orders the rows of a class: by doc_id, null last, then by text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.col("digest"))
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """``(id, shingles, sketch)`` of the documents given."""
+def full_sets(texts: DataFrame) -> DataFrame:
+    """``(id, shingles, sketch)`` of the texts given as ``(id, text)``."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for i in range(0, len(texts), 256):
-                sets = list(shingle_sets(texts[i:i + 256]))
+            data = batch.column(1).cast(pa.binary()).to_pylist()
+            for i in range(0, len(data), 256):
+                sets = list(shingle_sets(data[i:i + 256]))
                 offsets = np.cumsum([0, *map(len, sets)])
                 sketch = [signature(x, _MORE).astype(np.uint8).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -168,8 +182,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                         pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))),
                      pa.array(sketch, pa.binary())], ["id", "shingles", "sketch"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(apply, f"id {kind}, shingles array<bigint>, sketch binary")
+    return texts.select("id", "text").mapInArrow(apply, "id long, shingles array<bigint>, sketch binary")
 
 
 def tokens(classes: DataFrame, first: int = COORDINATES) -> DataFrame:
@@ -237,20 +250,21 @@ def compare_lists(postings: DataFrame, members: DataFrame, percent: int, block:
         found = np.sort(np.concatenate(out, axis=1), axis=0) if out else np.zeros((2, 0), dtype=np.int64)
         return pa.table({"a": found[0], "b": found[1]})
 
-    kind = postings.schema["id"].dataType.simpleString()
-    return dealt.groupBy("token", "_i", "_j").applyInArrow(compare, f"a {kind}, b {kind}")
+    return dealt.groupBy("token", "_i", "_j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, a row per document.
+def grouped(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
+    """``(doc_id, digest, n_shingles, chosen)``, a row per document.
 
-    Documents link if ``100 * intersection >= percent * union`` of their sets.
+    Documents link if ``100 * intersection >= percent * union`` of their sets.  ``chosen`` tells which document
+    stands for the component: its least doc_id (null last) and that one's digest, null for documents without words.
     """
     matches = matches_for(percent)
     signed = cut(signatures(docs))
     key = ["n", "one", "two"]
-    classes = cut(signed.where("n > 0 and doc_id is not null").groupBy(*key).agg(
-        F.min("doc_id").alias("id"), F.first("signature").alias("signature")))
+    # the numbers are fixed with the checkpoint
+    classes = cut(signed.where("n > 0").groupBy(*key).agg(F.min(label()).alias("least"), F.first("signature").alias("signature"))
+                  .withColumn("id", F.monotonically_increasing_id()))
 
     looked = shared(tokens(classes, FIRST)).groupBy("id").count()
     near = looked.where(F.col("count") >= matches - (COORDINATES - FIRST)).select("id")
@@ -266,11 +280,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> Da
                .select("token", F.col("c.id").alias("b"), F.col("c.n").alias("n_b")))
     stars = cut(postings.join(centres, "token").where((F.col("id") != F.col("b")) & fits)
                 .select(F.col("id").alias("a"), "b").distinct())
-    # every class with a list that holds another: its text is read once more for the full set
-    crowded = cut(shared(postings.select("id", "token")).select("id").distinct())
-    # a class's text may come from any of its documents; its id is one of them
-    texts = docs.select("doc_id", "text").join(crowded.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = cut(full_sets(texts))
+    # every class with a list that holds another: the text of its least document is read once more for the full set
+    crowded = shared(postings.select("id", "token")).select("id").distinct()
+    crowded = cut(crowded.join(classes, "id").select("id", F.col("least.doc_id").alias("doc_id"), F.col("least.digest").alias("digest")))
+    d, c = docs.select("doc_id", digest(), "text").alias("d"), crowded.alias("c")
+    texts = d.join(c, F.col("d.digest").eqNullSafe(F.col("c.digest")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
+    sets = cut(full_sets(texts.select("c.id", "d.text").dropDuplicates(["id"])))
     links = cut(confirmed(stars, sets, percent))
     joined = components(listed.select("id"), links)
 
@@ -280,12 +295,34 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> Da
     links = links.union(cut(confirmed(compare_lists(postings, members, percent, block), sets, percent)))
     labels = components(classes.select("id"), links)
 
-    by_class = classes.join(labels, "id").select(*key, "component")
-    component = F.coalesce("component", "doc_id")
-    return signed.join(by_class, key, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.when(F.col("doc_id").isNotNull(), component)).alias("kept"))
+    labelled = classes.select(*key, "least", "id").join(labels, "id")
+    chosen = labelled.groupBy("component").agg(F.min("least").alias("chosen"))
+    by_class = labelled.join(chosen, "component").select(*key, "chosen")
+    return signed.join(by_class, key, "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), "chosen")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, a row per document: the least doc_id of its
+    component, and whether that is its own."""
+    component = F.when(F.col("chosen").isNull(), F.col("doc_id")).otherwise(F.col("chosen.doc_id"))
+    return grouped(docs, percent, block).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
+    """``docs``, all columns, with one row of each component of near copies, the one with the least doc_id
+    (of equal ones the least digest; of rows that repeat id and text any one).  Rows without words all stay."""
+    found = grouped(docs, percent, block)
+    one = found.where("chosen is not null").select("chosen.doc_id", "chosen.digest").distinct().alias("o")
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rest = [F.col(f"d.`{c.replace('`', '``')}`") for c in docs.columns]
+    # the digest goes under a name that no column has
+    name = "_digest"
+    while name in docs.columns:
+        name += "_"
+    d = docs.where(worded).withColumn(name, digest()).alias("d")
+    kept = d.join(one, F.col(f"d.{name}").eqNullSafe(F.col("o.digest")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", name]).select(*rest).union(docs.where(~worded))
 
 
 def op4_minhash(spark, sf_dir: str) -> DataFrame:

@@ -40,6 +40,19 @@ def brute(texts, percent):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
+def brute_rows(rows, percent):
+    """Every row is a document: ``(doc_id, set size, label, kept)``, the label being the least doc_id of the component."""
+    parts, out = brute([(k, t) for k, (_, t) in enumerate(rows)], percent), []
+    ids = {}
+    for k, (i, _) in enumerate(rows):
+        ids.setdefault(parts[k][1], []).append(i)
+    for k, (i, _) in enumerate(rows):
+        known = [x for x in ids[parts[k][1]] if x is not None]
+        label = min(known) if known else None
+        out.append((i, parts[k][0], label, i == label))
+    return sorted(out, key=str)
+
+
 def result(df):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in df.collect()}
 
@@ -75,14 +88,38 @@ def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a b"), (5, "A  b"), (6, "a b c"), (7, "a b c d e"), (8, "a b c d e"), (8, "a b c d e"),
             (9, "word " * 700000), (10, "word " * 10), (11, "É b"), (12, "é b"), (13, "x y z"), (14, "x y z"), (None, "a b"), (None, None)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, component_id string, n int")
-    out = neardup.near_duplicates(df, 85).collect()
-    assert len(out) == len(rows)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in out if r["doc_id"] is not None}
-    assert got == brute([r for r in rows if r[0] is not None], 85)
-    assert all(r["component_id"] is None and r["kept"] for r in out if r["doc_id"] is None)
+    assert sorted((tuple(r) for r in neardup.near_duplicates(df, 85).collect()), key=str) == brute_rows(rows, 85)
     assert neardup.near_duplicates(df.limit(0), 85).count() == 0
 
 
+LONG = " ".join(f"v{k}" for k in range(200))
+#: Texts that differ under one id, copies under several ids, near copies, and copies without id.
+SHARED_IDS = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "a b c d e f"), (3, "u v w x y z"), (None, "no id at all here now"), (None, "no id at all here now"),
+              (None, LONG), (7, LONG + " end"), (7, LONG), (7, "quite another text of seven words"), (8, LONG + " tail"), (None, "a b c d e f"),
+              (9, "quite another text of seven words"), (10, "  "), (10, None), (None, ""), (11, "only one such text is here"), (-5, "u v w x y z")]
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_ids_only_label(spark, times):
+    rows = SHARED_IDS * times
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in neardup.near_duplicates(df, 80).collect()), key=str) == brute_rows(rows, 80)
+
+
+def test_one_of_each_loses_no_text(spark):
+    rows = [(i, t, k) for k, (i, t) in enumerate(SHARED_IDS * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _digest int").repartition(3)
+    kept = [tuple(r) for r in neardup.one_of_each(df, 80).collect()]
+    assert set(kept) <= set(rows) and len({k for _, _, k in kept}) == len(kept)
+    parts = brute([(k, t) for _, t, k in rows], 80)
+    worded = [k for k in parts if parts[k][0]]
+    assert sorted(parts[k][1] for _, _, k in kept if parts[k][0]) == sorted({parts[k][1] for k in worded})
+    assert {k for _, _, k in kept if not parts[k][0]} == {k for k in parts if not parts[k][0]}
+    for i, _, k in kept:  # the least id stands for its component
+        if parts[k][0]:
+            assert (i is None, i) == min(((j is None, j) for j, _, m in rows if parts[m][1] == parts[k][1]), key=lambda x: (x[0], x[1] or 0))
+
+
 def test_stated_chance_of_losing_a_pair_at_the_threshold():
     from math import comb
 
