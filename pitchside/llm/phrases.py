@@ -26,6 +26,7 @@ from __future__ import annotations
 import bisect
 import pickle
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 #: Bytes of text that a shard counts at once.
-CHUNK = 16 << 20
+CHUNK = 12 << 20
 #: Bits of the set that tells the next round what is frequent, as a power of two.
 FILTER_BITS = 25
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -64,46 +65,82 @@ class Transducer:
 
     @classmethod
     def build(cls, words: pa.Array, columns: list[np.ndarray], weights: np.ndarray) -> Transducer:
-        """From sorted phrases, a column of symbol numbers for each place, -1 after a phrase's end."""
-        register: dict[tuple, int] = {}
-        depth = len(columns)
-
-        def freeze(place: int, low: int, high: int) -> tuple[int, int]:
-            """The state after ``place`` symbols of the phrases ``low`` to ``high``, and its least output."""
-            final = -1
-            if place == depth or columns[place][low] < 0:
-                final, low = int(weights[low]), low + 1
-            labels = columns[place][low:high] if place < depth else np.zeros(0, dtype=np.int64)
-            if place == depth - 1:
-                outs, targets = weights[low:high], np.zeros(len(labels), dtype=np.int64)
+        """From sorted phrases, a column of symbol numbers for each place, -1 after a phrase's end.
+
+        Phrases that differ only in the last of all places arrive as one run: their arcs all lead to the end.
+        """
+        depth, n = len(columns), len(weights)
+        register: dict[tuple, int] = {(0, b"", b"", b""): 0}  # the end that all last symbols lead to
+        if not n or not depth:  # the start is a state that is no end
+            return cls._read(words, {**register, (-1, b"", b"", b""): 1}, 1, 0)
+        whole = columns[-1] >= 0
+        shared, alike = np.zeros(n, dtype=np.int64), np.ones(n - 1, dtype=bool)
+        for c in columns:  # how many symbols each phrase shares with the one before
+            alike &= c[1:] == c[:-1]
+            shared[1:] += alike
+        again = np.zeros(n, dtype=bool)
+        again[1:] = whole[1:] & whole[:-1] & (shared[1:] >= depth - 1)
+        head = np.flatnonzero(~again)
+        least = np.minimum.reduceat(weights, head)
+        ends = np.append(head[1:], n)
+        labels, outs = columns[-1].astype(np.int64).tobytes(), (weights - np.repeat(least, ends - head)).tobytes()
+        nothing = bytes(8 * int((ends - head).max()))
+        names = [c[head].tolist() for c in columns[:-1]]
+        lengths = sum((c[head] >= 0).astype(np.int64) for c in columns).tolist()
+        opened: list[list] = [[-1, [], [], [], None]]  # along the last phrase: final, labels, targets, outputs, run
+        path: list[int] = []
+
+        def freeze(state: list) -> tuple[int, int]:
+            final, arcs, targets, given, run = state
+            if run:
+                a, b, low = run
+                key = (-1, labels[8 * a:8 * b], nothing[:8 * (b - a)], outs[8 * a:8 * b])
+                if final >= 0:
+                    low, own = min(low, final), weights[a:b]
+                    key = (final - low, key[1], key[2], (own - low).tobytes())
             else:
-                begin = np.flatnonzero(np.r_[True, labels[1:] != labels[:-1]]) if len(labels) else labels
-                labels, ends = labels[begin], [*(low + begin[1:]).tolist(), high]
-                made = [freeze(place + 1, a, b) for a, b in zip((low + begin).tolist(), ends)]
-                targets, outs = (np.array(x, dtype=np.int64) for x in (zip(*made) if made else ((), ())))
-            least = min(([int(outs.min())] if len(outs) else []) + ([final] if final >= 0 else []))
-            outs = outs - least
-            key = (final - least if final >= 0 else -1, labels.tobytes(), targets.tobytes(), outs.tobytes())
-            return register.setdefault(key, len(register)), least
-
-        register[(0, b"", b"", b"")] = 0  # the end that all last symbols lead to
-        # without phrases the start is a state that is no end
-        start, base = freeze(0, 0, len(weights)) if len(weights) else (register.setdefault((-1, b"", b"", b""), 1), 0)
-        read = lambda k: [np.frombuffer(state[k], dtype=np.int64) for state in register]
-        labels = read(1)
-        return cls(words, np.cumsum([0, *map(len, labels)]), np.concatenate(labels), np.concatenate(read(2)), np.concatenate(read(3)),
-                   np.array([state[0] for state in register], dtype=np.int64), start, base)
+                low = min([*given, final] if final >= 0 else given)
+                key = (final - low if final >= 0 else -1, *(array("q", x).tobytes() for x in (arcs, targets, [g - low for g in given])))
+            return register.setdefault(key, len(register)), low
+
+        def close(kept: int) -> None:
+            while len(path) > kept:
+                target, low = freeze(opened.pop())
+                for part, value in zip(opened[-1][1:4], (path.pop(), target, low)):
+                    part.append(value)
+
+        for i, (a, b, low, same, length) in enumerate(zip(head.tolist(), ends.tolist(), least.tolist(), shared[head].tolist(), lengths)):
+            close(same)
+            for place in range(len(path), min(length, depth - 1)):
+                path.append(names[place][i])
+                opened.append([-1, [], [], [], None])
+            if length == depth:
+                opened[-1][4] = a, b, low
+            else:
+                opened[-1][0] = low
+        close(0)
+        return cls._read(words, register, *freeze(opened[0]))
+
+    @classmethod
+    def _read(cls, words: pa.Array, register: dict[tuple, int], start: int, base: int) -> Transducer:
+        label, target, out = (np.frombuffer(b"".join([state[k] for state in register]), dtype=np.int64) for k in (1, 2, 3))
+        first = np.cumsum([0, *(len(state[1]) // 8 for state in register)])
+        return cls(words, first, label, target, out, np.array([state[0] for state in register], dtype=np.int64), start, base)
 
     def to_bytes(self) -> bytes:
         small = [x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (self.first, self.label, self.target, self.out, self.final + 1)]
-        plain = pickle.dumps((self.words.to_pylist(), small, self.start, self.base))
+        at = np.frombuffer(self.words.buffers()[1], dtype=np.int64)[self.words.offset:][:len(self.words) + 1] if len(self.words) else np.zeros(1, dtype=np.int64)
+        text = self.words.buffers()[2][int(at[0]):int(at[-1])].to_pybytes() if at[-1] > at[0] else b""
+        plain = pickle.dumps((np.diff(at).astype(np.uint32), text, small, self.start, self.base))
         return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Transducer:
-        words, small, start, base = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
+        sizes, text, small, start, base = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
         first, label, target, out, final = (x.astype(np.int64) for x in small)
-        return cls(pa.array(words, pa.large_binary()), first, label, target, out, final - 1, start, base)
+        at = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(text)])
+        return cls(words, first, label, target, out, final - 1, start, base)
 
     def _expand(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The arcs of ``states``, one after the other, and the place in ``states`` each belongs to."""
@@ -153,9 +190,11 @@ class Transducer:
 
 def symbols(*tables: pa.Array) -> tuple[pa.Array, list[np.ndarray]]:
     """The sorted union of tables of symbols, and for each table the numbers of its symbols there."""
-    all_ = pc.unique(pa.concat_arrays(tables)) if tables else pa.array([], pa.large_binary())
-    all_ = all_.take(pc.sort_indices(all_))
-    return all_, [pc.index_in(t, all_).to_numpy().astype(np.int64) for t in tables]
+    coded = pa.concat_arrays([*tables, pa.array([], pa.large_binary())]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), np.split(rank[coded.indices.to_numpy()], np.cumsum([len(t) for t in tables])[:-1])
 
 
 def compact(words: pa.Array, columns: list[np.ndarray], weights: np.ndarray) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
@@ -186,11 +225,14 @@ def summed(parts: list[Transducer], least: int = 1) -> tuple[pa.Array, list[np.n
     return *compact(words, [c[kept] for c in columns], weights[kept]), totals
 
 
-def hashes(words: pa.Array, columns: list[np.ndarray]) -> np.ndarray:
-    """A hash of each phrase from the bytes of its symbols, the same in every shard."""
-    if not columns or not len(words):
+def symbol_hashes(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(np.array([*words.to_pylist(), None], dtype=object)[:-1], categorize=False)
+
+
+def hashes(of: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of each phrase from those of its symbols, the same in every shard."""
+    if not columns or not len(of):
         return np.zeros(len(columns[0]) if columns else 0, dtype=np.uint64)
-    of = pd.util.hash_array(np.array([*words.to_pylist(), None], dtype=object)[:-1], categorize=False)
     h = np.zeros(len(columns[0]), dtype=np.uint64)
     for c in columns:
         new = (h ^ of[np.maximum(c, 0)]) * _ODD
@@ -199,7 +241,7 @@ def hashes(words: pa.Array, columns: list[np.ndarray]) -> np.ndarray:
 
 
 def tokenised(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct words, each word's number, where it begins and which piece it lies in."""
+    """Distinct words, each word's number, where it begins and which piece it lies in."""
     a = np.frombuffer(data.translate(_LOWER), dtype=np.uint8)
     kind = _KIND[a]
     inside = kind == 0
@@ -208,11 +250,7 @@ def tokenised(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray
     offsets = np.r_[0, np.cumsum(end - first)].astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(a[inside])])
     coded = words.dictionary_encode()
-    order = pc.sort_indices(coded.dictionary)
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order.to_numpy()] = np.arange(len(order))
-    numbers = rank[coded.indices.to_numpy()] if len(first) else np.zeros(0, dtype=np.int64)
-    return coded.dictionary.take(order), numbers, first, np.searchsorted(np.flatnonzero(kind == 2), first)
+    return coded.dictionary, coded.indices.to_numpy(), first, np.searchsorted(np.flatnonzero(kind == 2), first)
 
 
 def slices(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
@@ -251,6 +289,7 @@ def counted_phrases(parts: list[tuple[bytes, bytes, int]], orders: tuple[int, ..
     unit, names = pd.factorize(of_part[part] << 32 | of_word[number], sort=True)
     columns = [names >> 32, names & 0xFFFFFFFF]
     unit_word = columns[1]
+    of = symbol_hashes(words) if frequent else None
     together = np.r_[piece[1:] == piece[:-1], False]
     at, code = np.arange(len(unit)), unit
     for order in range(1, max(orders) + 1):
@@ -269,7 +308,7 @@ def counted_phrases(parts: list[tuple[bytes, bytes, int]], orders: tuple[int, ..
             seen = weights > 0
             yield words, [c[seen] for c in columns], weights[seen]
         if order in frequent:
-            bit = hashes(words, columns) >> np.uint64(64 - FILTER_BITS)
+            bit = hashes(of, columns) >> np.uint64(64 - FILTER_BITS)
             fine = (frequent[order][bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)[code]
             at, code = at[fine], code[fine]
 
@@ -302,7 +341,7 @@ class Ranges:
             return low if len(bound) <= len(columns) else high
 
         places = [0, *(place(b) for b in self.bounds), n]
-        part = hashes(words, columns) % np.uint64(self.deal) if self.deal > 1 else np.zeros(n, dtype=np.uint64)
+        part = hashes(symbol_hashes(words), columns) % np.uint64(self.deal) if self.deal > 1 else np.zeros(n, dtype=np.uint64)
         for r, (low, high) in enumerate(zip(places, places[1:])):
             for k in np.unique(part[low:high]):
                 yield r * self.deal + int(k), low + np.flatnonzero(part[low:high] == k)
@@ -314,11 +353,11 @@ class Ranges:
 
 def prefix_ranges(docs: DataFrame, range_bytes: int, most_ranges: int, sampled: int, sampled_chars: int = 4000) -> Ranges:
     """Bounds that split the word pairs of a sample evenly, one range for ``range_bytes`` of text."""
-    size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    size, n = (int(x or 0) for x in docs.agg(F.sum(F.octet_length("text")), F.count("*")).first())
     wanted = min(most_ranges, size // range_bytes + 1)
     bounds: list[tuple[bytes, ...]] = []
     if wanted > 1:
-        rows = docs.orderBy(F.xxhash64("text")).limit(sampled).select("lang", F.substring(F.col("text").cast("string"), 1, sampled_chars)).collect()
+        rows = docs.select("lang", F.substring(F.col("text").cast("string"), 1, sampled_chars)).sample(min(1.0, sampled / n), 7).limit(2 * sampled).collect()
         parts = [(r[0].encode(), t, len(t)) for r in rows for t in [(r[1] or "").encode()]]
         for words, columns, _ in counted_phrases(parts, (2,), {}) if parts else ():
             picked = np.unique(np.arange(1, wanted) * len(columns[0]) // wanted)
@@ -374,7 +413,7 @@ def bit_set(counts: DataFrame) -> np.ndarray:
         for batch in batches:
             for blob in batch.column(0).to_pylist():
                 t = Transducer.from_bytes(blob)
-                bit = hashes(t.words, t.phrases()[0]) >> np.uint64(64 - FILTER_BITS)
+                bit = hashes(symbol_hashes(t.words), t.phrases()[0]) >> np.uint64(64 - FILTER_BITS)
                 np.bitwise_or.at(bits, bit >> np.uint64(6), np.uint64(1) << (bit & np.uint64(63)))
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], ["at", "bits"])
@@ -485,7 +524,11 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, scale: int
               .groupBy("lang", F.concat_ws(" ", F.slice("words", F.col("_i"), F.col("_m"))).alias("phrase")).agg(F.max("a").alias("longer")))
     kept = (scored.select("lang", phrase.alias("phrase"), "a", "cut.l", "cut.r", "cut.score").join(inside, ["lang", "phrase"], "left")
             .where(F.col("longer").isNull() | (wide("longer") * 100 < wide("a") * cover)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # a language may have most of the phrases: the best of each of its shares first
+    place = [F.desc("score"), F.desc("a"), "phrase"]
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*place)
+    kept = kept.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= most)
+    order = Window.partitionBy("lang").orderBy(*place)
     return (kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).join(totals, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
