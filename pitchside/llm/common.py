@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from pitchside.session import ensure_checkpoint_dir
 
@@ -17,6 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has columns of that name (in whatever case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
+def column(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def map_rows(df: DataFrame, apply: Callable, *added: StructField) -> DataFrame:
+    """``mapInArrow`` over all columns, which it gives back with the ``added`` ones: columns go by
+    place, as ``mapInArrow`` cannot take every name."""
+    fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)]
+    mapped = df.toDF(*[f.name for f in fields]).mapInArrow(apply, StructType([*fields, *added]))
+    return mapped.toDF(*df.columns, *[f.name for f in added])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder ``spark.checkpoint.dir`` names: lineage ends there,
     and the rows survive the loss of any executor."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, unused
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban")
@@ -149,28 +149,41 @@ def find_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The documents with ``pii``: their spans by start and kind, and a column ``n_<kind>`` for each kind."""
     docs = docs.drop("pii", *[f"n_{k}" for k in KINDS])
     text = F.coalesce("text", F.lit(""))
-    found = docs.withColumns({f"_{k}": spans_of(text, k, min_score) for k in KINDS})
-    found = found.withColumn("pii", F.array_sort(F.concat(*[f"_{k}" for k in KINDS])))
-    return found.withColumns({f"n_{k}": F.size(f"_{k}").cast("long") for k in KINDS}).drop(*[f"_{k}" for k in KINDS])
+    each = unused(docs, *[f"_{k}" for k in KINDS])
+    found = docs.withColumns({c: spans_of(text, k, min_score) for c, k in zip(each, KINDS)})
+    found = found.withColumn("pii", F.array_sort(F.concat(*each)))
+    return found.withColumns({f"n_{k}": F.size(c).cast("long") for c, k in zip(each, KINDS)}).drop(*each)
 
 
-def _marked(kind: str):
-    def piece(z: Column) -> Column:
-        mark = F.when(valid(kind, z["match"]), f"<{kind.upper()}>").otherwise(z["match"])
-        return F.concat(z["before"], F.when(z["match"].isNull(), "").otherwise(mark))
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with its spans, given in order of their starts, replaced by the kind: spans that overlap
+    become one, of the first one's kind."""
+    def with_ends(ends: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(ends) / BLOCK).cast("int")), lambda b: F.array_max(F.slice(ends, 1, b * BLOCK)))
 
-    return lambda zipped: F.array_join(F.transform(zipped, piece), "")
+        def with_blocks(most: Column) -> Column:
+            def head(s: Column, i: Column) -> Column:
+                b = F.floor(i / BLOCK).cast("int")
+                done = F.greatest(F.get(most, b), F.array_max(F.slice(ends, b * BLOCK + 1, i % BLOCK)), F.lit(0))
+                return F.struct(done.alias("done"), s["start"].alias("start"), s["kind"].alias("kind"))
+
+            heads = F.filter(F.transform(spans, head), lambda h: h["start"] >= h["done"])
+            marked = F.transform(heads, lambda h: F.concat(
+                text.substr(h["done"] + 1, h["start"] - h["done"]), F.lit("<"), F.upper(h["kind"]), F.lit(">")))
+            return F.concat(F.array_join(marked, ""), text.substr(F.array_max(ends) + 1, F.length(text)))
+
+        return let(blocks, with_blocks)
+
+    return F.when(F.size(spans) > 0, let(F.transform(spans, lambda s: s["end"]), with_ends)).otherwise(text)
 
 
 def redact_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """The documents with every confirmed span replaced by its kind, as ``<EMAIL>``; ``n_chars`` follows the text.
-
-    Kinds go one after another, each over the text that the one before left.
-    """
-    text = F.col("text")
-    for kind in ("email", "iban", "phone", "card", "ip"):
-        rebuilt = _marked(kind)
-        docs = docs.withColumn("text", F.when(text.rlike(HINT[kind]), let(parts(text, kind), rebuilt)).otherwise(text))
+    """The documents with every span that ``find_pii`` confirms replaced by its kind, as ``<EMAIL>``;
+    ``n_chars`` follows the text."""
+    (spans,) = unused(docs, "_spans")
+    text = F.coalesce("text", F.lit(""))
+    found = docs.withColumn(spans, F.array_sort(F.concat(*[spans_of(text, k, min_score) for k in KINDS])))
+    docs = found.withColumn("text", redacted(F.col("text"), F.col(spans))).drop(spans)
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 

@@ -73,6 +73,26 @@ def test_redaction(spark):
     assert got[2][0] is None and got[3][0] == "clean 12 text"
 
 
+def test_redaction_is_of_the_confirmed_spans(spark):
+    """Redaction and find_pii agree on every text; overlapping spans give one mark, the first one's."""
+    rng = random.Random(5)
+    texts = [*TEXTS, "serial xGB82WEST12345698765432 in stock", "bank xGB82WEST12345698765432", "a@1.2.3.4", "+1 (555) 0100-4111 1111 1111 1111",
+             "a@b.co " * 700 + "1.2.3.4", None]
+    texts += ["".join(rng.choice("ab1 2.9@+-()_é4") for _ in range(rng.randrange(80))) for _ in range(800)]
+    df = spark.createDataFrame([(i, t, "e", 7) for i, t in enumerate(texts)], "doc_id long, text string, _email string, _spans int")
+    spans = {r["doc_id"]: r["pii"] for r in pii.find_pii(df).collect()}
+    done = pii.redact_pii(df)
+    assert done.columns == df.columns and "_email" in pii.find_pii(df).columns
+    for r in done.collect():
+        text, want, at = texts[r["doc_id"]], "", 0
+        for s in spans[r["doc_id"]]:
+            if s["start"] >= at:
+                want += text[at:s["start"]] + f"<{s['kind'].upper()}>"
+            at = max(at, s["end"])
+        assert r["text"] == (None if text is None else want + text[at:])
+    assert {texts[r["doc_id"]]: r["text"] for r in done.collect()}["serial xGB82WEST12345698765432 in stock"] == "serial xGB82WEST12345698765432 in stock"
+
+
 def test_digest(spark):
     row = {r["doc_id"]: r for r in registry.QUERIES["op8_pii"](spark, SF).collect()}
     base = lambda s: ",".join(x for x in s.split(",") if not x.startswith("iban"))
