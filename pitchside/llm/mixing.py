@@ -11,7 +11,8 @@ place stop at their limit and the rest split what is left by weight.  All compar
 the place are in whole numbers.
 
 Cases: null text has size 0; a null source is a source of its own, last in order; a source whose
-size is 0 has rate 0 and emits nothing; rows with the same id draw the same number; empty input
+size is 0 has rate 0 and emits nothing; rows with the same id draw the same number; rows without id draw by their
+text, source and number among those that are equal in both, so copies draw apart; empty input
 gives empty output; other columns travel along unless they bear the name of an added column, which
 is then replaced.
 """
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table, unit_hash
+from .common import WORD, column, cut, table, unit_hash, unused
 
 ADDED = ("size", "source_size", "target", "rate", "copies")
 
@@ -70,22 +71,42 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat:
     is spread over ``salts`` keys, and the rates, one row per source, are repeated per salt.
     """
     docs = docs.drop(*ADDED)
+    key, salt, draw, copy_of = unused(docs, "_key", "_salt", "_draw", "_text")
     sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
     rates = source_targets(sized.select("source", "size"), weights, max_repeat)
-    key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
-    rates = rates.select(key.alias("_key"), "source_size", "target", "rate",
-                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    salt = F.pmod(F.xxhash64("doc_id", "size"), F.lit(salts)).cast("int")
-    draw = unit_hash(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    copies = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")
-    return (sized.withColumns({"_key": key, "_salt": salt}).join(rates, ["_key", "_salt"])
-            .withColumn("copies", copies).drop("_key", "_salt"))
+    name = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
+    rates = rates.select(name.alias(key), "source_size", "target", "rate",
+                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(salt))
+    named = sized.where("doc_id is not null").withColumn(draw, F.col("doc_id").cast("string"))
+    nameless = cut(sized.where("doc_id is null").withColumn(copy_of, F.concat_ws(":", F.md5(F.coalesce("text", F.lit("")).cast("binary")), name)))
+    nameless = ordinals(nameless, copy_of, draw).withColumn(draw, F.concat_ws(":", copy_of, draw)).drop(copy_of)
+    drawn = named.unionByName(nameless).withColumn(salt, F.pmod(F.xxhash64(draw), F.lit(salts)).cast("int")).withColumn(key, name)
+    chance = unit_hash(F.lit(str(seed)), F.col(draw))
+    copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
+    mixed = drawn.join(rates, [key, salt]).withColumn("copies", copies)
+    return mixed.select(*[column(c) for c in docs.columns], *ADDED)
+
+
+def ordinals(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` (checkpointed) with a number from 0 among those of equal ``key``.
+
+    Rows are numbered within their partitions, and partitions get offsets, so a key that all rows share is
+    numbered by as many tasks as there are partitions.
+    """
+    place, part, first = unused(rows, "_place", "_part", "_first")
+    rows = rows.withColumn(place, F.monotonically_increasing_id()).withColumn(part, F.shiftright(place, 33))
+    per = rows.groupBy(key, part).agg(F.count("*").alias(first))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn(first, F.coalesce(F.sum(first).over(before), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy(key, part).orderBy(place)) - 1
+    return rows.withColumn(name, own).join(per, [key, part]).withColumn(name, F.col(name) + F.col(first)).drop(place, part, first)
 
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
     """One row for each copy that the mix takes, with the columns the documents came with."""
-    rows = mixed.where("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1, copies)")))
-    return rows.drop("_copy", *ADDED)
+    (copy,) = unused(mixed, "_copy")
+    rows = mixed.where("copies > 0").withColumn(copy, F.explode(F.expr("sequence(1, copies)")))
+    return rows.drop(copy, *ADDED)
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -95,7 +116,10 @@ def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(doc_id::VARCHAR, md5(coalesce(text, '')) || ':' || coalesce('s' || source, 'n') || ':' ||
+           (row_number() OVER (PARTITION BY doc_id, text, source) - 1)) AS draw
+  FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
@@ -120,7 +144,7 @@ WITH d AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate FROM t
 )
 SELECT d.doc_id, d.size, r.source_size, r.target,
-       (d.size * (floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('20:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+       (d.size * (floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('20:' || d.draw), 1, 13))::BIGINT::DOUBLE
                                 / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """

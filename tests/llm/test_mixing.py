@@ -48,3 +48,27 @@ def test_reruns_agree_and_sources_near_target(spark):
         s = per.setdefault(r["source"], [r["target"], 0])
         s[1] += r["size"] * r["copies"]
     assert all(abs(taken - target) < 0.1 * target for target, taken in per.values())
+
+
+def test_rows_without_id(spark):
+    """Two sources of 1,000 rows without id each, all alike: taken words land within 5 % of target, and reruns agree."""
+    docs = spark.range(2000).selectExpr("cast(null as long) as doc_id", "'ten words ' || repeat('w ', 8) as text", "if(id % 2 = 0, 'a', 'b') as source",
+                                        "id as _key", "'x' as _salt", "1 as _draw", "2 as _text", "3 as _copy")
+    mixed = mixing.mix_sources(docs.repartition(5))
+    assert mixed.columns == [*docs.columns, *mixing.ADDED] and mixing.emit_copies(mixed).columns == docs.columns
+    rows = mixed.collect()
+    for source in "ab":
+        mine = [r for r in rows if r["source"] == source]
+        assert len(mine) == 1000 and abs(sum(r["size"] * r["copies"] for r in mine) - mine[0]["target"]) < 0.05 * mine[0]["target"]
+        assert sorted(r["copies"] for r in mine) == sorted(r["copies"] for r in mixing.mix_sources(docs.coalesce(1)).collect() if r["source"] == source)
+
+
+def test_sql_without_ids(spark):
+    con = duck(SF)
+    rows = [(None, t, s) for t in ("a b c", "a b c d", None, "x") for s in ("p", "q", None) for _ in range(20)] + [(5, "a b", "p"), (6, "c d e", None)]
+    con.execute("CREATE OR REPLACE TABLE given (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO given VALUES (?, ?, ?)", rows)
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM given")
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    ok, msg = compare(mixed.select("doc_id", "size", "source_size", "target", (mixing.F.col("size") * mixing.F.col("copies")).alias("taken")), con, mixing.SQL)
+    assert ok, msg
