@@ -26,6 +26,7 @@ output; other columns and clashing names do not matter, as only ``doc_id`` and `
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from array import array
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import column, cut, table, unused
 
 CAPACITY = 4096
 CLOSING = 1
@@ -47,15 +48,32 @@ REMEMBERED = 1_000_000
 _PLAIN = re.compile("(?!.*<\\|)[!-~À-ÖØ-öø-ÿ]+")
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The steps of a tokenizer (its own description of them) that the word-by-word way below follows.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: Byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def by_words(tokenizer) -> bool:
+    """Whether the tokenizer works in the steps that ``word_encoder`` follows: its added tokens must be
+    special ones between ``<|`` and ``|>``, without options."""
+    steps = json.loads(tokenizer.to_str())
+    plain = all(t["content"].startswith("<|") and t["content"].endswith("|>") and not re.search(r"\s", t["content"]) and t["special"]
+                and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in steps["added_tokens"])
+    model = steps["model"]
+    return (plain and steps["normalizer"] == NORMALIZER and steps["pre_tokenizer"] == PRE_TOKENIZER
+            and model["type"] == "BPE" and not model["dropout"] and not (steps["truncation"] or steps["padding"]))
+
+
 def word_encoder(tokenizer):
-    """Word (bytes without ASCII white space) to its ids as little-endian bytes.
+    """Word (bytes without ASCII white space) to its ids as little-endian bytes, if the tokenizer goes ``by_words``.
 
-    The tokenizer never joins text across white space, so a text's ids are those of its words in
+    Such a tokenizer never joins text across white space, so a text's ids are those of its words in
     order.  Words of plain Latin letters go to its model piece by piece; the others through the
     whole tokenizer.
     """
@@ -84,7 +102,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
     """``(doc_id, piece, start, length, ids_crc32, ids)`` of every document's ids with the closing id.
 
     ``ids`` are little-endian, of two bytes each if the vocabulary fits and else of four (``read_ids``);
-    the checksum is that of four bytes each.
+    the checksum is that of four bytes each.  A tokenizer that does not go ``by_words`` encodes every text whole.
     """
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -92,12 +110,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
-        words, wide = word_encoder(tokenizer), max(tokenizer.get_vocab().values(), default=0) >= 1 << 16
+        if by_words(tokenizer):
+            words = word_encoder(tokenizer)
+            encoded = lambda text: b"".join(map(words.__getitem__, text.split()))
+        else:
+            encoded = lambda text: array("I", tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+        wide = max(tokenizer.get_vocab().values(), default=0) >= 1 << 16
         step, close = 4 * capacity, CLOSING.to_bytes(4, "little")
         for batch in batches:
             at, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).cast(pa.binary())):
-                ids = b"".join(map(words.__getitem__, (text.as_py() or b"").split())) + close
+                ids = encoded(text.as_py() or b"") + close
                 for k in range(0, len(ids), step):
                     part = ids[k:k + step]
                     at.append(i)
@@ -235,14 +258,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 256) -> Dat
     rows.sort()
     plan = pieces.sparkSession.sparkContext.broadcast(np.array(rows, dtype=np.int64).reshape(-1, 5))
 
-    pieces = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
-    per = pieces.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
-    numbered = (pieces.withColumn("_number", F.row_number().over(order).cast("long") - 1)
-                .join(per, ["length", "_bucket"])
-                .select(*[c for c in pieces.columns if c != "_bucket"], (F.col("_first") + F.col("_number")).alias("_number")))
+    place_, bucket, total, first, number, at = unused(pieces, "_place", "_bucket", "_n", "_first", "_number", "_at")
+    numbered = pieces.withColumn(place_, F.monotonically_increasing_id())  # fixed by the checkpoint
+    # rows without id and rows that repeat go to different buckets too
+    numbered = numbered.withColumn(bucket, F.pmod(F.xxhash64("doc_id", "piece", place_), F.lit(buckets)).cast("int"))
+    per = numbered.groupBy("length", bucket).agg(F.count("*").alias(total))
+    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn(first, F.coalesce(F.sum(total).over(before), F.lit(0))).drop(total)
+    order = Window.partitionBy("length", bucket).orderBy("doc_id", "piece", place_)
+    numbered = (numbered.withColumn(number, F.row_number().over(order).cast("long") - 1)
+                .join(per, ["length", bucket]).withColumn(number, F.col(first) + F.col(number)))
 
     @F.pandas_udf("long")
     def place(length: pd.Series, number: pd.Series) -> pd.Series:
@@ -252,9 +277,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 256) -> Dat
         q = n - t[at, 1]
         return pd.Series((t[at, 2] + q // t[at, 3]) * capacity + t[at, 4] + q % t[at, 3] * w)
 
-    placed = numbered.withColumn("_at", place("length", "_number"))  # only two columns go to Python
-    return placed.select(*[c for c in numbered.columns if c != "_number"],
-                         F.expr(f"_at div {capacity}").alias("sequence_id"), (F.col("_at") % capacity).alias("offset"))
+    placed = numbered.withColumn(at, place("length", number))  # only two columns go to Python
+    return placed.select(*[column(c) for c in pieces.columns],
+                         F.expr(f"{at} div {capacity}").alias("sequence_id"), (F.col(at) % capacity).alias("offset"))
 
 
 def op1_pack(spark, sf_dir: str) -> DataFrame:

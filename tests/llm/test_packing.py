@@ -57,6 +57,32 @@ def test_edges(spark):
     assert packing.pack(packing.token_pieces(df.limit(0), PATH)).count() == 0
 
 
+def test_another_tokenizer(spark):
+    """Ids are those of the tokenizer given, whatever its steps."""
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [(i, r["text"]) for i, r in enumerate(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect())]
+    texts += [(100, None), (101, " Two  blanks\n\nand É, 3.5 <|endoftext|>")]
+    tok, plain = Tokenizer.from_file(other), Tokenizer.from_file(PATH)
+    assert packing.by_words(plain) and not packing.by_words(tok)
+    for path, t in ((other, tok), (PATH, plain)):
+        got = {}
+        for r in packing.token_pieces(spark.createDataFrame(texts, "doc_id long, text string"), path).collect():
+            got.setdefault(r["doc_id"], []).append((r["piece"], packing.read_ids(r["ids"], r["length"]).tolist()))
+        for i, text in texts:
+            assert sum((ids for _, ids in sorted(got[i])), []) == ids_of(t, text)
+
+
+def test_clashing_names(spark):
+    names = ["_at", "_bucket", "_number", "_first", "_place", "_n", "a`b.c"]
+    pieces = spark.range(500).selectExpr("cast(null as long) as doc_id", "0 as piece", "cast(1 + id % 3 as long) as length",
+                                         *[f"id as `{n.replace('`', '``')}`" for n in names])
+    out = packing.pack(pieces, 7)
+    assert out.columns == [*pieces.columns, "sequence_id", "offset"]
+    rows = out.collect()
+    assert sorted(r["_at"] for r in rows) == list(range(500)) and all(r["_at"] == r["_n"] for r in rows)
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 500
+
+
 def test_hot_length(spark):
     df = spark.range(5000).selectExpr("id as doc_id", "if(id % 3 = 0, 'one two', repeat('w ', cast(id % 900 as int))) as text")
     rows = packing.pack(packing.token_pieces(df, PATH), buckets=8).collect()
