@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import column, cut, table, unused
 
 #: The rules of the registered query.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -97,22 +97,24 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
                **rank) -> DataFrame:
     """The pages with ``host, path, rule, verdict``."""
     host, path = host_and_path(F.col("url"))
-    judged = pages.drop(*ADDED).withColumns({"host": host, "path": path})
-    judged = judged.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    pages = pages.drop(*ADDED)
+    decided, bad, salt = unused(pages, "_rule", "_host", "_salt")
+    judged = pages.withColumns({"host": host, "path": path})
+    judged = judged.withColumn(decided, rule_of(F.col("host"), F.col("path"), rules))
     hosts = judged.where("host <> ''").groupBy("host").agg(
-        F.count("*").alias("n"), F.count_if(F.col("_rule.verdict") == "allow").alias("allowed"),
-        F.count_if(F.col("_rule.verdict") == "block").alias("blocked"))
+        F.count("*").alias("n"), F.count_if(F.col(f"{decided}.verdict") == "allow").alias("allowed"),
+        F.count_if(F.col(f"{decided}.verdict") == "block").alias("blocked"))
     seeds = hosts.where("2 * (allowed + blocked) >= n and allowed <> blocked").selectExpr(
         "host", "if(allowed > blocked, 0, 1) as side")
     scores = host_scores(seeds, cut(host_links(judged)), **rank)
     blocked = (scores.where((F.col("distrust") > 0) & (F.col("distrust") >= threshold * F.col("trust")))
-               .select(F.col("host").alias("_host"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_salt")))
+               .select(F.col("host").alias(bad), F.explode(F.sequence(F.lit(0), F.lit(63))).alias(salt)))
     # a host may hold a third of all pages: its pages are spread over the salts
-    judged = judged.withColumn("_salt", F.pmod(F.xxhash64("url"), F.lit(64)).cast("int"))
-    judged = judged.join(blocked, (judged["host"] == blocked["_host"]) & (judged["_salt"] == blocked["_salt"]), "left")
-    method = F.when(F.col("_host").isNotNull(), "block").otherwise("allow")
-    return judged.withColumns({"rule": F.col("_rule.rule"), "verdict": F.coalesce("_rule.verdict", method)}).drop(
-        "_rule", "_host", "_salt")
+    judged = judged.withColumn(salt, F.pmod(F.xxhash64("url"), F.lit(64)).cast("int"))
+    judged = judged.join(blocked, (judged["host"] == blocked[bad]) & (judged[salt] == blocked[salt]), "left")
+    method = F.when(F.col(bad).isNotNull(), "block").otherwise("allow")
+    return judged.select(*[column(c) for c in pages.columns], "host", "path", F.col(f"{decided}.rule").alias("rule"),
+                         F.coalesce(f"{decided}.verdict", method).alias("verdict"))
 
 
 def op10_url_filter(spark, sf_dir: str) -> DataFrame:

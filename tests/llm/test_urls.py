@@ -83,3 +83,10 @@ def test_scores_reach_hosts_far_from_a_seed(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge_urls(df).collect()}
     assert got == plain(pages, urls.RULES) and {v[3] for v in got.values()} == {"block"}
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x", "", 5, "s", "r")], "page_id long, url string, html string, _host int, _salt string, _rule string")
+    out = urls.judge_urls(df)
+    assert out.columns == [*df.columns, "host", "path", "rule", "verdict"]
+    assert tuple(out.first()) == (1, "http://a.net/x", "", 5, "s", "r", "a.net", "/x", "net/", "block")
