@@ -5,9 +5,9 @@ affixes), the word itself, and for each language whether the word stands in that
 lexicon, its most frequent words in the sample.  Feature weights per language and transitions
 between languages are learned by maximum likelihood (forward-backward gradients) on sequences that
 join stretches of sampled documents, some switching language between stretches.  A text's words get
-their posterior by forward-backward over the whole text; a text's language is the one with the
-largest mean posterior over words with a letter, and that mean is its score, so code-switched text
-shows as a lower score.
+their posterior by forward-backward over the whole text and with it a label; neighbours of one label make
+spans.  A text's language is the label of most of its words with a letter, its score their mean posterior of
+it, so code-switched text has several spans and a lower score.
 
 Texts run side by side: they are cut into blocks of ``BLOCK`` words, the transfer matrices of all
 blocks are built together, carried from block to block per text, and the inner steps run together
@@ -15,9 +15,10 @@ again.  That is the exact forward-backward of each whole text, with few steps in
 long a text is.
 
 Learning takes a bounded sample, ``per_language`` documents of each language of at most
-``max_chars`` characters, the first by a hash of their ids; only text and language are read.
+``max_chars`` characters, the first by a hash of their ids, and of the ``most_languages`` most frequent languages;
+only text and language are read.
 
-Cases: text that is null or has no letter is ``und`` with score 0; a null language is not learned
+Cases: text that is null or has no letter is ``und`` with score 0 and without spans; a null language is not learned
 from; without anything to learn from every text is ``und``; repeated rows are labelled alike; empty
 input gives empty output; other columns travel along unless they bear the name of an added
 column, which is then replaced.
@@ -25,6 +26,7 @@ column, which is then replaced.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -33,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import held_out, table
+from .common import held_out, map_rows, table
 
 BLOCK = 64
 BITS = 18
@@ -42,6 +45,9 @@ CHUNK = 2_000_000
 #: Words whose emissions a task remembers.
 REMEMBERED = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Words end at ASCII white space.
+_BLANK = " \t\n\r\x0b\x0c"
+_WORD = re.compile(f"[^{_BLANK}]+")
 
 
 def word_hash(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -246,8 +252,14 @@ class Labeller:
         total = sum(map(len, texts))
         return np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=total)
 
-    def label(self, texts: list[str]) -> list[tuple[str, float]]:
-        out = [("und", 0.0)] * len(texts)
+    def label(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
+        """Of each text its language, that one's score and its spans.
+
+        Every word takes its most likely language, one without letters that of the word before it (at the
+        start, of the first with letters); equal neighbours are a span.  The text's language is the one that
+        most words with letters have, its score the mean of their chances of it.
+        """
+        out: list[tuple[str, float, list[dict]]] = [("und", 0.0, [])] * len(texts)
         at = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
         words = [texts[i].lower().encode().split() for i in at]
         if not at:
@@ -256,11 +268,31 @@ class Labeller:
         lengths = np.array([len(w) for w in words])
         rows = self.table[ids]
         p = posteriors(rows[:, :-1].astype(np.float64), lengths, self.model["moves"])
-        means = np.add.reduceat(p * rows[:, -1:], np.cumsum(lengths) - lengths, axis=0)
+        first, lettered = np.cumsum(lengths) - lengths, rows[:, -1] > 0
+        of_word = p.argmax(axis=1)
+        per_text = lambda x: np.add.reduceat(x * lettered[:, None], first, axis=0)
+        means, votes = per_text(p), per_text(np.eye(p.shape[1])[of_word])
         means /= means.sum(axis=1, keepdims=True)
-        best = means.argmax(axis=1)
-        for i, b, m in zip(at, best, means):
-            out[i] = (self.model["languages"][b], float(min(1.0, m[b])))
+        best = (votes + means * 0.5).argmax(axis=1)  # of equal votes the likelier
+        # the last word with letters up to each word, or else the next one
+        text = np.repeat(np.arange(len(at)), lengths)
+        place = np.where(lettered, np.arange(len(ids)), -1)
+        last = np.maximum.accumulate(place)
+        after = np.minimum.accumulate(np.where(lettered, np.arange(len(ids)), len(ids) - 1)[::-1])[::-1]
+        taken = of_word[np.where(last >= first[text], last, after)]
+        new = np.flatnonzero(np.r_[True, (taken[1:] != taken[:-1]) | (text[1:] != text[:-1])])
+        limits = np.searchsorted(text[new], np.arange(len(at) + 1))
+        for k, i in enumerate(at):
+            starts = new[limits[k]:limits[k + 1]]
+            t = texts[i]
+            if len(starts) == 1:
+                places = [(len(t) - len(t.lstrip(_BLANK)), len(t.rstrip(_BLANK)))]
+            else:
+                found = [m.span() for m in _WORD.finditer(t)]
+                ends = np.r_[starts[1:], first[k] + lengths[k]] - first[k] - 1
+                places = [(found[a][0], found[b][1]) for a, b in zip(starts - first[k], ends)]
+            spans = [{"start": a, "end": b, "lang": self.model["languages"][taken[x]]} for (a, b), x in zip(places, starts)]
+            out[i] = (self.model["languages"][best[k]], float(min(1.0, means[k, best[k]])), spans)
         return out
 
 
@@ -276,11 +308,11 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def sample(docs: DataFrame, per_language: int, max_chars: int) -> list[tuple[str, str]]:
-    """``(lang, text)`` of at most ``per_language`` documents of each language."""
+def sample(docs: DataFrame, per_language: int, max_chars: int, most_languages: int) -> list[tuple[str, str]]:
+    """``(lang, text)`` of at most ``per_language`` documents of each of the ``most_languages`` most frequent languages."""
     known = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang").distinct()
     # one row per language, the labels of the model; a language in n documents need only sort the share of least hashes
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     if not sizes:
         return []
     reach = F.create_map(*chain.from_iterable(
@@ -294,27 +326,29 @@ def sample(docs: DataFrame, per_language: int, max_chars: int) -> list[tuple[str
     return [(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"]))]
 
 
-def fit(docs: DataFrame, per_language: int = 400, max_chars: int = 20_000) -> dict | None:
-    return learn(sample(docs, per_language, max_chars))
+def fit(docs: DataFrame, per_language: int = 400, max_chars: int = 20_000, most_languages: int = 256) -> dict | None:
+    return learn(sample(docs, per_language, max_chars, most_languages))
 
 
 def label_language(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The documents with ``lang_pred`` and ``score``."""
-    docs = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """The documents with ``lang_pred``, ``score`` and ``spans``: where (code points, end exclusive) a text is in which language."""
+    docs = docs.drop("lang_pred", "score", "spans")
+    shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value) if shared.value else None
         for batch in batches:
-            found: list[tuple[str, float]] = []
-            for part in chunks([t or "" for t in batch.column("text").to_pylist()]):
-                found += labeller.label(part) if labeller else [("und", 0.0)] * len(part)
+            found: list[tuple[str, float, list[dict]]] = []
+            for part in chunks([t or "" for t in batch.column(text).to_pylist()]):
+                found += labeller.label(part) if labeller else [("und", 0.0, [])] * len(part)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+                [*batch.columns, pa.array([x for x, _, _ in found], pa.string()), pa.array([x for _, x, _ in found], pa.float64()),
+                 pa.array([x for _, _, x in found], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))],
+                [*batch.schema.names, "lang_pred", "score", "spans"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(apply, f"{schema}, lang_pred string, score double")
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
+    return map_rows(docs, apply, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                    T.StructField("spans", T.ArrayType(span)))
 
 
 def op6_language(spark, sf_dir: str) -> DataFrame:

@@ -31,8 +31,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
-from .common import held_out, table
+from .common import held_out, map_rows, table
 
 WINDOW, STEP = 8, 4
 GRAMS = (5, 7)
@@ -204,6 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 def score_toxicity(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray] | None) -> DataFrame:
     """The documents with ``score`` and ``predicted``."""
     docs = docs.drop("score", "predicted")
+    text = docs.columns.index("text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model:
@@ -211,15 +213,14 @@ def score_toxicity(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray] | Non
         for batch in batches:
             score = np.zeros(batch.num_rows)
             if model:
-                column, at = batch.column("text").cast(pa.binary()), 0
+                column, at = batch.column(text).cast(pa.binary()), 0
                 for part in chunks([(t or b"").lower() for t in column.to_pylist()]):
                     x = features(part, ordinary, toxic)
                     score[at:at + len(part)] = 1 / (1 + np.exp(-np.clip(x @ model[2], -30, 30)))
                     at += len(part)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    scored = docs.mapInArrow(apply, f"{schema}, score double")
+    scored = map_rows(docs, apply, StructField("score", DoubleType()))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -50,10 +50,29 @@ def test_code_switching():
     model = langid.learn(texts)
     assert model["moves"][0, 0] > model["moves"][0, 1]
     mixed = " ".join([*rng.choice(a, 300), *rng.choice(b, 100)])
-    (lang, score), = langid.Labeller(model).label([mixed])
+    (lang, score, _), = langid.Labeller(model).label([mixed])
     assert lang == "en" and abs(score - 0.75) < 0.03
 
 
+def test_switch_points():
+    """Spans end and begin where the language switches; words without letters go with the word before them."""
+    rng = np.random.default_rng(4)
+    a, b = [f"th{i}ing" for i in range(40)], [f"LE{i}eau" for i in range(40)]
+    model = langid.learn([("en", " ".join(rng.choice(a, 200))), ("fr", " ".join(rng.choice(b, 200)).lower())] * 20)
+    stretches = [("en", rng.choice(a, 120)), ("fr", rng.choice(b, 90)), ("en", rng.choice(a, 60))]
+    parts = [" ".join(w) for _, w in stretches]
+    text = f"  12\t{parts[0]} 34 5\n{parts[1]}\x0b{parts[2]} !! "
+    found = langid.Labeller(model).label(["", text, parts[1], "7 8", text])
+    assert found[0] == found[3] == ("und", 0.0, []) and found[1] == found[4]
+    assert found[2][2] == [{"start": 0, "end": len(parts[1]), "lang": "fr"}]
+    want = [("en", text.index("12"), text.index("5\n") + 1), ("fr", text.index(parts[1]), text.index("\x0b")),
+            ("en", text.index("\x0b") + 1, len(text) - 1)]
+    got = [(s["lang"], s["start"], s["end"]) for s in found[1][2]]
+    assert [x[0] for x in got] == [x[0] for x in want] and got[0][1] == want[0][1] and got[-1][2] == want[-1][2]
+    words_off = lambda x, y: len(text[min(x, y):max(x, y)].split())
+    assert all(words_off(g[1], w[1]) <= 1 and words_off(g[2], w[2]) <= 1 for g, w in zip(got, want))
+
+
 def test_edges(spark):
     rows = [(1, None, "en", 1), (2, "", "en", 1), (3, "12 !! 34 ½", "en", 1), (4, "the words " * 30000, "en", 1), (4, "the words " * 30000, "en", 1),
             (5, "les mots", "fr", 1), (6, "mots les des", "fr", 1), (7, "the an words", None, 1), (None, "the", None, 1), (8, "ΑΣ", None, 1), (9, "x" * 200000, None, 1)]
@@ -64,5 +83,9 @@ def test_edges(spark):
     assert len(got) == len(rows) and by[1] == by[2] == by[3] == ("und", 0.0)
     assert by[4][0] == "en" and by[5][0] == "fr" and all(0 <= r["score"] <= 1 for r in got)
     assert langid.label_language(docs.limit(0), model).count() == 0
+    odd = docs.selectExpr("doc_id", "text", "struct(1 as `a b`, 'x' as `c``d`) as `s``t`", "lang as spans")
+    out = langid.label_language(odd, model)
+    assert out.columns == ["doc_id", "text", "s`t", "lang_pred", "score", "spans"] and out.count() == len(rows)
+    assert langid.sample(docs, 5, 100, 1) and {x for x, _ in langid.sample(docs, 5, 100, 1)} == {"en"}
     assert langid.fit(docs.where("lang is null")) is None
     assert {r["lang_pred"] for r in langid.label_language(docs, None).collect()} == {"und"}

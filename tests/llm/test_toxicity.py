@@ -56,3 +56,9 @@ def test_features_do_not_depend_on_the_batch(n):
     whole = toxicity.features(texts, c, d)
     parts = np.concatenate([toxicity.features(texts[i:i + n], c, d) for i in range(0, len(texts), n)])
     assert np.array_equal(whole, parts)
+
+
+def test_odd_column_names(spark):
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string").selectExpr("*", "struct(1 as `a b`, 'x' as `c``d`) as `s``t`")
+    out = toxicity.score_toxicity(docs, None)
+    assert out.columns == ["doc_id", "text", "s`t", "score", "predicted"] and out.first()["predicted"] == 0
