@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, components, cut, table
+from .common import WORD, column, components, cut, table, unused
 
 WORDS = 5
 COORDINATES = 96
@@ -137,7 +137,7 @@ def equal_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``(doc_id, digest, n, one, two, signature)``: the text's MD5, the set's size, its fingerprint and its signature."""
+    """``(doc_id, digest, n, one, two, signature)``: the MD5 of id and text, the set's size, its fingerprint and its signature."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, one, two, values = [], [], [], []
@@ -159,8 +159,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def digest() -> Column:
-    """What tells texts under one doc_id apart."""
-    return F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")
+    """One value for each doc_id and text; rows that repeat both share it."""
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("n")), F.lit(":"), "text")
+    return F.unhex(F.md5(key.cast("binary"))).alias("digest")
 
 
 def label(doc_id: str = "doc_id") -> Column:
@@ -282,10 +283,9 @@ def grouped(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
                 .select(F.col("id").alias("a"), "b").distinct())
     # every class with a list that holds another: the text of its least document is read once more for the full set
     crowded = shared(postings.select("id", "token")).select("id").distinct()
-    crowded = cut(crowded.join(classes, "id").select("id", F.col("least.doc_id").alias("doc_id"), F.col("least.digest").alias("digest")))
-    d, c = docs.select("doc_id", digest(), "text").alias("d"), crowded.alias("c")
-    texts = d.join(c, F.col("d.digest").eqNullSafe(F.col("c.digest")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
-    sets = cut(full_sets(texts.select("c.id", "d.text").dropDuplicates(["id"])))
+    crowded = cut(crowded.join(classes, "id").select("id", F.col("least.digest").alias("digest")))
+    texts = docs.select(digest(), "text").join(crowded, "digest").dropDuplicates(["digest"])
+    sets = cut(full_sets(texts))
     links = cut(confirmed(stars, sets, percent))
     joined = components(listed.select("id"), links)
 
@@ -313,16 +313,12 @@ def one_of_each(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFr
     """``docs``, all columns, with one row of each component of near copies, the one with the least doc_id
     (of equal ones the least digest; of rows that repeat id and text any one).  Rows without words all stay."""
     found = grouped(docs, percent, block)
-    one = found.where("chosen is not null").select("chosen.doc_id", "chosen.digest").distinct().alias("o")
+    (name,) = unused(docs, "_digest")
+    one = found.where("chosen is not null").select(F.col("chosen.digest").alias(name)).distinct()
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    rest = [F.col(f"d.`{c.replace('`', '``')}`") for c in docs.columns]
-    # the digest goes under a name that no column has
-    name = "_digest"
-    while name in docs.columns:
-        name += "_"
-    d = docs.where(worded).withColumn(name, digest()).alias("d")
-    kept = d.join(one, F.col(f"d.{name}").eqNullSafe(F.col("o.digest")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", name]).select(*rest).union(docs.where(~worded))
+    rest = [column(c) for c in docs.columns]
+    kept = docs.where(worded).withColumn(name, digest()).join(one, name, "left_semi").dropDuplicates([name])
+    return kept.select(*rest).union(docs.where(~worded))
 
 
 def op4_minhash(spark, sf_dir: str) -> DataFrame:
