@@ -5,7 +5,8 @@ the columns of ``documents``.
 
 1. ``toxicity``: documents scored as toxic go (learned from ``labels`` on documents that are not held out).
 2. ``near_duplicates``: of each group of near copies (five-word shingles, similarity 0.8 or more) one document stays,
-   the smallest doc_id; rows that repeat a doc_id are copies too; rows without doc_id stay.
+   the smallest doc_id (null last); every row is a document, whatever other rows have its id, so no text goes
+   without a near copy that stays; rows without words stay.
 3. ``pii``: confirmed spans give way to their kind in the text, and n_chars follows.
 4. ``mix``: documents are repeated or left out until sources take their target shares.
 5. ``pack``: texts become token pieces, placed in sequences of 4096 tokens; each piece has its token ids.
@@ -37,9 +38,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = neardup.near_duplicates(docs, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).union(docs.where("doc_id is null"))
+    return neardup.one_of_each(docs, percent=80)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,13 +62,25 @@ STAGES = [
 ]
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents with their token ids; what lies between stages is kept in the shared folder."""
+    """The packed pieces of all documents with their token ids.
+
+    What lies between two stages is kept in the shared folder until the next stage's is written; the last stage
+    puts its pieces in a checkpoint of its own before it returns.
+    """
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        if k:
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
-        docs = stage(spark, docs, sf_dir)
+        if k:
+            delete(spark, f"{folder}/{k - 1}")
+    delete(spark, folder)
     return docs
