@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fine(embedding: Column) -> Column:
+    """Without null or non-finite components and not zero."""
+    return (F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+            & F.exists(embedding, lambda x: x != 0))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``(vec_id, embedding)``: vectors with an id, without null or non-finite components and not zero.
 
     Rows that repeat a ``vec_id`` count as one vector, the least.
     """
-    fine = (F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-            & F.exists("embedding", lambda x: x != 0))
-    return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
+    return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine(F.col("embedding")))
             .groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
 
 

@@ -1,11 +1,13 @@
 """The pipeline: stages one by one against plain versions of their decisions, and the whole."""
 
+import glob
+import zlib
+
 import numpy as np
 import public_tokenizers
-import zlib
 
 import corpus_pipeline as cp
-from tests.llm.test_neardup import brute
+from tests.llm.test_neardup import SHARED_IDS, brute
 from tests.llm.test_packing import check
 from tokenizers import Tokenizer
 
@@ -52,7 +54,7 @@ def test_edges(spark):
         assert docs.columns == empty.columns == ["doc_id", "text", "lang", "source", "n_chars", "component_id", "score"]
         assert empty.count() == 0
     ids = [r["doc_id"] for r in docs.collect()]
-    assert 4 not in ids and max(ids.count(i) for i in ids) <= 3
+    assert 4 not in ids and None in ids and max(ids.count(i) for i in ids) <= 3
     assert docs.where("text like '%@%'").count() == 0
     out = cp.STAGES[-1][1](spark, docs, SF)
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -68,3 +70,22 @@ def test_the_packed_ids_are_delivered(spark):
 
     rows = cp.run(spark, SF).collect()
     assert sum(map(len, sequences(rows).values())) == sum(r["length"] for r in rows) > 0
+
+
+def test_no_text_is_lost(spark):
+    """Rows that share an id, or have none: every text of the input is in the output or has a near copy there; and folders are gone."""
+    rows = SHARED_IDS * 2
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in cp.STAGES[1][1](spark, docs, SF).collect()]
+    parts = brute(list(enumerate(t for _, t in rows + kept)), 80)
+    whole = {parts[k][1] for k in range(len(rows)) if parts[k][0]}
+    assert whole == {parts[len(rows) + k][1] for k in range(len(kept)) if parts[len(rows) + k][0]}
+    assert sum(not (t or "").strip() for _, t in kept) == sum(not (t or "").strip() for _, t in rows)
+
+
+def test_stage_folders_are_deleted(spark):
+    from pitchside.session import ensure_checkpoint_dir
+
+    before = set(glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/pipeline-*"))
+    assert cp.run(spark, SF).count() > 0
+    assert set(glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/pipeline-*")) == before
