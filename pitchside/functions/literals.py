@@ -13,13 +13,18 @@ inside each string's opening quote keeps strings apart from other values) and pa
 ``from_json``; a closing element after it shows that nothing followed the dict.  All patterns loop
 possessively, which Java runs without recursion, so a cell may be of any length.
 
-What the JSON parser does not take (escapes, tuples, trailing commas, other number forms, junk)
-goes to one vectorised pandas UDF with Python's literal parser, which gets null for all other
-rows.  ``pending`` columns say which rows those are, so a job can count them.
+Other cells that could still be a dict to Python, those with an opening brace somewhere (escapes, tuples, trailing
+commas, other number forms, line breaks or parentheses before the dict, junk), are left to one vectorised pandas UDF
+with Python's literal parser.  They leave the plan for it: :func:`literal_columns` decides what it can and hands
+out the cells that wait, and only rows with such cells reach :func:`decide`.  Where there are none, adaptive
+execution drops that branch and no Python worker starts.
+``pending`` columns say which rows those are, so a job can count them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,35 +88,64 @@ def _as_json(cell: Column) -> Column:
     return F.when(cell.rlike(_PLAIN), F.concat(F.lit("["), text, F.lit(f", '{_END}']")))
 
 
-def with_literal_fields(df: DataFrame, specs: list[tuple[str, str, str]], pending: bool = False) -> DataFrame:
-    """Add one column per ``(cell, key, out)``: the raw (not yet canonicalised)
-    value of ``key`` in the cell column ``cell``, per the rules above.
+Specs = list[tuple[str, str, str]]
 
-    With ``pending`` also a boolean ``<out>_pending`` each: Python decided the cell.
-    """
+
+def literal_columns(df: DataFrame, specs: Specs) -> DataFrame:
+    """Add two columns per ``(cell, key, out)``: ``out``, the raw (not yet canonicalised) value of ``key`` in the
+    cell column ``cell`` as far as the JVM decides it, and ``<out>_cell``, the cell if Python has to, else null."""
     staged = df.withColumns({f"__{out}_list": F.from_json(_as_json(F.col(cell).cast("string")), "array<string>", _OPTIONS)
                              for cell, _, out in specs})
     # nothing but the closing element may follow the dict; its text now has double quotes and escapes
     staged = staged.withColumns({f"__{out}_dict": F.expr(
         f"CASE WHEN size(`__{out}_list`) = 2 AND `__{out}_list`[1] = {S.lit(_END)} THEN `__{out}_list`[0] END")
         for _, _, out in specs})
-    decided, residual, waits = {}, [], {}
+    decided = {}
     for cell, key, out in specs:
         s, parsed = F.col(cell).cast("string"), F.col(f"__{out}_dict")
         value = F.from_json(parsed, f"`{_MARK}{key}` string").getField(f"{_MARK}{key}")
-        is_dict_like = s.rlike(r"^[ \t]*+\{")
+        may_be_dict = s.contains("{")
         decided[out] = (F.when(s.isNull(), F.lit(None).cast("string"))
-                        .when(~is_dict_like, s)
+                        .when(~may_be_dict, s)
                         .when(value.startswith(_MARK), F.substr(value, F.lit(2)))
                         .when(parsed.isNotNull() & ~F.array_contains(F.json_object_keys(parsed), F.lit(_MARK + key)), F.lit(""))
                         .when(parsed.isNotNull(), s))
-        waits[out] = is_dict_like & parsed.isNull()
-        residual.append(F.when(waits[out], s))
-    res = _residual_udf(tuple(k for _, k, _ in specs))(*residual)
-    outs = {out: F.coalesce(decided[out], res[f"v{i}"]) for i, (_, _, out) in enumerate(specs)}
+        decided[f"{out}_cell"] = F.when(may_be_dict & parsed.isNull(), s)
+    return staged.withColumns(decided).drop(*[f"__{o}_{x}" for _, _, o in specs for x in ("list", "dict")])
+
+
+def waiting(specs: Specs) -> Column:
+    """Whether Python has to decide a cell of the row, after :func:`literal_columns`."""
+    return F.coalesce(*[F.col(f"{out}_cell") for _, _, out in specs]).isNotNull()
+
+
+def decide(df: DataFrame, specs: Specs) -> DataFrame:
+    """Rows with cells that wait, their columns ``out`` decided by Python's parser.
+
+    Each distinct combination of cells is decided once and joined back.  Of a merge join adaptive execution
+    knows both sides' rows before it goes on: where no row waits it drops the join and with it the Python node.
+    """
+    cells = [f"{out}_cell" for _, _, out in specs]
+    asked = df.select(*[F.col(c).alias(f"__{c}") for c in cells]).distinct()
+    res = _residual_udf(tuple(k for _, k, _ in specs))(*[F.col(f"__{c}") for c in cells])
+    answered = asked.withColumns({f"__{out}_value": res[f"v{i}"] for i, (_, _, out) in enumerate(specs)})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cells])
+    joined = df.join(answered.hint("merge"), same)
+    return joined.select(*[F.coalesce(c, f"__{c}_value").alias(c) if c in {o for _, _, o in specs} else F.col(f"`{c}`") for c in df.columns])
+
+
+def with_literal_fields(df: DataFrame, specs: Specs, pending: bool = False) -> DataFrame:
+    """Add one column per ``(cell, key, out)``: the value of ``key`` in the cell column ``cell``, per the rules above.
+
+    With ``pending`` also a boolean ``<out>_pending`` each: Python decided the cell.  Rows come in no order; ``df``
+    is read once for the rows that the JVM decides and once for the others.
+    """
+    staged = literal_columns(df, specs)
+    others = decide(staged.filter(waiting(specs)), specs)
+    out = staged.filter(~waiting(specs)).unionByName(others)
     if pending:
-        outs |= {f"{out}_pending": F.coalesce(waits[out], F.lit(False)) for _, _, out in specs}
-    return staged.withColumns(outs).drop(*[f"__{o}_{x}" for _, _, o in specs for x in ("list", "dict")])
+        out = out.withColumns({f"{o}_pending": F.col(f"{o}_cell").isNotNull() for _, _, o in specs})
+    return out.drop(*[f"{o}_cell" for _, _, o in specs])
 
 
 def with_literal_field(df: DataFrame, cell: str, key: str, out: str) -> DataFrame:

@@ -15,13 +15,14 @@ from pitchside.functions import sqltext as S
 from pitchside.functions.numeric import rnd
 from pitchside.functions.text import canonical_team, text_or_empty
 from pitchside.operators.players import eligible_players
+from pitchside.operators.quality import Seen, unseen
 from pitchside.params import Params, utc_now
 
 SALTS = 32
 IMPACT_MEASURES = ["nineties", "Gls", "Ast"]
 
 
-def player_impact(players: DataFrame, params: Params = Params(), snapshot_date=None) -> DataFrame:
+def player_impact(players: DataFrame, params: Params = Params(), snapshot_date=None, seen: Seen = unseen) -> DataFrame:
     """Top-k key players per canonical team with a 0-10 impact score.
 
     ``players`` needs ``Player, Pos, Squad, Comp, nineties, Gls, Ast`` and an
@@ -33,7 +34,7 @@ def player_impact(players: DataFrame, params: Params = Params(), snapshot_date=N
         if c not in players.columns:
             players = players.withColumn(c, F.lit(None).cast("string"))
     p = (
-        eligible_players(players, params.impact_min_90s, params, IMPACT_MEASURES)
+        seen("impact_players", eligible_players(players, params.impact_min_90s, params, IMPACT_MEASURES))
         .withColumn("team_name", canonical_team("Squad", params.aliases))
         .filter(F.col("team_name").isNotNull())
         .withColumn("raw_impact", F.expr(f"Gls + Ast + nineties * {float(params.impact_minutes_weight)!r}D"))

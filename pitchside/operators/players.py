@@ -8,6 +8,7 @@ from pyspark.sql.types import NumericType
 
 from pitchside.functions import sqltext as S
 from pitchside.functions.text import canonical_team
+from pitchside.operators.quality import Seen, unseen
 from pitchside.params import PLAYER_MEASURES, Params
 
 INDEX_COLS = ["attack_index", "creation_index", "defensive_index", "squad_depth"]
@@ -28,17 +29,22 @@ def conform_measures(df: DataFrame, measures=PLAYER_MEASURES) -> DataFrame:
     return df.selectExpr(*keep, *[f"{filled(m)} AS {S.col(m)}" for m in measures])
 
 
+def in_competition(params: Params = Params()) -> str:
+    """Competition substring, case-sensitive; null is no match."""
+    return f"coalesce(contains(CAST(Comp AS STRING), {S.lit(params.competition)}), false)"
+
+
 def eligible_players(players: DataFrame, min_90s: float, params: Params = Params(),
                      measures=PLAYER_MEASURES) -> DataFrame:
     """P4 (competition substring, case-sensitive) + S6/P7 + P5 (playing time)."""
-    p = players.filter(f"coalesce(contains(CAST(Comp AS STRING), {S.lit(params.competition)}), false)")
+    p = players.filter(in_competition(params))
     return conform_measures(p, measures).filter(f"nineties >= {float(min_90s)!r}D")
 
 
-def squad_indices(players: DataFrame, params: Params = Params()) -> DataFrame:
+def squad_indices(players: DataFrame, params: Params = Params(), seen: Seen = unseen) -> DataFrame:
     """A8-A10 per raw squad: 90s-weighted means of season totals, richer
     defensive signal when the squad has any ``Tkl+Int``, and squad depth."""
-    p = eligible_players(players, params.index_min_90s, params).filter("Squad IS NOT NULL")
+    p = seen("players", eligible_players(players, params.index_min_90s, params)).filter("Squad IS NOT NULL")
     g = p.groupBy("Squad").agg(*[F.expr(e) for e in (
         "sum(nineties) AS total_90s",
         "sum(nineties * (Gls + xG)) AS attack_w",
@@ -58,17 +64,17 @@ def squad_indices(players: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def player_strength_index(players: DataFrame, params: Params = Params()) -> DataFrame:
+def player_strength_index(players: DataFrame, params: Params = Params(), seen: Seen = unseen) -> DataFrame:
     """C2 result: one row per canonical team.
 
     A11: squads are grouped by their raw name, then canonicalised; when two raw
     names share a canonical name the greatest raw name wins (they are not
     merged).  ``max_by`` runs on the small per-squad result only.
     """
-    s = squad_indices(players, params).withColumn("team", canonical_team("Squad", params.aliases))
+    s = squad_indices(players, params, seen).withColumn("team", canonical_team("Squad", params.aliases))
     best = s.groupBy("team").agg(
         F.max_by(F.struct(*INDEX_COLS), F.col("Squad")).alias("v"))
-    return best.select("team", *[F.col(f"v.{c}").alias(c) for c in INDEX_COLS])
+    return seen("featured_teams", best).select("team", *[F.col(f"v.{c}").alias(c) for c in INDEX_COLS])
 
 
 def squad_resolution(players: DataFrame, params: Params = Params()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Team attack/defence ratios: A1, A3-A6, P6, P11 via U2 and J6.
 
 Plan shape: scan -> coerce -> U2 (Generate) -> partial aggregate per team ->
-shuffle(team) -> final aggregate.  League means are window sums over that
-per-team result (one row per team), so the fact is read once.  A team holding a third of all matches only adds rows to
+shuffle(team) -> final aggregate.  League means come from that
+per-team result, so the fact is read once.  A team holding a third of all matches only adds rows to
 map-side partial aggregates: the shuffle carries one row per team per task.
 """
 
@@ -100,38 +100,38 @@ def league_averages(matches: DataFrame) -> DataFrame:
         f"{S.rnd(f'{home} + {away}', 4)} AS total_goals_per_match", "n_matches")
 
 
-def with_league_means(totals: DataFrame) -> DataFrame:
+def with_league_means(totals: DataFrame, materialised: bool = False) -> DataFrame:
     """J6 on the per-team result: league means on every per-team row.
 
-    A window over the whole per-team result (one row per team, null group
-    included) instead of a join with a separate global aggregate: Catalyst
-    prunes the unused aggregate columns of such a second branch, which then no
-    longer matches the first one and re-scans the match fact.  The window's
-    input is bounded by the number of teams, not by the number of matches.
+    Over ``materialised`` totals (a checkpoint) they are a scalar subquery: one aggregate, partial in every task, and no
+    task gets more than one row of each, however many teams there are.  Over totals that are still a plan
+    that would read the match fact again, so they are a window over the whole per-team result (one row per team, null group
+    included): Catalyst prunes the unused aggregate columns of a second branch, which then no
+    longer matches the first one.  That window's input is bounded by the number of teams, not of matches.
     """
-    n = "sum(home_matches) OVER ()"
-    timed = ["min(first_time) OVER () AS league_first", "max(last_time) OVER () AS league_last"] \
-        if "first_time" in totals.columns else []
-    return totals.selectExpr(
-        "*",
-        f"{n} AS league_n",
-        f"{S.ieee_div('sum(home_goals_scored) OVER ()', n)} AS avg_home",
-        f"{S.ieee_div('sum(home_goals_conceded) OVER ()', n)} AS avg_away",
-        *timed,
-    )
+    names = {"league_n": "sum(home_matches)", "_home": "sum(home_goals_scored)", "_away": "sum(home_goals_conceded)"}
+    if "first_time" in totals.columns:
+        names |= {"league_first": "min(first_time)", "league_last": "max(last_time)"}
+    if materialised:
+        league = totals.agg(F.struct(*[F.expr(f"{e} AS {n}") for n, e in names.items()])).scalar()
+        out = totals.withColumn("_league", league).selectExpr(*totals.columns, *[f"_league.{n} AS {n}" for n in names])
+    else:
+        out = totals.selectExpr("*", *[f"{e} OVER () AS {n}" for n, e in names.items()])
+    return out.selectExpr(*totals.columns, *[n for n in names if n.startswith("league")],
+                          f"{S.ieee_div('_home', 'league_n')} AS avg_home", f"{S.ieee_div('_away', 'league_n')} AS avg_away")
 
 
 LEAGUE_COLS = ["league_n", "league_avg_home", "league_avg_away", "league_first", "league_last"]
 
 
 def strengths_from_totals(totals: DataFrame, params: Params = Params(),
-                          keep_league: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+                          keep_league: bool = False, carry: Sequence[str] = (), materialised: bool = False) -> DataFrame:
     """A5 + A6: role and pooled strengths from per-team totals (rounded to 4), with the columns to ``carry``.
 
     ``keep_league`` also carries the league figures (match count, means,
     first/last kick-off; the same on every row) so the model card can be
     derived from this one plan."""
-    t = named(with_league_means(totals))
+    t = named(with_league_means(totals, materialised))
     extra = []
     if keep_league:
         has_time = "first_time" in totals.columns

@@ -2,62 +2,67 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from pitchside.functions.literals import with_literal_fields
+from pitchside.functions.literals import decide, literal_columns, waiting
 from pitchside.functions import sqltext as S
 from pitchside.functions.text import canonical_team
-from pitchside.operators.reshape import two_role_rows
+from pitchside.operators.quality import Seen, unseen
 from pitchside.params import Params
 
 STYLE_COLS = ["matches_count", "avg_goals_scored", "avg_goals_conceded",
               "clean_sheet_rate", "btts_rate", "avg_goal_diff"]
 
 
-def cell_pair_totals(raw: DataFrame) -> DataFrame:
-    """Pre-aggregate the rows with numeric scores per raw ``(home_team,
-    away_team)`` cell pair: match count, goal sums and the counts behind the
-    clean-sheet and both-scored rates.  Map-side partial aggregation makes a
-    hot pair cheap, and the costly cell parsing then runs once per distinct
-    pair instead of once per row."""
+CELLS = [("home_team", "home_team_name", "home_raw"), ("away_team", "away_team_name", "away_raw")]
+
+
+def name_pairs(raw: DataFrame, params: Params, aggregates: list[str], seen: Seen = unseen) -> DataFrame:
+    """P10 + P9: ``raw`` aggregated per pair of team names, ``home_name, away_name`` and the aggregates.
+
+    Cells are parsed where they are read and the shuffle carries the short names; only a cell that
+    Python has to decide travels as it is.  Such groups are then decided in a branch of their own, and both
+    branches read one aggregate (its flag keeps the split above it).
+    """
+    parsed = literal_columns(raw, CELLS).withColumn("waits", waiting(CELLS))
+    keys = [c for _, _, out in CELLS for c in (out, f"{out}_cell")]
+    names = [o for o in (re.search(r" AS (\w+)$", a).group(1) for a in aggregates)]
+    groups = parsed.groupBy(*keys).agg(*[F.expr(a) for a in aggregates], F.expr("bool_or(waits) AS waits"), F.count(F.lit(1)).alias("cells"))
+    by_python = seen("residual_literals", groups.filter("waits"), "sum(cells)")
+    both = groups.filter("NOT waits").unionByName(decide(by_python, CELLS))
+    return both.select(canonical_team("home_raw", params.aliases).alias("home_name"),
+                       canonical_team("away_raw", params.aliases).alias("away_name"), *names)
+
+
+def team_style(raw: DataFrame, params: Params = Params(), seen: Seen = unseen) -> DataFrame:
+    """A12 per team over both roles: count, mean for/against, clean-sheet rate,
+    both-teams-scored rate, and the difference of the unrounded means.
+
+    Rows are aggregated per pair of names (:func:`name_pairs`) and the pair sums are folded into teams
+    through U2.  Pairs with an empty name are excluded by conditional
+    aggregation rather than a row filter (a filter on parsed names could be
+    pushed below the parse); a team left with no usable match is dropped
+    after the aggregate.  ``seen`` counts the stages ``style``, ``residual_literals`` and ``style_teams``.
+    """
     schema = raw.schema
     num = lambda c: S.to_number(c, isinstance(schema[c].dataType, NumericType))
     # Scores are parsed once in a projection; rows with an unusable score are
     # left out by conditional aggregation (a row filter would be pushed into
     # the source scan and re-parse the text once per predicate).
-    scored = raw.selectExpr("home_team", "away_team", f"{num('home_score')} AS hs",
-                            f"{num('away_score')} AS as_")
+    scored = seen("style", raw).selectExpr("home_team", "away_team", f"{num('home_score')} AS hs", f"{num('away_score')} AS as_")
     scored = scored.selectExpr("*", f"{S.is_present('hs')} AND {S.is_present('as_')} AS ok")
-    return scored.groupBy("home_team", "away_team").agg(*[F.expr(e) for e in (
+    named = name_pairs(scored, params, [
         "count_if(ok) AS n",
         "sum(CASE WHEN ok THEN hs END) AS home_goals",
         "sum(CASE WHEN ok THEN as_ END) AS away_goals",
         "count_if(ok AND as_ = 0) AS home_clean",
         "count_if(ok AND hs = 0) AS away_clean",
         "count_if(ok AND hs > 0 AND as_ > 0) AS both_scored",
-    )])
-
-
-def team_style(raw: DataFrame, params: Params = Params()) -> DataFrame:
-    """A12 per team over both roles: count, mean for/against, clean-sheet rate,
-    both-teams-scored rate, and the difference of the unrounded means.
-
-    Rows are pre-aggregated per raw cell pair (:func:`cell_pair_totals`),
-    cells are parsed once per pair, and the pair sums are folded into teams
-    through U2.  Pairs with an empty name are excluded by conditional
-    aggregation rather than a row filter (a filter on parsed names could be
-    pushed below the parse); a team left with no usable match is dropped
-    after the aggregate.
-    """
-    pairs = cell_pair_totals(raw)
-    pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
-                                        ("away_team", "away_team_name", "away_raw")])
-    named = pairs.select(
-        canonical_team("home_raw", params.aliases).alias("home_name"),
-        canonical_team("away_raw", params.aliases).alias("away_name"),
-        "n", "home_goals", "away_goals", "home_clean", "away_clean", "both_scored")
+    ], seen)
     usable = ("coalesce(length(home_name), 0) > 0 AND coalesce(length(away_name), 0) > 0")
     roles = named.selectExpr(
         f"{usable} AS usable",
@@ -72,7 +77,7 @@ def team_style(raw: DataFrame, params: Params = Params()) -> DataFrame:
         "sum(CASE WHEN usable THEN both_scored END) AS btts",
     )]).filter("matches_count > 0")
     avg_for, avg_against = "(gf / matches_count)", "(ga / matches_count)"
-    return agg.selectExpr(
+    return seen("style_teams", agg).selectExpr(
         "team AS team_name",
         "CAST(matches_count AS BIGINT) AS matches_count",
         f"{S.rnd(avg_for, 4)} AS avg_goals_scored",
@@ -84,11 +89,5 @@ def team_style(raw: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def cell_pair_names(raw: DataFrame, params: Params = Params()) -> DataFrame:
-    """P10 + P9 per distinct cell pair: ``home_name, away_name, rows`` (all
-    rows, whatever their scores), parsed once per pair."""
-    pairs = raw.groupBy("home_team", "away_team").agg(F.count(F.lit(1)).alias("rows"))
-    pairs = with_literal_fields(pairs, [("home_team", "home_team_name", "home_raw"),
-                                        ("away_team", "away_team_name", "away_raw")])
-    return pairs.select(
-        canonical_team("home_raw", params.aliases).alias("home_name"),
-        canonical_team("away_raw", params.aliases).alias("away_name"), "rows")
+    """P10 + P9 per distinct pair of names: ``home_name, away_name, rows`` (all rows, whatever their scores)."""
+    return name_pairs(raw, params, ["count(1) AS rows"])

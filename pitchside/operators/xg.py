@@ -1,8 +1,7 @@
 """Expected-goals adjustment: A2, A7, J4.
 
 One pass over the xG rows: U2 unpivot, partial aggregation per team, then the
-league means are derived from the per-team sums by a window over that small
-result (no second scan of the xG join).  Rows of teams outside the trained set still count in
+league means are derived from the per-team sums (no second scan of the xG join).  Rows of teams outside the trained set still count in
 the league means but never become a group of the output (J4 is a left join
 from the trained teams).
 """
@@ -43,12 +42,16 @@ SUM_COLS = ["xg_home_rows", "xg_away_rows", "xg_home_for", "xg_home_against", "x
 MEAN_COLS = ["xg_avg_home", "xg_avg_away"]
 
 
-def with_xg_means(sums: DataFrame) -> DataFrame:
-    """A2: the league means on every per-team row, as window sums over the per-team sums (one row per
-    team; every xG row counts, unknown and null teams included)."""
-    n_all = "sum(xg_home_rows) OVER ()"
-    return sums.selectExpr("*", f"{S.ieee_div('sum(xg_home_for) OVER ()', n_all)} AS xg_avg_home",
-                           f"{S.ieee_div('sum(xg_home_against) OVER ()', n_all)} AS xg_avg_away")
+def with_xg_means(sums: DataFrame, materialised: bool = False) -> DataFrame:
+    """A2: the league means on every per-team row (every xG row counts, unknown and null teams included): over
+    ``materialised`` sums a scalar subquery, else a window over the per-team sums (one row per team)."""
+    parts = {"_n": "sum(xg_home_rows)", "_for": "sum(xg_home_for)", "_against": "sum(xg_home_against)"}
+    if materialised:
+        league = sums.agg(F.struct(*[F.expr(f"{e} AS {n}") for n, e in parts.items()])).scalar()
+        out = sums.withColumn("_league", league).selectExpr(*sums.columns, *[f"_league.{n} AS {n}" for n in parts])
+    else:
+        out = sums.selectExpr("*", *[f"{e} OVER () AS {n}" for n, e in parts.items()])
+    return out.selectExpr(*sums.columns, f"{S.ieee_div('_for', '_n')} AS xg_avg_home", f"{S.ieee_div('_against', '_n')} AS xg_avg_away")
 
 
 def gated(rows: DataFrame, params: Params = Params()) -> DataFrame:
@@ -68,10 +71,10 @@ def gated(rows: DataFrame, params: Params = Params()) -> DataFrame:
                            *[f"CASE WHEN {gate} THEN {v} END AS {k}" for k, v in out.items()])
 
 
-def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Params = Params()) -> DataFrame:
+def strengths_from_sums(sums: DataFrame, trained_teams: DataFrame, params: Params = Params(), materialised: bool = False) -> DataFrame:
     """A left join from the trained teams, whose other columns are carried through.  A trained
     team without xG rows never passes the gate, so it never needs the means."""
-    per_team = with_xg_means(sums).filter("named_rows > 0").select("team", *SUM_COLS, *MEAN_COLS)
+    per_team = with_xg_means(sums, materialised).filter("named_rows > 0").select("team", *SUM_COLS, *MEAN_COLS)
     return gated(trained_teams.join(per_team, "team", "left"), params)
 
 

@@ -91,6 +91,7 @@ class Params:
     top_k: int = 10                   # W2
     competition: str = "Premier League"  # P4
     season: str = "2025/2026"         # P12
+    snapshot_buckets: int = 64        # K3-K5: hash buckets of a snapshot table's key
     snapshot_date: str | None = None  # P12; ISO date, None -> today in UTC
     created_at: _dt.datetime | None = None  # P12; None -> now in UTC
     trained_at: _dt.datetime | None = None  # model header; None -> now in UTC

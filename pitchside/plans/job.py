@@ -1,16 +1,19 @@
-"""The scheduled job C9: load -> gate -> features -> train -> model -> snapshots.
+"""The scheduled job C9: load -> features -> train -> gate -> model -> snapshots.
 
-``python -m pitchside.plans.job --matches DIR --out DIR [--players CSV] [--style CSV]`` runs it on
-tables ``events``, ``teams`` and ``match_stats`` (parquet folders, or a database through
-:mod:`pitchside.sources.jdbc`).
+``python -m pitchside.plans.job --matches DIR --out DIR [--players CSV] [--style CSV] [--season 2025/2026 ...]`` runs it
+on the tables ``events``, ``teams`` and ``match_stats``, parquet folders in ``DIR``, with ``--jdbc URL`` in place of
+``--matches`` the tables of a database, or with ``--bucketed PREFIX`` catalog tables bucketed by match
+(:mod:`pitchside.sources.bucketed`).  Every field of :class:`pitchside.params.Params` with a plain value is an option.
 
 The model is published before the snapshots are tried, and a snapshot that fails is logged and
 leaves the model in place; so is an xG source that fails, after which training goes on without xG.
-One UTC timestamp marks all outputs of a run.
+One UTC timestamp marks all outputs of a run.  Each source is read once: players as a checkpoint of the league's
+rows, style in the pass that aggregates it.  The counts of all stages (G3) are observed on frames that are written
+anyway and published with the model; the gate (G1) fails the write of the trained rows.
 
 Fault tolerance: the per-team totals and the trained rows, which several outputs share, are
 checkpointed into the cluster's shared ``spark.checkpoint.dir``; all writes go to fresh version
-folders and become visible through a manifest written after them.
+folders and become visible through a commit made after them (:mod:`pitchside.plans.sinks`).
 """
 
 from __future__ import annotations
@@ -18,18 +21,17 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.functions.literals import with_literal_fields
-from pitchside.operators import card, impact, matches, players, quality, strength, style, xg
+from pitchside.operators import card, impact, players, quality, strength, style
 from pitchside.params import Params, utc_now
 from pitchside.plans import sinks, snapshots
-from pitchside.plans.training import team_totals, train
+from pitchside.plans.training import train_from_events
 from pitchside.session import ensure_checkpoint_dir
-from pitchside.sources import files
+from pitchside.sources import files, jdbc
 
 log = logging.getLogger(__name__)
 
@@ -38,8 +40,9 @@ IMPACT = "player_absence_impact"
 
 @dataclass
 class JobInputs:
-    matches: DataFrame                  # finished matches (S1 shape)
-    xg_rows: DataFrame | Callable[[], DataFrame] | None = None  # S2 shape, or what reads it
+    events: DataFrame                   # all matches of the source, ended or not
+    teams: DataFrame
+    match_stats: DataFrame | Callable[[], DataFrame] | None = None  # the long metric table, or what reads it
     players: DataFrame | None = None    # S3 shape (renamed columns)
     style_matches: DataFrame | None = None  # S4 shape
 
@@ -49,22 +52,8 @@ def load(events: DataFrame, teams: DataFrame, match_stats: Callable[[], DataFram
     """C4 and the file sources; a missing file means no such input."""
     spark = events.sparkSession
     read = lambda path, reader: reader(spark, path) if path and files.exists(spark, path) else None
-    return JobInputs(
-        matches=matches.finished_matches(events, teams),
-        xg_rows=lambda: matches.xg_matches(match_stats(), events, teams),
-        players=read(players_csv, files.read_players), style_matches=read(style_csv, files.read_style_matches))
-
-
-def _xg_sums(inputs: JobInputs) -> DataFrame | None:
-    """xG per team, or None if there is no source or it fails."""
-    if inputs.xg_rows is None:
-        return None
-    try:
-        rows = inputs.xg_rows() if callable(inputs.xg_rows) else inputs.xg_rows
-        return xg.xg_team_sums(rows).checkpoint()
-    except Exception as exc:  # noqa: BLE001  whatever the source raises, there is no xG then
-        log.warning("no xG: %s", exc)
-        return None
+    return JobInputs(events, teams, match_stats, players=read(players_csv, files.read_players),
+                     style_matches=read(style_csv, files.read_style_matches))
 
 
 def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params = Params()) -> dict[str, str]:
@@ -73,24 +62,30 @@ def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params =
     now = utc_now()
     params = replace(params, trained_at=params.trained_at or now, created_at=params.created_at or now,
                      snapshot_date=params.snapshot_date or now.date().isoformat())
-    counts: dict[str, int] = {}
-
-    totals = team_totals(inputs.matches).checkpoint()
-    seen = totals.agg(F.sum("raw_home_rows").alias("matches"), F.sum("home_matches").alias("valid_matches"),
-                      F.count_if(F.col("named_rows") > 0).alias("teams")).first()
-    counts |= {k: v or 0 for k, v in seen.asDict().items()}
-    quality.require_rows(counts["matches"], params.min_matches)              # G1, before coercion
+    counts, failed = quality.Counts(), []
 
-    features = None
+    features = league = None
     if inputs.players is not None:
-        features = players.player_strength_index(inputs.players, params).checkpoint()
-        counts["featured_teams"] = features.count()
-    sums = _xg_sums(inputs)
-    if sums is not None:
-        counts["xg_rows"] = sums.agg(F.sum("xg_home_rows")).first()[0] or 0
-    result = train(inputs.matches, None, features, params, totals=totals, xg_sums=sums)
-    rows = result.everything.checkpoint()
-    counts["enriched_teams"] = rows.filter("attack_index IS NOT NULL").count()
+        everyone = counts("players_read", inputs.players)
+        league = counts("league_players", everyone.filter(players.in_competition(params))).checkpoint()
+        features = players.player_strength_index(league, params, counts).checkpoint()
+        counts.take("players_read", "league_players", "players", "featured_teams")
+
+    def no_xg(exc: Exception) -> None:
+        log.warning("no xG: %s", exc)
+        failed.append("xg")
+
+    result = train_from_events(inputs.events, inputs.teams, inputs.match_stats, features, params,
+                               materialise=lambda df: df.checkpoint(), on_xg_failure=no_xg, seen=counts)
+    rows = counts("teams", counts("enriched_teams", result.everything, "count_if(attack_index IS NOT NULL)"))
+    seen = result.totals.agg(F.sum("raw_home_rows").alias("n"))
+    try:
+        rows = quality.guarded(rows, seen, params.min_matches).checkpoint()   # G1, on rows before coercion
+    except Exception as exc:  # noqa: BLE001
+        if quality.GATE in str(exc):
+            raise quality.GateError(next(x for x in str(exc).splitlines() if quality.GATE in x)) from exc
+        raise
+    counts.take("matches", "teams", "enriched_teams", *([] if failed or inputs.match_stats is None else ["xg_records"]))
 
     version = sinks.new_version()
     written = {
@@ -98,53 +93,73 @@ def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params =
         "league_params": sinks.write_table(card.model_header(rows, params), out_base, "league_params", version),
         "model_card": sinks.write_table(card.card_json(card.model_card(rows, params)), out_base, "model_card", version, fmt="text"),
     }
-    current = sinks.current_paths(spark, out_base)
-    sinks.publish(spark, out_base, version, current | written)
-    log.info("published model %s: %s", version, counts)                      # G3
+    sinks.publish(spark, out_base, version, written, counts=counts.rows)
+    log.info("published model %s: %s", version, counts.rows)                 # G3
     try:
-        written |= write_snapshots(spark, inputs, features, out_base, params)
+        written |= write_snapshots(spark, features, league, inputs.style_matches, out_base, params, counts)
+        log.info("published snapshots: %s", counts.rows)
     except Exception as exc:  # noqa: BLE001  the model stays published whatever a snapshot raises
         log.warning("snapshots failed, the model is published: %s", exc)
     return written
 
 
-def write_snapshots(spark: SparkSession, inputs: JobInputs, features: DataFrame | None, out_base: str, params: Params) -> dict[str, str]:
-    """Upsert the three snapshot tables and publish them together."""
-    current = sinks.current_paths(spark, out_base)
-    version = sinks.new_version()
-
-    def stored(name: str) -> DataFrame | None:
-        return spark.read.parquet(current[name]) if name in current else None
-
-    tables = {}
+def write_snapshots(spark: SparkSession, features: DataFrame | None, league_players: DataFrame | None, style_matches: DataFrame | None,
+                    out_base: str, params: Params, counts: quality.Counts | None = None) -> dict[str, str]:
+    """Upsert the three snapshot tables, only the buckets that change, and publish them together."""
+    counts = counts or quality.Counts()
+    batches = []
     if features is not None:
-        name = "team_player_strength_snapshot"
-        tables[name] = snapshots.player_strength_snapshot(features, params, stored(name))
-        day = f"{IMPACT}/{params.snapshot_date}"                              # other days stay as they are
-        tables[day] = snapshots.impact_snapshot(impact.player_impact(inputs.players, params), params, stored(day))
-    if inputs.style_matches is not None:
-        name = "team_style_snapshot"
-        tables[name] = snapshots.style_snapshot(style.team_style(inputs.style_matches, params), params, stored(name))
-        by_python = with_literal_fields(inputs.style_matches, [(c, f"{c}_name", c[:4]) for c in ("home_team", "away_team")], pending=True)
-        by_python, seen = quality.observed(by_python.filter("home_pending OR away_pending"), "residual_literals")
-        by_python.write.format("noop").mode("overwrite").save()
-        log.info("stage counts: %s", {"residual_literals": seen.get["rows"]})
-    written = {name: sinks.write_table(df, out_base, name, version) for name, df in tables.items()}
-    if written:
-        sinks.publish(spark, out_base, version, current | written)
-    return written
-
-
-def main(argv: list[str] | None = None) -> None:
+        batches.append(("team_player_strength_snapshot", snapshots.player_strength_batch(features, params),
+                        snapshots.PLAYER_STRENGTH_KEYS, None))
+        top = snapshots.impact_batch(counts("impact_rows", impact.player_impact(league_players, params)), params).checkpoint()
+        # other days stay as they are
+        batches.append((f"{IMPACT}/{params.snapshot_date}", top, snapshots.IMPACT_KEYS, ["rank"]))
+        counts.take("impact_rows")
+    if style_matches is not None:
+        rates = snapshots.style_batch(style.team_style(style_matches, params, counts), params).checkpoint()
+        counts.take("style", "residual_literals", "style_teams")
+        batches.append(("team_style_snapshot", rates, snapshots.STYLE_KEYS, None))
+
+    def write(current: dict[str, str], version: str) -> tuple[dict[str, str], dict[str, str | None]]:
+        tables: dict[str, str] = {}
+        based_on: dict[str, str | None] = {}
+        for name, batch, keys, order in batches:
+            merge = lambda b, stored, keys=keys, order=order: snapshots.apply(stored, b, keys, params, order).drop("rank")
+            new, old = snapshots.upsert_buckets(batch, out_base, name, version, current, keys, merge, params.snapshot_buckets)
+            tables, based_on = tables | new, based_on | old
+        return tables, based_on
+
+    return sinks.commit(spark, out_base, write)
+
+
+def arguments(argv: list[str] | None = None) -> tuple[argparse.Namespace, Params]:
     args = argparse.ArgumentParser(prog="pitchside.plans.job")
-    args.add_argument("--matches", required=True, help="folder with the tables events, teams and match_stats as parquet")
+    source = args.add_mutually_exclusive_group(required=True)
+    source.add_argument("--matches", help="folder with the tables events, teams and match_stats as parquet")
+    source.add_argument("--jdbc", help="JDBC URL of a database with these tables")
+    source.add_argument("--bucketed", help="prefix of the catalog tables events, teams and match_stats")
+    for name, default in (("lower", 0), ("upper", 1 << 31), ("partitions", 64)):
+        args.add_argument(f"--jdbc-{name}", type=int, default=default, help="ranges of match ids that tables are read in")
     args.add_argument("--out", required=True)
     args.add_argument("--players", help="player-season CSV")
     args.add_argument("--style", help="style-match CSV")
+    given = [f for f in fields(Params) if isinstance(f.default, (int, float, str)) or f.name == "snapshot_date"]
+    for f in given:
+        args.add_argument(f"--{f.name.replace('_', '-')}", type=str if f.name == "snapshot_date" else type(f.default), default=f.default)
     a = args.parse_args(argv)
+    return a, Params(**{f.name: getattr(a, f.name) for f in given})
+
+
+def main(argv: list[str] | None = None) -> None:
+    a, params = arguments(argv)
     spark = SparkSession.builder.getOrCreate()
-    read = lambda name: spark.read.parquet(f"{a.matches}/{name}")
-    run(spark, load(read("events"), read("teams"), lambda: read("match_stats"), a.players, a.style), a.out)
+    if a.jdbc:
+        read = lambda name: jdbc.match_table(spark, a.jdbc, name, a.jdbc_lower, a.jdbc_upper, a.jdbc_partitions)
+    elif a.bucketed is not None:
+        read = lambda name: spark.table(f"{a.bucketed}{name}")
+    else:
+        read = lambda name: spark.read.parquet(f"{a.matches}/{name}")
+    run(spark, load(read("events"), read("teams"), lambda: read("match_stats"), a.players, a.style), a.out, params)
 
 
 if __name__ == "__main__":

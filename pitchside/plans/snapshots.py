@@ -1,18 +1,20 @@
 """Feature snapshots C8: the three keyed snapshot tables.
 
 Each builder returns the batch as it would be upserted; :func:`apply` merges
-it into a stored table with the K6 rules.  Writing is done by
-:mod:`pitchside.plans.sinks`.
+it into a stored table with the K6 rules.  Stored tables lie in hash buckets of their keys:
+:func:`upsert_buckets` reads and rewrites only the buckets that the batch has keys in, so the cost of a merge
+follows the batch and not the table.  Publishing is done by :mod:`pitchside.plans.sinks`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.operators.card import stamp
 from pitchside.operators.upsert import upsert
 from pitchside.params import Params, utc_now
+from pitchside.plans import sinks
 
 PLAYER_STRENGTH_KEYS = ["team_name", "season"]
 STYLE_KEYS = ["team_name", "season"]
@@ -58,6 +60,30 @@ def apply(stored: DataFrame | None, batch: DataFrame, keys: list[str],
     return upsert(stored, batch, keys, order_cols, created_at=stamp(params.created_at))
 
 
+BUCKETS = 256
+
+
+def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def upsert_buckets(batch: DataFrame, base: str, name: str, version: str, current: dict[str, str], keys: list[str], merge,
+                   buckets: int = BUCKETS) -> tuple[dict[str, str], dict[str, str | None]]:
+    """Merge ``batch`` (checkpointed or cheap: it is read twice) into the table ``name`` of ``current``.
+
+    ``merge(batch, stored)`` returns the merged rows, ``stored`` being null if there are none.  Only buckets with
+    keys of the batch are read and written.  Returns what to publish and what that is based on.
+    """
+    spark, (bucket,) = batch.sparkSession, ["_bucket"]
+    touched = [r[0] for r in batch.select(bucket_of(keys, buckets).alias(bucket)).distinct().orderBy(bucket).collect()]  # at most `buckets` numbers
+    names = {b: f"{name}/b{b:03d}" for b in touched}
+    stored = [current[n] for n in names.values() if n in current]
+    merged = merge(batch, spark.read.parquet(*stored) if stored else None)
+    path = f"{base}/{name}/version={version}"
+    merged.withColumn(bucket, bucket_of(keys, buckets)).repartition(bucket).write.partitionBy(bucket).parquet(path)
+    return {n: f"{path}/{bucket}={b}" for b, n in names.items()}, {n: current.get(n) for n in names.values()}
+
+
 def player_strength_snapshot(features, params=Params(), stored=None):
     return apply(stored, player_strength_batch(features, params), PLAYER_STRENGTH_KEYS, params)
 

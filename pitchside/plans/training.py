@@ -1,22 +1,22 @@
 """Composite training plan C5 (and the feature plan C2 it consumes).
 
-The match fact is read once.  Header and card need no xG, so they come from the strengths enriched
-without it; with the raw tables at hand (:func:`train_from_events`) the xG metric is summed per
-match, joined to the ended matches once, and one unpivot and one aggregate per team give the goal and
-the xG totals together.
+Header and card need no xG, so they come from the strengths enriched without it.  From the raw tables
+(:func:`train_from_events`) the goals are one pass over the matches without any shuffle of them, and the xG
+another one in an inner join with the metric's few matches, which lets Spark put a Bloom filter of these ahead of
+the shuffle, or leave the shuffle out where both tables are bucketed by match (:mod:`pitchside.sources.bucketed`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
-from pitchside.functions import sqltext as S
 from pitchside.operators import card, enrich, strength, xg
-from pitchside.operators.matches import ended_matches, xg_rows as xg_metric_rows
+from pitchside.operators.matches import finished_matches, xg_matches
+from pitchside.operators.quality import Seen, unseen
 from pitchside.params import Params
 
 
@@ -54,65 +54,44 @@ def _without(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def train(matches: DataFrame, xg_rows: DataFrame | None = None,
           features: DataFrame | None = None, params: Params = Params(),
-          totals: DataFrame | None = None, xg_sums: DataFrame | None = None) -> TrainingResult:
+          totals: DataFrame | None = None, xg_sums: DataFrame | None = None, materialised: bool = False) -> TrainingResult:
     """Strengths (A1, A3-A6) -> xG adjustment (A7) -> enrichment (J5) ->
     header and card (A14-A16).
 
     ``totals`` may be supplied pre-computed (e.g. checkpointed by the job) so
-    several outputs share one pass over ``matches``; ``xg_sums`` likewise in place of ``xg_rows``.
+    several outputs share one pass over ``matches``; ``xg_sums`` likewise in place of ``xg_rows``;
+    ``materialised`` says that both are checkpoints and cheap to read again.
     """
     def enriched(s: DataFrame) -> DataFrame:
         return _without(s, enrich.INDEX_COLS) if features is None else enrich.enrich_strengths(s, features, params)
 
     totals = team_totals(matches) if totals is None else totals
-    if "xg_home_rows" in totals.columns:          # goals and xG in one frame: no join
-        rows = strength.strengths_from_totals(xg.with_xg_means(totals), params, keep_league=True, carry=[*xg.SUM_COLS, *xg.MEAN_COLS])
-        everything = enriched(xg.gated(rows, params))
-        plain = enriched(rows.drop(*xg.SUM_COLS, *xg.MEAN_COLS))
-        return TrainingResult(totals=totals, team_strengths=everything.drop(*strength.LEAGUE_COLS), params=params,
-                              with_league=plain, everything=everything)
-    base = strength.strengths_from_totals(totals, params, keep_league=True)
+    base = strength.strengths_from_totals(totals, params, keep_league=True, materialised=materialised)
     if xg_sums is None and xg_rows is not None:
         xg_sums = xg.xg_team_sums(xg_rows)
-    everything = enriched(_without(base, xg.XG_COLS) if xg_sums is None else xg.strengths_from_sums(xg_sums, base, params))
+    everything = enriched(_without(base, xg.XG_COLS) if xg_sums is None else xg.strengths_from_sums(xg_sums, base, params, materialised))
     return TrainingResult(totals=totals, team_strengths=everything.drop(*strength.LEAGUE_COLS), params=params,
                           with_league=enriched(base), everything=everything)
 
 
-def event_totals(events: DataFrame, teams: DataFrame, match_stats: DataFrame) -> DataFrame:
-    """Goal and xG totals per team and role (null team kept) in one pass over the ended matches.
+def train_from_events(events: DataFrame, teams: DataFrame, match_stats: DataFrame | Callable[[], DataFrame] | None,
+                      features: DataFrame | None = None, params: Params = Params(), materialise: Callable[[DataFrame], DataFrame] | None = None,
+                      on_xg_failure: Callable[[Exception], None] | None = None, seen: Seen = unseen) -> TrainingResult:
+    """C5 from the raw tables.  Teams that only have xG are not trained.
 
-    A match without both scores adds only its xG; xG rows are summed per match before the join, so
-    a match with several stays one row.
+    ``materialise`` (a checkpoint) is put on the per-team totals that several outputs share.  If the xG source fails
+    there (S5), ``on_xg_failure`` is told and training goes on without xG; without it the failure is raised.
+    ``seen`` counts the stages ``matches`` and ``xg_records``.
     """
-    m = xg_metric_rows(match_stats)
-    num = lambda f, c: S.to_number(S.col(c), isinstance(f.schema[c].dataType, NumericType))
-    m = m.selectExpr("event_id", f"{num(m, 'xg_home')} AS xh", f"{num(m, 'xg_away')} AS xa")
-    m = m.filter(f"{S.is_present('xh')} AND {S.is_present('xa')}").groupBy("event_id").agg(
-        F.count("*").alias("xn"), F.sum("xh").alias("xh"), F.sum("xa").alias("xa"))
-    e = ended_matches(events, teams)
-    e = e.selectExpr("id", "home_team_name", "away_team_name", "time_utc",
-                     "home_score IS NOT NULL AND away_score IS NOT NULL AS raw",
-                     f"{num(e, 'home_score')} AS hs", f"{num(e, 'away_score')} AS aw")
-    e = e.selectExpr("*", f"raw AND {S.is_present('hs')} AND {S.is_present('aw')} AS ok").join(m, e["id"] == m["event_id"], "left")
-    roles = e.selectExpr("time_utc", "raw", "ok", "coalesce(xn, 0L) AS xn", "inline(array("
-                         "struct(home_team_name AS team, true AS is_home, hs AS gf, aw AS ga, xh AS xf, xa AS xag),"
-                         "struct(away_team_name AS team, false AS is_home, aw AS gf, hs AS ga, xa AS xf, xh AS xag)))")
-    aggs = ["count(team) AS named_rows", "count_if(is_home AND raw) AS raw_home_rows", "count_if(raw) AS raw_rows",
-            "min(CASE WHEN ok THEN time_utc END) AS first_time", "max(CASE WHEN ok THEN time_utc END) AS last_time"]
-    for role, cond in (("home", "is_home"), ("away", "NOT is_home")):
-        aggs += [f"sum(CASE WHEN {cond} AND ok THEN gf END) AS {role}_goals_scored",
-                 f"sum(CASE WHEN {cond} AND ok THEN ga END) AS {role}_goals_conceded",
-                 f"count_if({cond} AND ok) AS {role}_matches",
-                 f"sum(CASE WHEN {cond} THEN xn ELSE 0 END) AS xg_{role}_rows",
-                 f"sum(CASE WHEN {cond} THEN xf END) AS xg_{role}_for", f"sum(CASE WHEN {cond} THEN xag END) AS xg_{role}_against"]
-    return roles.groupBy("team").agg(*[F.expr(a) for a in aggs])
-
-
-def train_from_events(events: DataFrame, teams: DataFrame, match_stats: DataFrame, features: DataFrame | None = None,
-                      params: Params = Params()) -> TrainingResult:
-    """C5 from the raw tables, one pass over the matches.  Teams that only have xG are not trained."""
-    both = event_totals(events, teams, match_stats)
-    # named_rows counts a team's rows in matches with both scores, as the match query returns them
-    totals = both.withColumn("named_rows", F.expr("CASE WHEN named_rows > 0 THEN raw_rows ELSE 0 END"))
-    return train(events, None, features, params, totals=totals)
+    keep = materialise or (lambda df: df)
+    totals = keep(team_totals(seen("matches", finished_matches(events, teams))))
+    sums = None
+    try:
+        if match_stats is not None:
+            metric = match_stats() if callable(match_stats) else match_stats
+            sums = keep(xg.xg_team_sums(seen("xg_records", xg_matches(metric, events, teams))))
+    except Exception as exc:  # noqa: BLE001  whatever the source raises, there is no xG then
+        if on_xg_failure is None:
+            raise
+        on_xg_failure(exc)
+    return train(events, None, features, params, totals=totals, xg_sums=sums, materialised=materialise is not None)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pitchside.operators import (
 )
 from pitchside.plans import snapshots
 from pitchside.plans.training import train, train_from_events
-from pitchside.params import TESTED, Params
+from pitchside.params import TESTED, XG_METRIC, Params
 from pitchside.sources import files
 from pitchside.sources import fixtures as fx
 
@@ -220,17 +219,16 @@ def q_plain_training(spark, d):
 
 
 def q_stage_counts(spark, d):
-    """Rows after each stage, and the literal cells that Python decided."""
-    ev, tm = fx.events(spark, d), fx.teams(spark, d)
-    pairs = with_literal_fields(fx.style_matches(spark, d), [("home_team", "home_team_name", "h")], pending=True)
-    stages = {
-        "matches": matches.finished_matches(ev, tm), "xg": matches.xg_rows(fx.match_stats(spark, d)),
-        "players": players.eligible_players(fx.players(spark, d), P.index_min_90s, P),
-        "impact_players": players.eligible_players(fx.players(spark, d), P.impact_min_90s, P),
-        "style": fx.style_matches(spark, d), "residual_literals": pairs.filter("h_pending"),
-    }
-    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(k).alias("stage"), "rows") for k, df in stages.items()]
-    return reduce(DataFrame.union, counts)
+    """Rows at each stage and the literal cells that Python decided, observed while the pipelines run once."""
+    seen, ps = quality.Counts(), fx.players(spark, d)
+    metric = seen("xg", fx.match_stats(spark, d).filter(F.col("metric") == XG_METRIC))
+    result = train_from_events(fx.events(spark, d), fx.teams(spark, d), metric,
+                               players.player_strength_index(ps, P, seen), P, seen=seen)
+    for df in (result.team_strengths, impact.player_impact(ps, P, seen=seen), style.team_style(fx.style_matches(spark, d), P, seen)):
+        df.write.format("noop").mode("overwrite").save()
+    stages = ("matches", "xg", "players", "impact_players", "style", "residual_literals")
+    counts = seen.take(*stages)
+    return spark.createDataFrame([(k, counts[k]) for k in stages], "stage string, rows long")
 
 
 def q_null_names(spark, d):

@@ -21,8 +21,13 @@ def table_options(url: str, table: str, key: str | None, lower: int, upper: int,
     return out
 
 
-def match_tables(spark: SparkSession, url: str, lower: int, upper: int, partitions: int, **properties: str) -> dict[str, DataFrame]:
-    """The three tables; ``lower`` and ``upper`` bound the match ids that the ranges are cut from
+def match_table(spark: SparkSession, url: str, table: str, lower: int, upper: int, partitions: int, **properties: str) -> DataFrame:
+    """One of the three tables; ``lower`` and ``upper`` bound the match ids that the ranges are cut from
     (rows outside go to the first and the last range)."""
-    return {t: spark.read.format("jdbc").options(**table_options(url, t, k, lower, upper, partitions, **properties)).load()
-            for t, k in MATCH_TABLES.items()}
+    options = table_options(url, table, MATCH_TABLES[table], lower, upper, partitions, **properties)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def match_tables(spark: SparkSession, url: str, lower: int, upper: int, partitions: int, **properties: str) -> dict[str, DataFrame]:
+    """The three tables."""
+    return {t: match_table(spark, url, t, lower, upper, partitions, **properties) for t in MATCH_TABLES}

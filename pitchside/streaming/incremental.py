@@ -12,9 +12,10 @@ kept up to date as finished matches arrive:
   table and rewrites the strengths from the merged totals: one row per team,
   so that step is small whatever the match volume.
 
-Outputs have their own table names and share versions and manifest with the batch job
-(:mod:`pitchside.plans.sinks`).  Every attempt at a micro-batch writes new folders, so a replayed one
-reads what is published and overwrites nothing; as totals are whole, replaying them changes nothing.
+Outputs have their own table names and share the commit log with the batch job
+(:mod:`pitchside.plans.sinks`): neither hides what the other publishes, and of two streams that refresh the same
+totals the slower one merges again on top of the faster.  Every attempt at a micro-batch writes new folders, so a
+replayed one reads what is published and overwrites nothing; as totals are whole, replaying them changes nothing.
 A query with a new checkpoint reads all files again and replaces every team it sees.
 """
 
@@ -36,16 +37,15 @@ STRENGTHS = "streamed_team_strengths"
 
 def refresh_batch(spark: SparkSession, changed: DataFrame, out_base: str, params: Params = Params()) -> dict[str, str]:
     """Merge one micro-batch of changed per-team totals and republish."""
-    version = sinks.new_version()
-    current = sinks.current_paths(spark, out_base)
-    stored = spark.read.parquet(current[TOTALS]) if TOTALS in current else None
-    merged = upsert(stored, changed, ["team"])
-    paths = {TOTALS: sinks.write_table(merged, out_base, TOTALS, version)}
-    totals = spark.read.parquet(paths[TOTALS])           # read back: lineage cut at the write
-    paths[STRENGTHS] = sinks.write_table(strengths_from_totals(totals, params), out_base,
-                                         STRENGTHS, version)
-    sinks.publish(spark, out_base, version, current | paths)
-    return paths
+    def write(current: dict[str, str], version: str) -> tuple[dict[str, str], dict[str, str | None]]:
+        stored = spark.read.parquet(current[TOTALS]) if TOTALS in current else None
+        merged = upsert(stored, changed, ["team"])
+        paths = {TOTALS: sinks.write_table(merged, out_base, TOTALS, version)}
+        totals = spark.read.parquet(paths[TOTALS])           # read back: lineage cut at the write
+        paths[STRENGTHS] = sinks.write_table(strengths_from_totals(totals, params), out_base, STRENGTHS, version)
+        return paths, {TOTALS: current.get(TOTALS)}
+
+    return sinks.commit(spark, out_base, write)
 
 
 def start_strength_refresh(spark: SparkSession, source_dir: str, schema: StructType,
