@@ -473,6 +473,10 @@ fin2 AS (SELECT * REPLACE (CASE WHEN {key} % 11 <> 0 THEN home_team_name END AS
 {ROLE_FRAMES.replace("FROM fin", "FROM fin2")},
 {STRENGTHS_CTE}
 SELECT * FROM strengths"""
+    sql["alias_table"] = """WITH dim AS (SELECT p_brand, min(p_type) AS to_ FROM part WHERE p_brand >= 'Brand#3' GROUP BY p_brand)
+SELECT coalesce(d.to_, upper(p.p_brand)) AS canonical, count(*)::BIGINT AS rows FROM part p LEFT JOIN dim d USING (p_brand) GROUP BY 1"""
+    sql["unknown_names"] = """SELECT upper(p_brand) AS name, count(*)::BIGINT AS rows FROM part
+WHERE p_brand >= 'Brand#2' AND p_brand < 'Brand#3' GROUP BY 1"""
     return sql
 
 

@@ -16,7 +16,7 @@ from pitchside.functions.literals import with_literal_fields
 from pitchside.functions.text import canonical_team
 from pitchside.functions.numeric import number_or_zero, to_number
 from pitchside.operators import (
-    card, enrich, impact, matches, players, quality, reshape, strength, style, upsert, xg,
+    card, enrich, impact, matches, names, players, quality, reshape, strength, style, upsert, xg,
 )
 from pitchside.plans import snapshots
 from pitchside.plans.training import train, train_from_events
@@ -240,6 +240,27 @@ def q_null_names(spark, d):
     return strength.team_strengths(m, P)
 
 
+def _brand_aliases(spark, d):
+    """Aliases out of a table: the brands of the upper half stand for their first type."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    dim = part.filter("p_brand >= 'Brand#3'").groupBy("p_brand").agg(F.min("p_type").alias("canonical"))
+    raw = part.select(F.concat(F.lit("\t "), F.upper("p_brand"), F.lit(" ")).alias("raw"))
+    return raw, names.alias_table(dim, "p_brand", "canonical")
+
+
+def q_alias_table(spark, d):
+    """P9 over an alias table."""
+    raw, table = _brand_aliases(spark, d)
+    return names.with_canonical(raw, "raw", table, "canonical").groupBy("canonical").agg(F.count("*").alias("rows"))
+
+
+def q_unknown_names(spark, d):
+    """Raw names that neither an alias nor a team knows."""
+    raw, table = _brand_aliases(spark, d)
+    teams = spark.read.parquet(f"{d}/part.parquet").filter("p_brand < 'Brand#2'").select(F.upper("p_brand").alias("name"))
+    return names.unknown_names(raw, "raw", table, teams)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "finished_matches": q_finished_matches,
     "league_averages": q_league_averages,
@@ -276,4 +297,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plain_training": q_plain_training,
     "stage_counts": q_stage_counts,
     "null_names": q_null_names,
+    "alias_table": q_alias_table,
+    "unknown_names": q_unknown_names,
 }

@@ -3,9 +3,10 @@ presentation order, observed counts."""
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from pitchside.operators import impact, matches, quality
+from pitchside.operators import impact, matches, names, quality
 from pitchside.params import TESTED
 from pitchside.sources import fixtures as fx
 from pitchside import registry
@@ -52,3 +53,17 @@ def test_presentation_order_and_observed_count(spark):
     counted, obs = quality.observed(fin.select("event_id"), "finished")
     n = counted.count()
     assert obs.get["rows"] == n == 19856
+
+
+def test_alias_table(spark):
+    table = names.alias_table(spark.createDataFrame(
+        [(" Spurs\t", "Tottenham"), ("SPURS", "Tottenham "), ("City", "Man City"), (None, "x"), ("y", None)], "raw string, to string"), "raw", "to")
+    df = spark.createDataFrame([(1, "\u2003spurs"), (2, " Wolves "), (3, None), (4, "CITY"), (5, "city")], "i int, raw string")
+    got = {r["i"]: r["c"] for r in names.with_canonical(df, "raw", table, "c").collect()}
+    assert got == {1: "Tottenham", 2: "Wolves", 3: None, 4: "Man City", 5: "Man City"}
+    teams = spark.createDataFrame([("Wolves",), (None,)], "name string")
+    assert names.unknown_names(df, "raw", table, teams).count() == 0
+    assert [tuple(r) for r in names.unknown_names(df, "raw", table, teams.limit(0)).collect()] == [("Wolves", 1)]
+    twice = names.alias_table(spark.createDataFrame([("Spurs", "Tottenham"), ("spurs ", "San Antonio")], "raw string, to string"), "raw", "to")
+    with pytest.raises(Exception, match="two canonical names for spurs: San Antonio, Tottenham"):
+        names.with_canonical(df, "raw", twice, "c").collect()
