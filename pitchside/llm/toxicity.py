@@ -140,17 +140,37 @@ def grams(texts: list[bytes], length: int) -> tuple[list[bytes], Iterator[np.nda
 
 def document_counts(found: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The grams and in how many texts each occurs."""
-    return np.unique(np.concatenate([np.unique(g) for g in found]), return_counts=True)
+    own, n, part = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        every, place = np.unique(np.concatenate([own, *part]), return_inverse=True)
+        return every, np.bincount(place, np.concatenate([n, *(np.ones(len(p), dtype=np.int64) for p in part)]), len(every)).astype(np.int64)
+
+    for g in found:  # some texts at a time, as all of their grams together are many times the text
+        part.append(np.unique(g))
+        if len(part) == 128:
+            (own, n), part = merged(), []
+    return merged() if part else (own, n)
+
+
+def counts_of(grams: np.ndarray, found: Iterator[np.ndarray]) -> np.ndarray:
+    """In how many texts each of the sorted ``grams`` occurs."""
+    n = np.zeros(len(grams), dtype=np.int64)
+    for g in found:
+        g = np.unique(g)
+        at = np.searchsorted(grams, g)
+        n[at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == g)]] += 1
+    return n
 
 
 def typical_passages(toxic: list[bytes], ordinary: list[bytes], least: int = 4, odds: float = 2.5) -> list[bytes]:
     """Per toxic text the stretches of grams that far more toxic than ordinary texts hold, joined."""
     passages: list[list[bytes]] = [[] for _ in toxic]
     for length in GRAMS:
-        (own, n), (other, m) = document_counts(grams(toxic, length)[1]), document_counts(grams(ordinary, length)[1])
-        other, m = np.append(other, np.uint64(1 << 63)), np.append(m, 0)  # beyond every hash
-        at = np.searchsorted(other, own)
-        m = np.where(other[at] == own, m[at], 0)
+        own, n = document_counts(grams(toxic, length)[1])
+        if not len(own):
+            continue
+        m = counts_of(own, grams(ordinary, length)[1])
         ratio = np.log((n + 0.5) / (len(toxic) + 1)) - np.log((m + 0.5) / (len(ordinary) + 1))
         typical = own[(ratio > odds) & (n >= least)]
         for text, g, out in zip(*grams(toxic, length), passages):
