@@ -7,8 +7,8 @@ on the tables ``events``, ``teams`` and ``match_stats``, parquet folders in ``DI
 
 The model is published before the snapshots are tried, and a snapshot that fails is logged and
 leaves the model in place; so is an xG source that fails, after which training goes on without xG.
-One UTC timestamp marks all outputs of a run.  Each source is read once: players as a checkpoint of the league's
-rows, style in the pass that aggregates it.  The counts of all stages (G3) are observed on frames that are written
+One UTC timestamp marks all outputs of a run.  Each file is parsed once, into a columnar copy (players split by
+the league's, so that later steps open only their files); rows that do not match the header are counted and put out as ``bad_rows``.  The counts of all stages (G3) are observed on frames that are written
 anyway and published with the model; the gate (G1) fails the write of the trained rows.
 
 Fault tolerance: the per-team totals and the trained rows, which several outputs share, are
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, fields, replace
 
@@ -51,7 +52,7 @@ def load(events: DataFrame, teams: DataFrame, match_stats: Callable[[], DataFram
          style_csv: str | None = None) -> JobInputs:
     """C4 and the file sources; a missing file means no such input."""
     spark = events.sparkSession
-    read = lambda path, reader: reader(spark, path) if path and files.exists(spark, path) else None
+    read = lambda path, reader: reader(spark, path, keep_bad=True) if path and files.exists(spark, path) else None
     return JobInputs(events, teams, match_stats, players=read(players_csv, files.read_players),
                      style_matches=read(style_csv, files.read_style_matches))
 
@@ -64,12 +65,25 @@ def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params =
                      snapshot_date=params.snapshot_date or now.date().isoformat())
     counts, failed = quality.Counts(), []
 
+    scratch = f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4()}"
+    bad: dict[str, DataFrame] = {}
+
+    def once(name: str, df: DataFrame, flag: str = "true") -> DataFrame:
+        """A columnar copy of a file, its rows and the bad ones among them counted on the way."""
+        df = counts(f"{name}_read", df)
+        if files.BAD in df.columns:
+            df = counts(f"{name}_bad_rows", df, f"count_if({files.BAD} IS NOT NULL)")
+        copy = files.columnar(df, f"{scratch}/{name}", F.expr(flag))
+        if counts.take(f"{name}_read", f"{name}_bad_rows").get(f"{name}_bad_rows"):
+            bad[name] = files.bad_rows(copy)
+        return copy
+
     features = league = None
     if inputs.players is not None:
-        everyone = counts("players_read", inputs.players)
-        league = counts("league_players", everyone.filter(players.in_competition(params))).checkpoint()
+        league = counts("league_players", once("players", inputs.players, players.in_competition(params)).filter("flagged"))
         features = players.player_strength_index(league, params, counts).checkpoint()
-        counts.take("players_read", "league_players", "players", "featured_teams")
+        counts.take("league_players", "players", "featured_teams")
+        league = spark.read.schema(league.schema).parquet(f"{scratch}/players").filter("flagged")  # read again, not counted again
 
     def no_xg(exc: Exception) -> None:
         log.warning("no xG: %s", exc)
@@ -93,13 +107,21 @@ def run(spark: SparkSession, inputs: JobInputs, out_base: str, params: Params =
         "league_params": sinks.write_table(card.model_header(rows, params), out_base, "league_params", version),
         "model_card": sinks.write_table(card.card_json(card.model_card(rows, params)), out_base, "model_card", version, fmt="text"),
     }
+    written |= {f"bad_rows/{name}": sinks.write_table(df, out_base, f"bad_rows/{name}", version) for name, df in bad.items()}
     sinks.publish(spark, out_base, version, written, counts=counts.rows)
     log.info("published model %s: %s", version, counts.rows)                 # G3
     try:
-        written |= write_snapshots(spark, features, league, inputs.style_matches, out_base, params, counts)
+        rows = once("style", inputs.style_matches) if inputs.style_matches is not None else None
+        snapshots_written = write_snapshots(spark, features, league, rows, out_base, params, counts)
+        if "style" in bad:
+            late = {"bad_rows/style": sinks.write_table(bad["style"], out_base, "bad_rows/style", version)}
+            sinks.publish(spark, out_base, version, late)
+            snapshots_written |= late
+        written |= snapshots_written
         log.info("published snapshots: %s", counts.rows)
     except Exception as exc:  # noqa: BLE001  the model stays published whatever a snapshot raises
         log.warning("snapshots failed, the model is published: %s", exc)
+    files.delete(spark, scratch)
     return written
 
 

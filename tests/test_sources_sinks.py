@@ -96,6 +96,28 @@ def test_player_csv_renames_and_optional_source(spark):
     assert missing.count() == 0 and missing.schema == df.schema
 
 
+def test_bad_rows_are_counted_and_put_out(spark):
+    """A row with a missing cell keeps what it has and is in the bad-row output; files are parsed once."""
+    d, src, out = "/root/testdata/sf0.001", scratch_dir(), scratch_dir()
+    for t in ("events", "teams", "match_stats"):
+        getattr(fx, t)(spark, d).write.parquet(f"{src}/{t}")
+    with open(f"{src}/players.csv", "w") as f:
+        f.write("Player,Pos,Squad,Comp,90s,Gls,Ast\nA,FW,Arsenal,eng Premier League,9,2,1\nshort,FW,Arsenal,eng Premier League,9\nB,FW,Chelsea,other,9,1,1,extra\n")
+    with open(f"{src}/style.csv", "w") as f:
+        f.write("home_team,away_team,home_score,away_score\nArsenal,Chelsea,2,1\nArsenal\n")
+    job.main(["--matches", src, "--out", out, "--players", f"{src}/players.csv", "--style", f"{src}/style.csv", "--snapshot-date", "2026-02-01"])
+    rows = {r["row"] for r in sinks.read_current(spark, out, "bad_rows/players").collect()}
+    assert rows == {"short,FW,Arsenal,eng Premier League,9", "B,FW,Chelsea,other,9,1,1,extra"}
+    assert [r["row"] for r in sinks.read_current(spark, out, "bad_rows/style").collect()] == ["Arsenal"]
+    counts = sinks._Files(spark, out).read(sinks._entry(1))["counts"]
+    assert (counts["players_read"], counts["players_bad_rows"], counts["league_players"]) == (3, 2, 2)
+    got = {r["player_name"]: r["goals"] for r in sinks.read_current(spark, out, "player_absence_impact").collect()}
+    assert got == {"A": 2, "short": 0}
+    assert sinks.read_current(spark, out, "team_style_snapshot").count() == 2
+    copy = files.columnar(spark.range(10), f"{src}/copy", F.col("id") < 3).filter("flagged")
+    assert "PartitionFilters: [isnotnull(flagged" in copy._jdf.queryExecution().executedPlan().toString() and copy.count() == 3
+
+
 def test_versioned_sinks_publish_last(spark):
     base = scratch_dir()
     df = spark.range(3).withColumn("v", F.col("id") * 2)
