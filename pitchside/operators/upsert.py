@@ -36,11 +36,11 @@ def upsert(stored: DataFrame | None, batch: DataFrame, keys: list[str],
            order_cols: list[str] | None = None, created_at: Column | None = None) -> DataFrame:
     """Return the table after applying ``batch`` to ``stored``.
 
-    ``order_cols`` give the row order inside the batch (later = greater); without them the batch's
-    keys are unique already.  ``created_at`` (a column expression) is stamped on batch rows when
+    ``order_cols`` give the row order inside the batch (later = greater); without them one row of
+    each key is taken, any one where they differ.  ``created_at`` (a column expression) is stamped on batch rows when
     given.  Null keys are equal.  Columns other than ``created_at`` and ``order_cols`` must agree.
     """
-    b = latest_rows(batch, keys, order_cols) if order_cols else batch
+    b = latest_rows(batch, keys, order_cols) if order_cols else batch.dropDuplicates(keys)
     if created_at is not None:
         b = b.withColumn("created_at", created_at)
     if stored is None:

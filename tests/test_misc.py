@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchside.operators import impact, matches, names, quality
+from pitchside.operators.upsert import upsert
 from pitchside.params import TESTED
 from pitchside.sources import fixtures as fx
 from pitchside import registry
@@ -67,3 +68,11 @@ def test_alias_table(spark):
     twice = names.alias_table(spark.createDataFrame([("Spurs", "Tottenham"), ("spurs ", "San Antonio")], "raw string, to string"), "raw", "to")
     with pytest.raises(Exception, match="two canonical names for spurs: San Antonio, Tottenham"):
         names.with_canonical(df, "raw", twice, "c").collect()
+
+
+def test_a_batch_without_order_still_gives_one_row_a_key(spark):
+    stored = spark.createDataFrame([(1, "old"), (3, "stays")], "k int, v string")
+    batch = spark.createDataFrame([(1, "new"), (1, "new"), (2, "x"), (None, "n"), (None, "n")], "k int, v string")
+    rows = sorted(map(str, upsert(stored, batch, ["k"]).collect()))
+    assert rows == sorted(map(str, spark.createDataFrame([(1, "new"), (2, "x"), (None, "n"), (3, "stays")], "k int, v string").collect()))
+    assert upsert(None, batch, ["k"]).count() == 3
