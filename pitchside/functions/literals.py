@@ -8,7 +8,9 @@ Rules (the modelled job evaluates the literal and calls ``.get(key, '')``):
   -> the whole cell.
 
 The JVM decides every dict, nested or not, that is made of plain tokens: strings without
-escapes, None, True, False, plain numbers and brackets.  Such a cell is rewritten to JSON (a marker
+escapes, None, True, False, plain numbers and brackets.  One match decides a dict of string keys that is at most
+three levels deep: the pattern is the dict's grammar, and its group keeps the value that the key has last.  Any
+other cell of plain tokens is rewritten to JSON (a marker
 inside each string's opening quote keeps strings apart from other values) and parsed with
 ``from_json``; a closing element after it shows that nothing followed the dict.  All patterns loop
 possessively, which Java runs without recursion, so a cell may be of any length.
@@ -33,6 +35,11 @@ from pitchside.functions import sqltext as S
 
 _PLAIN = (r"""^[ \t]*+\{(?:[{}\[\]:, \t]++|'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+"|None|True|False"""
           r"""|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?)*+\z""")
+#: Control characters one by one: of single characters Java makes one table, and loops over a table are fast.
+_CONTROL = "".join(rf"\x{c:02x}" for c in range(32))
+_TEXT = rf"""(?:'[^'\\{_CONTROL}]*'|"[^"\\{_CONTROL}]*")"""
+_SCALAR = rf"""(?:{_TEXT}|None|True|False|-?(?:0|[1-9][0-9]{{0,17}}+)(?:\.[0-9]{{1,99}}+)?)"""
+_OPEN, _CLOSE = r"\{", r"\}"
 _STRING = r"""(?s)(['"])((?:(?!\1).)*+)\1"""
 #: Everything from the last hit up to the next keyword that stands outside strings.
 _UP_TO = r"""\G((?:[^'"NTF]++|'[^']*+'|"[^"]*+")*+)"""
@@ -88,14 +95,39 @@ def _as_json(cell: Column) -> Column:
     return F.when(cell.rlike(_PLAIN), F.concat(F.lit("["), text, F.lit(f", '{_END}']")))
 
 
+def _list_of(item: str, opening: str, closing: str) -> str:
+    return rf"{opening}[ \t]*+(?:{item}[ \t]*+(?:,[ \t]*+(?!{closing})|(?={closing})))*+{closing}"
+
+
+def _dict_with(key: str, levels: int = 3) -> str:
+    """The pattern of a whole cell that is a dict literal; its group is the value of the last ``key``, if there is one."""
+    value = _SCALAR
+    for _ in range(levels - 1):
+        item = rf"{_TEXT}[ \t]*+:[ \t]*+{value}"
+        value = f"(?:{_SCALAR}|{_list_of(item, _OPEN, _CLOSE)}|{_list_of(value, r'\[', r'\]')})"
+    plain = not any(c == "\\" or c < " " for c in key)  # no string without escapes has another key
+    names = [rf"{q}\Q{key}\E{q}" for q in ("'", '"') if plain and q not in key]
+    item = rf"(?:(?:{'|'.join(names) or '(?!)'})[ \t]*+:[ \t]*+({value})|{_TEXT}[ \t]*+:[ \t]*+{value})"
+    return rf"\A[ \t]*+{_list_of(item, _OPEN, _CLOSE)}[ \t]*+\z"
+
+
 Specs = list[tuple[str, str, str]]
 
 
 def literal_columns(df: DataFrame, specs: Specs) -> DataFrame:
     """Add two columns per ``(cell, key, out)``: ``out``, the raw (not yet canonicalised) value of ``key`` in the
     cell column ``cell`` as far as the JVM decides it, and ``<out>_cell``, the cell if Python has to, else null."""
-    staged = df.withColumns({f"__{out}_list": F.from_json(_as_json(F.col(cell).cast("string")), "array<string>", _OPTIONS)
-                             for cell, _, out in specs})
+    matched = df.withColumns({f"__{out}_match": F.when(F.col(cell).cast("string").contains("{"), F.regexp_replace(
+        F.col(cell).cast("string"), _dict_with(key), _MARK + "$1")) for cell, key, out in specs})
+    # a match leaves the mark and the value; its strings still have their quotes
+    staged = matched.withColumns({f"__{out}_flat": F.expr(
+        f"CASE WHEN NOT startswith(`__{out}_match`, {S.lit(_MARK)}) OR startswith(CAST({S.col(cell)} AS STRING), {S.lit(_MARK)}) THEN NULL "
+        f"WHEN `__{out}_match` = {S.lit(_MARK)} THEN '' "
+        f"WHEN substr(`__{out}_match`, 2, 1) IN ('\\'', '\"') THEN substr(`__{out}_match`, 3, length(`__{out}_match`) - 3) "
+        f"ELSE CAST({S.col(cell)} AS STRING) END") for cell, _, out in specs})
+    staged = staged.withColumns({f"__{out}_list": F.when(
+        F.col(f"__{out}_flat").isNull() & F.col(f"__{out}_match").isNotNull(),
+        F.from_json(_as_json(F.col(cell).cast("string")), "array<string>", _OPTIONS)) for cell, _, out in specs})
     # nothing but the closing element may follow the dict; its text now has double quotes and escapes
     staged = staged.withColumns({f"__{out}_dict": F.expr(
         f"CASE WHEN size(`__{out}_list`) = 2 AND `__{out}_list`[1] = {S.lit(_END)} THEN `__{out}_list`[0] END")
@@ -104,14 +136,15 @@ def literal_columns(df: DataFrame, specs: Specs) -> DataFrame:
     for cell, key, out in specs:
         s, parsed = F.col(cell).cast("string"), F.col(f"__{out}_dict")
         value = F.from_json(parsed, f"`{_MARK}{key}` string").getField(f"{_MARK}{key}")
-        may_be_dict = s.contains("{")
+        flat, may_be_dict = F.col(f"__{out}_flat"), F.col(f"__{out}_match").isNotNull()
         decided[out] = (F.when(s.isNull(), F.lit(None).cast("string"))
                         .when(~may_be_dict, s)
+                        .when(flat.isNotNull(), flat)
                         .when(value.startswith(_MARK), F.substr(value, F.lit(2)))
                         .when(parsed.isNotNull() & ~F.array_contains(F.json_object_keys(parsed), F.lit(_MARK + key)), F.lit(""))
                         .when(parsed.isNotNull(), s))
-        decided[f"{out}_cell"] = F.when(may_be_dict & parsed.isNull(), s)
-    return staged.withColumns(decided).drop(*[f"__{o}_{x}" for _, _, o in specs for x in ("list", "dict")])
+        decided[f"{out}_cell"] = F.when(may_be_dict & flat.isNull() & parsed.isNull(), s)
+    return staged.withColumns(decided).drop(*[f"__{o}_{x}" for _, _, o in specs for x in ("match", "flat", "list", "dict")])
 
 
 def waiting(specs: Specs) -> Column:

@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pitchside.functions import literals
 from pitchside.functions.literals import literal_field_py, with_literal_field, with_literal_fields
 from pitchside.operators import matches, players, quality, style
 from pitchside.operators.upsert import upsert
@@ -54,6 +55,28 @@ def test_literal_field_matches_python(spark, batch):
     assert got == [literal_field_py(c, KEY) for c in batch]
 
 
+def test_one_match_decides_dicts_of_three_levels(spark, monkeypatch):
+    """The rewriting to JSON, several times as costly, is for other cells."""
+    monkeypatch.setattr(literals, "_as_json", lambda cell: F.raise_error(F.concat(F.lit("rewritten: "), cell)).cast("string"))
+    batch = ["{'home_team_name': 'Arsenal', 'g': None}", "{\"home_team_name\": \"Nott'm Forest\"}", "{'x': 1}", "{}", " \t{ 'g' :-0.5 , 'home_team_name':''} ",
+             "{'home_team_name': None, 'g': 1}", "{'home_team_name': 'A', 'home_team_name': 'B'}", "{'home_team_name': 'A', 'home_team_name': 3}",
+             "{'home_team_name': {'home_team_name': 'A'}}", "{'country': {'home_team_name': 'A'}}", "{'home_team_name': ['A', []], 'g': {}}",
+             "{'m': [{'id': 1, 'nick': None}, {'id': 2, 'c': 'x}'}], 'home_team_name': 'B: {', 'k': True}", "Arsenal", "'", "\x01A", "", None]
+    df = spark.createDataFrame(list(enumerate(batch)), "i int, cell string")
+    got = with_literal_fields(df, [("cell", KEY, "v")], pending=True).orderBy("i").collect()
+    assert [r["v"] for r in got] == [literal_field_py(c, KEY) for c in batch]
+    assert not any(r["v_pending"] for r in got)
+
+
+def test_keys_of_any_characters(spark):
+    for key in ("it's", 'a"b', "'\"", "a\\b", "a\nb", "a.b", "$1", "\\E", "", "é"):
+        batch = [repr({key: "v", "g": {key: None}}), repr({"g": {key: "in"}}), repr({key: None}), "{'a.b': 'x', 'axb': 'y'}", repr({"é" + key: "z"})]
+        df = spark.createDataFrame(list(enumerate(batch)), "i int, cell string")
+        got = [literals.literal_columns(df, [("cell", key, "v")]).orderBy("i").collect()]
+        for r, cell in zip(got[0], batch):
+            assert r["v_cell"] == cell if r["v_cell"] is not None else r["v"] == literal_field_py(cell, key), (key, cell)
+
+
 def final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
