@@ -13,7 +13,7 @@ three levels deep: the pattern is the dict's grammar, and its group keeps the va
 other cell of plain tokens is rewritten to JSON (a marker
 inside each string's opening quote keeps strings apart from other values) and parsed with
 ``from_json``; a closing element after it shows that nothing followed the dict.  All patterns loop
-possessively, which Java runs without recursion, so a cell may be of any length.
+possessively or over single characters, which Java runs without recursion, so a cell may be of any length.
 
 Other cells that could still be a dict to Python, those with an opening brace somewhere (escapes, tuples, trailing
 commas, other number forms, line breaks or parentheses before the dict, junk), are left to one vectorised pandas UDF
