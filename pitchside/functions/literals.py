@@ -152,14 +152,16 @@ def waiting(specs: Specs) -> Column:
     return F.coalesce(*[F.col(f"{out}_cell") for _, _, out in specs]).isNotNull()
 
 
-def decide(df: DataFrame, specs: Specs) -> DataFrame:
+def decide(df: DataFrame, specs: Specs, shared: bool = False) -> DataFrame:
     """Rows with cells that wait, their columns ``out`` decided by Python's parser.
 
     Each distinct combination of cells is decided once and joined back.  Of a merge join adaptive execution
     knows both sides' rows before it goes on: where no row waits it drops the join and with it the Python node.
+    With ``shared`` the distinct cells are taken from whole rows, dealt by all columns: where ``df`` is an aggregate,
+    no column is pruned from it for one side alone, so its shuffle is the same one on both sides and runs once.
     """
     cells = [f"{out}_cell" for _, _, out in specs]
-    asked = df.select(*[F.col(c).alias(f"__{c}") for c in cells]).distinct()
+    asked = (df.repartition(*[F.col(S.col(c)) for c in df.columns]) if shared else df).select(*[F.col(c).alias(f"__{c}") for c in cells]).distinct()
     res = _residual_udf(tuple(k for _, k, _ in specs))(*[F.col(f"__{c}") for c in cells])
     answered = asked.withColumns({f"__{out}_value": res[f"v{i}"] for i, (_, _, out) in enumerate(specs)})
     same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cells])

@@ -25,15 +25,16 @@ def name_pairs(raw: DataFrame, params: Params, aggregates: list[str], seen: Seen
     """P10 + P9: ``raw`` aggregated per pair of team names, ``home_name, away_name`` and the aggregates.
 
     Cells are parsed where they are read and the shuffle carries the short names; only a cell that
-    Python has to decide travels as it is.  Such groups are then decided in a branch of their own, and both
-    branches read one aggregate (its flag keeps the split above it).
+    Python has to decide travels as it is.  Such groups are then decided in a branch of their own, and all
+    branches read one aggregate: ``waiting``, how many rows wait, keeps the split above it, and every branch needs
+    every column, so cells are parsed once.
     """
     parsed = literal_columns(raw, CELLS).withColumn("waits", waiting(CELLS))
     keys = [c for _, _, out in CELLS for c in (out, f"{out}_cell")]
     names = [o for o in (re.search(r" AS (\w+)$", a).group(1) for a in aggregates)]
-    groups = parsed.groupBy(*keys).agg(*[F.expr(a) for a in aggregates], F.expr("bool_or(waits) AS waits"), F.count(F.lit(1)).alias("cells"))
-    by_python = seen("residual_literals", groups.filter("waits"), "sum(cells)")
-    both = groups.filter("NOT waits").unionByName(decide(by_python, CELLS))
+    groups = parsed.groupBy(*keys).agg(*[F.expr(a) for a in aggregates], F.expr("count_if(waits) AS waiting"))
+    by_python = seen("residual_literals", groups.filter("waiting > 0"), "sum(waiting)")
+    both = groups.filter("waiting = 0").unionByName(decide(by_python, CELLS, shared=True))
     return both.select(canonical_team("home_raw", params.aliases).alias("home_name"),
                        canonical_team("away_raw", params.aliases).alias("away_name"), *names)
 

@@ -94,6 +94,18 @@ def test_only_cells_that_wait_meet_python(spark):
     assert got == {"A", "B", "C", "D", "E", "F"}
 
 
+def test_cells_are_parsed_once(spark):
+    """All branches, also the observed one, read one aggregate: the source is scanned once, whether cells wait or not."""
+    plain = spark.createDataFrame([("{'home_team_name': 'A'}", "B", "1", "2"), ("C", "{'away_team_name': 'D'}", "0", "0")] * 20,
+                                  "home_team string, away_team string, home_score string, away_score string")
+    odd = plain.unionByName(plain.selectExpr("\"{'home_team_name': 'E',}\" AS home_team", "away_team", "home_score", "away_score"))
+    for df, scans, waiting in ((plain, 1, 0), (odd, 2, 40)):
+        seen = quality.Counts()
+        for out in (style.cell_pair_names(df, TESTED), style.team_style(df, TESTED), style.team_style(df, TESTED, seen)):
+            assert final_plan(out).split("== Initial Plan ==")[0].count("Scan ExistingRDD") == scans
+        assert seen.take("residual_literals")["residual_literals"] == waiting
+
+
 def test_quoted_csv_cells_do_not_shift(spark):
     d = scratch_dir()
     path = os.path.join(d, "style.csv")
