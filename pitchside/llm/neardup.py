@@ -254,17 +254,19 @@ def compare_lists(postings: DataFrame, members: DataFrame, percent: int, block:
     return dealt.groupBy("token", "_i", "_j").applyInArrow(compare, "a long, b long")
 
 
-def grouped(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
-    """``(doc_id, digest, n_shingles, chosen)``, a row per document.
+CLASS = ["n", "one", "two"]
 
-    Documents link if ``100 * intersection >= percent * union`` of their sets.  ``chosen`` tells which document
-    stands for the component: its least doc_id (null last) and that one's digest, null for documents without words.
+
+def grouped(docs: DataFrame, percent: int = 80, block: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and the classes ``(n, one, two, least, id, component)`` of those with words.
+
+    Documents link if ``100 * intersection >= percent * union`` of their sets.  ``least`` is the document
+    of the class with the least doc_id (null last), as :func:`label` has it.
     """
     matches = matches_for(percent)
     signed = cut(signatures(docs))
-    key = ["n", "one", "two"]
     # the numbers are fixed with the checkpoint
-    classes = cut(signed.where("n > 0").groupBy(*key).agg(F.min(label()).alias("least"), F.first("signature").alias("signature"))
+    classes = cut(signed.where("n > 0").groupBy(*CLASS).agg(F.min(label()).alias("least"), F.first("signature").alias("signature"))
                   .withColumn("id", F.monotonically_increasing_id()))
 
     looked = shared(tokens(classes, FIRST)).groupBy("id").count()
@@ -287,34 +289,36 @@ def grouped(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
     texts = docs.select(digest(), "text").join(crowded, "digest").dropDuplicates(["digest"])
     sets = cut(full_sets(texts))
     links = cut(confirmed(stars, sets, percent))
-    joined = components(listed.select("id"), links)
+    joined = components(listed.select("id", "tokens"), links)
 
     posted = F.transform("tokens", lambda t: F.shiftright(t, 32).cast("tinyint"))
     members = listed.join(sets.select("id", "sketch"), "id").select("id", "signature", posted.alias("posted"), "sketch")
-    postings = listed.join(joined, "id").select("id", "component", F.explode("tokens").alias("token"))
+    postings = joined.select("id", "component", F.explode("tokens").alias("token"))
     links = links.union(cut(confirmed(compare_lists(postings, members, percent, block), sets, percent)))
-    labels = components(classes.select("id"), links)
+    return signed, components(classes.select(*CLASS, "least", "id"), links)
+
 
-    labelled = classes.select(*key, "least", "id").join(labels, "id")
-    chosen = labelled.groupBy("component").agg(F.min("least").alias("chosen"))
-    by_class = labelled.join(chosen, "component").select(*key, "chosen")
-    return signed.join(by_class, key, "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), "chosen")
+def chosen_of(classes: DataFrame) -> DataFrame:
+    """``(component, chosen)``: the document that stands for each component."""
+    return classes.groupBy("component").agg(F.min("least").alias("chosen"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, a row per document: the least doc_id of its
     component, and whether that is its own."""
+    signed, classes = grouped(docs, percent, block)
+    by_class = classes.join(chosen_of(classes), "component").select(*CLASS, "chosen")
     component = F.when(F.col("chosen").isNull(), F.col("doc_id")).otherwise(F.col("chosen.doc_id"))
-    return grouped(docs, percent, block).select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return signed.join(by_class, CLASS, "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, block: int = 2000) -> DataFrame:
     """``docs``, all columns, with one row of each component of near copies, the one with the least doc_id
     (of equal ones the least digest; of rows that repeat id and text any one).  Rows without words all stay."""
-    found = grouped(docs, percent, block)
+    _, classes = grouped(docs, percent, block)
     (name,) = unused(docs, "_digest")
-    one = found.where("chosen is not null").select(F.col("chosen.digest").alias(name)).distinct()
+    one = chosen_of(classes).select(F.col("chosen.digest").alias(name)).distinct()
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     rest = [column(c) for c in docs.columns]
     kept = docs.where(worded).withColumn(name, digest()).join(one, name, "left_semi").dropDuplicates([name])

@@ -100,8 +100,8 @@ def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield part
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> tuple[list[bytes], list[bytes], float]:
-    """Texts of toxic and of ordinary documents to learn from, and the share of toxic ones among all labels."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> tuple[DataFrame, float]:
+    """``(doc_id, _toxic, text)`` of the documents to learn from, and the share of toxic ones among all labels."""
     known = (labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max(label).alias("_toxic")))
     share = known.agg(F.avg("_toxic")).first()[0] or 0.0
@@ -109,18 +109,22 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_c
     order = F.xxhash64("doc_id")
     ids = known.where("_toxic = 1").orderBy(order).limit(per_class).union(known.where("_toxic = 0").orderBy(order).limit(per_class))
     rows = (docs.select("doc_id", "text").where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
-            .groupBy("doc_id").agg(F.max("_toxic").alias("_toxic"), F.min("text").alias("text")).collect())
-    rows.sort(key=lambda r: r["doc_id"])
+            .groupBy("doc_id").agg(F.max("_toxic").alias("_toxic"), F.min("text").alias("text")))
+    return rows, share
+
+
+def without_copies(rows: list[tuple[object, int, bytes]]) -> tuple[list[bytes], list[bytes]]:
+    """Texts of toxic and of ordinary documents, in the order of their ids, near copies of earlier ones left out."""
     seen: set[int] = set()
     out: tuple[list[bytes], list[bytes]] = ([], [])
-    for r in rows:
-        text = b" " + r["text"].encode().lower()
+    for _, toxic, text in sorted(rows, key=lambda r: r[0]):
+        text = b" " + text.lower()
         w = text.split()
         sketch = sorted({zlib.crc32(b" ".join(w[i:i + 3])) for i in range(max(1, len(w) - 2))})[:6]
         if w and 2 * sum(h in seen for h in sketch) < len(sketch):
             seen.update(sketch)
-            out[r["_toxic"] == 0].append(text)
-    return *out, share
+            out[toxic == 0].append(text)
+    return out
 
 
 def grams(texts: list[bytes], length: int) -> tuple[list[bytes], Iterator[np.ndarray]]:
@@ -200,10 +204,9 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, max_chars: int = 50_000,
-        ordinary_size: int = 16384, toxic_size: int = 2048, miss_cost: float = 1.5) -> tuple[bytes, bytes, np.ndarray] | None:
-    """``(ordinary dictionary, toxic dictionary, weights)``, or None without both classes."""
-    toxic, ordinary, share = sample(docs, labels, label, per_class, max_chars)
+def learned(toxic: list[bytes], ordinary: list[bytes], share: float, ordinary_size: int, toxic_size: int,
+            miss_cost: float) -> tuple[bytes, bytes, np.ndarray] | None:
+    """The model of the sampled texts, or None without both classes."""
     if len(toxic) < 2 or len(ordinary) < 2:
         return None
     parts = [t[i:i + 400] for t in ordinary for i in range(0, len(t), 400)]
@@ -222,6 +225,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     return base, special + base, w
 
 
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2000, max_chars: int = 50_000,
+        ordinary_size: int = 16384, toxic_size: int = 2048, miss_cost: float = 1.5) -> tuple[bytes, bytes, np.ndarray] | None:
+    """``(ordinary dictionary, toxic dictionary, weights)``, or None without both classes.
+
+    One task learns from the whole sample, which is bounded; only the model comes to the driver.
+    """
+    rows, share = sample(docs, labels, label, per_class, max_chars)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist())]
+        model = learned(*without_copies(found), share, ordinary_size, toxic_size, miss_cost)
+        if model:
+            yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(
+                (*model[:2], model[2].tolist()), (pa.binary(), pa.binary(), pa.list_(pa.float64())))], ["ordinary", "toxic", "weights"])
+
+    row = rows.coalesce(1).mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
+    return row and (bytes(row["ordinary"]), bytes(row["toxic"]), np.array(row["weights"]))
+
+
 def score_toxicity(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray] | None) -> DataFrame:
     """The documents with ``score`` and ``predicted``."""
     docs = docs.drop("score", "predicted")

@@ -32,6 +32,8 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in components(v, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for i in range(1500)}
     assert components(v.limit(3), spark.createDataFrame([], "a long, b long")).where("id = component").count() == 3
+    named = components(v.selectExpr("*", "id * 2 as `twice`"), spark.createDataFrame([(1, 0)], "a long, b long"))
+    assert named.columns == ["id", "twice", "component"] and named.where("id = 1").first()[1:] == (2, 0)
 
 
 def test_hashes(spark):

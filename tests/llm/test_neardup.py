@@ -120,6 +120,13 @@ def test_one_of_each_loses_no_text(spark):
             assert (i is None, i) == min(((j is None, j) for j, _, m in rows if parts[m][1] == parts[k][1]), key=lambda x: (x[0], x[1] or 0))
 
 
+def test_one_of_each_labels_no_row(spark):
+    """Its last plan joins classes with their components and documents with those that stay, and nothing else."""
+    df = spark.createDataFrame([(i, t) for i, t in SHARED_IDS], "doc_id long, text string")
+    plan = neardup.one_of_each(df, 80)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+
+
 def test_stated_chance_of_losing_a_pair_at_the_threshold():
     from math import comb
 

@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, windows against a plain reading, edge rows."""
 
+import os
 import zlib
 
 import numpy as np
@@ -49,6 +50,22 @@ def test_edges(spark):
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
 
 
+def test_a_task_learns(spark, monkeypatch):
+    """The driver gets the model and no text."""
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('doc ', id * id, if(id % 2 = 0, ' you scum bag ', ' good '), 'day ', id * 77) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) as toxic")
+
+    driver, compressor = os.getpid(), toxicity.compressor
+
+    def elsewhere(content):
+        assert os.getpid() != driver
+        return compressor(content)
+
+    monkeypatch.setattr(toxicity, "compressor", elsewhere)
+    ordinary, toxic, weights = toxicity.fit(docs, labels)
+    assert toxic.endswith(ordinary) and len(weights) == toxicity.MOST + 3
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_features_do_not_depend_on_the_batch(n):
     texts = [b"some words here " * k for k in range(1, 7)]
